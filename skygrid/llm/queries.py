@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, sharding
+from . import minhash, mixing, sharding
 from .common import table, text_bytes
 
 #: Bytes of text that a shard may hold.
@@ -34,6 +34,10 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), MIX_WEIGHTS, MIX_SHARE, MIX_EPOCHS, MIX_SEED)
 
 
+def op6_super_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85, width=5, bands=20, rows=4)
+
+
 OP8_SQL = f"""
 WITH RECURSIVE d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size, md5('{MIX_SEED}:' || doc_id) AS key FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size, ((row_number() OVER (ORDER BY source ASC NULLS LAST)) - 1) % 3 AS k FROM d GROUP BY source),
@@ -56,6 +60,7 @@ SELECT doc_id, size, source_size, target, (whole * size + greatest(0, least(size
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_extendible_sharding": op1_extendible_sharding,
+    "op6_super_minhash": op6_super_minhash,
     "op8_source_mixing": op8_source_mixing,
 }
 

@@ -73,13 +73,19 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+_POWERS: dict[int, np.ndarray] = {}
+
+
 def powers(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**(n - 1) modulo 2**64."""
-    out = np.full(n, base, dtype=np.uint64)
-    if n:
+    """base**0 .. base**(n - 1) modulo 2**64, to read only; kept for the next call."""
+    if n > len(_POWERS.get(base, ())):
+        out = np.full(max(n, 1), base, dtype=np.uint64)
         out[0] = 1
         np.multiply.accumulate(out, out=out)
-    return out
+        if n > 1 << 23:
+            return out
+        _POWERS[base] = out
+    return _POWERS[base][:n]
 
 
 def joined_bytes(column) -> tuple[np.ndarray, np.ndarray]:

@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import minhash, mixing, sharding, tokens
+from . import langid, minhash, mixing, pieces, sharding, tokens
 from .common import shared_dir, table, text_bytes
 
 #: Bytes of text that a shard may hold.
@@ -36,12 +36,20 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), MIX_WEIGHTS, MIX_SHARE, MIX_EPOCHS, MIX_SEED)
 
 
+def op3_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def op4_token_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_dir(spark)}/tokens-{uuid.uuid4().hex}"
     tokens.write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=0, encoding="delta")
     return tokens.token_digest(tokens.read_tokens(spark, path))
 
 
+def op5_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op6_super_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85, width=5, bands=20, rows=4)
 
@@ -68,7 +76,9 @@ SELECT doc_id, size, source_size, target, (whole * size + greatest(0, least(size
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_extendible_sharding": op1_extendible_sharding,
+    "op3_kneser_ney": op3_kneser_ney,
     "op4_token_lists": op4_token_lists,
+    "op5_sentence_pieces": op5_sentence_pieces,
     "op6_super_minhash": op6_super_minhash,
     "op8_source_mixing": op8_source_mixing,
 }

@@ -290,7 +290,7 @@ def bounded(counts: DataFrame, most: int) -> DataFrame:
     return counts.join(F.broadcast(least), "lang").where("n >= least").drop("least")
 
 
-def learn(docs: DataFrame, calibrate: Column, max_grams: int = MAX_GRAMS, reject_quantile: float = 0.999, reject_margin: float = 0.6, lang_col: str = "lang", text_col: str = "text") -> Model:
+def learn(docs: DataFrame, calibrate: Column, max_grams: int = MAX_GRAMS, reject_quantile: float = 0.999, reject_margin: float = 1.0, lang_col: str = "lang", text_col: str = "text") -> Model:
     """A model from all of docs with text and language; rows where calibrate holds set the rejection limits instead."""
     usable = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.coalesce(calibrate, F.lit(False)).alias("held")).where("lang is not null and text is not null")
     counts = written(gram_counts(usable.where("not held")))

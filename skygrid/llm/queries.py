@@ -7,8 +7,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import langid, minhash, mixing, pieces, sharding, tokens
+from . import ann, langid, minhash, mixing, pieces, sharding, tokens
 from .common import shared_dir, table, text_bytes
 
 #: Bytes of text that a shard may hold.
@@ -54,6 +55,10 @@ def op6_super_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85, width=5, bands=20, rows=4)
 
 
+def op7_adaptive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 OP8_SQL = f"""
 WITH RECURSIVE d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size, md5('{MIX_SEED}:' || doc_id) AS key FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size, ((row_number() OVER (ORDER BY source ASC NULLS LAST)) - 1) % 3 AS k FROM d GROUP BY source),
@@ -80,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_lists": op4_token_lists,
     "op5_sentence_pieces": op5_sentence_pieces,
     "op6_super_minhash": op6_super_minhash,
+    "op7_adaptive_scan": op7_adaptive_scan,
     "op8_source_mixing": op8_source_mixing,
 }
 

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, langid, minhash, mixing, pieces, sharding, tokens
+from . import ann, langid, minhash, mixing, pieces, sharding, suffixes, tokens
 from .common import shared_dir, table, text_bytes
 
 #: Bytes of text that a shard may hold.
@@ -79,6 +79,10 @@ r AS (SELECT d.doc_id, d.size, g.source_size, g.target, g.whole, g.goal - g.whol
 SELECT doc_id, size, source_size, target, (whole * size + greatest(0, least(size, extra - before)))::BIGINT AS taken FROM r
 """
 
+def op10_prefix_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.repeats_cut(table(spark, sf_dir, "documents"), width=50)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_extendible_sharding": op1_extendible_sharding,
     "op3_kneser_ney": op3_kneser_ney,
@@ -87,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_super_minhash": op6_super_minhash,
     "op7_adaptive_scan": op7_adaptive_scan,
     "op8_source_mixing": op8_source_mixing,
+    "op10_prefix_intervals": op10_prefix_intervals,
 }
 
 ORACLES: dict[str, str] = {

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, langid, minhash, mixing, pieces, sharding, suffixes, tokens
+from . import ann, fixity, langid, media, minhash, mixing, pieces, sharding, suffixes, tokens
 from .common import shared_dir, table, text_bytes
 
 #: Bytes of text that a shard may hold.
@@ -37,6 +37,23 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), MIX_WEIGHTS, MIX_SHARE, MIX_EPOCHS, MIX_SEED)
 
 
+def op2_fixity_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """pages against a replica with records changed, lost and added by a rule on the hash of page_id."""
+    pages = table(spark, sf_dir, "pages")
+    kind = F.substring(F.md5(F.col("page_id").cast("string")), 1, 2)
+    damaged = pages.where(kind != "01").withColumn("html", F.when(kind == "00", F.concat("html", F.lit("!"))).otherwise(F.col("html")))
+    extra = pages.where(kind == "02").withColumn("page_id", -F.col("page_id") - 1)
+    return fixity.fixity_audit(pages, damaged.unionByName(extra), "page_id", ["url", "html"]).select(F.col("offset").alias("page_id"), "status")
+
+
+OP2_SQL = """
+WITH k AS (SELECT page_id, url, html, substr(md5(page_id::VARCHAR), 1, 2) AS kind FROM pages),
+r AS (SELECT page_id, url, CASE WHEN kind = '00' THEN html || '!' ELSE html END AS html FROM k WHERE kind <> '01' UNION ALL SELECT -page_id - 1, url, html FROM k WHERE kind = '02')
+SELECT coalesce(k.page_id, r.page_id) AS page_id, CASE WHEN r.page_id IS NULL THEN 'missing' WHEN k.page_id IS NULL THEN 'extra' ELSE 'changed' END AS status
+FROM k FULL JOIN r ON k.page_id = r.page_id WHERE k.page_id IS NULL OR r.page_id IS NULL OR k.html IS DISTINCT FROM r.html OR k.url IS DISTINCT FROM r.url
+"""
+
+
 def op3_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
@@ -79,22 +96,32 @@ r AS (SELECT d.doc_id, d.size, g.source_size, g.target, g.whole, g.goal - g.whol
 SELECT doc_id, size, source_size, target, (whole * size + greatest(0, least(size, extra - before)))::BIGINT AS taken FROM r
 """
 
+def op9_chroma_prints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every turn of every conversation as a recording; clip is conv_id * 2**20 + turn."""
+    turns = table(spark, sf_dir, "conversations").select((F.col("conv_id") * (1 << 20) + F.col("turn")).alias("clip"), "text")
+    heard = media.sonified(turns, "clip", "text")
+    return media.aligned(heard, "id", "media").withColumnRenamed("id", "clip")
+
+
 def op10_prefix_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.repeats_cut(table(spark, sf_dir, "documents"), width=50)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_extendible_sharding": op1_extendible_sharding,
+    "op2_fixity_audit": op2_fixity_audit,
     "op3_kneser_ney": op3_kneser_ney,
     "op4_token_lists": op4_token_lists,
     "op5_sentence_pieces": op5_sentence_pieces,
     "op6_super_minhash": op6_super_minhash,
     "op7_adaptive_scan": op7_adaptive_scan,
     "op8_source_mixing": op8_source_mixing,
+    "op9_chroma_prints": op9_chroma_prints,
     "op10_prefix_intervals": op10_prefix_intervals,
 }
 
 ORACLES: dict[str, str] = {
     "op1_extendible_sharding": OP1_SQL,
+    "op2_fixity_audit": OP2_SQL,
     "op8_source_mixing": OP8_SQL,
 }

@@ -27,6 +27,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,19 +35,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import joined_bytes, powers, slices, spread
+from .common import joined_bytes, slices, spread
+from .pieces import Memory
 
-BASE = 0x5851F42D4C957F2D
-INVERSE = pow(BASE, -1, 1 << 64)
 SLICE_BYTES = 1 << 22
-#: Distinct pieces that a worker remembers; beyond, it starts afresh.
-MEMORY = 1_500_000
+#: Pieces that are encoded as one text.
+ROW = 256
 
 _ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
 class Encoder:
-    """A tokenizer and the pieces that it has met: sorted hashes, and for each where its ids lie."""
+    """A tokenizer, and the pieces that it has met."""
 
     def __init__(self, path: str, specials_as_text: bool) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -54,45 +54,28 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = specials_as_text
-        self.forget()
-
-    def forget(self) -> None:
-        self.hashes, self.begin, self.length = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.int32)
-
-    def learn(self, hashes: np.ndarray, pieces: list[str]) -> None:
-        found = [x.ids for x in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-        length = np.fromiter(map(len, found), np.int64, len(found))
-        begin = len(self.ids) + np.cumsum(length) - length
-        self.ids = np.concatenate([self.ids, np.fromiter((i for x in found for i in x), np.int32, int(length.sum()))])
-        merged = np.concatenate([self.hashes, hashes])
-        order = np.argsort(merged)
-        self.hashes = merged[order]
-        self.begin, self.length = np.concatenate([self.begin, begin])[order], np.concatenate([self.length, length])[order]
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.width = np.zeros(max(vocabulary.values()) + 1, np.int64)  # bytes of each id: a letter of a byte-level token is a byte
+        for token, i in vocabulary.items():
+            self.width[i] = len(token)
+        self.memory = Memory(self._learn)
+
+    def _learn(self, pieces: list[str]) -> list[np.ndarray]:
+        """Ids of each piece. Pieces that may stand one after another are encoded so, and told apart by their bytes."""
+        joins = [p[0] == " " and len(p) > 1 and ("!" <= p[1] <= "~" or "\u00c0" <= p[1] <= "\u07ff") and "!" <= p[-1] <= "~" for p in pieces]
+        row = [p for p, j in zip(pieces, joins, strict=True) if j]
+        texts = ["".join(row[k : k + ROW]) for k in range(0, len(row), ROW)] + [p for p, j in zip(pieces, joins, strict=True) if not j]
+        found = [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        rows = len(texts) - (len(pieces) - len(row))
+        flat = np.fromiter(chain.from_iterable(found[:rows]), np.int32)
+        ends = np.cumsum([len(p.encode()) for p in row], dtype=np.int64)
+        at = np.searchsorted(np.cumsum(self.width[flat]), ends).tolist()
+        in_row, alone = ((flat[a + 1 : b + 1] for a, b in zip([-1, *at], at, strict=False)), (np.array(x, np.int32) for x in found[rows:]))
+        return [next(in_row) if j else next(alone) for j in joins]
 
     def encode(self, data: np.ndarray, offsets: np.ndarray, end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, and how many each has."""
-        if len(self.hashes) > MEMORY:
-            self.forget()
-        start = piece_starts(data, offsets)
-        stop = np.append(start[1:], len(data))[: len(start)]
-        sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(BASE, len(data)), out=sums[1:])
-        hashes = (sums[stop] - sums[start]) * powers(INVERSE, len(data) + 1)[start]
-        del sums
-        distinct, at, which = np.unique(hashes, return_index=True, return_inverse=True)
-        place = np.searchsorted(self.hashes, distinct)
-        known = np.zeros(len(distinct), bool)
-        if len(self.hashes):
-            known = self.hashes[np.minimum(place, len(self.hashes) - 1)] == distinct
-        if not known.all():
-            raw, new = data.tobytes(), at[~known]
-            self.learn(distinct[~known], [raw[a:b].decode() for a, b in zip(start[new].tolist(), stop[new].tolist(), strict=True)])
-            place = np.searchsorted(self.hashes, distinct)
-        length = self.length[place][which]
-        total = np.concatenate([[0], np.cumsum(length)])
-        ids = self.ids[np.repeat(self.begin[place][which] - total[:-1], length) + np.arange(total[-1])]
-        counts = np.diff(total[np.searchsorted(start, offsets)])
+        ids, counts = self.memory.encode(data, offsets, piece_starts(data, offsets))
         if end_id is None:
             return ids, counts
         out = np.full(len(ids) + len(counts), end_id, np.int32)
@@ -103,32 +86,40 @@ class Encoder:
 def piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Where the texts may be cut without changing their ids, the start of each non-empty text included.
 
-    That is before a space between two characters that are certainly not blank:
-    ASCII signs, or characters of two bytes from U+00C0 on.
+    That is before a space, and before and after a line feed, that stands alone between two characters
+    which are certainly not blank: ASCII signs, or characters of two bytes from U+00C0 on.
     """
     n = len(data)
-    cut = np.zeros(n, bool)
+    cut = np.zeros(n + 1, bool)
     if n > 2:
         sign = (data > 0x20) & (data < 0x7F)
         lead = (data >= 0xC3) & (data <= 0xDF)
         before = sign[: n - 2].copy()
         before[1:] |= (data[1 : n - 2] >= 0x80) & lead[: n - 3]
-        cut[1 : n - 1] = (data[1 : n - 1] == 0x20) & before & (sign[2:] | lead[2:])
+        alone = before & (sign[2:] | lead[2:])
+        line = alone & (data[1 : n - 1] == 0x0A)
+        cut[1 : n - 1] = (alone & (data[1 : n - 1] == 0x20)) | line
+        cut[2:n] |= line
     cut[offsets[:-1][np.diff(offsets) > 0]] = True
-    return np.flatnonzero(cut)
+    return np.flatnonzero(cut[:n])
+
+
+def encoder(path: str, specials_as_text: bool) -> Encoder:
+    """This worker's encoder, which outlives its tasks."""
+    if (path, specials_as_text) not in _ENCODERS:
+        _ENCODERS[path, specials_as_text] = Encoder(path, specials_as_text)
+    return _ENCODERS[path, specials_as_text]
 
 
 def encoded(docs: DataFrame, tokenizer_path: str, end_id: int | None = 0, specials_as_text: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """part, row, doc_id, n_tokens, ids; partitions and rows ascend with doc_id."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = (tokenizer_path, specials_as_text)
-        if key not in _ENCODERS:
-            _ENCODERS[key] = Encoder(*key)
+        own = encoder(tokenizer_path, specials_as_text)
         part, row = TaskContext.get().partitionId(), 0
         for batch in batches:
             for piece in slices(batch, "text", SLICE_BYTES):
-                ids, counts = _ENCODERS[key].encode(*joined_bytes(piece.column("text")), end_id)
+                ids, counts = own.encode(*joined_bytes(piece.column("text")), end_id)
                 n = len(counts)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(ids))
                 yield pa.RecordBatch.from_arrays(

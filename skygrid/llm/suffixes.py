@@ -45,8 +45,8 @@ from .common import joined_bytes, mix64, powers, written
 BASE = 0x5851F42D4C957F2D
 INVERSE = pow(BASE, -1, 1 << 64)
 HASH_BITS = 48
-#: Text of a part.
-PART_BYTES = 8 << 20
+#: Text of a part, and parts of the hashes for each part of the texts: a task holds about a hundred bytes for each of its text's.
+PART_BYTES, SPREAD = 4 << 20, 2
 #: Occurrences of a leader from which its windows go separately.
 MANY = 2000
 
@@ -414,7 +414,7 @@ def meetings(texts: DataFrame, parts: int, width: int, gram: int, work: Callable
 
     def lead(table: pa.Table) -> pa.Table:
         dp = table.column("dp")[0].as_py() if table.num_rows else 0
-        return _arrow([(hp, dp, raw) for hp, raw in part_leaders(Part(table, width, gram), parts)], _TO)
+        return _arrow([(hp, dp, raw) for hp, raw in part_leaders(Part(table, width, gram), parts * SPREAD)], _TO)
 
     def share(table: pa.Table) -> pa.Table:
         return _arrow(list(shared_leaders(list(zip(table.column("dp").to_pylist(), table.column("blob").to_pylist(), strict=True)))), _BACK)
@@ -423,7 +423,7 @@ def meetings(texts: DataFrame, parts: int, width: int, gram: int, work: Callable
         if not left.num_rows or not right.num_rows:
             return _TO.empty_table()
         dp = key[0].as_py()
-        out, (docs, begin, end) = part_stretches(Part(left, width, gram), right.column("blob").to_pylist(), width, parts)
+        out, (docs, begin, end) = part_stretches(Part(left, width, gram), right.column("blob").to_pylist(), width, parts * SPREAD)
         rows = [(hp, dp, raw) for hp, raw in out]
         # Own ranges travel with the stretches, as rows of no meeting.
         if own is not None and len(docs):
@@ -468,14 +468,14 @@ def _united(begin: np.ndarray, end: np.ndarray) -> list[tuple[int, int]]:
 
 
 def repeats_cut(docs: DataFrame, width: int = 50, gram: int = 24, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, kept (binary).
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, kept (text; a character cut in part is left out).
 
     Each byte goes that lies in a string of width bytes which also starts in a document of smaller id.
     """
     sized = sizes(docs, id_col, text_col)
     texts, parts = parted(docs, sized, width, id_col, text_col)
     marks = meetings(texts, parts, width, gram, lambda m: _marks(*m.covered()), _BACK, "dp int, blob binary", own=lambda dp, x: [(dp, packed(*x))])
-    kept = [("kept", pa.binary())] if keep_text else []
+    kept = [("kept", pa.string())] if keep_text else []
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), *kept])
 
     def cut(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
@@ -488,13 +488,13 @@ def repeats_cut(docs: DataFrame, width: int = 50, gram: int = 24, id_col: str =
             a, b = np.searchsorted(docs, [doc, doc + 1])
             spans = _united(begin[a:b], end[a:b])
             rest = b"".join(text[x:y] for x, y in zip([0, *[y for _, y in spans]], [*[x for x, _ in spans], len(text)], strict=True)) if spans else text
-            rows.append((doc, len(text), len(text) - len(rest), len(spans), hashlib.sha256(rest).hexdigest(), *([rest] if keep_text else [])))
+            rows.append((doc, len(text), len(text) - len(rest), len(spans), hashlib.sha256(rest).hexdigest(), *([rest.decode("utf-8", "ignore")] if keep_text else [])))
         return _arrow(rows, schema)
 
-    sql = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if keep_text else "")
+    sql = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept string" if keep_text else "")
     cut_ = texts.groupBy("dp").cogroup(marks.groupBy("dp")).applyInArrow(cut, sql)
     copy = (F.col("doc_id") != F.col("first")) & (F.col("n_bytes") >= width)
-    copies = sized.where(copy).select("doc_id", "n_bytes", F.col("n_bytes").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"), F.sha2(F.lit(""), 256).alias("kept_sha256"), *([F.lit(b"").alias("kept")] if keep_text else []))
+    copies = sized.where(copy).select("doc_id", "n_bytes", F.col("n_bytes").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"), F.sha2(F.lit(""), 256).alias("kept_sha256"), *([F.lit("").alias("kept")] if keep_text else []))
     short = docs.where(F.coalesce(F.octet_length(text_col), F.lit(0)) < width).select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("kept"))
-    short = short.select("doc_id", F.octet_length("kept").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), *(["kept"] if keep_text else []))
+    short = short.select("doc_id", F.octet_length("kept").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), *([F.col("kept").cast("string").alias("kept")] if keep_text else []))
     return cut_.unionByName(copies).unionByName(short)

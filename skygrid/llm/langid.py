@@ -32,17 +32,16 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import joined_bytes, mix64, slices, written
 
 ORDER = 5
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 19
 #: 5-grams that a language's table may hold.
-MAX_GRAMS = 1_000_000
+MAX_GRAMS = 200_000
 _STEP = np.uint64(0x9FB21C651E98DF25)  # odd; n-gram hashes are polynomials in it
 BLANK = 32
 SHORT = 4.0
@@ -226,15 +225,15 @@ def _rows_hash(windows: np.ndarray) -> np.ndarray:
     return mix64(out)
 
 
-def kneser_ney(counts: pd.DataFrame) -> Model:
+def kneser_ney(counts: pa.Table) -> Model:
     """The model of counts(lang, gram, n). Absolute discounting with D = n1 / (n1 + 2 n2) at each order."""
-    langs = sorted(counts["lang"].unique())
+    names = counts.column("lang").combine_chunks().dictionary_encode()
+    langs = sorted(names.dictionary.to_pylist())
     model = Model(langs)
-    windows, value, group = np.zeros((0, ORDER), np.uint32), np.zeros(0), np.zeros(0, np.int64)
-    if len(counts):
-        raw = np.frombuffer("".join(counts["gram"]).encode("utf-32-le"), np.uint32)
-        windows, value = raw.reshape(-1, ORDER), counts["n"].to_numpy(np.float64)
-        group = np.searchsorted(langs, counts["lang"].to_numpy())
+    group = np.array([langs.index(x) for x in names.dictionary.to_pylist()], np.int64)[names.indices.to_numpy()] if langs else np.zeros(0, np.int64)
+    raw, _ = joined_bytes(counts.column("gram"))
+    windows = np.frombuffer(raw.tobytes().decode().encode("utf-32-le"), np.uint32).reshape(-1, ORDER)
+    value = counts.column("n").to_numpy().astype(np.float64)
     levels = {}
     for n in range(ORDER, 0, -1):
         levels[n] = (windows, value, group)
@@ -285,8 +284,8 @@ def _stored(model: Model, windows: np.ndarray, n: int) -> np.ndarray:
 def bounded(counts: DataFrame, most: int) -> DataFrame:
     """counts without the rarest n-grams of a language that has more than most; by a threshold, so none of equal count is preferred."""
     ladder = counts.groupBy("lang", F.least("n", F.lit(1 << 20)).alias("n")).agg(F.count("*").alias("grams"))
-    above = ladder.alias("x").join(ladder.alias("y"), (F.col("x.lang") == F.col("y.lang")) & (F.col("y.n") >= F.col("x.n"))).groupBy("x.lang", "x.n").agg(F.sum("y.grams").alias("kept"))
-    least = above.where(F.col("kept") <= most).groupBy("lang").agg(F.min("n").alias("least"))
+    above = Window.partitionBy("lang").orderBy(F.col("n").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    least = ladder.withColumn("kept", F.sum("grams").over(above)).where(F.col("kept") <= most).groupBy("lang").agg(F.min("n").alias("least"))
     return counts.join(F.broadcast(least), "lang").where("n >= least").drop("least")
 
 
@@ -295,7 +294,7 @@ def learn(docs: DataFrame, calibrate: Column, max_grams: int = MAX_GRAMS, reject
     usable = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.coalesce(calibrate, F.lit(False)).alias("held")).where("lang is not null and text is not null")
     counts = written(gram_counts(usable.where("not held")))
     # At most max_grams rows a language come here.
-    model = kneser_ney(bounded(counts, max_grams).toPandas())
+    model = kneser_ney(bounded(counts, max_grams).toArrow())
     if not model.langs:
         return model
     scored = scores(usable.where("held"), model, keep=("lang",))

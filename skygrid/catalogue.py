@@ -259,7 +259,7 @@ def repeated_times(spark, sf_dir):
     return series.repeated_times(rows).select("station_id", (F.col("n") - 1).alias("extra"))
 
 
-PLACES_SQL = """p AS (SELECT l_suppkey::VARCHAR AS station_id, l_orderkey * 10 + l_linenumber AS seq,
+PLACES_SQL = """p AS (SELECT l_suppkey::VARCHAR AS station_id, (l_orderkey * 10 + l_linenumber) * 1000000 + l_partkey AS seq,
  (CASE WHEN l_orderkey % 97 = 0 THEN NULL ELSE 40 + (l_suppkey % 20) + CASE WHEN l_suppkey % 5 = 0 THEN l_linenumber * 0.0078125 ELSE 0 END END)::FLOAT AS latitude, (-105 + (l_suppkey % 7))::FLOAT AS longitude,
  (CASE WHEN l_linenumber = 1 THEN NULL WHEN l_suppkey % 3 = 0 THEN 1000 + 20 * l_linenumber ELSE 1000 END)::FLOAT AS elevation FROM lineitem)"""
 
@@ -270,7 +270,7 @@ def moving(spark: SparkSession, sf_dir: str) -> DataFrame:
     lat = F.when(F.col("l_orderkey") % 97 != 0, F.lit(40) + F.col("l_suppkey") % 20 + step)
     elev = F.when(F.col("l_linenumber") == 1, F.lit(None)).when(F.col("l_suppkey") % 3 == 0, 1000 + 20 * F.col("l_linenumber")).otherwise(1000)
     return table(spark, sf_dir, "lineitem").select(
-        F.col("l_suppkey").cast("string").alias("station_id"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("seq"), lat.cast("float").alias("latitude"), (F.col("l_suppkey") % 7 - 105).cast("float").alias("longitude"), elev.cast("float").alias("elevation")
+        F.col("l_suppkey").cast("string").alias("station_id"), ((F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 1000000 + F.col("l_partkey")).alias("seq"), lat.cast("float").alias("latitude"), (F.col("l_suppkey") % 7 - 105).cast("float").alias("longitude"), elev.cast("float").alias("elevation")
     )
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,16 +29,18 @@ def wide_names(spark: SparkSession, path: str) -> DataFrame:
     return _named(rows.where(F.col("station_id").rlike(text.FOUR_SIGNS)))
 
 
-def geojson_rings(spark: SparkSession, path: str, region: str, condition: str | None = None) -> DataFrame:
+def geojson_rings(spark: SparkSession, path: str, region: str, condition: str | None = None, properties: Sequence[str] = ("STUSPS", "RTO_ISO", "LOC_TYPE")) -> DataFrame:
     """region, polygon, ring, points of a GeoJSON feature collection in degrees.
 
-    region: SQL over the properties that names the region; condition: SQL that selects features.
+    region: SQL over the named properties that gives the region; condition: SQL that selects features.
     """
-    rows = spark.read.option("multiLine", True).json(path).select(F.posexplode("features").alias("feature", "f"))
-    rows = rows.select("feature", "f.properties.*", F.col("f.geometry.type").alias("_type"), F.to_json("f.geometry").alias("_geometry"))
+    # Depth of the coordinates differs by type, so they are read as text.
+    schema = "features array<struct<properties: map<string, string>, geometry: struct<type: string, coordinates: string>>>"
+    rows = spark.read.option("multiLine", True).schema(schema).json(path).select(F.posexplode("features").alias("feature", "f"))
+    rows = rows.select("feature", *[F.col("f.properties")[p].alias(p) for p in properties], F.col("f.geometry.type").alias("_type"), F.col("f.geometry.coordinates").alias("_xy"))
     rows = rows.where(condition) if condition else rows
-    one = F.array(F.from_json(F.get_json_object("_geometry", "$.coordinates"), "array<array<array<double>>>"))
-    many = F.from_json(F.get_json_object("_geometry", "$.coordinates"), "array<array<array<array<double>>>>")
+    one = F.array(F.from_json("_xy", "array<array<array<double>>>"))
+    many = F.from_json("_xy", "array<array<array<array<double>>>>")
     shapes = rows.select(F.expr(region).cast("string").alias("region"), "feature", F.posexplode(F.when(F.col("_type") == "Polygon", one).otherwise(many)).alias("part", "rings"))
     rings = shapes.select("region", (F.col("feature") * 100_000 + F.col("part")).alias("polygon"), F.posexplode("rings").alias("ring", "xy"))
     return rings.select("region", "polygon", "ring", F.transform("xy", lambda p: F.struct(p[0].alias("x"), p[1].alias("y"))).alias("points"))

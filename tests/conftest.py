@@ -1,0 +1,56 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    from pyspark.sql import SparkSession
+
+    conf = {
+        "spark.sql.shuffle.partitions": "4",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.ui.enabled": "false",
+        "spark.driver.memory": "4g",
+        "spark.checkpoint.dir": f"file://{tmp_path_factory.mktemp('shared')}",
+    }
+    out = SparkSession.builder.master("local[8]").appName("tests").config(map=conf).getOrCreate()
+    out.sparkContext.setLogLevel("ERROR")
+    yield out
+    out.stop()
+
+
+@pytest.fixture(scope="session")
+def sf_dir():
+    return SF_DIR
+
+
+@pytest.fixture(scope="session")
+def duck(sf_dir):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute("SET timezone = 'UTC'")
+    for name in "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split():
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
+    return con
+
+
+def cells(frame):
+    """Rows as sorted tuples of comparable values; doubles to six places."""
+
+    def cell(v):
+        if v is None or v != v:
+            return "null"
+        if isinstance(v, bool):
+            return str(v)
+        if isinstance(v, (int, float)) or hasattr(v, "dtype"):
+            return f"{float(v):.6f}" if not hasattr(v, "tolist") or not isinstance(v.tolist(), (list, str, bool)) else str(v.tolist())
+        return str(v)
+
+    columns = sorted(frame.columns)
+    return columns, sorted(tuple(cell(v) for v in row) for row in frame[columns].itertuples(index=False))

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import joined_bytes, mix64, powers, written
+from .common import joined_bytes, mix64, powers, releasing, written
 
 BASE = 0x5851F42D4C957F2D
 INVERSE = pow(BASE, -1, 1 << 64)
@@ -110,7 +110,8 @@ def led_windows(data: np.ndarray, offsets: np.ndarray, width: int, gram: int) ->
         return none
     place = (least[windows] & np.uint64(0xFFFFFFFF)).astype(np.int64)
     first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-    return windows[first], np.diff(np.append(first, len(windows))), hashes[place[first]] >> np.uint64(64 - HASH_BITS)
+    # Leaders' hashes are small ones; mixed again they spread evenly.
+    return windows[first], np.diff(np.append(first, len(windows))), mix64(hashes[place[first]]) >> np.uint64(64 - HASH_BITS)
 
 
 def part_of(hashes: np.ndarray, parts: int) -> np.ndarray:
@@ -437,9 +438,9 @@ def meetings(texts: DataFrame, parts: int, width: int, gram: int, work: Callable
         return _arrow(work(Meeting(rows, width)), schema)
 
     to, back = "hp int, dp int, blob binary", "dp int, blob binary"
-    shared = texts.groupBy("dp").applyInArrow(lead, to).groupBy("hp").applyInArrow(share, back)
-    sent = texts.groupBy("dp").cogroup(shared.groupBy("dp")).applyInArrow(send, to)
-    return sent.groupBy("hp").applyInArrow(meet, sql)
+    shared = texts.groupBy("dp").applyInArrow(releasing(lead), to).groupBy("hp").applyInArrow(releasing(share), back)
+    sent = texts.groupBy("dp").cogroup(shared.groupBy("dp")).applyInArrow(releasing(send), to)
+    return sent.groupBy("hp").applyInArrow(releasing(meet), sql)
 
 
 def repeat_groups(docs: DataFrame, width: int = 50, gram: int = 24, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -492,7 +493,7 @@ def repeats_cut(docs: DataFrame, width: int = 50, gram: int = 24, id_col: str =
         return _arrow(rows, schema)
 
     sql = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept string" if keep_text else "")
-    cut_ = texts.groupBy("dp").cogroup(marks.groupBy("dp")).applyInArrow(cut, sql)
+    cut_ = texts.groupBy("dp").cogroup(marks.groupBy("dp")).applyInArrow(releasing(cut), sql)
     copy = (F.col("doc_id") != F.col("first")) & (F.col("n_bytes") >= width)
     copies = sized.where(copy).select("doc_id", "n_bytes", F.col("n_bytes").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"), F.sha2(F.lit(""), 256).alias("kept_sha256"), *([F.lit("").alias("kept")] if keep_text else []))
     short = docs.where(F.coalesce(F.octet_length(text_col), F.lit(0)) < width).select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("kept"))

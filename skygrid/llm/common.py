@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
+import sys
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -41,6 +44,55 @@ def written(df: DataFrame, **options: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_LIBC: list[ctypes.CDLL] = []
+
+
+def release() -> None:
+    """Give memory that a Python worker has freed back to the system: workers live on, next to their executor's heap."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        if not _LIBC:
+            _LIBC.append(ctypes.CDLL("libc.so.6"))
+        _LIBC[0].malloc_trim(0)
+
+
+#: Rows that pass between the JVM and Python at a time; texts are long.
+BATCH_ROWS = 1000
+
+
+def mapped(df: DataFrame, work: Callable, schema: str) -> DataFrame:
+    """df.mapInArrow(work, schema) with batches of texts that fit, and workers that end small."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from work(batches)
+        finally:
+            release()
+
+    return df.mapInArrow(run, schema)
+
+
+def releasing(work: Callable) -> Callable:
+    """work for a group, after which the worker ends small."""
+
+    def one(table):  # noqa: ANN001, ANN202
+        try:
+            return work(table)
+        finally:
+            release()
+
+    def keyed(key, left, right):  # noqa: ANN001, ANN202
+        try:
+            return work(key, left, right)
+        finally:
+            release()
+
+    return one if work.__code__.co_argcount == 1 else keyed
+
+
 def spread(spark: SparkSession) -> int:
     """Partitions for a shuffle that is asked for by hand."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import joined_bytes, mix64, slices, written
+from .common import joined_bytes, mapped, mix64, slices, written
 
 ORDER = 5
 SLICE_BYTES = 1 << 19
@@ -198,7 +198,7 @@ def gram_counts(docs: DataFrame) -> DataFrame:
                 [pa.array([lang] * len(counts)), pa.array([grams[i : i + ORDER] for i in range(0, len(grams), ORDER)], pa.string()), pa.array(counts)], ["lang", "gram", "n"]
             )
 
-    return docs.select("lang", "text").mapInArrow(work, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    return mapped(docs.select("lang", "text"), work, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
 def _distinct(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -333,7 +333,7 @@ def scores(docs: DataFrame, model: Model, keep: tuple[str, ...] = (), text_col:
                     [*part.schema.names[:-1], "lang_pred", "score", "entropy", "rejected"],
                 )
 
-    return out.mapInArrow(work, (fields + ", " if fields else "") + "lang_pred string, score double, entropy double, rejected boolean")
+    return mapped(out, work, (fields + ", " if fields else "") + "lang_pred string, score double, entropy double, rejected boolean")
 
 
 def fold(id_col: str = "doc_id") -> Column:

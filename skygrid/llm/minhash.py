@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import joined_bytes, mix64, powers, slices, written
+from .common import joined_bytes, mapped, mix64, powers, releasing, slices, written
 from .graph import components
 
 BASE = 0x2545F4914F6CDD1D
@@ -161,7 +161,7 @@ def signatures(docs: DataFrame, width: int = 5, bands: int = 20, rows: int = 4,
                 )
 
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return narrow.mapInArrow(work, "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>")
+    return mapped(narrow, work, "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>")
 
 
 def shingles_of(docs: DataFrame, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -173,7 +173,7 @@ def shingles_of(docs: DataFrame, width: int = 5, id_col: str = "doc_id", text_co
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), _lists(*shingle_sets(*joined_bytes(part.column("text")), width))], ["doc_id", "shingles"])
 
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return narrow.mapInArrow(work, "doc_id long, shingles array<long>")
+    return mapped(narrow, work, "doc_id long, shingles array<long>")
 
 
 def _similar(percent: int, shared: F.Column, a: F.Column, b: F.Column) -> F.Column:
@@ -248,7 +248,7 @@ def hidden_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
         links = joining_links(table.column("rep").to_numpy(), table.column("comp").to_numpy(), sets, percent)
         return pa.table({"u": pa.array([a for a, _ in links], pa.int64()), "v": pa.array([b for _, b in links], pa.int64())})
 
-    return full.groupBy("h", "i", "j").applyInArrow(work, "u long, v long")
+    return full.groupBy("h", "i", "j").applyInArrow(releasing(work), "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 5, bands: int = 20, rows: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

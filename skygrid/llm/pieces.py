@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import joined_bytes, mix64, powers, slices
+from .common import joined_bytes, mapped, mix64, powers, slices
 
 BASE = 0x5851F42D4C957F2D
 INVERSE = pow(BASE, -1, 1 << 64)
@@ -440,7 +440,7 @@ def encode_pieces(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(counts), lists, pa.array(same)], ["doc_id", "n_tokens", "ids", "exact"])
 
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return narrow.mapInArrow(work, "doc_id long, n_tokens long, ids array<int>, exact boolean")
+    return mapped(narrow, work, "doc_id long, n_tokens long, ids array<int>, exact boolean")
 
 
 def decode_pieces(encoded: DataFrame, model_path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -457,4 +457,4 @@ def decode_pieces(encoded: DataFrame, model_path: str, id_col: str = "doc_id", i
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
 
     narrow = encoded.select(F.col(id_col).cast("long").alias("doc_id"), F.col(ids_col).cast("array<int>").alias("ids"))
-    return narrow.mapInArrow(work, "doc_id long, text string")
+    return mapped(narrow, work, "doc_id long, text string")

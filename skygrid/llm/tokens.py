@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import joined_bytes, slices, spread
+from .common import joined_bytes, mapped, slices, spread
 from .pieces import Memory
 
 SLICE_BYTES = 1 << 22
@@ -130,7 +130,7 @@ def encoded(docs: DataFrame, tokenizer_path: str, end_id: int | None = 0, specia
 
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     ordered = narrow.repartitionByRange(spread(docs.sparkSession), "doc_id").sortWithinPartitions("doc_id")
-    return ordered.mapInArrow(work, "part int, row long, doc_id long, n_tokens long, ids array<int>")
+    return mapped(ordered, work, "part int, row long, doc_id long, n_tokens long, ids array<int>")
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int | None = 0, encoding: str = "delta", row_group_bytes: int = 32 << 20, page_bytes: int = 256 << 10, page_rows: int = 2000, **options) -> None:
@@ -171,7 +171,7 @@ def token_checks(tokens: DataFrame) -> DataFrame:
                 [batch.column("part"), batch.column("row"), batch.column("doc_id"), pa.array(np.diff(offsets)), pa.array(crcs, pa.int64())], ["part", "row", "doc_id", "n_tokens", "ids_crc32"]
             )
 
-    return tokens.select("part", "row", "doc_id", "ids").mapInArrow(work, "part int, row long, doc_id long, n_tokens long, ids_crc32 long")
+    return mapped(tokens.select("part", "row", "doc_id", "ids"), work, "part int, row long, doc_id long, n_tokens long, ids_crc32 long")
 
 
 def token_digest(tokens: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ is not above bound * (1 + EPSILON / sqrt(d)) ** 2, a test of the hypothesis that
 bound. The few that pass all tests are scored exactly on the vectors as given.
 
 Ties go to the smaller id. Defined cases
-- vectors null, empty, zero, of another length than the longest, or with null
+- ids null, and vectors null, empty, zero, of another length than the longest, or with null
   or non-finite components take no part, as queries or candidates
 - fewer candidates than k: all of them
 - repeated ids: one candidate, with its best row; a query's own id is none
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from .common import written
 
-#: Candidates that a task holds.
+#: Candidates that a task holds at most; twice the usual list, if that is less.
 BLOCK_ROWS = 4096
 #: Doubt of the tests: a larger one abandons later.
 EPSILON = 2.1
@@ -50,6 +50,7 @@ class Index:
     sample_ids: np.ndarray
     rotation: np.ndarray
     k: int
+    block_rows: int
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -64,7 +65,7 @@ def matrix(column: pa.Array) -> np.ndarray:
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """vec_id, v: rows that take part."""
-    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v")).where("v is not null and size(v) > 0")
+    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v")).where("vec_id is not null and v is not null and size(v) > 0")
     rows = rows.where("forall(v, x -> x is not null and not isnan(x) and abs(x) < double('infinity')) and exists(v, x -> x <> 0)")
     longest = rows.agg(F.max(F.size("v"))).first()[0]
     return rows.where(F.size("v") == F.lit(longest))
@@ -95,7 +96,7 @@ def trained(rows: DataFrame, k: int, sample_rows: int, lists: int | None, recall
     needed = np.take_along_axis(rank, own[best], axis=1) + 1
     probes = int(np.quantile(needed, recall, method="higher"))
     rotation = np.linalg.qr(rng.standard_normal((sample.shape[1],) * 2))[0]
-    return Index(centres, min(lists, probes), given, sample, ids, rotation, k)
+    return Index(centres, min(lists, probes), given, sample, ids, rotation, k, min(BLOCK_ROWS, max(64, 2 * total // lists)))
 
 
 def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -198,7 +199,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, sample_rows: int =
         return pa.table({"query_id": q, "vec_id": x, "score": s})
 
     assigned = written(rows.mapInArrow(assign, "list int, vec_id long, v array<double>"))
-    blocks = assigned.groupBy("list").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks"))
+    blocks = assigned.groupBy("list").agg(F.ceil(F.count("*") / index.block_rows).cast("int").alias("blocks"))
     cells = assigned.join(F.broadcast(blocks), "list").withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int"))
     routed = rows.where(is_query).mapInArrow(route, "list int, query_ids binary, queries binary, bounds binary")
     routed = routed.join(F.broadcast(blocks), "list").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))

@@ -7,6 +7,7 @@ import os
 import sys
 import tempfile
 import uuid
+import weakref
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -32,6 +33,9 @@ def shared_dir(spark: SparkSession) -> str:
     return "file://" + os.path.join(tempfile.gettempdir(), "skygrid-shared")
 
 
+_PATHS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
 def written(df: DataFrame, **options: str) -> DataFrame:
     """df as a Parquet table in the shared folder, read back.
 
@@ -41,7 +45,18 @@ def written(df: DataFrame, **options: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/skygrid-{uuid.uuid4().hex}"
     df.write.options(**{"compression": "zstd", **options}).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _PATHS[out] = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of written() that nothing will read again."""
+    for table in tables:
+        if path := _PATHS.pop(table, None):
+            spark = table.sparkSession
+            path = spark._jvm.org.apache.hadoop.fs.Path(path)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 _LIBC: list[ctypes.CDLL] = []

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import discard, written
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -31,6 +31,10 @@ def components(edges: DataFrame) -> DataFrame:
         # A forest of stars: no node has two parents, and no parent has a parent.
         parents = after.groupBy("u").agg(F.count("*").alias("n"))
         if not parents.where("n > 1").limit(1).count() and not after.select(F.col("v").alias("u")).distinct().join(parents, "u", "left_semi").limit(1).count():
+            discard(now)
             break
+        discard(now)
         now = after
-    return after.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(after.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    out = written(after.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(after.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()))
+    discard(after)
+    return out

@@ -62,7 +62,7 @@ _FOLD: list[np.ndarray] = []
 
 
 def folded(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Code points of letters and single blanks, each text between two blanks, and offsets."""
+    """Code points of letters and single blanks, a blank after each text that has letters, and offsets."""
     if not _FOLD:
         _FOLD.append(_fold_table())
     points = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
@@ -73,21 +73,39 @@ def folded(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     ends = ends + np.arange(1, len(ends) + 1)
     before = np.empty(len(marked), np.uint32)
     if len(marked):
-        before[0], before[1:] = 0, marked[:-1]
-        before[ends[:-1]] = 0  # a text's leading blank counts
+        before[0], before[1:] = BLANK, marked[:-1]
+        before[ends[:-1]] = BLANK  # no text begins with one
     keep = (marked != BLANK) | (before != BLANK)
     sums = np.concatenate([[0], np.cumsum(keep)])
     return marked[keep], sums[np.concatenate([[0], ends])]
 
 
-def gram_hashes(points: np.ndarray, n: int) -> np.ndarray:
-    """Hash of the n characters that end at each position (those before the start are blanks)."""
+def windows_at(points: np.ndarray, ends: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """The n characters that end at each place (rows); before a text there are blanks."""
+    begin = ends[np.searchsorted(ends, at, side="right") - 1]
+    place = at[:, None] + np.arange(1 - n, 1)
+    return np.where(place >= begin[:, None], points[np.maximum(place, 0)], BLANK).astype(np.uint64)
+
+
+def rows_hash(windows: np.ndarray) -> np.ndarray:
+    out = windows[:, 0].astype(np.uint64)
+    for k in range(1, windows.shape[1]):
+        out = out * _STEP + windows[:, k].astype(np.uint64)
+    return mix64(out)
+
+
+def gram_hashes(points: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
+    """rows_hash of the n characters that end at each place, for all places."""
     padded = np.concatenate([np.full(n - 1, BLANK, np.uint64), points.astype(np.uint64)])
     out = padded[: len(points)].copy()
     for k in range(1, n):
         out *= _STEP
         out += padded[k : k + len(points)]
-    return mix64(out)
+    out = mix64(out)
+    # A text's first places don't see the text before.
+    early = (ends[:-1, None] + np.arange(n - 1))[np.arange(n - 1) < np.diff(ends)[:, None]]
+    out[early] = rows_hash(windows_at(points, ends, early, n)) if len(early) else out[early]
+    return out
 
 
 @dataclass
@@ -125,41 +143,31 @@ def lead_index(hashes: np.ndarray) -> np.ndarray:
     return np.searchsorted(hashes, np.arange((1 << 20) + 1, dtype=np.uint64) << np.uint64(44)).astype(np.int32) if len(hashes) else np.zeros((1 << 20) + 1, np.int32)
 
 
-def char_scores(model: Model, points: np.ndarray) -> np.ndarray:
+def char_scores(model: Model, points: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Log probability of each character in each language (characters x languages)."""
     hashes, values = model.grams[ORDER]
-    at, hit = probe(hashes, gram_hashes(points, ORDER), model.index.get(ORDER))
+    at, hit = probe(hashes, gram_hashes(points, ends, ORDER), model.index.get(ORDER))
     out = values[at] if len(values) else np.zeros((len(points), len(model.langs)), np.float32)
     rest = np.flatnonzero(~hit)
     if len(rest):
-        out[rest] = _lower(model, points, rest, ORDER)
+        out[rest] = _lower(model, windows_at(points, ends, rest, ORDER))
     return out
 
 
-def _lower(model: Model, points: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
-    """Scores of unseen n-grams: the context's weight and the (n - 1)-gram's score."""
+def _lower(model: Model, windows: np.ndarray) -> np.ndarray:
+    """Scores of unseen n-grams: the context's weight and the score of all but the first character."""
+    n, none = windows.shape[1], np.zeros((len(windows), len(model.langs)), np.float32)
     if n == 1:
-        return np.full((len(at), len(model.langs)), model.base, np.float32)
-    window = np.full((len(at), n), BLANK, np.uint64)
-    for k in range(n):
-        place = at - (n - 1) + k
-        window[:, k] = np.where(place >= 0, points[np.maximum(place, 0)], BLANK)
-
-    def hashed(cols: np.ndarray) -> np.ndarray:
-        out = cols[:, 0].copy()
-        for k in range(1, cols.shape[1]):
-            out = out * _STEP + cols[:, k]
-        return mix64(out)
-
+        return none + np.float32(model.base) + (model.contexts[0][1] if 0 in model.contexts else 0)
     hashes, weights = model.contexts[n - 1]
-    place, hit = probe(hashes, hashed(window[:, :-1]))
-    back = np.where(hit[:, None], weights[place], np.float32(0)) if len(hashes) else np.zeros((len(at), len(model.langs)), np.float32)
+    place, hit = probe(hashes, rows_hash(windows[:, :-1]))
+    back = np.where(hit[:, None], weights[place], np.float32(0)) if len(hashes) else none
     hashes, values = model.grams[n - 1]
-    place, hit = probe(hashes, hashed(window[:, 1:]))
-    score = values[place] if len(hashes) else np.zeros((len(at), len(model.langs)), np.float32)
+    place, hit = probe(hashes, rows_hash(windows[:, 1:]))
+    score = values[place] if len(hashes) else none
     rest = np.flatnonzero(~hit)
     if len(rest):
-        score[rest] = _lower(model, points, at[rest], n - 1)
+        score[rest] = _lower(model, windows[rest, 1:])
     return score + back
 
 
@@ -168,7 +176,10 @@ def cross_entropies(model: Model, data: np.ndarray, offsets: np.ndarray) -> tupl
     points, ends = folded(data, offsets)
     length = np.diff(ends)
     letters = np.concatenate([[0], np.cumsum(points != BLANK)])
-    sums = np.add.reduceat(char_scores(model, points).astype(np.float64), ends[:-1], axis=0) if len(length) else np.zeros((0, len(model.langs)))
+    sums = np.zeros((len(length), len(model.langs)))
+    some = np.flatnonzero(length)
+    if len(some):
+        sums[some] = np.add.reduceat(char_scores(model, points, ends), ends[some], axis=0, dtype=np.float64)
     return -sums / np.maximum(length, 1)[:, None], letters[ends[1:]] - letters[ends[:-1]], length
 
 
@@ -189,9 +200,9 @@ def gram_counts(docs: DataFrame) -> DataFrame:
             for lang in sorted(set(langs)):
                 rows = batch.filter(pa.array([x == lang for x in langs]))
                 for part in slices(rows, "text", SLICE_BYTES):
-                    points, _ = folded(*joined_bytes(part.column("text")))
+                    points, ends = folded(*joined_bytes(part.column("text")))
                     if len(points):
-                        kept[lang] = _added(kept.get(lang), *_distinct(points))
+                        kept[lang] = _added(kept.get(lang), *_distinct(points, ends))
         for lang, (windows, counts) in kept.items():
             grams = windows.astype("<u4").tobytes().decode("utf-32-le")
             yield pa.RecordBatch.from_arrays(
@@ -201,36 +212,29 @@ def gram_counts(docs: DataFrame) -> DataFrame:
     return mapped(docs.select("lang", "text"), work, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def _distinct(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    hashes = gram_hashes(points, ORDER)
-    _, first, counts = np.unique(hashes, return_index=True, return_counts=True)
-    padded = np.concatenate([np.full(ORDER - 1, BLANK, np.uint32), points])
-    return padded[first[:, None] + np.arange(ORDER)], counts.astype(np.int64)
+def _distinct(points: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    _, first, counts = np.unique(gram_hashes(points, ends, ORDER), return_index=True, return_counts=True)
+    return windows_at(points, ends, first, ORDER).astype(np.uint32), counts.astype(np.int64)
 
 
 def _added(old: tuple[np.ndarray, np.ndarray] | None, windows: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if old is None:
         return windows, counts
     windows, counts = np.concatenate([old[0], windows]), np.concatenate([old[1], counts])
-    whole, which = np.unique(_rows_hash(windows), return_inverse=True)
+    whole, which = np.unique(rows_hash(windows), return_inverse=True)
     first = np.zeros(len(whole), np.int64)
     first[which] = np.arange(len(which))
     return windows[first], np.bincount(which, weights=counts, minlength=len(whole)).astype(np.int64)
 
 
-def _rows_hash(windows: np.ndarray) -> np.ndarray:
-    out = windows[:, 0].astype(np.uint64)
-    for k in range(1, windows.shape[1]):
-        out = out * _STEP + windows[:, k].astype(np.uint64)
-    return mix64(out)
-
-
 def kneser_ney(counts: pa.Table) -> Model:
     """The model of counts(lang, gram, n). Absolute discounting with D = n1 / (n1 + 2 n2) at each order."""
     names = counts.column("lang").combine_chunks().dictionary_encode()
     langs = sorted(names.dictionary.to_pylist())
     model = Model(langs)
-    group = np.array([langs.index(x) for x in names.dictionary.to_pylist()], np.int64)[names.indices.to_numpy()] if langs else np.zeros(0, np.int64)
+    if not langs:
+        return model
+    group = np.array([langs.index(x) for x in names.dictionary.to_pylist()], np.int64)[names.indices.to_numpy()]
     raw, _ = joined_bytes(counts.column("gram"))
     windows = np.frombuffer(raw.tobytes().decode().encode("utf-32-le"), np.uint32).reshape(-1, ORDER)
     value = counts.column("n").to_numpy().astype(np.float64)
@@ -239,7 +243,7 @@ def kneser_ney(counts: pa.Table) -> Model:
         levels[n] = (windows, value, group)
         # In the next order an n-gram counts once for each different character before it.
         if n > 1:
-            key = _rows_hash(windows[:, 1:]) + group.astype(np.uint64) * _STEP
+            key = rows_hash(windows[:, 1:]) + group.astype(np.uint64) * _STEP
             _, first, times = np.unique(key, return_index=True, return_counts=True)
             windows, value, group = windows[first, 1:], times.astype(np.float64), group[first]
     alphabet = len(np.unique(levels[1][0])) + 1
@@ -247,8 +251,8 @@ def kneser_ney(counts: pa.Table) -> Model:
     size = len(langs)
     for n in range(1, ORDER + 1):
         windows, value, group = levels[n]
-        own = _rows_hash(windows)
-        context = _rows_hash(windows[:, :-1]) if n > 1 else np.zeros(len(windows), np.uint64)
+        own = rows_hash(windows)
+        context = rows_hash(windows[:, :-1]) if n > 1 else np.zeros(len(windows), np.uint64)
         names, which = np.unique(context, return_inverse=True)
         cell = which * size + group
         total = np.bincount(cell, weights=value, minlength=len(names) * size)
@@ -278,7 +282,7 @@ def kneser_ney(counts: pa.Table) -> Model:
 def _stored(model: Model, windows: np.ndarray, n: int) -> np.ndarray:
     """Log probabilities of n-grams that are all in the model (each is the tail of a longer one)."""
     hashes, values = model.grams[n]
-    return values[np.searchsorted(hashes, _rows_hash(windows))].astype(np.float64)
+    return values[np.searchsorted(hashes, rows_hash(windows))].astype(np.float64)
 
 
 def bounded(counts: DataFrame, most: int) -> DataFrame:

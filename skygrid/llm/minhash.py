@@ -23,6 +23,7 @@ Defined cases
 - text null, empty or blank: an empty set, linked with nothing, kept
 - fewer words than a shingle has: the whole sequence is the only shingle
 - repeated rows (one id): one document; both rows get its component
+- id null: linked with nothing, kept
 - an empty table: no rows; extra columns are ignored, whatever their names
 """
 
@@ -35,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import joined_bytes, mapped, mix64, powers, releasing, slices, written
+from .common import discard, joined_bytes, mapped, mix64, powers, releasing, slices, written
 from .graph import components
 
 BASE = 0x2545F4914F6CDD1D
@@ -257,7 +258,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 5, bands: i
     Documents link when 100 * shared >= percent * united distinct shingles.
     """
     signed = written(signatures(docs, width, bands, rows, id_col, text_col))
-    classes = signed.where("n_shingles > 0").groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
+    some = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
+    classes = signed.where(some).groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
     classes = written(classes)
     dealt = classes.select("rep", F.explode("bands").alias("h"))
     buckets = dealt.groupBy("h").agg(F.min("rep").alias("leader"), F.count("*").alias("n")).where("n > 1")
@@ -272,11 +274,13 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 5, bands: i
     several = members.where("n > 2").join(comps, F.col("rep") == F.col("node"), "left").select("h", "rep", F.coalesce("component", "rep").alias("comp"))
     hidden = written(hidden_links(several, sets, percent))
     if hidden.limit(1).count():
+        discard(comps)
         comps = components(links.unionByName(hidden))
-    named = classes.join(comps, F.col("rep") == F.col("node"), "left").select("d1", "d2", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
-    full = signed.where("n_shingles > 0").select("doc_id", "n_shingles", "d1", "d2").join(named, ["d1", "d2", "n_shingles"]).select("doc_id", "n_shingles", "component_id")
-    empty = signed.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return full.unionByName(empty).withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    named = written(classes.join(comps, F.col("rep") == F.col("node"), "left").select("d1", "d2", "n_shingles", F.coalesce("component", "rep").alias("component_id")))
+    discard(members, sets, links, hidden, comps, classes)
+    full = signed.where(some).select("doc_id", "n_shingles", "d1", "d2").join(named, ["d1", "d2", "n_shingles"]).select("doc_id", "n_shingles", "component_id")
+    empty = signed.where(~some).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    return full.unionByName(empty).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

@@ -3,20 +3,18 @@
 The corpus is no single string that a task could sort, so its suffixes are dealt
 out such that all that share their first ``width`` bytes meet:
 
-1. Exact copies of a text add no string of their own; only the copy with the smallest
-   id goes on, the others are covered from end to end.
-2. Every window of ``width`` bytes is led by one of its k-grams, the one with the least hash.
+1. Every window of ``width`` bytes is led by one of its k-grams, the one with the least hash.
    Equal windows have equal leaders at equal places. Leaders that only one document
    has are left out: parts of the corpus send the distinct leaders they hold, and are told
    which of them are shared.
-3. For each shared leader a part sends the stretch of text with the windows it leads,
+2. For each shared leader a part sends the stretch of text with the windows it leads,
    one copy of equal stretches. Leaders with very many occurrences send each
    window by itself, under the window's own hash, which spreads them.
-4. Where stretches meet, a suffix array over all their windows is built by prefix
+3. Where stretches meet, a suffix array over all their windows is built by prefix
    doubling, with the common-prefix length of neighbours. A stack scan gives the tree of common-prefix
    intervals of at least ``width``. An interval whose occurrences differ in the byte before them is a
    maximal repeat; an outermost interval holds all occurrences of its first ``width`` bytes.
-5. Each occurrence whose document isn't the interval's first is covered; its ranges go back to
+4. Each occurrence whose document isn't the interval's first is covered; its ranges go back to
    its part, where they are united and cut out.
 
 All steps are Spark shuffles of compact binary rows; a hot passage is combined
@@ -25,8 +23,8 @@ before it is sent. Text is shuffled once, and that shuffle is read three times.
 Defined cases
 - text null or empty, or shorter than ``width``: nothing to remove
 - very long texts: as any other (a text is held whole by one task)
-- repeated ids: copies of a row are exact copies that keep the text both times, as no
-  document is smaller; different texts under one id don't cover each other
+- repeated ids: texts under one id don't cover each other, as neither id is smaller
+- id null: comes before all ids
 - an empty table: no rows; extra columns are ignored, whatever their names
 """
 
@@ -40,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import joined_bytes, mix64, powers, releasing, written
+from .common import joined_bytes, mix64, powers, releasing
 
 BASE = 0x5851F42D4C957F2D
 INVERSE = pow(BASE, -1, 1 << 64)
@@ -49,6 +47,8 @@ HASH_BITS = 48
 PART_BYTES, SPREAD = 4 << 20, 2
 #: Occurrences of a leader from which its windows go separately.
 MANY = 2000
+#: Stands for an id that is null.
+FIRST = -(1 << 63)
 
 
 # --- binary rows ---------------------------------------------------------------------------------------------------
@@ -125,12 +125,21 @@ def by_part(order_by: np.ndarray) -> Iterator[tuple[int, slice]]:
         yield int(order_by[a]), slice(int(a), int(b))
 
 
+def ordered(table: pa.Table) -> pa.Table:
+    """The rows of a part by id, and of one id by text: a row's place is its name within the part."""
+    ids = table.column("doc_id").to_numpy()
+    order = np.argsort(ids, kind="stable")
+    if len(np.unique(ids)) < len(ids):
+        texts = [hashlib.blake2b(t or b"").digest() for t in table.column("text").cast(pa.binary()).to_pylist()]
+        order = np.array(sorted(range(len(ids)), key=lambda i: (ids[i], texts[i])), np.int64)
+    return table.take(pa.array(order))
+
+
 class Part:
-    """The texts of one part in the order of their ids, end to end."""
+    """The texts of one part in their order, end to end."""
 
     def __init__(self, table: pa.Table, width: int, gram: int) -> None:
-        ids = table.column("doc_id").to_numpy()
-        table = table.take(pa.array(np.argsort(ids, kind="stable")))
+        table = ordered(table)
         self.ids = table.column("doc_id").to_numpy()
         self.data, self.offsets = joined_bytes(table.column("text"))
         found = []
@@ -176,7 +185,7 @@ def shared_leaders(rows: list[tuple[int, bytes]]) -> Iterator[tuple[int, bytes]]
 
 
 def part_stretches(part: Part, rows: list[bytes], width: int, parts: int) -> tuple[list[tuple[int, bytes]], tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Stretches to send, by part of the hashes, and ranges (doc_id, begin, end) that this part covers by itself."""
+    """Stretches to send, by part of the hashes, and ranges (row, begin, end) that this part covers by itself."""
     found = [unpacked(raw) for raw in rows]
     shared = np.concatenate([np.cumsum(h, dtype=np.uint64) for h, _ in found]) if found else np.zeros(0, np.uint64)
     many = np.concatenate([m for _, m in found]) if found else np.zeros(0, bool)
@@ -200,7 +209,7 @@ def part_stretches(part: Part, rows: list[bytes], width: int, parts: int) -> tup
     doc = np.searchsorted(part.offsets, begin, side="right") - 1
     lead = np.flatnonzero(new)[np.cumsum(new) - 1] if len(new) else np.zeros(0, np.int64)
     later = part.ids[doc] > part.ids[doc[lead]]
-    covered = part.ids[doc[later]], begin[later] - part.offsets[doc[later]], begin[later] - part.offsets[doc[later]] + size[later]
+    covered = doc[later], begin[later] - part.offsets[doc[later]], begin[later] - part.offsets[doc[later]] + size[later]
     # Of the first document all equal stretches go on, as another part may cover them.
     go = ~later
     begin, size, key, doc = begin[go], size[go], key[go], doc[go]
@@ -209,7 +218,7 @@ def part_stretches(part: Part, rows: list[bytes], width: int, parts: int) -> tup
     begin, size, doc, target = begin[order], size[order], doc[order], target[order]
     out = []
     for to, s in by_part(target):
-        out.append((to, packed(part.ids[doc[s]], begin[s] - part.offsets[doc[s]], size[s].astype(np.uint8 if width < 100 else np.int64), part.data[ranges(begin[s], size[s])])))
+        out.append((to, packed(part.ids[doc[s]], doc[s].astype(np.int32), begin[s] - part.offsets[doc[s]], size[s].astype(np.uint8 if width < 100 else np.int64), part.data[ranges(begin[s], size[s])])))
     return out, covered
 
 
@@ -325,9 +334,9 @@ class Meeting:
     def __init__(self, rows: list[tuple[int, bytes]], width: int) -> None:
         found = [(part, *unpacked(raw)) for part, raw in rows]
         self.part = np.concatenate([np.full(len(x[1]), x[0]) for x in found])
-        self.doc, self.begin = (np.concatenate([x[k] for x in found]).astype(np.int64) for k in (1, 2))
-        size = np.concatenate([x[3] for x in found]).astype(np.int64)
-        data = np.concatenate([x[4] for x in found])
+        self.doc, self.row, self.begin = (np.concatenate([x[k] for x in found]).astype(np.int64) for k in (1, 2, 3))
+        size = np.concatenate([x[4] for x in found]).astype(np.int64)
+        data = np.concatenate([x[5] for x in found])
         start = np.cumsum(size) - size
         sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum((data + np.uint64(1)) * powers(BASE, len(data)), out=sums[1:])
@@ -341,7 +350,7 @@ class Meeting:
         self.length, self.first, self.last, self.outer = prefix_intervals(self.prefix, width)
 
     def covered(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Ranges covered: part, doc_id, begin, end."""
+        """Ranges covered: part, row of the part, begin, end."""
         owner = np.full(len(self.size), np.iinfo(np.int64).max)
         np.minimum.at(owner, self.which, self.doc)
         # The first document that has the window at each place: of its stretch, or of its interval.
@@ -361,7 +370,7 @@ class Meeting:
         fresh = np.concatenate([[True], (row[1:] != row[:-1]) | (place[1:] != place[:-1] + 1)]) if len(row) else np.zeros(0, bool)
         final = np.concatenate([fresh[1:], [True]]) if len(row) else fresh
         a, b, row = place[fresh], place[final], row[fresh]
-        return self.part[row], self.doc[row], self.begin[row] + a, self.begin[row] + b + self.width
+        return self.part[row], self.row[row], self.begin[row] + a, self.begin[row] + b + self.width
 
     def groups(self) -> Iterator[tuple[int, list[tuple[int, int]]]]:
         """Maximal repeats: length, and all occurrences as (doc_id, offset). Longer ones go on in the next stretch."""
@@ -387,27 +396,18 @@ _TO = pa.schema([("hp", pa.int32()), ("dp", pa.int32()), ("blob", pa.binary())])
 _BACK = pa.schema([("dp", pa.int32()), ("blob", pa.binary())])
 
 
-def _marks(parts: np.ndarray, docs: np.ndarray, begin: np.ndarray, end: np.ndarray) -> list[tuple[int, bytes]]:
-    order = np.lexsort((begin, docs, parts))
-    return [(p, packed(docs[order][s], begin[order][s], end[order][s])) for p, s in by_part(parts[order])]
-
-
-def sizes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, n_bytes, sha (of the text), first (smallest id with this very text)."""
-    text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
-    sized = written(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("sha")))
-    return sized.join(sized.groupBy("sha").agg(F.min("doc_id").alias("first")), "sha")
+def _marks(parts: np.ndarray, rows: np.ndarray, begin: np.ndarray, end: np.ndarray) -> list[tuple[int, bytes]]:
+    order = np.lexsort((begin, rows, parts))
+    return [(p, packed(rows[order][s], begin[order][s], end[order][s])) for p, s in by_part(parts[order])]
 
 
-def parted(docs: DataFrame, sized: DataFrame, width: int, id_col: str, text_col: str) -> tuple[DataFrame, int]:
-    """dp, doc_id, text of one text of each kind that has a window; and the number of parts."""
-    wanted = sized.where((F.col("doc_id") == F.col("first")) & (F.col("n_bytes") >= width))
-    total = wanted.agg(F.sum("n_bytes")).first()[0] or 0
+def parted(docs: DataFrame, id_col: str, text_col: str, rest: bool = False) -> tuple[DataFrame, int]:
+    """dp, doc_id, text (and rest: all columns but the text, in a struct), dealt by part; and the number of parts."""
+    total = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     parts = max(2, -(-total // PART_BYTES))
-    dp = F.pmod(F.xxhash64("doc_id"), F.lit(parts)).cast("int").alias("dp")
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where(F.octet_length("text") >= width)
-    copies = written(sized.where((F.col("doc_id") != F.col("first")) & (F.col("n_bytes") >= width)).select("doc_id").distinct())
-    return rows.join(copies, "doc_id", "left_anti").select(dp, "doc_id", "text").repartition(parts, "dp"), parts
+    dp = F.pmod(F.xxhash64(F.col(id_col)), F.lit(parts)).cast("int").alias("dp")
+    others = [F.struct(*[docs[c].alias(f"c{i}") for i, c in enumerate(docs.columns) if c != text_col]).alias("rest")] if rest else []
+    return docs.select(dp, F.coalesce(F.col(id_col).cast("long"), F.lit(FIRST)).alias("doc_id"), F.col(text_col).alias("text"), *others).repartition(parts, "dp"), parts
 
 
 def meetings(texts: DataFrame, parts: int, width: int, gram: int, work: Callable[[Meeting], list[tuple]], schema: pa.Schema, sql: str, own: Callable[[int, tuple], list[tuple]] | None = None) -> DataFrame:
@@ -444,11 +444,11 @@ def meetings(texts: DataFrame, parts: int, width: int, gram: int, work: Callable
 
 
 def repeat_groups(docs: DataFrame, width: int = 50, gram: int = 24, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """length, occurrences (array of doc_id, begin): maximal repeats of at least width bytes, of distinct texts.
+    """length, occurrences (array of doc_id, begin): maximal repeats of at least width bytes.
 
     A repeat that is longer than a stretch shows as the chain of its parts.
     """
-    texts, parts = parted(docs, sizes(docs, id_col, text_col), width, id_col, text_col)
+    texts, parts = parted(docs, id_col, text_col)
     pair = pa.struct([("doc_id", pa.int64()), ("begin", pa.int64())])
     schema = pa.schema([("length", pa.int64()), ("occurrences", pa.list_(pair))])
 
@@ -458,6 +458,59 @@ def repeat_groups(docs: DataFrame, width: int = 50, gram: int = 24, id_col: str
     return meetings(texts, parts, width, gram, work, schema, "length long, occurrences array<struct<doc_id: long, begin: long>>")
 
 
+def _cut(docs: DataFrame, width: int, gram: int, id_col: str, text_col: str, schema: pa.Schema, sql: str, rows: Callable[[pa.Table, list[tuple]], pa.Table], rest: bool = False) -> DataFrame:
+    """rows of each part's table and, for each of its texts, (bytes, spans removed, what is left)."""
+    texts, parts = parted(docs, id_col, text_col, rest)
+    narrow = texts.select("dp", "doc_id", "text")
+    marks = meetings(narrow, parts, width, gram, lambda m: _marks(*m.covered()), _BACK, "dp int, blob binary", own=lambda dp, x: [(dp, packed(*x))])
+
+    def cut(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows:
+            return schema.empty_table()
+        left = ordered(left)
+        found = [unpacked(raw) for raw in right.column("blob").to_pylist()] if right.num_rows else []
+        which, begin, end = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
+        order = np.argsort(which, kind="stable")
+        which, begin, end = which[order], begin[order], end[order]
+        out = []
+        for i, text in enumerate(left.column("text").cast(pa.binary()).to_pylist()):
+            text = text or b""
+            a, b = np.searchsorted(which, [i, i + 1])
+            spans = _united(begin[a:b], end[a:b])
+            left_over = b"".join(text[x:y] for x, y in zip([0, *[y for _, y in spans]], [*[x for x, _ in spans], len(text)], strict=True)) if spans else text
+            out.append((len(text), len(spans), left_over))
+        return rows(left, out)
+
+    return texts.groupBy("dp").cogroup(marks.groupBy("dp")).applyInArrow(releasing(cut), sql)
+
+
+def repeats_cut(docs: DataFrame, width: int = 50, gram: int = 24, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256.
+
+    Each byte goes that lies in a string of width bytes which also starts in a document of smaller id.
+    """
+    schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())])
+
+    def rows(left: pa.Table, out: list[tuple]) -> pa.Table:
+        ids = left.column("doc_id").to_pylist()
+        return _arrow([(None if i == FIRST else i, n, n - len(kept), spans, hashlib.sha256(kept).hexdigest()) for i, (n, spans, kept) in zip(ids, out, strict=True)], schema)
+
+    return _cut(docs, width, gram, id_col, text_col, schema, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string", rows)
+
+
+def without_repeats(docs: DataFrame, width: int = 50, gram: int = 24, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs with what repeats_cut leaves of each text; all rows stay. A character that is cut in part goes whole."""
+    fields = {f"c{i}": docs.schema[c].dataType.simpleString() for i, c in enumerate(docs.columns) if c != text_col}
+    sql = "text string, rest struct<" + ", ".join(f"{c}: {kind}" for c, kind in fields.items()) + ">"
+
+    def rows(left: pa.Table, out: list[tuple]) -> pa.Table:
+        texts = [None if was is None else kept.decode("utf-8", "ignore") for was, (_, _, kept) in zip(left.column("text").to_pylist(), out, strict=True)]
+        return pa.table({"text": pa.array(texts, pa.string()), "rest": left.column("rest")})
+
+    cut = _cut(docs, width, gram, id_col, text_col, pa.schema([("text", pa.string())]), sql, rows, rest=True)
+    return cut.select(*[(F.col("text") if c == text_col else F.col(f"rest.c{i}")).alias(c) for i, c in enumerate(docs.columns)])
+
+
 def _united(begin: np.ndarray, end: np.ndarray) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     for a, b in sorted(zip(begin.tolist(), end.tolist(), strict=True)):
@@ -466,36 +519,3 @@ def _united(begin: np.ndarray, end: np.ndarray) -> list[tuple[int, int]]:
         else:
             out.append((a, b))
     return out
-
-
-def repeats_cut(docs: DataFrame, width: int = 50, gram: int = 24, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, kept (text; a character cut in part is left out).
-
-    Each byte goes that lies in a string of width bytes which also starts in a document of smaller id.
-    """
-    sized = sizes(docs, id_col, text_col)
-    texts, parts = parted(docs, sized, width, id_col, text_col)
-    marks = meetings(texts, parts, width, gram, lambda m: _marks(*m.covered()), _BACK, "dp int, blob binary", own=lambda dp, x: [(dp, packed(*x))])
-    kept = [("kept", pa.string())] if keep_text else []
-    schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), *kept])
-
-    def cut(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        found = [unpacked(raw) for raw in right.column("blob").to_pylist()] if right.num_rows else []
-        docs, begin, end = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
-        order = np.argsort(docs, kind="stable")
-        docs, begin, end = docs[order], begin[order], end[order]
-        rows = []
-        for doc, text in zip(left.column("doc_id").to_pylist(), left.column("text").cast(pa.binary()).to_pylist(), strict=True):
-            a, b = np.searchsorted(docs, [doc, doc + 1])
-            spans = _united(begin[a:b], end[a:b])
-            rest = b"".join(text[x:y] for x, y in zip([0, *[y for _, y in spans]], [*[x for x, _ in spans], len(text)], strict=True)) if spans else text
-            rows.append((doc, len(text), len(text) - len(rest), len(spans), hashlib.sha256(rest).hexdigest(), *([rest.decode("utf-8", "ignore")] if keep_text else [])))
-        return _arrow(rows, schema)
-
-    sql = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept string" if keep_text else "")
-    cut_ = texts.groupBy("dp").cogroup(marks.groupBy("dp")).applyInArrow(releasing(cut), sql)
-    copy = (F.col("doc_id") != F.col("first")) & (F.col("n_bytes") >= width)
-    copies = sized.where(copy).select("doc_id", "n_bytes", F.col("n_bytes").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"), F.sha2(F.lit(""), 256).alias("kept_sha256"), *([F.lit("").alias("kept")] if keep_text else []))
-    short = docs.where(F.coalesce(F.octet_length(text_col), F.lit(0)) < width).select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("kept"))
-    short = short.select("doc_id", F.octet_length("kept").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), *([F.col("kept").cast("string").alias("kept")] if keep_text else []))
-    return cut_.unionByName(copies).unionByName(short)

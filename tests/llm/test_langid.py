@@ -1,0 +1,76 @@
+import random
+
+import numpy as np
+import pyarrow as pa
+from brute import KneserNey, folded
+from pyspark.sql import functions as F
+
+from skygrid.llm import langid
+from skygrid.llm.common import joined_bytes
+
+WORDS = {"aa": "the of and ing er on re st".split(), "bb": "die und ung ß ä ö sch lich".split(), "cc": "que de ón ía los ar ñ es".split()}
+
+
+def corpus(n=90, seed=1):
+    rng = random.Random(seed)
+    return [(i, " ".join("".join(rng.choices(WORDS[lang], k=rng.randint(1, 3))) for _ in range(rng.randint(5, 40))).capitalize() + ".", lang) for i, lang in enumerate(rng.choices(sorted(WORDS), k=n))]
+
+
+def test_folding():
+    texts = ["Hello, World!", "  x", "", "é1É", None, "..."]
+    points, ends = langid.folded(*joined_bytes(pa.array(texts)))
+    assert [points[a:b].astype("<u4").tobytes().decode("utf-32-le") for a, b in zip(ends[:-1], ends[1:], strict=True)] == [folded(t)[1:] for t in texts]
+
+
+def test_entropies_are_kneser_ney(spark):
+    """Every language's entropy, of seen and unseen texts, against a model of dictionaries; alone and in a batch."""
+    rows = corpus()
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.kneser_ney(langid.gram_counts(docs).toArrow())
+    alphabet = len({g[-1] for lang in WORDS for t in [r[1] for r in rows if r[2] == lang] for g in folded(t)[1:]}) + 1
+    plain = {lang: KneserNey([t for _, t, x in rows if x == lang], alphabet) for lang in WORDS}
+    texts = [t for _, t, _ in rows[:10]] + ["zzz qqq", "the und que", "日本", "a", "", None]
+    got, letters, _ = langid.cross_entropies(model, *joined_bytes(pa.array(texts)))
+    want = np.array([[plain[lang].entropy(t) for lang in model.langs] for t in texts])
+    assert np.abs(got - want).max() < 1e-4
+    for k, t in enumerate(texts):
+        assert np.array_equal(langid.cross_entropies(model, *joined_bytes(pa.array([t], pa.string())))[0][0], got[k])
+    assert letters[-1] == 0
+
+
+def test_held_out_accuracy_and_edge_cases(spark):
+    rows = [(i, t, lang, 7, "x") for i, t, lang in corpus(600)]
+    rows += [(1000, None, "aa", 1, "x"), (1001, "", "aa", 1, "x"), (1002, "12 .. 34", "aa", 1, "x"), (1003, rows[0][1], None, 1, "x"), (1004, "the of " * 60000, "aa", 1, "x"), rows[5]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, score int, rejected string")
+    got = {}
+    for r in langid.identify(docs).collect():
+        got.setdefault(r.doc_id, []).append(r)
+    crc = {r.doc_id: r.c for r in docs.select("doc_id", (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3).alias("c")).collect()}
+    assert all(r.held_out == (crc[i] == 1) and 0 <= r.score <= 1 for i, rs in got.items() for r in rs)
+    held = [(got[i][0].lang_pred, lang) for i, _, lang, _, _ in rows[:600] if crc[i] == 1]
+    assert len(held) > 100 and sum(a == b for a, b in held) / len(held) > 0.99
+    for i in (1000, 1001, 1002):
+        assert got[i][0].lang_pred == "und" and got[i][0].score == 0 and got[i][0].rejected
+    assert got[1004][0].lang_pred == "aa" and len(got[5]) == 2 and got[5][0][2:] == got[5][1][2:]
+    kept = langid.accepted(docs)
+    assert kept.columns == docs.columns and {1000, 1001, 1002}.isdisjoint(r.doc_id for r in kept.collect()) and kept.count() >= 600
+
+
+def test_labels_of_held_out_rows_are_not_learned_from(spark):
+    rows = corpus(200)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    held = langid.fold("doc_id") == 1
+    spoiled = docs.withColumn("lang", F.when(held, F.lit("zz")).otherwise(F.col("lang")))
+    same = [sorted(map(tuple, langid.identify(d).collect())) for d in (docs, spoiled)]
+    assert same[0] == same[1]
+
+
+def test_nothing_to_learn(spark):
+    none = spark.createDataFrame([(1, "abc", None)], "doc_id long, text string, lang string")
+    assert [r.lang_pred for r in langid.identify(none).collect()] == ["und"]
+    assert langid.identify(none.where("false")).count() == 0
+
+
+def test_bounded_tables_keep_ties_together(spark):
+    counts = spark.createDataFrame([("a", f"g{k}", n) for k, n in enumerate([5, 5, 3, 3, 3, 1])] + [("b", "g", 1)], "lang string, gram string, n long")
+    assert sorted((r.lang, r.n) for r in langid.bounded(counts, 4).collect()) == [("a", 5), ("a", 5), ("b", 1)]

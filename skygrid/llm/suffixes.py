@@ -43,8 +43,10 @@ from .common import joined_bytes, mix64, powers, releasing
 BASE = 0x5851F42D4C957F2D
 INVERSE = pow(BASE, -1, 1 << 64)
 HASH_BITS = 48
-#: Text of a part, and parts of the hashes for each part of the texts: a task holds about a hundred bytes for each of its text's.
+#: Text of a part, and parts of the hashes for each part of the texts.
 PART_BYTES, SPREAD = 4 << 20, 2
+#: Sections of a part of the hashes, worked on one after the other: sorting takes about a hundred bytes for each of a section's.
+SECTIONS = 8
 #: Occurrences of a leader from which its windows go separately.
 MANY = 2000
 #: Stands for an id that is null.
@@ -213,12 +215,13 @@ def part_stretches(part: Part, rows: list[bytes], width: int, parts: int) -> tup
     # Of the first document all equal stretches go on, as another part may cover them.
     go = ~later
     begin, size, key, doc = begin[go], size[go], key[go], doc[go]
-    target = part_of(key, parts)
-    order = np.argsort(target, kind="stable")
-    begin, size, doc, target = begin[order], size[order], doc[order], target[order]
+    section = part_of(key, parts * SECTIONS)
+    order = np.argsort(section, kind="stable")
+    begin, size, doc, section = begin[order], size[order], doc[order], section[order]
     out = []
-    for to, s in by_part(target):
-        out.append((to, packed(part.ids[doc[s]], doc[s].astype(np.int32), begin[s] - part.offsets[doc[s]], size[s].astype(np.uint8 if width < 100 else np.int64), part.data[ranges(begin[s], size[s])])))
+    for to, s in by_part(section // SECTIONS):
+        counts = np.bincount(section[s] % SECTIONS, minlength=SECTIONS).astype(np.int32)
+        out.append((to, packed(counts, part.ids[doc[s]], doc[s].astype(np.int32), begin[s] - part.offsets[doc[s]], size[s].astype(np.uint8 if width < 100 else np.int64), part.data[ranges(begin[s], size[s])])))
     return out, covered
 
 
@@ -329,10 +332,12 @@ def left_diverse(before: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.
 
 
 class Meeting:
-    """All stretches of one part of the hashes: distinct ones, their suffix array and intervals."""
+    """All stretches of one section of the hashes: distinct ones, their suffix array and intervals.
 
-    def __init__(self, rows: list[tuple[int, bytes]], width: int) -> None:
-        found = [(part, *unpacked(raw)) for part, raw in rows]
+    found: part, and from there ids, rows of the part, begins and sizes of stretches, and their bytes.
+    """
+
+    def __init__(self, found: list[tuple], width: int) -> None:
         self.part = np.concatenate([np.full(len(x[1]), x[0]) for x in found])
         self.doc, self.row, self.begin = (np.concatenate([x[k] for x in found]).astype(np.int64) for k in (1, 2, 3))
         size = np.concatenate([x[4] for x in found]).astype(np.int64)
@@ -385,6 +390,22 @@ class Meeting:
             yield int(self.length[i]), sorted(places)
 
 
+def met(rows: list[tuple[int, bytes]], width: int) -> Iterator[Meeting]:
+    """The meetings of a part of the hashes, one at a time."""
+    found = []
+    for part, raw in rows:
+        counts, *columns = unpacked(raw)
+        found.append((part, np.concatenate([[0], np.cumsum(counts)]), np.concatenate([[0], np.cumsum(columns[3], dtype=np.int64)]), *columns))
+    for k in range(SECTIONS):
+        here = []
+        for part, cuts, at, *columns, data in found:
+            a, b = cuts[k], cuts[k + 1]
+            if b > a:
+                here.append((part, *(c[a:b] for c in columns), data[at[a] : at[b]]))
+        if here:
+            yield Meeting(here, width)
+
+
 # --- the Spark job -----------------------------------------------------------------------------------------------------
 
 
@@ -401,6 +422,11 @@ def _marks(parts: np.ndarray, rows: np.ndarray, begin: np.ndarray, end: np.ndarr
     return [(p, packed(rows[order][s], begin[order][s], end[order][s])) for p, s in by_part(parts[order])]
 
 
+def _all_marks(found: Iterator[Meeting]) -> list[tuple]:
+    columns = list(zip(*(m.covered() for m in found), strict=True))
+    return _marks(*(np.concatenate(x) for x in columns)) if columns else []
+
+
 def parted(docs: DataFrame, id_col: str, text_col: str, rest: bool = False) -> tuple[DataFrame, int]:
     """dp, doc_id, text (and rest: all columns but the text, in a struct), dealt by part; and the number of parts."""
     total = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
@@ -410,8 +436,8 @@ def parted(docs: DataFrame, id_col: str, text_col: str, rest: bool = False) -> t
     return docs.select(dp, F.coalesce(F.col(id_col).cast("long"), F.lit(FIRST)).alias("doc_id"), F.col(text_col).alias("text"), *others).repartition(parts, "dp"), parts
 
 
-def meetings(texts: DataFrame, parts: int, width: int, gram: int, work: Callable[[Meeting], list[tuple]], schema: pa.Schema, sql: str, own: Callable[[int, tuple], list[tuple]] | None = None) -> DataFrame:
-    """Rows of work for each meeting, and of own for the ranges that a part covers by itself."""
+def meetings(texts: DataFrame, parts: int, width: int, gram: int, work: Callable[[Iterator[Meeting]], list[tuple]], schema: pa.Schema, sql: str, own: Callable[[int, tuple], list[tuple]] | None = None) -> DataFrame:
+    """Rows of work for the meetings of each part of the hashes, and of own for the ranges that a part covers by itself."""
 
     def lead(table: pa.Table) -> pa.Table:
         dp = table.column("dp")[0].as_py() if table.num_rows else 0
@@ -435,7 +461,7 @@ def meetings(texts: DataFrame, parts: int, width: int, gram: int, work: Callable
         rows = list(zip(table.column("dp").to_pylist(), table.column("blob").to_pylist(), strict=True))
         if table.column("hp")[0].as_py() < 0:
             return _arrow([r for dp, raw in rows for r in own(dp, tuple(unpacked(raw)))], schema)
-        return _arrow(work(Meeting(rows, width)), schema)
+        return _arrow(work(met(rows, width)), schema)
 
     to, back = "hp int, dp int, blob binary", "dp int, blob binary"
     shared = texts.groupBy("dp").applyInArrow(releasing(lead), to).groupBy("hp").applyInArrow(releasing(share), back)
@@ -452,8 +478,8 @@ def repeat_groups(docs: DataFrame, width: int = 50, gram: int = 24, id_col: str
     pair = pa.struct([("doc_id", pa.int64()), ("begin", pa.int64())])
     schema = pa.schema([("length", pa.int64()), ("occurrences", pa.list_(pair))])
 
-    def work(meeting: Meeting) -> list[tuple]:
-        return [(n, [{"doc_id": d, "begin": b} for d, b in places]) for n, places in meeting.groups()]
+    def work(found: Iterator[Meeting]) -> list[tuple]:
+        return [(n, [{"doc_id": d, "begin": b} for d, b in places]) for meeting in found for n, places in meeting.groups()]
 
     return meetings(texts, parts, width, gram, work, schema, "length long, occurrences array<struct<doc_id: long, begin: long>>")
 
@@ -462,7 +488,7 @@ def _cut(docs: DataFrame, width: int, gram: int, id_col: str, text_col: str, sch
     """rows of each part's table and, for each of its texts, (bytes, spans removed, what is left)."""
     texts, parts = parted(docs, id_col, text_col, rest)
     narrow = texts.select("dp", "doc_id", "text")
-    marks = meetings(narrow, parts, width, gram, lambda m: _marks(*m.covered()), _BACK, "dp int, blob binary", own=lambda dp, x: [(dp, packed(*x))])
+    marks = meetings(narrow, parts, width, gram, _all_marks, _BACK, "dp int, blob binary", own=lambda dp, x: [(dp, packed(*x))])
 
     def cut(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:

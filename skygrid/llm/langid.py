@@ -286,11 +286,22 @@ def _stored(model: Model, windows: np.ndarray, n: int) -> np.ndarray:
 
 
 def bounded(counts: DataFrame, most: int) -> DataFrame:
-    """counts without the rarest n-grams of a language that has more than most; by a threshold, so none of equal count is preferred."""
-    ladder = counts.groupBy("lang", F.least("n", F.lit(1 << 20)).alias("n")).agg(F.count("*").alias("grams"))
-    above = Window.partitionBy("lang").orderBy(F.col("n").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    least = ladder.withColumn("kept", F.sum("grams").over(above)).where(F.col("kept") <= most).groupBy("lang").agg(F.min("n").alias("least"))
-    return counts.join(F.broadcast(least), "lang").where("n >= least").drop("least")
+    """counts without the rarest n-grams of a language that has more than most.
+
+    By a threshold on the count to five leading bits, so none of equal count is
+    preferred. If more than most share the highest, a hash of the n-gram picks about most of them.
+    """
+    shift = F.greatest(F.lit(0), F.length(F.bin("n")) - 5)
+    level = F.expr("shiftleft(shiftright(n, shift), shift)")
+    leveled = counts.withColumn("shift", shift).withColumn("level", level).drop("shift")
+    ladder = leveled.groupBy("lang", "level").agg(F.count("*").alias("grams"))
+    above = Window.partitionBy("lang").orderBy(F.col("level").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cuts = ladder.withColumn("kept", F.sum("grams").over(above)).groupBy("lang").agg(
+        F.min(F.when(F.col("kept") <= most, F.col("level"))).alias("least"), F.max("level").alias("top"), F.max_by("grams", "level").alias("top_grams")
+    )
+    drawn = F.pmod(F.xxhash64("gram"), F.lit(1 << 30)) * F.col("top_grams") < F.lit(most << 30).cast("double")
+    kept = F.when(F.col("least").isNotNull(), F.col("level") >= F.col("least")).otherwise((F.col("level") == F.col("top")) & drawn)
+    return leveled.join(F.broadcast(cuts), "lang").where(kept).select(*counts.columns)
 
 
 def learn(docs: DataFrame, calibrate: Column, max_grams: int = MAX_GRAMS, reject_quantile: float = 0.999, reject_margin: float = 1.0, lang_col: str = "lang", text_col: str = "text") -> Model:

@@ -74,3 +74,9 @@ def test_nothing_to_learn(spark):
 def test_bounded_tables_keep_ties_together(spark):
     counts = spark.createDataFrame([("a", f"g{k}", n) for k, n in enumerate([5, 5, 3, 3, 3, 1])] + [("b", "g", 1)], "lang string, gram string, n long")
     assert sorted((r.lang, r.n) for r in langid.bounded(counts, 4).collect()) == [("a", 5), ("a", 5), ("b", 1)]
+
+
+def test_bounded_tables_keep_every_language(spark):
+    counts = spark.createDataFrame([("a", f"g{i:04}", 7 << 40) for i in range(2000)] + [("b", "abcde", 1), ("c", "abcde", 40), ("c", "bcdef", 33)], "lang string, gram string, n long")
+    got = {r.lang: r["count"] for r in langid.bounded(counts, 1000).groupBy("lang").count().collect()}
+    assert 850 < got.pop("a") < 1150 and got == {"b": 1, "c": 2}

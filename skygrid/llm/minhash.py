@@ -11,9 +11,9 @@
 3. Bands of the signature are buckets. Each member is compared with the
    smallest of its bucket on full sets, which is linear in the bucket.
 4. A bucket of three or more whose members still lie in several components may
-   hide links between members. Its members meet with their full sets, in blocks
-   of bounded size, and those of different components are compared;
-   a task returns only the links that join components, so never all pairs.
+   hide links between members. Those outside its largest component meet all others with
+   their full sets, in blocks of bounded size, and those of different components are
+   compared; a task returns only the links that join components, so never all pairs.
 5. Components of all links give the result.
 
 With 20 bands of 4 a pair at similarity 0.85 shares no bucket with chance
@@ -232,24 +232,31 @@ def joining_links(ids: np.ndarray, comps: np.ndarray, sets: list[np.ndarray], pe
 def hidden_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (u, v) between components inside buckets; members: h, rep, comp.
 
-    A bucket of many members is dealt into blocks, and each pair of blocks is a task.
+    Those of a bucket's largest component need no comparison with each other. It and all others are dealt
+    into blocks; a task is a block of others with a block of the largest component, or with another block of others.
     """
-    open_ = members.groupBy("h").agg(F.min("comp").alias("a"), F.max("comp").alias("b"), F.count("*").alias("n")).where("a <> b")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    rows = members.join(open_.select("h", blocks.alias("blocks")), "h").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("h", "rep", "comp", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    sizes = members.groupBy("h", "comp").agg(F.count("*").alias("k"))
+    open_ = sizes.groupBy("h").agg(F.max_by("comp", F.struct("k", "comp")).alias("main"), F.sum("k").alias("n"), F.max("k").alias("k")).where("k < n")
+    open_ = open_.select("h", "main", *[F.ceil(x / BLOCK).cast("int").alias(c) for x, c in ((F.col("n") - F.col("k"), "others"), (F.col("k"), "mains"))])
+    apart, upto = F.col("comp") != F.col("main"), lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    block = F.pmod(F.xxhash64("rep"), F.when(apart, F.col("others")).otherwise(F.col("mains"))).cast("int")
+    task = lambda kind, i, j: F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"))
+    own = F.col("block")
+    among = F.transform(F.filter(upto("others"), lambda k: k != own), lambda k: task(1, F.least(k, own), F.greatest(k, own)))
+    places = F.when(apart, F.concat(F.transform(upto("mains"), lambda j: task(0, own, j)), among)).otherwise(F.transform(upto("others"), lambda i: task(0, i, own)))
+    rows = members.join(open_, "h").withColumn("block", block).select("h", "rep", "comp", F.explode(places).alias("t")).select("h", "t.kind", "t.i", "t.j", "rep", "comp")
     # A bucket over the same members as another has nothing to add.
-    tasks = rows.groupBy("h", "i", "j").agg(F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("same"), F.count("*").alias("size"), F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b")
-    once = tasks.groupBy("same", "size", "a", "b").agg(F.min(F.struct("h", "i", "j")).alias("t")).select("t.*")
-    full = rows.join(once, ["h", "i", "j"]).join(sets, F.col("rep") == F.col("doc_id")).select("h", "i", "j", "rep", "comp", "shingles")
+    name = ["h", "kind", "i", "j"]
+    tasks = rows.groupBy(*name).agg(F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("same"), F.count("*").alias("size"), F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b")
+    once = tasks.groupBy("same", "size", "a", "b").agg(F.min(F.struct(*name)).alias("t")).select("t.*")
+    full = rows.join(once, name).join(sets, F.col("rep") == F.col("doc_id")).select(*name, "rep", "comp", "shingles")
 
     def work(table: pa.Table) -> pa.Table:
         sets = [x.values.to_numpy() for x in table.column("shingles").combine_chunks()] if table.num_rows else []
         links = joining_links(table.column("rep").to_numpy(), table.column("comp").to_numpy(), sets, percent)
         return pa.table({"u": pa.array([a for a, _ in links], pa.int64()), "v": pa.array([b for _, b in links], pa.int64())})
 
-    return full.groupBy("h", "i", "j").applyInArrow(releasing(work), "u long, v long")
+    return full.groupBy(*name).applyInArrow(releasing(work), "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 5, bands: int = 20, rows: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -123,3 +123,14 @@ def test_components(spark, seed):
     linked = {x for a, b in edges if a != b for x in (a, b)}
     assert got == {x: root(x) for x in linked}
     assert graph.components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_hidden_links_between_blocks(spark, monkeypatch):
+    """Members of small blocks, in a largest component and outside it: as brute force over all pairs says."""
+    monkeypatch.setattr(minhash, "BLOCK", 2)
+    sets = {i: sorted({100 * (i // 2) + k for k in range(20)} | {-i - 1}) for i in range(11)}
+    comp = {i: 0 if i in (0, 2, 4, 6) else i for i in sets}
+    members = spark.createDataFrame([(7, i, comp[i]) for i in sets], "h long, rep long, comp long")
+    table = spark.createDataFrame(list(sets.items()), "doc_id long, shingles array<long>")
+    found = {tuple(sorted((r.u, r.v))) for r in minhash.hidden_links(members, table, 80).collect()}
+    assert found == {(i, i + 1) for i in range(0, 10, 2)}

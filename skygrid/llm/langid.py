@@ -15,8 +15,11 @@ texts have (their ``reject_quantile`` plus ``reject_margin`` nats, and as the av
 short text strays further, SHORT nats over the root of its length more); those texts are
 set aside from the counting.
 
-What is broadcast is bounded: past ``max_grams`` 5-grams in a language, the rarest
-counts are left out of its table (their mass goes to the lower orders).
+Statistics and scores are of all counts, however many there are. If no language has more than
+``max_grams`` 5-grams, the whole model is broadcast. Else Spark works out the model as tables
+that grow with the corpus (``Tables``), and only the scores of the most frequent 5-grams are
+broadcast. What a text has beside them is joined with the tables, so each text gets the
+score that the whole model gives.
 
 Defined cases
 - text null, empty or without a letter: "und", score 0, rejected
@@ -29,19 +32,21 @@ Defined cases
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import joined_bytes, mapped, mix64, slices, written
+from .common import discard, joined_bytes, mapped, mix64, slices, written
 
 ORDER = 5
 SLICE_BYTES = 1 << 19
-#: 5-grams that a language's table may hold.
+#: 5-grams of a language that may be broadcast.
 MAX_GRAMS = 200_000
+#: Sums of joined scores are whole multiples of 1 / SCALE, so that their order doesn't matter.
+SCALE = 1 << 30
 _STEP = np.uint64(0x9FB21C651E98DF25)  # odd; n-gram hashes are polynomials in it
 BLANK = 32
 SHORT = 4.0
@@ -118,6 +123,17 @@ class Model:
     contexts: dict[int, tuple[np.ndarray, np.ndarray]] = field(default_factory=dict)
     limits: np.ndarray | None = None
     index: dict[int, np.ndarray] = field(default_factory=dict)
+    #: Where set, grams has but some of order 5; all others are there.
+    tables: Tables | None = None
+
+
+@dataclass
+class Tables:
+    """A model as tables: gram, p (probability in each language), and context, back (the weight of the next lower order)."""
+
+    grams: dict[int, DataFrame]
+    contexts: dict[int, DataFrame]
+    base: float
 
 
 def probe(hashes: np.ndarray, wanted: np.ndarray, index: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -285,6 +301,67 @@ def _stored(model: Model, windows: np.ndarray, n: int) -> np.ndarray:
     return values[np.searchsorted(hashes, rows_hash(windows))].astype(np.float64)
 
 
+def kneser_ney_tables(counts: DataFrame, langs: list[str]) -> Tables:
+    """The model of counts(lang, gram, n) as kneser_ney() has it, worked out by Spark."""
+    each = range(len(langs))
+    by_lang = [F.sum(F.when(F.col("lang") == x, F.col("n")).otherwise(0)) for x in langs]
+    wide = {ORDER: written(counts.groupBy("gram").agg(F.array(*by_lang).alias("v")))}
+    for n in range(ORDER, 1, -1):
+        # An n-gram counts once for each different character before it.
+        before = [F.sum((F.col("v")[i] > 0).cast("long")) for i in each]
+        wide[n - 1] = written(wide[n].groupBy(F.expr("substring(gram, 2)").alias("gram")).agg(F.array(*before).alias("v")))
+    out = Tables({}, {}, 1.0 / (wide[1].count() + 1))
+    for n in range(1, ORDER + 1):
+        few = wide[n].agg(*[F.sum((F.col("v")[i] == k).cast("long")).alias(f"n{k}_{i}") for i in each for k in (1, 2)]).first()
+        ones, twos = (np.array([few[f"n{k}_{i}"] or 0 for i in each], float) for k in (1, 2))
+        discount = [float(x) for x in np.clip((ones + 0.5) / (ones + 2 * twos + 1.0), 0.1, 0.9)]
+        named = wide[n].withColumn("context", F.expr(f"substring(gram, 1, {n - 1})"))
+        sums = [F.sum(F.col("v")[i]).alias(f"t{i}") for i in each] + [F.sum((F.col("v")[i] > 0).cast("long")).alias(f"k{i}") for i in each]
+        total, back = F.array(*[F.col(f"t{i}") for i in each]), [F.when(F.col(f"t{i}") > 0, F.col(f"k{i}") * discount[i] / F.col(f"t{i}")).otherwise(1.0) for i in each]
+        out.contexts[n - 1] = written(named.groupBy("context").agg(*sums).select("context", total.alias("total"), F.array(*back).cast("array<float>").alias("back")))
+        full = named.join(out.contexts[n - 1], "context")
+        if n > 1:
+            full = full.withColumn("tail", F.expr("substring(gram, 2)")).join(out.grams[n - 1].select(F.col("gram").alias("tail"), F.col("p").alias("lower")), "tail")
+        else:
+            full = full.withColumn("lower", F.array(*[F.lit(out.base)] * len(langs)))
+        direct = [F.when(F.col("total")[i] > 0, F.greatest(F.col("v")[i] - discount[i], F.lit(0.0)) / F.col("total")[i]).otherwise(0.0) for i in each]
+        out.grams[n] = written(full.select("gram", F.array(*[direct[i] + F.col("back")[i] * F.col("lower")[i] for i in each]).cast("array<float>").alias("p")))
+    discard(*wide.values())
+    return out
+
+
+def table_scores(tables: Tables, grams: DataFrame, size: int) -> DataFrame:
+    """gram, whole (log probability in each of size languages times SCALE, rounded); grams: distinct 5-grams, seen or not."""
+    out = grams.select("gram")
+    for n in range(ORDER, 0, -1):
+        tail = F.expr(f"substring(gram, {ORDER + 1 - n}, {n})")
+        seen = tables.grams[n].select(F.col("gram").alias(f"gram{n}"), F.col("p").alias(f"p{n}"))
+        context = tables.contexts[n - 1].select(F.col("context").alias(f"context{n}"), F.col("back").alias(f"back{n}"))
+        out = out.withColumn(f"tail{n}", tail).join(seen, F.col(f"tail{n}") == F.col(f"gram{n}"), "left")
+        # The context matters only where the n-gram is unseen.
+        lead = F.when(F.col(f"p{n}").isNull(), F.expr(f"substring(gram, {ORDER + 1 - n}, {n - 1})"))
+        out = out.withColumn(f"lead{n}", lead).join(context, F.col(f"lead{n}") == F.col(f"context{n}"), "left")
+    whole = []
+    for i in range(size):
+        p = F.lit(tables.base)
+        for n in range(1, ORDER + 1):
+            p = F.coalesce(F.col(f"p{n}")[i].cast("double"), F.coalesce(F.col(f"back{n}")[i], F.lit(1.0)) * p)
+        whole.append(F.round(F.log(p) * SCALE).cast("long"))
+    return out.select("gram", F.array(*whole).alias("whole"))
+
+
+def frequent_model(tables: Tables, langs: list[str], grams: DataFrame) -> Model:
+    """A model whose broadcast part has the scores of grams; the tables have all."""
+    found = tables.grams[ORDER].join(grams.select("gram").distinct(), "gram", "left_semi").toArrow()
+    raw, _ = joined_bytes(found.column("gram"))
+    hashes = rows_hash(np.frombuffer(raw.tobytes().decode().encode("utf-32-le"), np.uint32).reshape(-1, ORDER))
+    values = np.log(found.column("p").combine_chunks().flatten().to_numpy()).astype(np.float32).reshape(-1, len(langs))
+    order = np.argsort(hashes)
+    model = Model(langs, float(np.log(tables.base)), {ORDER: (hashes[order], values[order])}, tables=tables)
+    model.index[ORDER] = lead_index(model.grams[ORDER][0])
+    return model
+
+
 def bounded(counts: DataFrame, most: int) -> DataFrame:
     """counts without the rarest n-grams of a language that has more than most.
 
@@ -308,8 +385,12 @@ def learn(docs: DataFrame, calibrate: Column, max_grams: int = MAX_GRAMS, reject
     """A model from all of docs with text and language; rows where calibrate holds set the rejection limits instead."""
     usable = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.coalesce(calibrate, F.lit(False)).alias("held")).where("lang is not null and text is not null")
     counts = written(gram_counts(usable.where("not held")))
+    sizes = {r["lang"]: r["count"] for r in counts.groupBy("lang").count().collect()}
     # At most max_grams rows a language come here.
-    model = kneser_ney(bounded(counts, max_grams).toArrow())
+    if max(sizes.values(), default=0) <= max_grams:
+        model = kneser_ney(counts.toArrow())
+    else:
+        model = frequent_model(kneser_ney_tables(counts, sorted(sizes)), sorted(sizes), bounded(counts, max_grams))
     if not model.langs:
         return model
     scored = scores(usable.where("held"), model, keep=("lang",))
@@ -319,36 +400,100 @@ def learn(docs: DataFrame, calibrate: Column, max_grams: int = MAX_GRAMS, reject
     return model
 
 
+def verdicts(model: Model, nats: np.ndarray, letters: np.ndarray, length: np.ndarray) -> list[pa.Array]:
+    """lang_pred, score, entropy and rejected of texts with these entropies."""
+    rows = len(letters)
+    names = np.array([*model.langs, "und"], dtype=object)
+    if model.langs:
+        best = nats.argmin(axis=1)
+        least = nats[np.arange(rows), best]
+        share = 1 / np.exp(np.maximum(least[:, None] - nats, -50.0)).sum(axis=1)
+        limits = model.limits[best] + SHORT / np.sqrt(np.maximum(length, 1)) if model.limits is not None else np.full(rows, np.inf)
+    else:
+        best, least, share, letters, limits = np.zeros(rows, int), np.zeros(rows), np.zeros(rows), np.zeros(rows, int), np.zeros(rows)
+    none = letters == 0
+    found = names[np.where(none, len(names) - 1, best)]
+    return [pa.array(found.tolist(), pa.string()), pa.array(np.where(none, 0.0, share)), pa.array(np.where(none, 0.0, least)), pa.array(none | (least > limits))]
+
+
+VERDICT = ["lang_pred", "score", "entropy", "rejected"]
+VERDICT_TYPES = "lang_pred string, score double, entropy double, rejected boolean"
+
+
 def scores(docs: DataFrame, model: Model, keep: tuple[str, ...] = (), text_col: str = "text") -> DataFrame:
     """The columns keep, with lang_pred, score (the best language's share, 0 to 1), entropy and rejected."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)
+    if model.tables is not None:
+        return _table_scores(docs, model, keep, text_col)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
     out = docs.select(*keep, F.col(text_col).alias("_text"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema.fields[:-1])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        names = np.array([*model.langs, "und"], dtype=object)
         for batch in batches:
             for part in slices(batch, "_text", SLICE_BYTES):
-                rows = part.num_rows
-                if model.langs:
-                    nats, letters, length = cross_entropies(model, *joined_bytes(part.column("_text")))
-                    best = nats.argmin(axis=1)
-                    least = nats[np.arange(rows), best]
-                    share = 1 / np.exp(np.maximum(least[:, None] - nats, -50.0)).sum(axis=1)
-                    limits = model.limits[best] + SHORT / np.sqrt(np.maximum(length, 1)) if model.limits is not None else np.full(rows, np.inf)
-                else:
-                    best, least, share, letters, limits = np.zeros(rows, int), np.zeros(rows), np.zeros(rows), np.zeros(rows, int), np.zeros(rows)
-                none = letters == 0
-                found = names[np.where(none, len(names) - 1, best)]
+                nats, letters, length = cross_entropies(model, *joined_bytes(part.column("_text"))) if model.langs else (None, np.zeros(part.num_rows, int), None)
                 columns = [part.column(i) for i in range(part.num_columns - 1)]
-                yield pa.RecordBatch.from_arrays(
-                    [*columns, pa.array(found.tolist(), pa.string()), pa.array(np.where(none, 0.0, share)), pa.array(np.where(none, 0.0, least)), pa.array(none | (least > limits))],
-                    [*part.schema.names[:-1], "lang_pred", "score", "entropy", "rejected"],
-                )
+                yield pa.RecordBatch.from_arrays([*columns, *verdicts(model, nats, letters, length)], [*part.schema.names[:-1], *VERDICT])
+
+    return mapped(out, work, (fields + ", " if fields else "") + VERDICT_TYPES)
+
 
-    return mapped(out, work, (fields + ", " if fields else "") + "lang_pred string, score double, entropy double, rejected boolean")
+def _table_scores(docs: DataFrame, model: Model, keep: tuple[str, ...], text_col: str) -> DataFrame:
+    """scores() where the model isn't broadcast whole: 5-grams that aren't there are scored by the tables.
+
+    A text's md5 brings these scores back to its rows; equal texts have equal ones.
+    """
+    spark, size = docs.sparkSession, len(model.langs)
+    shared = spark.sparkContext.broadcast(replace(model, tables=None))
+    out = docs.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], F.md5(F.col(text_col).cast("binary")).alias("mark"), F.col(text_col).alias("_text"))
+    fields = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in out.schema.fields[:-2])
+
+    def broadcast_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        hashes, values = model.grams[ORDER]
+        for batch in batches:
+            for part in slices(batch, "_text", SLICE_BYTES):
+                points, ends = folded(*joined_bytes(part.column("_text")))
+                length, own = np.diff(ends), gram_hashes(points, ends, ORDER)
+                letters = np.concatenate([[0], np.cumsum(points != BLANK)])
+                at, hit = probe(hashes, own, model.index[ORDER])
+                sums, some = np.zeros((part.num_rows, size)), np.flatnonzero(length)
+                if len(some) and len(values):
+                    sums[some] = np.add.reduceat(np.where(hit[:, None], values[at], np.float32(0)), ends[some], axis=0, dtype=np.float64)
+                miss = np.flatnonzero(~hit)
+                text = np.searchsorted(ends, miss, side="right") - 1
+                order = np.lexsort((own[miss], text))
+                miss, text = miss[order], text[order]
+                new = np.ones(len(miss), bool)
+                new[1:] = (text[1:] != text[:-1]) | (own[miss[1:]] != own[miss[:-1]])
+                first = np.flatnonzero(new)
+                grams = windows_at(points, ends, miss[first], ORDER).astype("<u4").tobytes().decode("utf-32-le")
+                grams = pa.array([grams[i : i + ORDER] for i in range(0, len(grams), ORDER)], pa.string())
+                times = pa.array(np.diff(np.append(first, len(miss))).astype(np.int64))
+                starts = np.concatenate([[0], np.cumsum(np.bincount(text[first], minlength=part.num_rows))]).astype(np.int32)
+                rest = pa.ListArray.from_arrays(pa.array(starts), pa.StructArray.from_arrays([grams, times], ["gram", "n"]))
+                whole = pa.ListArray.from_arrays(pa.array(np.arange(part.num_rows + 1, dtype=np.int32) * size), pa.array(sums.reshape(-1)))
+                columns = [part.column(i) for i in range(part.num_columns - 1)]
+                yield pa.RecordBatch.from_arrays([*columns, whole, pa.array(letters[ends[1:]] - letters[ends[:-1]]), pa.array(length), rest], [*part.schema.names[:-1], "sums", "letters", "length", "rest"])
+
+    near = written(mapped(out, broadcast_part, fields + "mark string, sums array<double>, letters long, length long, rest array<struct<gram: string, n: long>>"))
+    far = near.where(F.size("rest") > 0).dropDuplicates(["mark"]).select("mark", F.explode("rest").alias("r")).select("mark", "r.gram", "r.n")
+    scored = written(table_scores(model.tables, near.select(F.explode("rest.gram").alias("gram")).distinct(), size))
+    added = far.join(scored, "gram").groupBy("mark").agg(F.array(*[F.sum(F.col("n") * F.col("whole")[i]) for i in range(size)]).alias("added"))
+    whole = near.drop("rest").join(added, "mark", "left")
+    sums = F.array(*[F.col("sums")[i] + F.coalesce(F.col("added")[i], F.lit(0)) / SCALE for i in range(size)])
+    whole = whole.select(*[f"k{i}" for i in range(len(keep))], sums.alias("sums"), "letters", "length")
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for batch in batches:
+            length = batch.column("length").to_numpy()
+            nats = -batch.column("sums").flatten().to_numpy().reshape(-1, size) / np.maximum(length, 1)[:, None]
+            columns = [batch.column(i) for i in range(batch.num_columns - 3)]
+            yield pa.RecordBatch.from_arrays([*columns, *verdicts(model, nats, batch.column("letters").to_numpy(), length)], [*batch.schema.names[:-3], *VERDICT])
+
+    return mapped(whole, judge, fields + VERDICT_TYPES).select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], *VERDICT)
 
 
 def fold(id_col: str = "doc_id") -> Column:
@@ -375,9 +520,18 @@ def learn_from(docs: DataFrame, id_col: str, lang_col: str, text_col: str, **opt
 
 
 def accepted(docs: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", text_col: str = "text", **options) -> DataFrame:
-    """docs without the rows whose language is rejected; rows pass through the tasks that score them, without a shuffle."""
+    """docs without the rows whose language is rejected.
+
+    Rows pass through the tasks that score them, without a shuffle; where the model isn't broadcast whole,
+    the rejected texts' md5 are taken from docs.
+    """
     model = learn_from(docs, id_col, lang_col, text_col, **options)
     numbered = docs.select(*[docs[c].alias(f"c{i}") for i, c in enumerate(docs.columns)])
     text = f"c{docs.columns.index(text_col)}"
-    kept = scores(numbered, model, keep=tuple(numbered.columns), text_col=text).where("not rejected")
+    if model.tables is None:
+        kept = scores(numbered, model, keep=tuple(numbered.columns), text_col=text).where("not rejected")
+    else:
+        marked = numbered.where(F.col(text).isNotNull()).withColumn("mark", F.md5(F.col(text).cast("binary")))
+        gone = written(scores(marked, model, keep=("mark",), text_col=text).where("rejected").select("mark").distinct())
+        kept = marked.join(gone, "mark", "left_anti")
     return kept.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])

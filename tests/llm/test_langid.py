@@ -80,3 +80,17 @@ def test_bounded_tables_keep_every_language(spark):
     counts = spark.createDataFrame([("a", f"g{i:04}", 7 << 40) for i in range(2000)] + [("b", "abcde", 1), ("c", "abcde", 40), ("c", "bcdef", 33)], "lang string, gram string, n long")
     got = {r.lang: r["count"] for r in langid.bounded(counts, 1000).groupBy("lang").count().collect()}
     assert 850 < got.pop("a") < 1150 and got == {"b": 1, "c": 2}
+
+
+def test_small_broadcast_table_changes_no_score(spark):
+    """However few 5-grams are broadcast, entropies are those of the whole model: statistics are of all counts."""
+    rows = corpus(300) + [(900, None, "aa"), (901, "", "aa"), (902, "12", "bb"), (903, "日本語 xyz", "cc"), (5, "the of", "aa"), (5, "the of", "aa")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    whole, small = (sorted(langid.identify(docs, max_grams=k).collect(), key=lambda r: (r.doc_id, r.entropy)) for k in (10**6, 60))
+    assert langid.learn_from(docs, "doc_id", "lang", "text", max_grams=60).tables is not None
+    assert len(whole) == len(small) == len(rows)
+    for a, b in zip(whole, small, strict=True):
+        assert (a.doc_id, a.held_out, a.lang_pred, a.rejected) == (b.doc_id, b.held_out, b.lang_pred, b.rejected)
+        assert abs(a.entropy - b.entropy) < 1e-4 and abs(a.score - b.score) < 1e-4
+    kept = [sorted((r.doc_id, r.text) for r in langid.accepted(docs, max_grams=k).collect()) for k in (10**6, 60)]
+    assert kept[0] == kept[1] and len(kept[0]) >= 300

@@ -7,13 +7,15 @@ of each make a 32-bit integer per frame.
 
 Recordings with equal integers throughout are one class. Between classes, keys of three
 successive integers (thinned: the least hash of every window of eight) are the
-meeting points; each member of a key meets the key's first class. How often the members of a
+meeting points; all members of a key meet, at all places where they have it. A key with many members is dealt into
+blocks, and a pair of blocks is what meets at once. How often the members of a
 pair meet at each offset is a histogram; at its peak the integers are laid side by side, and
 the pair is linked if enough of them overlap and few of their bits differ. Linked classes make groups by
-union-find. Nothing is emitted for pairs inside a class or for pairs of a key's other members.
+union-find. Nothing is emitted for pairs inside a class.
 
 Defined cases
-- samples null or too short for one integer: no integers, a group of their own
+- samples null or empty: no integers, a group of their own
+- samples too short for one integer: one group with those of equal bytes
 - silence: equal integers; such recordings are one class if equally long
 - very long recordings: whole, a few thousand frames at a time
 - id null: a group of its own
@@ -23,6 +25,7 @@ Defined cases
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections.abc import Iterator
 
@@ -40,6 +43,8 @@ CLASSES, FILTERS, REACH = 12, 16, 8
 KEY, WINDOW = 3, 8
 #: Links of one class that meet in one task.
 LEADER_LINKS = 64
+#: Places of a key in a block.
+BLOCK = 256
 #: A filter's value is put in one of four bins at these bounds.
 BOUNDS = (-0.25, 0.0, 0.25)
 
@@ -104,7 +109,7 @@ def prints(frames: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def fingerprints(recordings: DataFrame, id_col: str, media_col: str) -> DataFrame:
-    """id, n_frames, n_prints, prints (array), prints_crc32 (of them as little-endian unsigned integers)."""
+    """id, n_frames, n_prints, prints (array), prints_crc32 (of them as little-endian unsigned integers), raw (md5 of samples without prints)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -114,11 +119,12 @@ def fingerprints(recordings: DataFrame, id_col: str, media_col: str) -> DataFram
                 found, kept = prints(frames, counts)
                 ends = np.concatenate([[0], np.cumsum(kept)])
                 crcs = [zlib.crc32(found[a:b].astype("<u4").tobytes()) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+                raw = [hashlib.md5(x).digest() if not n and x else None for n, x in zip(kept.tolist(), part.column("media").to_pylist(), strict=True)] if not kept.all() else [None] * part.num_rows
                 lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(found.view(np.int32)))
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(counts.astype(np.int64)), pa.array(kept.astype(np.int64)), lists, pa.array(crcs, pa.int64())], ["id", "n_frames", "n_prints", "prints", "prints_crc32"])
+                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(counts.astype(np.int64)), pa.array(kept.astype(np.int64)), lists, pa.array(crcs, pa.int64()), pa.array(raw, pa.binary())], ["id", "n_frames", "n_prints", "prints", "prints_crc32", "raw"])
 
     narrow = recordings.select(F.col(id_col).cast("long").alias("id"), F.col(media_col).alias("media"))
-    return mapped(narrow, work, "id long, n_frames long, n_prints long, prints array<int>, prints_crc32 long")
+    return mapped(narrow, work, "id long, n_frames long, n_prints long, prints array<int>, prints_crc32 long, raw binary")
 
 
 def keys(classes: DataFrame) -> DataFrame:
@@ -154,6 +160,16 @@ def bit_errors(a: F.Column, b: F.Column) -> F.Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
 
 
+def meetings(found: DataFrame) -> DataFrame:
+    """u, v, offset: every two classes u > v at every two places (of found: rep, key, pos) where they have one key."""
+    shared = found.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"), F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo <> hi").select("key", "blocks")
+    dealt = found.join(shared, "key").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    dealt = written(dealt.withColumn("all", F.sequence(F.lit(0), F.col("blocks") - 1)).drop("blocks"))
+    left = dealt.select("key", F.col("own").alias("i"), F.explode("all").alias("j"), F.col("rep").alias("u"), F.col("pos").alias("pos_u"))
+    right = dealt.select("key", F.explode("all").alias("i"), F.col("own").alias("j"), F.col("rep").alias("v"), F.col("pos").alias("pos_v"))
+    return left.join(right, ["key", "i", "j"]).where("u > v").select("u", "v", (F.col("pos_u") - F.col("pos_v")).alias("offset"))
+
+
 def aligned(recordings: DataFrame, id_col: str, media_col: str, least_overlap: int = 8, least_share: float = 0.5, most_errors: float = 0.15) -> DataFrame:
     """id, n_frames, n_prints, prints_crc32, group_id (smallest id of its group), n_links (of its class, with other classes)."""
     signed = written(fingerprints(recordings, id_col, media_col))
@@ -161,18 +177,19 @@ def aligned(recordings: DataFrame, id_col: str, media_col: str, least_overlap: i
     some = signed.where(usable)
     classes = written(some.groupBy("prints_crc32", "prints").agg(F.min("id").alias("rep"), F.max("n_prints").alias("n")))
     found = written(keys(classes))
-    firsts = found.groupBy("key").agg(F.min(F.struct("rep", "pos")).alias("lead"), F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo <> hi").select("key", "lead")
-    meets = found.join(firsts, "key").where("rep <> lead.rep").select(F.col("rep").alias("u"), F.col("lead.rep").alias("v"), (F.col("pos") - F.col("lead.pos")).alias("offset"))
+    meets = meetings(found)
     peaks = meets.groupBy("u", "v", "offset").agg(F.count("*").alias("n")).groupBy("u", "v").agg(F.max(F.struct("n", -F.abs("offset"), "offset")).alias("m")).select("u", "v", "m.offset")
-    peaks = written(peaks)
-    # The first class of a common key goes to as many places as its pairs fill.
-    degree = peaks.groupBy("v").agg(F.ceil(F.count("*") / LEADER_LINKS).cast("int").alias("places"))
-    right = degree.join(classes, F.col("v") == F.col("rep")).select("v", F.explode(F.sequence(F.lit(0), F.col("places") - 1)).alias("place"), F.col("prints").alias("b"), F.col("n").alias("nb"))
-    left = peaks.join(degree, "v").withColumn("place", F.pmod(F.xxhash64("u"), F.col("places")).cast("int")).join(classes.select(F.col("rep").alias("u"), F.col("prints").alias("a"), F.col("n").alias("na")), "u")
-    both = left.join(right, ["v", "place"])
+    # Pairs that overlap too little go before prints are sent.
+    sizes = classes.select("rep", "n")
+    peaks = peaks.join(sizes.select(F.col("rep").alias("u"), F.col("n").alias("na")), "u").join(sizes.select(F.col("rep").alias("v"), F.col("n").alias("nb")), "v")
     begin = F.greatest(F.col("offset"), F.lit(0))
     overlap = F.least(F.col("na") - begin, F.col("nb") - F.greatest(-F.col("offset"), F.lit(0))).cast("int")
-    both = both.withColumn("overlap", overlap).where((F.col("overlap") >= least_overlap) & (F.col("overlap") >= F.least("na", "nb") * least_share))
+    peaks = written(peaks.withColumn("overlap", overlap).where((F.col("overlap") >= least_overlap) & (F.col("overlap") >= F.least("na", "nb") * least_share)))
+    # A pair's first class goes to as many places as its pairs fill.
+    degree = peaks.groupBy("v").agg(F.ceil(F.count("*") / LEADER_LINKS).cast("int").alias("places"))
+    right = degree.join(classes, F.col("v") == F.col("rep")).select("v", F.explode(F.sequence(F.lit(0), F.col("places") - 1)).alias("place"), F.col("prints").alias("b"))
+    left = peaks.join(degree, "v").withColumn("place", F.pmod(F.xxhash64("u"), F.col("places")).cast("int")).join(classes.select(F.col("rep").alias("u"), F.col("prints").alias("a")), "u")
+    both = left.join(right, ["v", "place"])
     side_a, side_b = F.slice("a", begin + 1, F.col("overlap")), F.slice("b", F.greatest(-F.col("offset"), F.lit(0)) + 1, F.col("overlap"))
     links = written(both.where(bit_errors(side_a, side_b) <= F.col("overlap") * 32 * most_errors).select("u", "v"))
     groups = components(links)
@@ -180,7 +197,10 @@ def aligned(recordings: DataFrame, id_col: str, media_col: str, least_overlap: i
     named = classes.join(groups, F.col("rep") == F.col("node"), "left").join(count, F.col("rep") == F.col("u"), "left")
     named = named.select("prints_crc32", "prints", F.coalesce("component", "rep").alias("group_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     full = some.join(named, ["prints_crc32", "prints"]).select("id", "n_frames", "n_prints", "prints_crc32", "group_id", "n_links")
-    rest = signed.where(~usable).select("id", "n_frames", "n_prints", "prints_crc32", F.col("id").alias("group_id"), F.lit(0).cast("long").alias("n_links"))
+    rest = signed.where(~usable)
+    equal = rest.where("raw is not null and id is not null").groupBy("raw").agg(F.min("id").alias("least"))
+    rest = rest.join(equal, "raw", "left").withColumn("group_id", F.when(F.col("id").isNotNull(), F.coalesce("least", "id")))
+    rest = rest.select("id", "n_frames", "n_prints", "prints_crc32", "group_id", F.lit(0).cast("long").alias("n_links"))
     return full.unionByName(rest)
 
 

@@ -76,3 +76,30 @@ def test_sound_of_texts(spark):
 def test_filters_stay_in_the_image(k):
     for a, b, c, d in media.filter_areas()[k]:
         assert 0 <= a < b <= media.REACH and 0 <= c < d <= media.CLASSES
+
+
+def groups(spark, tunes):
+    rows = [(i, bytearray(tune(list(n)))) for i, n in tunes.items()]
+    return {r.id: (r.group_id, r.n_links) for r in media.aligned(spark.createDataFrame(rows, "clip long, media binary"), "clip", "media").collect()}
+
+
+def test_pairs_hidden_behind_an_earlier_class(spark):
+    """3 and 4 have each common key with 1 or 2, which align with neither."""
+    rng = np.random.default_rng(3)
+    u, noise = rng.integers(0, 24, 100), rng.integers(0, 24, 100)
+    w = u.copy()
+    w[48:52] = (w[48:52] + 5) % 24
+    got = groups(spark, {1: np.concatenate([u[:50], noise[:50]]), 2: np.concatenate([noise[50:], u[50:]]), 3: u, 4: w})
+    assert got == {1: (1, 0), 2: (2, 0), 3: (3, 1), 4: (3, 1)}
+
+
+@pytest.mark.parametrize("block", [1, 256])
+def test_links_of_all_pairs_are_counted(spark, monkeypatch, block):
+    monkeypatch.setattr(media, "BLOCK", block)
+    base = np.random.default_rng(4).integers(0, 24, 80)
+    assert groups(spark, {1: base, 2: base[7:], 3: base[12:], 4: base[:70]}) == {i: (1, 3) for i in (1, 2, 3, 4)}
+
+
+def test_short_recordings_of_equal_bytes(spark):
+    got = groups(spark, {1: [3, 4], 2: [3, 5], 3: [3, 4], 4: [], 5: []})
+    assert got == {1: (1, 0), 2: (2, 0), 3: (1, 0), 4: (4, 0), 5: (5, 0)}

@@ -186,7 +186,7 @@ def shared_leaders(rows: list[tuple[int, bytes]]) -> Iterator[tuple[int, bytes]]
         yield part, packed(np.diff(h[s], prepend=np.uint64(0)), many[s])
 
 
-def part_stretches(part: Part, rows: list[bytes], width: int, parts: int) -> tuple[list[tuple[int, bytes]], tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def part_stretches(part: Part, rows: list[bytes], width: int, parts: int, every: bool = False) -> tuple[list[tuple[int, bytes]], tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Stretches to send, by part of the hashes, and ranges (row, begin, end) that this part covers by itself."""
     found = [unpacked(raw) for raw in rows]
     shared = np.concatenate([np.cumsum(h, dtype=np.uint64) for h, _ in found]) if found else np.zeros(0, np.uint64)
@@ -212,8 +212,8 @@ def part_stretches(part: Part, rows: list[bytes], width: int, parts: int) -> tup
     lead = np.flatnonzero(new)[np.cumsum(new) - 1] if len(new) else np.zeros(0, np.int64)
     later = part.ids[doc] > part.ids[doc[lead]]
     covered = doc[later], begin[later] - part.offsets[doc[later]], begin[later] - part.offsets[doc[later]] + size[later]
-    # Of the first document all equal stretches go on, as another part may cover them.
-    go = ~later
+    # Of the first document all equal stretches go on, as another part may cover them; for groups, those of every document.
+    go = ~later | every
     begin, size, key, doc = begin[go], size[go], key[go], doc[go]
     section = part_of(key, parts * SECTIONS)
     order = np.argsort(section, kind="stable")
@@ -388,6 +388,16 @@ class Meeting:
                 s = stretch[j]
                 places += [(int(self.doc[r]), int(self.begin[r] + self.order[j] - self.start[s])) for r in rows[first[s] : first[s + 1]]]
             yield int(self.length[i]), sorted(places)
+        # A stretch of several occurrences that no other stretch begins or holds is in no interval.
+        deepest = np.zeros(len(self.order), np.int64)
+        for i in np.argsort(self.length, kind="stable").tolist():
+            deepest[self.first[i] : self.last[i] + 1] = self.length[i]
+        place = np.full(len(self.data) + 1, -1)
+        place[self.order] = np.arange(len(self.order))
+        for s in np.flatnonzero(np.diff(first) > 1).tolist():
+            at = place[self.start[s]]
+            if at < 0 or deepest[at] < self.size[s]:
+                yield int(self.size[s]), sorted((int(self.doc[r]), int(self.begin[r])) for r in rows[first[s] : first[s + 1]])
 
 
 def met(rows: list[tuple[int, bytes]], width: int) -> Iterator[Meeting]:
@@ -450,7 +460,7 @@ def meetings(texts: DataFrame, parts: int, width: int, gram: int, work: Callable
         if not left.num_rows or not right.num_rows:
             return _TO.empty_table()
         dp = key[0].as_py()
-        out, (docs, begin, end) = part_stretches(Part(left, width, gram), right.column("blob").to_pylist(), width, parts * SPREAD)
+        out, (docs, begin, end) = part_stretches(Part(left, width, gram), right.column("blob").to_pylist(), width, parts * SPREAD, every=own is None)
         rows = [(hp, dp, raw) for hp, raw in out]
         # Own ranges travel with the stretches, as rows of no meeting.
         if own is not None and len(docs):

@@ -103,3 +103,21 @@ def test_groups_have_all_occurrences(spark):
         assert len(strings) == 1
         want = [(i, b) for i, t in docs for b in range(len(t)) if t.startswith(next(iter(strings)), b)]
         assert sorted(places) == sorted(want)
+
+
+def test_groups_have_the_copies_of_one_part(spark):
+    """Whole copies, and a passage of 200 bytes, within one part: all bytes and all documents are in groups."""
+    rng = random.Random(11)
+    noise = lambda n: "".join(rng.choices("abcdefghij", k=n))
+    copy, passage = noise(400), noise(200)
+    docs = {1: copy, 2: copy, 3: copy, 4: noise(90) + passage + noise(30), 5: noise(10) + passage + noise(70)}
+    want = {1: set(range(400)), 2: set(range(400)), 3: set(range(400)), 4: set(range(90, 290)), 5: set(range(10, 210))}
+    got = {i: set() for i in docs}
+    for length, places in suffixes.repeat_groups(spark.createDataFrame(list(docs.items()), "doc_id long, text string")).collect():
+        passages = {docs[p.doc_id][p.begin : p.begin + length] for p in places}
+        assert len(passages) == 1 and length >= 50
+        ids = {p.doc_id for p in places}
+        assert ids == ({1, 2, 3} if 1 in ids else {4, 5})
+        for p in places:
+            got[p.doc_id] |= set(range(p.begin, p.begin + length))
+    assert got == want

@@ -13,7 +13,7 @@ is not above bound * (1 + EPSILON / sqrt(d)) ** 2, a test of the hypothesis that
 bound. The few that pass all tests are scored exactly on the vectors as given.
 
 Ties go to the smaller id. Defined cases
-- ids null, and vectors null, empty, zero, of another length than the longest, or with null
+- ids null, and vectors null, empty, zero, of another length than the commonest, or with null
   or non-finite components take no part, as queries or candidates
 - fewer candidates than k: all of them
 - repeated ids: one candidate, with its best row; a query's own id is none
@@ -67,8 +67,9 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """vec_id, v: rows that take part."""
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v")).where("vec_id is not null and v is not null and size(v) > 0")
     rows = rows.where("forall(v, x -> x is not null and not isnan(x) and abs(x) < double('infinity')) and exists(v, x -> x <> 0)")
-    longest = rows.agg(F.max(F.size("v"))).first()[0]
-    return rows.where(F.size("v") == F.lit(longest))
+    # The longer one, if two lengths are equally common.
+    common = rows.groupBy(F.size("v").alias("length")).count().agg(F.max_by("length", F.struct("count", "length"))).first()[0]
+    return rows.where(F.size("v") == F.lit(common))
 
 
 def trained(rows: DataFrame, k: int, sample_rows: int, lists: int | None, recall: float, seed: int) -> Index | None:

@@ -76,3 +76,9 @@ def test_abandoned_early_yet_right():
         who, ids, score = ann.scan_block(index, np.arange(500), x, 1000 + np.arange(20), q, bounds)
         found = sum(len(set(ids[who == 1000 + i]) & set(np.argsort(-cos[i])[:5])) for i in range(20))
         assert found >= 97 and np.allclose(score, cos[who - 1000, ids])
+
+
+def test_one_overlong_vector_leaves_the_others(spark):
+    df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 0.1]), (3, [0.0, 1.0]), (4, [1.0] * 9)], "vec_id long, embedding array<float>")
+    assert sorted(r.vec_id for r in ann.usable(df, "vec_id", "embedding").collect()) == [1, 2, 3]
+    assert ann.usable(df.where("false"), "vec_id", "embedding").count() == 0

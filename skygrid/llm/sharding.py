@@ -27,7 +27,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import discard, written
 
 #: Bits of the key's hash and of the tie's hash; hex digits times 4.
 KEY_BITS, TIE_BITS = 32, 28
@@ -62,23 +62,30 @@ def extendible_shards(df: DataFrame, key: Sequence[str], size: Column, limit: in
     shards = max(1, -(-total // limit))
     depth, shallow = min(ALL_BITS, (shards - 1).bit_length() + step_bits), 0
     cells, todo = None, weighed
+    spent: list[DataFrame] = []
     while True:
         # Sums of the cells at this depth, and from them those of every prefix since the last depth.
-        fine = todo.groupBy(prefix(F.col("_bits"), depth).alias("_cell")).agg(F.sum("n_bytes").alias("b"), F.count("*").alias("n"), F.min("_bits").alias("lo"), F.max("_bits").alias("hi"))
+        fine = written(todo.groupBy(prefix(F.col("_bits"), depth).alias("_cell")).agg(F.sum("n_bytes").alias("b"), F.count("*").alias("n"), F.min("_bits").alias("lo"), F.max("_bits").alias("hi")))
         levels = F.explode(F.sequence(F.lit(shallow), F.lit(depth)))
         by_level = fine.withColumn("level", levels).withColumn("p", F.call_function("shiftright", F.col("_cell"), F.lit(depth) - F.col("level")))
         sums = by_level.groupBy("level", "p").agg(F.sum("b").alias("b"), F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
         ends = sums.where((F.col("b") <= limit) | (F.col("lo") == F.col("hi")) | (F.col("level") == ALL_BITS))
-        found = (
+        found = written(
             by_level.select("_cell", "level", "p").join(ends.select("level", "p", "b", "n"), ["level", "p"])
             .groupBy("_cell").agg(F.min(F.struct("level", "p", "b", "n")).alias("s"))
             .select("_cell", F.lit(depth).alias("_depth"), "s.*")
         )
         cells = found if cells is None else cells.unionByName(found)
-        large = fine.join(found, "_cell", "left_anti")
+        large = written(fine.join(found, "_cell", "left_anti").select("_cell"))
+        discard(fine)
         if depth == ALL_BITS or not large.count():
+            discard(large, *spent)
             break
-        todo = todo.withColumn("_cell", prefix(F.col("_bits"), depth)).join(large.select("_cell"), "_cell", "left_semi").drop("_cell")
+        # Each step's rows are written: the next step's plan begins there, however many steps a hot key takes.
+        todo = written(todo.withColumn("_cell", prefix(F.col("_bits"), depth)).join(large, "_cell", "left_semi").drop("_cell"))
+        discard(large, *spent)
+        spent = [todo]
+        step_bits = min(16, 2 * step_bits)  # few cells are left, and a hot key's rows part only after its 32 bits
         shallow, depth = depth + 1, min(ALL_BITS, depth + step_bits)
     name = F.when(F.col("level") == 0, F.lit("")).otherwise(F.lpad(F.conv(F.col("p").cast("string"), 10, 2), F.col("level"), F.lit("0")))
     directory = cells.select(name.alias("shard"), F.col("level").alias("depth"), F.col("b").alias("shard_bytes"), F.col("n").alias("shard_rows"), (F.col("b") > limit).alias("oversized")).distinct()

@@ -10,16 +10,16 @@ weight that goes to the next lower order. Looking up an n-gram once so scores
 it in all languages; only n-grams met in no language go to lower orders.
 
 A text gets the language of least cross-entropy per character. It is rejected if
-it has no letter, or if that entropy is above what the language's own calibration
-texts have (their ``reject_quantile`` plus ``reject_margin`` nats, and as the average of a
-short text strays further, SHORT nats over the root of its length more); those texts are
-set aside from the counting.
+it has no letter, or if that entropy is too high for a text of its language and length. What is too high
+is calibrated on texts set aside from the counting: their entropies' mean for each language
+and their spread for each class of lengths make every entropy a distance in spreads, and the limit is
+the distance that a share ``reject_rate`` of such texts passes (by an exponential tail above
+their ninth decile, so few calibration texts give a limit as well).
 
-Statistics and scores are of all counts, however many there are. If no language has more than
-``max_grams`` 5-grams, the whole model is broadcast. Else Spark works out the model as tables
-that grow with the corpus (``Tables``), and only the scores of the most frequent 5-grams are
-broadcast. What a text has beside them is joined with the tables, so each text gets the
-score that the whole model gives.
+Statistics and scores are of all counts, however many there are, and are worked out by Spark as tables
+that grow with the corpus (``Tables``). The scores of the most frequent 5-grams are broadcast as
+sorted hash arrays, ``max_scores`` numbers in all. What a text has beside them is joined with the tables, so each
+text gets the score that the whole model gives.
 
 Defined cases
 - text null, empty or without a letter: "und", score 0, rejected
@@ -32,7 +32,9 @@ Defined cases
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
+from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -43,13 +45,14 @@ from .common import discard, joined_bytes, mapped, mix64, slices, written
 
 ORDER = 5
 SLICE_BYTES = 1 << 19
-#: 5-grams of a language that may be broadcast.
-MAX_GRAMS = 200_000
+#: Scores (5-grams times languages) that may be broadcast, of four bytes each.
+MAX_SCORES = 1 << 22
+#: Distinct 5-grams of a language that a counting task holds before it sends them on.
+HELD_GRAMS = 1 << 20
 #: Sums of joined scores are whole multiples of 1 / SCALE, so that their order doesn't matter.
 SCALE = 1 << 30
 _STEP = np.uint64(0x9FB21C651E98DF25)  # odd; n-gram hashes are polynomials in it
 BLANK = 32
-SHORT = 4.0
 
 
 def _fold_table() -> np.ndarray:
@@ -115,16 +118,16 @@ def gram_hashes(points: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
 
 @dataclass
 class Model:
-    """grams[n]: hashes, log probabilities (rows x languages) and back-off weights of the n-gram as a context."""
+    """Sorted hashes of the broadcast 5-grams and their log probabilities (rows x languages); the tables have all."""
 
     langs: list[str]
-    base: float = 0.0
-    grams: dict[int, tuple[np.ndarray, np.ndarray]] = field(default_factory=dict)
-    contexts: dict[int, tuple[np.ndarray, np.ndarray]] = field(default_factory=dict)
-    limits: np.ndarray | None = None
-    index: dict[int, np.ndarray] = field(default_factory=dict)
-    #: Where set, grams has but some of order 5; all others are there.
+    hashes: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
+    values: np.ndarray = field(default_factory=lambda: np.zeros((0, 0), np.float32))
     tables: Tables | None = None
+    #: Calibration: usual entropy by language, spread by class of length, and the spreads above which a text is rejected.
+    usual: np.ndarray | None = None
+    spread: np.ndarray | None = None
+    limit: float = float("inf")
 
 
 @dataclass
@@ -136,13 +139,10 @@ class Tables:
     base: float
 
 
-def probe(hashes: np.ndarray, wanted: np.ndarray, index: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+def probe(hashes: np.ndarray, wanted: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places of wanted in the sorted hashes, and whether they are there."""
     if not len(hashes):
         return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
-    if index is None:
-        at = np.minimum(np.searchsorted(hashes, wanted), len(hashes) - 1)
-        return at, hashes[at] == wanted
     # Leading bits say where to begin; hashes are even, so few steps end the search.
     lead = (wanted >> np.uint64(44)).astype(np.int64)
     at, stop = index[lead].astype(np.int64), index[lead + 1]
@@ -159,46 +159,6 @@ def lead_index(hashes: np.ndarray) -> np.ndarray:
     return np.searchsorted(hashes, np.arange((1 << 20) + 1, dtype=np.uint64) << np.uint64(44)).astype(np.int32) if len(hashes) else np.zeros((1 << 20) + 1, np.int32)
 
 
-def char_scores(model: Model, points: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Log probability of each character in each language (characters x languages)."""
-    hashes, values = model.grams[ORDER]
-    at, hit = probe(hashes, gram_hashes(points, ends, ORDER), model.index.get(ORDER))
-    out = values[at] if len(values) else np.zeros((len(points), len(model.langs)), np.float32)
-    rest = np.flatnonzero(~hit)
-    if len(rest):
-        out[rest] = _lower(model, windows_at(points, ends, rest, ORDER))
-    return out
-
-
-def _lower(model: Model, windows: np.ndarray) -> np.ndarray:
-    """Scores of unseen n-grams: the context's weight and the score of all but the first character."""
-    n, none = windows.shape[1], np.zeros((len(windows), len(model.langs)), np.float32)
-    if n == 1:
-        return none + np.float32(model.base) + (model.contexts[0][1] if 0 in model.contexts else 0)
-    hashes, weights = model.contexts[n - 1]
-    place, hit = probe(hashes, rows_hash(windows[:, :-1]))
-    back = np.where(hit[:, None], weights[place], np.float32(0)) if len(hashes) else none
-    hashes, values = model.grams[n - 1]
-    place, hit = probe(hashes, rows_hash(windows[:, 1:]))
-    score = values[place] if len(hashes) else none
-    rest = np.flatnonzero(~hit)
-    if len(rest):
-        score[rest] = _lower(model, windows[rest, 1:])
-    return score + back
-
-
-def cross_entropies(model: Model, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Nats per character (texts x languages), and each text's number of letters and of characters."""
-    points, ends = folded(data, offsets)
-    length = np.diff(ends)
-    letters = np.concatenate([[0], np.cumsum(points != BLANK)])
-    sums = np.zeros((len(length), len(model.langs)))
-    some = np.flatnonzero(length)
-    if len(some):
-        sums[some] = np.add.reduceat(char_scores(model, points, ends), ends[some], axis=0, dtype=np.float64)
-    return -sums / np.maximum(length, 1)[:, None], letters[ends[1:]] - letters[ends[:-1]], length
-
-
 # --- learning ------------------------------------------------------------------------------------------------------
 
 
@@ -211,6 +171,12 @@ def gram_counts(docs: DataFrame) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+
+        def out(lang: str) -> pa.RecordBatch:
+            windows, counts = kept.pop(lang)
+            grams = windows.astype("<u4").tobytes().decode("utf-32-le")
+            return pa.RecordBatch.from_arrays([pa.array([lang] * len(counts)), pa.array([grams[i : i + ORDER] for i in range(0, len(grams), ORDER)], pa.string()), pa.array(counts)], ["lang", "gram", "n"])
+
         for batch in batches:
             langs = batch.column("lang").to_pylist()
             for lang in sorted(set(langs)):
@@ -219,11 +185,10 @@ def gram_counts(docs: DataFrame) -> DataFrame:
                     points, ends = folded(*joined_bytes(part.column("text")))
                     if len(points):
                         kept[lang] = _added(kept.get(lang), *_distinct(points, ends))
-        for lang, (windows, counts) in kept.items():
-            grams = windows.astype("<u4").tobytes().decode("utf-32-le")
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(counts)), pa.array([grams[i : i + ORDER] for i in range(0, len(grams), ORDER)], pa.string()), pa.array(counts)], ["lang", "gram", "n"]
-            )
+                        if len(kept[lang][1]) > HELD_GRAMS:
+                            yield out(lang)
+        for lang in list(kept):
+            yield out(lang)
 
     return mapped(docs.select("lang", "text"), work, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
@@ -243,66 +208,8 @@ def _added(old: tuple[np.ndarray, np.ndarray] | None, windows: np.ndarray, count
     return windows[first], np.bincount(which, weights=counts, minlength=len(whole)).astype(np.int64)
 
 
-def kneser_ney(counts: pa.Table) -> Model:
-    """The model of counts(lang, gram, n). Absolute discounting with D = n1 / (n1 + 2 n2) at each order."""
-    names = counts.column("lang").combine_chunks().dictionary_encode()
-    langs = sorted(names.dictionary.to_pylist())
-    model = Model(langs)
-    if not langs:
-        return model
-    group = np.array([langs.index(x) for x in names.dictionary.to_pylist()], np.int64)[names.indices.to_numpy()]
-    raw, _ = joined_bytes(counts.column("gram"))
-    windows = np.frombuffer(raw.tobytes().decode().encode("utf-32-le"), np.uint32).reshape(-1, ORDER)
-    value = counts.column("n").to_numpy().astype(np.float64)
-    levels = {}
-    for n in range(ORDER, 0, -1):
-        levels[n] = (windows, value, group)
-        # In the next order an n-gram counts once for each different character before it.
-        if n > 1:
-            key = rows_hash(windows[:, 1:]) + group.astype(np.uint64) * _STEP
-            _, first, times = np.unique(key, return_index=True, return_counts=True)
-            windows, value, group = windows[first, 1:], times.astype(np.float64), group[first]
-    alphabet = len(np.unique(levels[1][0])) + 1
-    model.base = float(np.log(1.0 / alphabet))
-    size = len(langs)
-    for n in range(1, ORDER + 1):
-        windows, value, group = levels[n]
-        own = rows_hash(windows)
-        context = rows_hash(windows[:, :-1]) if n > 1 else np.zeros(len(windows), np.uint64)
-        names, which = np.unique(context, return_inverse=True)
-        cell = which * size + group
-        total = np.bincount(cell, weights=value, minlength=len(names) * size)
-        types = np.bincount(cell, minlength=len(names) * size)
-        ones, twos = (np.bincount(group[value == k], minlength=size) for k in (1, 2))
-        discount = np.clip((ones + 0.5) / (ones + 2 * twos + 1.0), 0.1, 0.9)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            back = np.where(total > 0, types * np.tile(discount, len(names)) / total, 1.0).reshape(-1, size)
-        # Every language's score of every n-gram that any language has.
-        grams, first, place = np.unique(own, return_index=True, return_inverse=True)
-        direct = np.zeros((len(grams), size))
-        np.add.at(direct, (place, group), np.maximum(value - discount[group], 0) / total[cell])
-        wide = windows[first].astype(np.uint32)
-        if n == 1:
-            lower = np.full((len(grams), size), model.base)
-            weight = np.tile(back, (len(grams), 1)) if len(names) else np.ones((len(grams), size))
-            model.contexts[0] = (np.zeros(1, np.uint64), np.log(back).astype(np.float32))
-        else:
-            lower = _stored(model, wide[:, 1:], n - 1)
-            weight = back[which[first]]
-            model.contexts[n - 1] = (names, np.log(back).astype(np.float32))
-        model.grams[n] = (grams, np.log(direct + weight * np.exp(lower)).astype(np.float32))
-    model.index[ORDER] = lead_index(model.grams[ORDER][0])
-    return model
-
-
-def _stored(model: Model, windows: np.ndarray, n: int) -> np.ndarray:
-    """Log probabilities of n-grams that are all in the model (each is the tail of a longer one)."""
-    hashes, values = model.grams[n]
-    return values[np.searchsorted(hashes, rows_hash(windows))].astype(np.float64)
-
-
 def kneser_ney_tables(counts: DataFrame, langs: list[str]) -> Tables:
-    """The model of counts(lang, gram, n) as kneser_ney() has it, worked out by Spark."""
+    """The model of counts(lang, gram, n). Absolute discounting with D = n1 / (n1 + 2 n2) at each order."""
     each = range(len(langs))
     by_lang = [F.sum(F.when(F.col("lang") == x, F.col("n")).otherwise(0)) for x in langs]
     wide = {ORDER: written(counts.groupBy("gram").agg(F.array(*by_lang).alias("v")))}
@@ -311,9 +218,10 @@ def kneser_ney_tables(counts: DataFrame, langs: list[str]) -> Tables:
         before = [F.sum((F.col("v")[i] > 0).cast("long")) for i in each]
         wide[n - 1] = written(wide[n].groupBy(F.expr("substring(gram, 2)").alias("gram")).agg(F.array(*before).alias("v")))
     out = Tables({}, {}, 1.0 / (wide[1].count() + 1))
+    rare = [wide[n].agg(*[F.sum((F.col("v")[i] == k).cast("long")).alias(f"n{k}_{i}") for i in each for k in (1, 2)]).withColumn("order", F.lit(n)) for n in wide]
+    few = {r["order"]: r for r in reduce(DataFrame.unionByName, rare).collect()}
     for n in range(1, ORDER + 1):
-        few = wide[n].agg(*[F.sum((F.col("v")[i] == k).cast("long")).alias(f"n{k}_{i}") for i in each for k in (1, 2)]).first()
-        ones, twos = (np.array([few[f"n{k}_{i}"] or 0 for i in each], float) for k in (1, 2))
+        ones, twos = (np.array([few[n][f"n{k}_{i}"] or 0 for i in each], float) for k in (1, 2))
         discount = [float(x) for x in np.clip((ones + 0.5) / (ones + 2 * twos + 1.0), 0.1, 0.9)]
         named = wide[n].withColumn("context", F.expr(f"substring(gram, 1, {n - 1})"))
         sums = [F.sum(F.col("v")[i]).alias(f"t{i}") for i in each] + [F.sum((F.col("v")[i] > 0).cast("long")).alias(f"k{i}") for i in each]
@@ -352,14 +260,19 @@ def table_scores(tables: Tables, grams: DataFrame, size: int) -> DataFrame:
 
 def frequent_model(tables: Tables, langs: list[str], grams: DataFrame) -> Model:
     """A model whose broadcast part has the scores of grams; the tables have all."""
-    found = tables.grams[ORDER].join(grams.select("gram").distinct(), "gram", "left_semi").toArrow()
-    raw, _ = joined_bytes(found.column("gram"))
-    hashes = rows_hash(np.frombuffer(raw.tobytes().decode().encode("utf-32-le"), np.uint32).reshape(-1, ORDER))
-    values = np.log(found.column("p").combine_chunks().flatten().to_numpy()).astype(np.float32).reshape(-1, len(langs))
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw, _ = joined_bytes(batch.column("gram"))
+            hashes = rows_hash(np.frombuffer(raw.tobytes().decode().encode("utf-32-le"), np.uint32).reshape(-1, ORDER))
+            logs = np.log(batch.column("p").flatten().to_numpy()).astype("<f4")
+            yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.FixedSizeBinaryArray.from_buffers(pa.binary(4 * len(langs)), len(hashes), [None, pa.py_buffer(logs)]).cast(pa.binary())], ["hash", "logs"])
+
+    found = mapped(tables.grams[ORDER].join(grams.select("gram").distinct(), "gram", "left_semi"), hashed, "hash long, logs binary").toArrow()
+    hashes = found.column("hash").to_numpy().view(np.uint64)
     order = np.argsort(hashes)
-    model = Model(langs, float(np.log(tables.base)), {ORDER: (hashes[order], values[order])}, tables=tables)
-    model.index[ORDER] = lead_index(model.grams[ORDER][0])
-    return model
+    values = np.frombuffer(joined_bytes(found.column("logs"))[0].tobytes(), "<f4").reshape(-1, len(langs))
+    return Model(langs, hashes[order], values[order], tables)
 
 
 def bounded(counts: DataFrame, most: int) -> DataFrame:
@@ -381,87 +294,96 @@ def bounded(counts: DataFrame, most: int) -> DataFrame:
     return leveled.join(F.broadcast(cuts), "lang").where(kept).select(*counts.columns)
 
 
-def learn(docs: DataFrame, calibrate: Column, max_grams: int = MAX_GRAMS, reject_quantile: float = 0.999, reject_margin: float = 1.0, lang_col: str = "lang", text_col: str = "text") -> Model:
-    """A model from all of docs with text and language; rows where calibrate holds set the rejection limits instead."""
+#: Classes of length: by the number of binary digits.
+LENGTHS = 48
+
+
+def learn(docs: DataFrame, calibrate: Column, max_scores: int = MAX_SCORES, reject_rate: float = 0.001, lang_col: str = "lang", text_col: str = "text") -> Model:
+    """A model from all of docs with text and language; rows where calibrate holds set the limit of rejection instead."""
     usable = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.coalesce(calibrate, F.lit(False)).alias("held")).where("lang is not null and text is not null")
     counts = written(gram_counts(usable.where("not held")))
-    sizes = {r["lang"]: r["count"] for r in counts.groupBy("lang").count().collect()}
-    # At most max_grams rows a language come here.
-    if max(sizes.values(), default=0) <= max_grams:
-        model = kneser_ney(counts.toArrow())
-    else:
-        model = frequent_model(kneser_ney_tables(counts, sorted(sizes)), sorted(sizes), bounded(counts, max_grams))
-    if not model.langs:
-        return model
-    scored = scores(usable.where("held"), model, keep=("lang",))
-    own = scored.where("lang = lang_pred").groupBy("lang").agg(F.percentile_approx("entropy", reject_quantile, 10000).alias("limit")).collect()
-    limits = {r["lang"]: r["limit"] for r in own}
-    model.limits = np.array([limits.get(x, np.inf) + reject_margin for x in model.langs])
+    langs = sorted(r[0] for r in counts.select("lang").distinct().collect())
+    if not langs:
+        return Model([])
+    tables = kneser_ney_tables(counts, langs)
+    model = frequent_model(tables, langs, bounded(counts, max(1, max_scores // len(langs) ** 2)))
+    discard(counts)
+    scored = scores(usable.where("held"), model, keep=())
+    calibrated(model, scored.where("lang_pred <> 'und'").select("lang_pred", "entropy", "length"), reject_rate)
     return model
 
 
+def calibrated(model: Model, texts: DataFrame, reject_rate: float) -> None:
+    """Set the model's limit from texts (lang_pred, entropy, length) of its languages."""
+    texts = written(texts.withColumn("size", F.length(F.bin("length"))))
+    cells = texts.groupBy("lang_pred", "size").agg(F.count("*").alias("n"), F.sum("entropy").alias("s"), F.sum(F.col("entropy") * F.col("entropy")).alias("q")).collect()
+    if not cells:
+        return
+    n, s, q = (np.array([r[c] for r in cells], float) for c in ("n", "s", "q"))
+    lang, size = np.array([model.langs.index(r["lang_pred"]) for r in cells]), np.array([r["size"] for r in cells])
+    by_lang = np.bincount(lang, n, len(model.langs))
+    usual = np.where(by_lang > 0, np.bincount(lang, s, len(model.langs)) / np.maximum(by_lang, 1), s.sum() / n.sum())
+    # A mean over n characters varies as a + b / n; what a class of lengths shows by itself counts more the more texts it has.
+    squares = np.bincount(size, q - 2 * usual[lang] * s + n * usual[lang] ** 2, LENGTHS)
+    texts_of, short = np.bincount(size, n, LENGTHS), 2.0 ** -np.arange(LENGTHS)
+    seen = np.flatnonzero(texts_of)
+    weight = np.sqrt(texts_of[seen]) / short[seen] ** 0.5
+    fit = np.linalg.lstsq(np.stack([np.ones(len(seen)), short[seen]], axis=1) * weight[:, None], squares[seen] / texts_of[seen] * weight, rcond=None)[0]
+    law = np.maximum(fit[0], 1e-6) + np.maximum(fit[1], 0.0) * short
+    model.usual, model.spread = usual, np.sqrt((squares + 20 * law) / (texts_of + 20))
+    usual_of, spread_of = (F.create_map(*chain(*[(F.lit(k), F.lit(float(v))) for k, v in pairs])) for pairs in (zip(model.langs, usual, strict=True), enumerate(model.spread.tolist())))
+    far = texts.select(((F.col("entropy") - usual_of[F.col("lang_pred")]) / spread_of[F.col("size")]).alias("far"))
+    decile = far.agg(F.percentile_approx("far", 0.9, 10000)).first()[0]
+    beyond = far.where(F.col("far") > decile).agg(F.avg(F.col("far") - decile)).first()[0]
+    discard(texts)
+    model.limit = decile + (beyond or 1.0) * float(np.log(0.1 / reject_rate))
+
+
 def verdicts(model: Model, nats: np.ndarray, letters: np.ndarray, length: np.ndarray) -> list[pa.Array]:
-    """lang_pred, score, entropy and rejected of texts with these entropies."""
+    """lang_pred, score, entropy, length and rejected of texts with these entropies."""
     rows = len(letters)
     names = np.array([*model.langs, "und"], dtype=object)
+    none = letters == 0
     if model.langs:
         best = nats.argmin(axis=1)
         least = nats[np.arange(rows), best]
         share = 1 / np.exp(np.maximum(least[:, None] - nats, -50.0)).sum(axis=1)
-        limits = model.limits[best] + SHORT / np.sqrt(np.maximum(length, 1)) if model.limits is not None else np.full(rows, np.inf)
+        high = (least - model.usual[best]) / model.spread[np.frexp(length)[1]] > model.limit if model.usual is not None else np.zeros(rows, bool)
     else:
-        best, least, share, letters, limits = np.zeros(rows, int), np.zeros(rows), np.zeros(rows), np.zeros(rows, int), np.zeros(rows)
-    none = letters == 0
+        best, least, share, none, high = np.zeros(rows, int), np.zeros(rows), np.zeros(rows), np.ones(rows, bool), np.zeros(rows, bool)
     found = names[np.where(none, len(names) - 1, best)]
-    return [pa.array(found.tolist(), pa.string()), pa.array(np.where(none, 0.0, share)), pa.array(np.where(none, 0.0, least)), pa.array(none | (least > limits))]
+    return [pa.array(found.tolist(), pa.string()), pa.array(np.where(none, 0.0, share)), pa.array(np.where(none, 0.0, least)), pa.array(length.astype(np.int64)), pa.array(none | high)]
 
 
-VERDICT = ["lang_pred", "score", "entropy", "rejected"]
-VERDICT_TYPES = "lang_pred string, score double, entropy double, rejected boolean"
+VERDICT = ["lang_pred", "score", "entropy", "length", "rejected"]
+VERDICT_TYPES = "lang_pred string, score double, entropy double, length long, rejected boolean"
 
 
 def scores(docs: DataFrame, model: Model, keep: tuple[str, ...] = (), text_col: str = "text") -> DataFrame:
-    """The columns keep, with lang_pred, score (the best language's share, 0 to 1), entropy and rejected."""
-    if model.tables is not None:
-        return _table_scores(docs, model, keep, text_col)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    out = docs.select(*keep, F.col(text_col).alias("_text"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema.fields[:-1])
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        for batch in batches:
-            for part in slices(batch, "_text", SLICE_BYTES):
-                nats, letters, length = cross_entropies(model, *joined_bytes(part.column("_text"))) if model.langs else (None, np.zeros(part.num_rows, int), None)
-                columns = [part.column(i) for i in range(part.num_columns - 1)]
-                yield pa.RecordBatch.from_arrays([*columns, *verdicts(model, nats, letters, length)], [*part.schema.names[:-1], *VERDICT])
+    """The columns keep, with lang_pred, score (the best language's share, 0 to 1), entropy, length (characters as counted) and rejected.
 
-    return mapped(out, work, (fields + ", " if fields else "") + VERDICT_TYPES)
-
-
-def _table_scores(docs: DataFrame, model: Model, keep: tuple[str, ...], text_col: str) -> DataFrame:
-    """scores() where the model isn't broadcast whole: 5-grams that aren't there are scored by the tables.
-
-    A text's md5 brings these scores back to its rows; equal texts have equal ones.
+    5-grams that aren't broadcast are scored by the tables. A text's md5 brings these scores back
+    to its rows; equal texts have equal ones.
     """
-    spark, size = docs.sparkSession, len(model.langs)
-    shared = spark.sparkContext.broadcast(replace(model, tables=None))
-    out = docs.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], F.md5(F.col(text_col).cast("binary")).alias("mark"), F.col(text_col).alias("_text"))
+    size = len(model.langs)
+    out = docs.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], F.unhex(F.md5(F.col(text_col).cast("binary"))).alias("mark"), F.col(text_col).alias("_text"))
     fields = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in out.schema.fields[:-2])
+    head = Model(model.langs, usual=model.usual, spread=model.spread, limit=model.limit)
+    shared = docs.sparkSession.sparkContext.broadcast((model.hashes, model.values))
 
     def broadcast_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        hashes, values = model.grams[ORDER]
+        hashes, values = shared.value
+        index = lead_index(hashes)
         for batch in batches:
             for part in slices(batch, "_text", SLICE_BYTES):
                 points, ends = folded(*joined_bytes(part.column("_text")))
                 length, own = np.diff(ends), gram_hashes(points, ends, ORDER)
                 letters = np.concatenate([[0], np.cumsum(points != BLANK)])
-                at, hit = probe(hashes, own, model.index[ORDER])
+                at, hit = probe(hashes, own, index)
                 sums, some = np.zeros((part.num_rows, size)), np.flatnonzero(length)
                 if len(some) and len(values):
                     sums[some] = np.add.reduceat(np.where(hit[:, None], values[at], np.float32(0)), ends[some], axis=0, dtype=np.float64)
-                miss = np.flatnonzero(~hit)
+                miss = np.flatnonzero(~hit) if size else np.zeros(0, np.int64)
                 text = np.searchsorted(ends, miss, side="right") - 1
                 order = np.lexsort((own[miss], text))
                 miss, text = miss[order], text[order]
@@ -477,22 +399,24 @@ def _table_scores(docs: DataFrame, model: Model, keep: tuple[str, ...], text_col
                 columns = [part.column(i) for i in range(part.num_columns - 1)]
                 yield pa.RecordBatch.from_arrays([*columns, whole, pa.array(letters[ends[1:]] - letters[ends[:-1]]), pa.array(length), rest], [*part.schema.names[:-1], "sums", "letters", "length", "rest"])
 
-    near = written(mapped(out, broadcast_part, fields + "mark string, sums array<double>, letters long, length long, rest array<struct<gram: string, n: long>>"))
-    far = near.where(F.size("rest") > 0).dropDuplicates(["mark"]).select("mark", F.explode("rest").alias("r")).select("mark", "r.gram", "r.n")
-    scored = written(table_scores(model.tables, near.select(F.explode("rest.gram").alias("gram")).distinct(), size))
-    added = far.join(scored, "gram").groupBy("mark").agg(F.array(*[F.sum(F.col("n") * F.col("whole")[i]) for i in range(size)]).alias("added"))
-    whole = near.drop("rest").join(added, "mark", "left")
-    sums = F.array(*[F.col("sums")[i] + F.coalesce(F.col("added")[i], F.lit(0)) / SCALE for i in range(size)])
-    whole = whole.select(*[f"k{i}" for i in range(len(keep))], sums.alias("sums"), "letters", "length")
-
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
         for batch in batches:
             length = batch.column("length").to_numpy()
-            nats = -batch.column("sums").flatten().to_numpy().reshape(-1, size) / np.maximum(length, 1)[:, None]
+            nats = -batch.column("sums").flatten().to_numpy().reshape(-1, size) / np.maximum(length, 1)[:, None] if size else None
             columns = [batch.column(i) for i in range(batch.num_columns - 3)]
-            yield pa.RecordBatch.from_arrays([*columns, *verdicts(model, nats, batch.column("letters").to_numpy(), length)], [*batch.schema.names[:-3], *VERDICT])
-
+            yield pa.RecordBatch.from_arrays([*columns, *verdicts(head, nats, batch.column("letters").to_numpy(), length)], [*batch.schema.names[:-3], *VERDICT])
+
+    near = written(mapped(out, broadcast_part, fields + "mark binary, sums array<double>, letters long, length long, rest array<struct<gram: string, n: long>>"))
+    shared.destroy()
+    whole = near.drop("rest")
+    if size:
+        far = near.where(F.size("rest") > 0).dropDuplicates(["mark"]).select("mark", F.explode("rest").alias("r")).select("mark", "r.gram", "r.n")
+        scored = written(table_scores(model.tables, near.select(F.explode("rest.gram").alias("gram")).distinct(), size))
+        added = far.join(scored, "gram").groupBy("mark").agg(F.array(*[F.sum(F.col("n") * F.col("whole")[i]) for i in range(size)]).alias("added"))
+        whole = whole.join(added, "mark", "left")
+        sums = F.array(*[F.col("sums")[i] + F.coalesce(F.col("added")[i], F.lit(0)) / SCALE for i in range(size)])
+        whole = whole.withColumn("sums", sums)
+    whole = whole.select(*[f"k{i}" for i in range(len(keep))], "sums", "letters", "length")
     return mapped(whole, judge, fields + VERDICT_TYPES).select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], *VERDICT)
 
 
@@ -502,36 +426,37 @@ def fold(id_col: str = "doc_id") -> Column:
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", text_col: str = "text", **options) -> DataFrame:
-    """doc_id, held_out, lang_pred, score, entropy, rejected for every row of docs.
+    """doc_id, held_out, lang_pred, score, entropy, length, rejected for every row of docs.
 
-    Learns from the rows that are not held out; of these a twentieth (by another
-    hash of the id) sets the rejection limits.
+    Learns from the rows that are not held out; of these a tenth (by another
+    hash of the id) sets the limit of rejection.
     """
     held = F.coalesce(fold(id_col) == 1, F.lit(False))
     model = learn_from(docs, id_col, lang_col, text_col, **options)
     rows = docs.select(F.col(id_col).alias("doc_id"), held.alias("held_out"), F.col(text_col).alias("text"))
-    return scores(rows, model, keep=("doc_id", "held_out"))
+    out = scores(rows, model, keep=("doc_id", "held_out"))
+    forget(model)
+    return out
 
 
 def learn_from(docs: DataFrame, id_col: str, lang_col: str, text_col: str, **options) -> Model:
     learning = docs.where(F.coalesce(fold(id_col) != 1, F.lit(True)))
-    calibrate = F.pmod(F.xxhash64(F.lit("calibrate"), F.col(id_col).cast("string")), F.lit(20)) == 0
+    calibrate = F.pmod(F.xxhash64(F.lit("calibrate"), F.col(id_col).cast("string")), F.lit(10)) == 0
     return learn(learning, calibrate, lang_col=lang_col, text_col=text_col, **options)
 
 
-def accepted(docs: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", text_col: str = "text", **options) -> DataFrame:
-    """docs without the rows whose language is rejected.
+def forget(model: Model) -> None:
+    """Delete the model's tables, when all that is to be scored is scored."""
+    if model.tables is not None:
+        discard(*model.tables.grams.values(), *model.tables.contexts.values())
 
-    Rows pass through the tasks that score them, without a shuffle; where the model isn't broadcast whole,
-    the rejected texts' md5 are taken from docs.
-    """
+
+def accepted(docs: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", text_col: str = "text", **options) -> DataFrame:
+    """docs without the rows whose language is rejected; the rejected texts' md5 are taken from docs."""
     model = learn_from(docs, id_col, lang_col, text_col, **options)
-    numbered = docs.select(*[docs[c].alias(f"c{i}") for i, c in enumerate(docs.columns)])
-    text = f"c{docs.columns.index(text_col)}"
-    if model.tables is None:
-        kept = scores(numbered, model, keep=tuple(numbered.columns), text_col=text).where("not rejected")
-    else:
-        marked = numbered.where(F.col(text).isNotNull()).withColumn("mark", F.md5(F.col(text).cast("binary")))
-        gone = written(scores(marked, model, keep=("mark",), text_col=text).where("rejected").select("mark").distinct())
-        kept = marked.join(gone, "mark", "left_anti")
-    return kept.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    text = names[docs.columns.index(text_col)]
+    marked = docs.select(*[docs[c].alias(n) for c, n in zip(docs.columns, names, strict=True)]).where(F.col(text).isNotNull()).withColumn("mark", F.unhex(F.md5(F.col(text).cast("binary"))))
+    gone = written(scores(marked, model, keep=("mark",), text_col=text).where("rejected").select("mark").distinct())
+    forget(model)
+    return marked.join(gone, "mark", "left_anti").select(*[F.col(n).alias(c) for c, n in zip(docs.columns, names, strict=True)])

@@ -1,16 +1,21 @@
 """Approximate nearest neighbours by cosine: inverted lists, scanned dimension by dimension.
 
-A bounded sample of the vectors (``sample_rows``, chosen by a hash of the id) gives
-the list centres, a number of lists to probe at which the sample finds its own
-neighbours, and for every query an upper bound of its k-th distance. All
-vectors are then assigned to lists, and each list is cut into blocks of
-bounded size, so that a list that holds a third of all vectors is many tasks.
-
-Within a block the unit vectors are turned by one random rotation, after which any few
-coordinates are a fair sample of all. Columns are scanned in groups: after the
-first d of D coordinates a candidate goes on only if its partial squared distance, times D / d,
+The unit vectors are turned by one random rotation, and each half of their coordinates is
+quantised by centres of its own; a list is a pair of centres, so the number of lists grows with
+the table (as the root of its rows) while the sample that centres are fitted on stays bounded (``sample_rows``,
+chosen by a hash of the id; of small tables an eighth). The sample also gives the number of lists to probe, at which
+it finds its own neighbours, and for every query an upper bound of its k-th distance, from the sample's
+rows in the lists that the query probes. All answers come from the lists.
+
+All vectors are assigned to lists, and each list is cut into blocks of bounded size, so that a list that holds
+a third of all vectors is many tasks. Of equal vectors only the k + 1 smallest ids
+are candidates, as ties go to the smaller id: no other can be among the k nearest of anything.
+
+After the rotation any few coordinates are a fair sample of all. Within a block
+columns are scanned in groups: after the first d of D coordinates a candidate goes on only if its partial squared distance, times D / d,
 is not above bound * (1 + EPSILON / sqrt(d)) ** 2, a test of the hypothesis that its distance is within the
-bound. The few that pass all tests are scored exactly on the vectors as given.
+bound. The few that pass all tests are scored exactly on the vectors as given. Rows of the sample
+are not abandoned before their whole distance is known, so that every query finds k.
 
 Ties go to the smaller id. Defined cases
 - ids null, and vectors null, empty, zero, of another length than the commonest, or with null
@@ -30,28 +35,55 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import mapped, written
 
 #: Candidates that a task holds at most; twice the usual list, if that is less.
 BLOCK_ROWS = 4096
 #: Doubt of the tests: a larger one abandons later.
 EPSILON = 2.1
 COLUMNS = 16
+#: Centres of a half; lists are at most its square.
+MOST_CENTRES = 512
+#: Queries that are routed or scanned at a time, and numbers in a matrix of queries and lists.
+CHUNK, CELLS = 256, 1 << 22
 
 
 @dataclass
 class Index:
     """What routing needs; its size is bounded by sample_rows."""
 
-    centres: np.ndarray
+    rotation: np.ndarray
+    centres: tuple[np.ndarray, np.ndarray]
     probes: int
-    given: np.ndarray
-    sample: np.ndarray  # unit vectors
+    sample: np.ndarray  # turned unit vectors
     sample_ids: np.ndarray
-    rotation: np.ndarray
+    sample_lists: np.ndarray
     k: int
     block_rows: int
 
+    @property
+    def lists(self) -> int:
+        return len(self.centres[0]) * len(self.centres[1])
+
+    def distances(self, turned: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Squared distances of each half to its centres, but for what is the same for all."""
+        cut = self.centres[0].shape[1]
+        return tuple((c * c).sum(axis=1) - 2 * (x @ c.T) for x, c in zip((turned[:, :cut], turned[:, cut:]), self.centres, strict=True))  # type: ignore[return-value]
+
+    def list_of(self, turned: np.ndarray) -> np.ndarray:
+        first, second = self.distances(turned)
+        return first.argmin(axis=1) * len(self.centres[1]) + second.argmin(axis=1)
+
+    def closeness(self, turned: np.ndarray) -> np.ndarray:
+        """Distance of each row to each list."""
+        first, second = self.distances(turned)
+        return (first[:, :, None] + second[:, None, :]).reshape(len(turned), -1)
+
+    def chunks(self, rows: int) -> Iterator[slice]:
+        step = max(1, min(CHUNK, CELLS // self.lists))
+        for a in range(0, rows, step):
+            yield slice(a, a + step)
+
 
 def unit(x: np.ndarray) -> np.ndarray:
     x = x / np.abs(x).max(axis=1, keepdims=True)  # squares of very large or small numbers stay finite
@@ -72,32 +104,70 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return rows.where(F.size("v") == F.lit(common))
 
 
+def centred(x: np.ndarray, centres: int, rng: np.random.Generator) -> np.ndarray:
+    """Centres of x by a few rounds of k-means."""
+    out = x[rng.choice(len(x), centres, replace=False)]
+    for _ in range(8):
+        own = ((out * out).sum(axis=1) - 2 * (x @ out.T)).argmin(axis=1)
+        sums, n = np.zeros_like(out), np.bincount(own, minlength=centres)
+        np.add.at(sums, own, x)
+        out[n > 0] = sums[n > 0] / n[n > 0, None]
+    return out
+
+
 def trained(rows: DataFrame, k: int, sample_rows: int, lists: int | None, recall: float, seed: int) -> Index | None:
     total = rows.count()
-    picked = rows.orderBy(F.xxhash64(F.lit(seed), "vec_id"), "vec_id").limit(sample_rows).toPandas()
-    if not len(picked):
+    size = min(sample_rows, max(256, total // 8))
+    picked = rows.orderBy(F.xxhash64(F.lit(seed), "vec_id"), "vec_id").limit(size).toArrow().combine_chunks()
+    if not picked.num_rows:
         return None
     rng = np.random.default_rng(seed)
-    given = np.stack(picked["v"].to_numpy())
-    sample, ids = unit(given), picked["vec_id"].to_numpy()
-    lists = min(lists or max(1, int(total**0.5)), max(1, len(sample) // 16))
-    centres = sample[rng.choice(len(sample), lists, replace=False)]
-    for _ in range(8):
-        own = (sample @ centres.T).argmax(axis=1)
-        sums = np.zeros_like(centres)
-        np.add.at(sums, own, sample)
-        full = np.abs(sums).max(axis=1) > 1e-9
-        centres[full] = unit(sums[full])
-    # Probes at which the sample's own neighbours are found; more rows lie closer and need fewer.
-    own, asked = (sample @ centres.T).argmax(axis=1), sample[: min(512, len(sample))]
-    near = asked @ sample.T
-    near[np.arange(len(asked)), np.arange(len(asked))] = -2
-    best = np.argsort(-near, axis=1)[:, :k]
-    rank = np.argsort(np.argsort(-(asked @ centres.T), axis=1), axis=1)
-    needed = np.take_along_axis(rank, own[best], axis=1) + 1
-    probes = int(np.quantile(needed, recall, method="higher"))
-    rotation = np.linalg.qr(rng.standard_normal((sample.shape[1],) * 2))[0]
-    return Index(centres, min(lists, probes), given, sample, ids, rotation, k, min(BLOCK_ROWS, max(64, 2 * total // lists)))
+    ids, first = np.unique(picked.column("vec_id").to_numpy(), return_index=True)
+    given = matrix(picked.column("v").combine_chunks())[first]
+    rotation = np.linalg.qr(rng.standard_normal((given.shape[1],) * 2))[0]
+    sample = unit(given) @ rotation
+    centres = min(MOST_CENTRES, max(1, len(sample) // 16), int(np.ceil((lists or total**0.5) ** 0.5)))
+    cut = given.shape[1] // 2
+    halves = [centred(x, centres if x.shape[1] else 1, rng) for x in (sample[:, :cut], sample[:, cut:])]
+    index = Index(rotation, (halves[0], halves[1]), 1, sample, ids, np.zeros(len(ids), np.int64), k, BLOCK_ROWS)
+    index.block_rows = min(BLOCK_ROWS, max(64, 2 * total // index.lists))
+    index.sample_lists = index.list_of(sample)
+    # Lists at which the sample's own neighbours are found; those of all rows lie closer and need fewer.
+    asked, needed = min(512, len(sample)), []
+    for part in index.chunks(asked):
+        turned = sample[:asked][part]
+        near = turned @ sample.T
+        near[np.arange(len(turned)), np.arange(asked)[part]] = -2
+        best = np.argsort(-near, axis=1)[:, : min(k, len(sample) - 1)]
+        far = index.closeness(turned)
+        goal = np.take_along_axis(far, index.sample_lists[best], axis=1)
+        needed.append((far[:, None, :] <= goal[:, :, None]).sum(axis=2).ravel() if index.lists <= 4096 else np.stack([(far <= g[:, None]).sum(axis=1) for g in goal.T]).ravel())
+    needed = np.concatenate(needed)
+    index.probes = int(np.quantile(needed, recall, method="higher")) if len(needed) else 1
+    return index
+
+
+def routes(index: Index, ids: np.ndarray, turned: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, list) pairs to scan, and each query's bound: the k-th squared distance of the sample's rows in its lists."""
+    who, where, bounds = [], [], np.full(len(ids), 4.0)
+    for part in index.chunks(len(ids)):
+        far = index.closeness(turned[part])
+        probed = np.zeros(far.shape, bool)
+        np.put_along_axis(probed, np.argpartition(far, index.probes - 1, axis=1)[:, : index.probes], True, axis=1)
+        distance = 2 - 2 * (turned[part] @ index.sample.T)
+        distance[ids[part][:, None] == index.sample_ids[None, :]] = np.inf
+        for i in np.flatnonzero((probed[:, index.sample_lists] & np.isfinite(distance)).sum(axis=1) < index.k):
+            # More lists, up to those that hold k of the sample.
+            others = np.isfinite(distance[i])
+            reach = np.sort(far[i, index.sample_lists[others]])
+            probed[i] |= far[i] <= (reach[index.k - 1] if len(reach) >= index.k else np.inf)
+        distance[~probed[:, index.sample_lists]] = np.inf
+        if len(index.sample_ids) >= index.k:
+            bounds[part] = np.minimum(4.0, np.partition(distance, index.k - 1, axis=1)[:, index.k - 1])
+        row, list_ = np.nonzero(probed)
+        who.append(row + part.start)
+        where.append(list_)
+    return np.concatenate(who), np.concatenate(where), bounds
 
 
 def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -109,21 +179,22 @@ def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def scan_block(index: Index, ids: np.ndarray, given: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query, candidate, score) of a block's best k for each query, within the bounds (squared distances)."""
     turned, asked = unit(given) @ index.rotation, unit(queries) @ index.rotation
+    sampled = np.isin(ids, index.sample_ids)
     size = turned.shape[1]
     columns = [np.ascontiguousarray(turned[:, c : c + COLUMNS]) for c in range(0, size, COLUMNS)]
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    for first in range(0, len(queries), 256):
-        part = slice(first, first + 256)
+    for first in range(0, len(queries), CHUNK):
+        part = slice(first, first + CHUNK)
         parts = [asked[part, c : c + COLUMNS] for c in range(0, size, COLUMNS)]
         # The first columns for all pairs, the others for those that are left.
         partial = (columns[0] ** 2).sum(axis=1)[:, None] + (parts[0] ** 2).sum(axis=1) - 2 * (columns[0] @ parts[0].T)
-        row, col = np.nonzero(partial <= _limit(bounds[part], min(COLUMNS, size), size))
+        row, col = np.nonzero((partial <= _limit(bounds[part], min(COLUMNS, size), size)) | sampled[:, None])
         left = partial[row, col]
         for j in range(1, len(columns)):
             left = left + ((columns[j][row] - parts[j][col]) ** 2).sum(axis=1)
-            keep = left <= _limit(bounds[part], min(COLUMNS * (j + 1), size), size)[col]
+            keep = (left <= _limit(bounds[part], min(COLUMNS * (j + 1), size), size)[col]) | sampled[row]
             row, col, left = row[keep], col[keep], left[keep]
-        keep = ids[row] != query_ids[part][col]
+        keep = (ids[row] != query_ids[part][col]) & (left <= _limit(bounds[part], size, size)[col])
         row, col = row[keep], col[keep] + first
         score = cosines(given[row], queries[col])
         order = np.lexsort((ids[row], -score, col))
@@ -151,7 +222,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, sample_rows: int =
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                own = (unit(matrix(batch.column("v"))) @ shared.value.centres.T).argmax(axis=1)
+                own = shared.value.list_of(unit(matrix(batch.column("v"))) @ shared.value.rotation)
                 yield pa.RecordBatch.from_arrays([pa.array(own.astype(np.int32)), *batch.columns], ["list", "vec_id", "v"])
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,14 +232,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, sample_rows: int =
             if not batch.num_rows:
                 continue
             given, ids = matrix(batch.column("v")), batch.column("vec_id").to_numpy()
-            asked = unit(given)
-            closeness = asked @ index.sample.T
-            closeness[ids[:, None] == index.sample_ids[None, :]] = -1.0
-            bound = np.full(len(ids), 4.0)
-            if len(index.sample_ids) > index.k:
-                bound = 2 - 2 * np.partition(closeness, -index.k, axis=1)[:, -index.k]
-            near = np.argsort(-(asked @ index.centres.T), axis=1, kind="stable")[:, : index.probes]
-            who, names = np.repeat(np.arange(len(ids)), near.shape[1]), near.ravel()
+            who, names, bound = routes(index, ids, unit(given) @ index.rotation)
             order = np.argsort(names, kind="stable")
             who, names = who[order], names[order]
             cuts = np.flatnonzero(np.concatenate([[True], names[1:] != names[:-1]]))
@@ -177,20 +241,6 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, sample_rows: int =
                 [pa.array(names[cuts].astype(np.int32)), *[pa.array([x[g].tobytes() for g in groups], pa.binary()) for x in (ids.astype("<i8"), given, bound)]], ["list", "query_ids", "queries", "bounds"]
             )
 
-    def from_sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The sample's k nearest, from which the bounds come; so every query has k to begin with."""
-        index = shared.value
-        for batch in batches:
-            if batch.num_rows:
-                given, ids = matrix(batch.column("v")), batch.column("vec_id").to_numpy()
-                closeness = unit(given) @ index.sample.T
-                closeness[ids[:, None] == index.sample_ids[None, :]] = -2.0
-                best = np.argpartition(-closeness, min(index.k, len(index.sample) - 1), axis=1)[:, : index.k]
-                row, col = np.repeat(np.arange(len(ids)), best.shape[1]), best.ravel()
-                keep = ids[row] != index.sample_ids[col]
-                row, col = row[keep], col[keep]
-                yield pa.RecordBatch.from_arrays([pa.array(ids[row]), pa.array(index.sample_ids[col]), pa.array(cosines(index.given[col], given[row]))], ["query_id", "vec_id", "score"])
-
     def scan(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
@@ -199,14 +249,16 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, sample_rows: int =
         q, x, s = scan_block(shared.value, left.column("vec_id").to_numpy(), given, packed[0], packed[1].reshape(-1, given.shape[1]), packed[2])
         return pa.table({"query_id": q, "vec_id": x, "score": s})
 
-    assigned = written(rows.mapInArrow(assign, "list int, vec_id long, v array<double>"))
+    first = Window.partitionBy("v").orderBy("vec_id")
+    candidates = rows.dropDuplicates(["vec_id", "v"]).withColumn("place", F.row_number().over(first)).where(F.col("place") <= k + 1).drop("place")
+    assigned = written(mapped(candidates, assign, "list int, vec_id long, v array<double>"))
     blocks = assigned.groupBy("list").agg(F.ceil(F.count("*") / index.block_rows).cast("int").alias("blocks"))
     cells = assigned.join(F.broadcast(blocks), "list").withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int"))
-    routed = rows.where(is_query).mapInArrow(route, "list int, query_ids binary, queries binary, bounds binary")
+    routed = mapped(rows.where(is_query), route, "list int, query_ids binary, queries binary, bounds binary")
     routed = routed.join(F.broadcast(blocks), "list").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     found = (
         cells.select("list", "block", "vec_id", "v").groupBy("list", "block").cogroup(routed.select("list", "block", "query_ids", "queries", "bounds").groupBy("list", "block")).applyInArrow(scan, "query_id long, vec_id long, score double")
     )
-    found = found.unionByName(rows.where(is_query).mapInArrow(from_sample, "query_id long, vec_id long, score double")).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from skygrid.llm import ann
+from skygrid.llm import ann, queries
 
 SCHEMA = "vec_id long, embedding array<float>, list int, v string"
 
@@ -68,7 +68,8 @@ def test_abandoned_early_yet_right():
     """With no sample to bound them, blocks give the exact best; with bounds, what is within them."""
     rng = np.random.default_rng(3)
     x, q = rng.standard_normal((500, 40)), rng.standard_normal((20, 40))
-    index = ann.Index(x[:1], 1, x[:1], x[:1], np.arange(1), np.linalg.qr(rng.standard_normal((40, 40)))[0], 5, 100)
+    none = np.zeros(0, np.int64)
+    index = ann.Index(np.linalg.qr(rng.standard_normal((40, 40)))[0], (x[:1, :20], x[:1, 20:]), 1, x[:0], none, none, 5, 100)
     unit = lambda a: a / np.linalg.norm(a, axis=1, keepdims=True)
     cos = unit(q) @ unit(x).T
     fifth = np.sort(cos, axis=1)[:, -5]
@@ -82,3 +83,29 @@ def test_one_overlong_vector_leaves_the_others(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 0.1]), (3, [0.0, 1.0]), (4, [1.0] * 9)], "vec_id long, embedding array<float>")
     assert sorted(r.vec_id for r in ann.usable(df, "vec_id", "embedding").collect()) == [1, 2, 3]
     assert ann.usable(df.where("false"), "vec_id", "embedding").count() == 0
+
+
+def test_recall_of_the_registered_query(spark, sf_dir):
+    """The answers over the table, which come from the lists alone, against brute force."""
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()
+    ids, x = np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows], np.float64)
+    want, got = brute(x, ids, 50, 5), {}
+    for r in queries.op7_adaptive_scan(spark, sf_dir).collect():
+        got.setdefault(r.query_id, {})[r["rank"]] = (r.vec_id, r.score)
+    assert got.keys() == want.keys() and all(sorted(g) == [1, 2, 3, 4, 5] for g in got.values())
+    hits = sum(abs(g[1] - w[1]) < 1e-9 for q, row in want.items() for w, g in zip(row, [got[q][k] for k in range(1, 6)], strict=True))
+    among = sum(g[0] in {w[0] for w in want[q]} for q, row in got.items() for g in row.values())
+    assert max(hits, among) / (5 * len(want)) >= 0.9
+
+
+def test_copies_and_repeated_ids(spark):
+    """Of many equal vectors the smallest ids are found; an id that repeats is one candidate."""
+    vectors = [[1, 2, 3]] * 300 + [[1, 2, 3.1], [3, 1, 0], [0, 1, 5]]
+    both = frame(spark, vectors).unionByName(frame(spark, vectors[:4])).unionByName(frame(spark, [[1, 2, 3.1]], first=302))
+    got = {}
+    for r in ann.nearest(both, F.col("vec_id").isin(2, 200, 300, 302), k=4).orderBy("rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    assert got[2] == [0, 1, 3, 4] and got[200] == [0, 1, 2, 3] and got[300][0] == 302 and got[300][1:] == [0, 1, 2]
+    assert len(got[302]) == len(set(got[302])) == 4
+    many = ann.nearest(frame(spark, vectors[295:]), F.lit(True), k=50)
+    assert {r["count"] for r in many.groupBy("query_id").count().collect()} == {7}

@@ -1,17 +1,21 @@
 """Audio fingerprints from chroma, and the alignment of recordings.
 
-A recording is a binary column of unsigned 8-bit mono samples. Its spectrum is
+A recording is a binary column of mono samples as ``Sound`` describes them, or a WAV file of whatever
+rate and channels. Its spectrum is
 folded frame by frame into twelve pitch classes. Sixteen filters, each the log ratio of two
 areas of that image, are evaluated at every frame from one integral image; two bits
 of each make a 32-bit integer per frame.
 
-Recordings with equal integers throughout are one class. Between classes, keys of three
-successive integers (thinned: the least hash of every window of eight) are the
-meeting points; all members of a key meet, at all places where they have it. A key with many members is dealt into
-blocks, and a pair of blocks is what meets at once. How often the members of a
-pair meet at each offset is a histogram; at its peak the integers are laid side by side, and
-the pair is linked if enough of them overlap and few of their bits differ. Linked classes make groups by
-union-find. Nothing is emitted for pairs inside a class.
+Recordings with equal integers throughout are one class. Keys of three
+successive integers (thinned: the least hash of every window of eight, and of a run of equal ones
+the ends) are the meeting points of classes. Whether two classes that share a key belong together
+is found by ``agree``: how often their keys meet at each offset is a histogram; at its peak the integers are laid
+side by side, and the pair is linked if enough of them overlap and few of their bits differ.
+
+Each member of a key is compared with the key's smallest class, which is linear in its members. A key whose
+members then still lie in several groups may hide links between them: those outside its largest group
+meet all others, in blocks of bounded size, and those of different groups are compared; a task
+returns only links that join groups, so never all pairs. Linked classes make groups by union-find.
 
 Defined cases
 - samples null or empty: no integers, a group of their own
@@ -26,32 +30,71 @@ Defined cases
 from __future__ import annotations
 
 import hashlib
+import struct
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import joined_bytes, mapped, mix64, written
+from .common import discard, mapped, mix64, releasing, written
 from .graph import components
 
-RATE, FRAME, HOP = 1024, 256, 128
 CLASSES, FILTERS, REACH = 12, 16, 8
 #: Integers in a key, and keys in a window of which one is taken.
 KEY, WINDOW = 3, 8
 #: Links of one class that meet in one task.
 LEADER_LINKS = 64
-#: Places of a key in a block.
-BLOCK = 256
+#: Members of a key that meet in one task are two blocks at most.
+BLOCK = 128
 #: A filter's value is put in one of four bins at these bounds.
 BOUNDS = (-0.25, 0.0, 0.25)
 
 
-def pitch_fold() -> np.ndarray:
+@dataclass(frozen=True)
+class Sound:
+    """Samples a second as worked on, samples in a frame and between frames, and bits of raw samples: 8 (unsigned) or 16 (signed, little-endian)."""
+
+    rate: int = 1024
+    frame: int = 256
+    hop: int = 128
+    bits: int = 8
+
+    def samples(self, raw: bytes | None) -> np.ndarray:
+        """A recording in units of the 8-bit scale. WAV files (PCM of 8 or 16 bits) say their own format."""
+        raw, rate, channels, bits = raw or b"", self.rate, 1, self.bits
+        if raw[:4] == b"RIFF" and raw[8:12] == b"WAVE":
+            at, body = 12, b""
+            while at + 8 <= len(raw):
+                name, size = raw[at : at + 4], struct.unpack("<I", raw[at + 4 : at + 8])[0]
+                if name == b"fmt " and size >= 16:
+                    _, channels, rate, _, _, bits = struct.unpack("<HHIIHH", raw[at + 8 : at + 24])
+                elif name == b"data":
+                    body = raw[at + 8 : at + 8 + size]
+                at += 8 + size + size % 2
+            raw = body
+        if bits not in (8, 16) or not channels or not rate:
+            return np.zeros(0)
+        step = bits // 8 * channels
+        flat = np.frombuffer(raw[: len(raw) // step * step], np.uint8 if bits == 8 else "<i2")
+        x = (flat.astype(np.float64) - 128.0 if bits == 8 else flat / 256.0).reshape(-1, channels).mean(axis=1)
+        if rate == self.rate or not len(x):
+            return x
+        # Means of what falls between two of the wanted samples, or a line where that is less than one.
+        edges = np.arange(0, len(x) + 1e-9, rate / self.rate)
+        sums = np.interp(edges, np.arange(len(x) + 1), np.concatenate([[0.0], np.cumsum(x)]))
+        return np.diff(sums) / (rate / self.rate)
+
+
+SOUND = Sound()
+
+
+def pitch_fold(sound: Sound = SOUND) -> np.ndarray:
     """Spectrum bins (rows) to pitch classes; bins below 55 Hz go nowhere."""
-    hertz = np.arange(FRAME // 2 + 1) * RATE / FRAME
+    hertz = np.arange(sound.frame // 2 + 1) * sound.rate / sound.frame
     out = np.zeros((len(hertz), CLASSES))
     for i, f in enumerate(hertz):
         if f >= 55.0:
@@ -77,17 +120,16 @@ def filter_areas() -> list[tuple[tuple[int, int, int, int], tuple[int, int, int,
     return out
 
 
-def chroma(samples: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def chroma(samples: np.ndarray, offsets: np.ndarray, sound: Sound = SOUND) -> tuple[np.ndarray, np.ndarray]:
     """Frames (each of sum 1, or 0 for silence) of all recordings end to end, and how many each has."""
-    counts = np.maximum((np.diff(offsets) - FRAME) // HOP + 1, 0)
-    begin = np.repeat(offsets[:-1], counts) + HOP * (np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts))
-    window, fold = np.hanning(FRAME), pitch_fold()
-    out = np.zeros((len(begin), CLASSES))
-    for k in range(0, len(begin), 4096):
-        frames = samples[begin[k : k + 4096, None] + np.arange(FRAME)].astype(np.float64) - 128.0
-        power = np.abs(np.fft.rfft(frames * window, axis=1)) ** 2 @ fold
+    counts = np.maximum((np.diff(offsets) - sound.frame) // sound.hop + 1, 0)
+    begin = np.repeat(offsets[:-1], counts) + sound.hop * (np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts))
+    window, fold = np.hanning(sound.frame), pitch_fold(sound)
+    out, step = np.zeros((len(begin), CLASSES)), max(1, (1 << 20) // sound.frame)
+    for k in range(0, len(begin), step):
+        power = np.abs(np.fft.rfft(samples[begin[k : k + step, None] + np.arange(sound.frame)] * window, axis=1)) ** 2 @ fold
         total = power.sum(axis=1, keepdims=True)
-        out[k : k + 4096] = np.where(total > 1e-6, power / np.maximum(total, 1e-6), 0.0)
+        out[k : k + step] = np.where(total > 1e-6, power / np.maximum(total, 1e-6), 0.0)
     return out, counts
 
 
@@ -108,14 +150,15 @@ def prints(frames: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return out, kept
 
 
-def fingerprints(recordings: DataFrame, id_col: str, media_col: str) -> DataFrame:
+def fingerprints(recordings: DataFrame, id_col: str, media_col: str, sound: Sound = SOUND) -> DataFrame:
     """id, n_frames, n_prints, prints (array), prints_crc32 (of them as little-endian unsigned integers), raw (md5 of samples without prints)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(0, batch.num_rows, 64):
                 part = batch.slice(k, 64)
-                frames, counts = chroma(*joined_bytes(part.column("media")))
+                heard = [sound.samples(x) for x in part.column("media").to_pylist()]
+                frames, counts = chroma(np.concatenate(heard), np.concatenate([[0], np.cumsum([len(x) for x in heard])]), sound)
                 found, kept = prints(frames, counts)
                 ends = np.concatenate([[0], np.cumsum(kept)])
                 crcs = [zlib.crc32(found[a:b].astype("<u4").tobytes()) for a, b in zip(ends[:-1], ends[1:], strict=True)]
@@ -127,85 +170,162 @@ def fingerprints(recordings: DataFrame, id_col: str, media_col: str) -> DataFram
     return mapped(narrow, work, "id long, n_frames long, n_prints long, prints array<int>, prints_crc32 long, raw binary")
 
 
-def keys(classes: DataFrame) -> DataFrame:
-    """rep, key, pos: thinned keys of each class."""
+def thinned(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of a recording and their places."""
+    if len(prints) < KEY:
+        return np.zeros(0, np.int64), np.zeros(0, np.int32)
+    own = np.zeros(len(prints) - KEY + 1, np.uint64)
+    for k in range(KEY):
+        own += mix64(prints[k : len(own) + k].view(np.uint32).astype(np.uint64) + np.uint64(k << 40))
+    own = mix64(own)
+    span = min(WINDOW, len(own))
+    place = np.unique(np.lib.stride_tricks.sliding_window_view(own, span).argmin(axis=1) + np.arange(len(own) - span + 1))
+    # Of a run of equal keys, as silence has, the ends say where it lies.
+    same = (own[place[1:]] == own[place[:-1]]) & (place[1:] == place[:-1] + 1)
+    inner = np.concatenate([[False], same]) & np.concatenate([same, [False]])
+    return own[place[~inner]].view(np.int64), place[~inner].astype(np.int32)
+
+
+@dataclass(frozen=True)
+class Likeness:
+    """What makes two classes one group: how many integers overlap at least, what share of the shorter one, and the share of bits that may differ."""
+
+    least_overlap: int = 8
+    least_share: float = 0.5
+    most_errors: float = 0.15
+
+    def agree(self, a: np.ndarray, b: np.ndarray, keyed_a: tuple[np.ndarray, np.ndarray] | None = None, keyed_b: tuple[np.ndarray, np.ndarray] | None = None) -> bool:
+        """Whether the integers a and b align at the offset at which most of their keys meet (of several, the nearest to 0)."""
+        (keys_a, at_a), (keys_b, at_b) = keyed_a or thinned(a), keyed_b or thinned(b)
+        order = np.argsort(keys_b, kind="stable")
+        first = np.searchsorted(keys_b, keys_a, sorter=order)
+        count = np.searchsorted(keys_b, keys_a, side="right", sorter=order) - first
+        total = np.cumsum(count)
+        if not len(total) or not total[-1]:
+            return False
+        met = at_b[order[np.repeat(first - (total - count), count) + np.arange(total[-1])]]
+        offsets, votes = np.unique(np.repeat(at_a, count) - met, return_counts=True)
+        offset = int(min(offsets[votes == votes.max()].tolist(), key=lambda x: (abs(x), x)))
+        x, y = a[max(offset, 0) :], b[max(-offset, 0) :]
+        overlap = min(len(x), len(y))
+        if overlap < self.least_overlap or overlap < min(len(a), len(b)) * self.least_share:
+            return False
+        return int(np.bitwise_count(x[:overlap].view(np.uint32) ^ y[:overlap].view(np.uint32)).sum()) <= overlap * 32 * self.most_errors
+
+
+def class_keys(classes: DataFrame) -> DataFrame:
+    """rep, key: the distinct thinned keys of each class."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column("prints")
-            flat, count = lists.flatten().to_numpy().view(np.uint32).astype(np.uint64), lists.value_lengths().to_numpy().astype(np.int64)
-            hashes = np.zeros(len(flat), np.uint64)
-            for k in range(KEY):
-                hashes[: len(flat) - k] += mix64(flat[k:] + np.uint64(k << 40))
-            hashes = mix64(hashes)
-            reps, who, found, places, begin = batch.column("rep").to_numpy(), [], [], [], 0
-            for i, n in enumerate(count.tolist()):
-                own = hashes[begin : begin + max(n - KEY + 1, 0)]
-                begin += n
-                if len(own):
-                    span = min(WINDOW, len(own))
-                    least = np.lib.stride_tricks.sliding_window_view(own, span).argmin(axis=1) + np.arange(len(own) - span + 1)
-                    place = np.unique(least)
-                    who.append(np.full(len(place), reps[i]))
-                    found.append(own[place])
-                    places.append(place)
-            if who:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(who)), pa.array(np.concatenate(found).view(np.int64)), pa.array(np.concatenate(places).astype(np.int32))], ["rep", "key", "pos"])
-
-    return mapped(classes.select("rep", "prints"), work, "rep long, key long, pos int")
-
-
-def bit_errors(a: F.Column, b: F.Column) -> F.Column:
-    """Differing bits of two arrays of one length."""
-    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
-
-
-def meetings(found: DataFrame) -> DataFrame:
-    """u, v, offset: every two classes u > v at every two places (of found: rep, key, pos) where they have one key."""
-    shared = found.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"), F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo <> hi").select("key", "blocks")
-    dealt = found.join(shared, "key").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    dealt = written(dealt.withColumn("all", F.sequence(F.lit(0), F.col("blocks") - 1)).drop("blocks"))
-    left = dealt.select("key", F.col("own").alias("i"), F.explode("all").alias("j"), F.col("rep").alias("u"), F.col("pos").alias("pos_u"))
-    right = dealt.select("key", F.explode("all").alias("i"), F.col("own").alias("j"), F.col("rep").alias("v"), F.col("pos").alias("pos_v"))
-    return left.join(right, ["key", "i", "j"]).where("u > v").select("u", "v", (F.col("pos_u") - F.col("pos_v")).alias("offset"))
-
-
-def aligned(recordings: DataFrame, id_col: str, media_col: str, least_overlap: int = 8, least_share: float = 0.5, most_errors: float = 0.15) -> DataFrame:
-    """id, n_frames, n_prints, prints_crc32, group_id (smallest id of its group), n_links (of its class, with other classes)."""
-    signed = written(fingerprints(recordings, id_col, media_col))
+            found = [np.unique(thinned(x)[0]) for x in np.split(lists.flatten().to_numpy(), np.cumsum(lists.value_lengths().to_numpy())[:-1])] if batch.num_rows else []
+            if found:
+                reps = np.repeat(batch.column("rep").to_numpy(), [len(x) for x in found])
+                yield pa.RecordBatch.from_arrays([pa.array(reps), pa.array(np.concatenate(found))], ["rep", "key"])
+
+    return mapped(classes.select("rep", "prints"), work, "rep long, key long")
+
+
+def verified(pairs: DataFrame, classes: DataFrame, like: Likeness) -> DataFrame:
+    """Those of pairs(u, v) that agree. v may repeat without bound: it goes to as many places as its pairs fill."""
+    degree = pairs.groupBy("v").agg(F.ceil(F.count("*") / LEADER_LINKS).cast("int").alias("places"))
+    right = degree.join(classes, F.col("v") == F.col("rep")).select("v", F.explode(F.sequence(F.lit(0), F.col("places") - 1)).alias("place"), F.col("prints").alias("b"))
+    left = pairs.join(degree, "v").withColumn("place", F.pmod(F.xxhash64("u"), F.col("places")).cast("int"))
+    left = left.join(classes.select(F.col("rep").alias("u"), F.col("prints").alias("a")), "u")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = (batch.column(c) for c in ("a", "b"))
+            keep = pa.array([like.agree(a[i].values.to_numpy(), b[i].values.to_numpy()) for i in range(batch.num_rows)], pa.bool_())
+            yield batch.select(["u", "v"]).filter(keep)
+
+    return mapped(left.join(right, ["v", "place"]).select("u", "v", "a", "b"), work, "u long, v long")
+
+
+def joining_links(reps: list[int], groups: list[int], prints: list[np.ndarray], like: Likeness) -> list[tuple[int, int]]:
+    """Links between members (in the order of reps) of different groups, as few as join all that agree."""
+    parent = {g: g for g in groups}
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    keyed, links = [thinned(x) for x in prints], []
+    names, times = np.unique(groups, return_counts=True)
+    main = int(names[times.argmax()])
+    for i in (i for i, g in enumerate(groups) if g != main):
+        for j in range(len(reps)):
+            # Of two outside the largest group the later one is compared with the earlier.
+            if (groups[j] == main or j < i) and root(groups[i]) != root(groups[j]):
+                late, early = max(i, j), min(i, j)
+                if like.agree(prints[late], prints[early], keyed[late], keyed[early]):
+                    parent[root(groups[i])] = root(groups[j])
+                    links.append((reps[late], reps[early]))
+    return links
+
+
+def hidden_links(members: DataFrame, classes: DataFrame, like: Likeness) -> DataFrame:
+    """Links (u, v) between groups that a key's members hide; members: key, rep, comp.
+
+    A task is a block of those outside the key's largest group with a block of that group, or with another block of others.
+    """
+    sizes = members.groupBy("key", "comp").agg(F.count("*").alias("k"))
+    open_ = sizes.groupBy("key").agg(F.max_by("comp", F.struct("k", "comp")).alias("main"), F.sum("k").alias("n"), F.max("k").alias("k")).where("k < n")
+    blocks = lambda x: F.ceil(x / BLOCK).cast("int")
+    open_ = open_.select("key", "main", blocks(F.col("n") - F.col("k")).alias("others"), blocks(F.col("k")).alias("mains"))
+    apart = F.col("comp") != F.col("main")
+    rows = members.join(open_, "key").withColumn("own", F.pmod(F.xxhash64("rep"), F.when(apart, F.col("others")).otherwise(F.col("mains"))).cast("int"))
+    upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    with_main = F.transform(upto("mains"), lambda j: F.struct(F.lit(True).alias("main"), F.col("own").alias("i"), j.alias("j")))
+    others = F.transform(F.filter(upto("others"), lambda k: k != F.col("own")), lambda k: F.struct(F.lit(False).alias("main"), F.least(k, F.col("own")).alias("i"), F.greatest(k, F.col("own")).alias("j")))
+    of_main = F.transform(upto("others"), lambda i: F.struct(F.lit(True).alias("main"), i.alias("i"), F.col("own").alias("j")))
+    rows = rows.select("key", "rep", "comp", F.explode(F.when(apart, F.concat(with_main, others)).otherwise(of_main)).alias("t")).select("key", "t.*", "rep", "comp")
+    # A key with the same members as another has nothing to add.
+    name = ["key", "main", "i", "j"]
+    tasks = rows.groupBy(*name).agg(F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("same"), F.count("*").alias("size"), F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b")
+    once = tasks.groupBy("same", "size", "a", "b").agg(F.min(F.struct(*name)).alias("t")).select("t.*")
+    full = rows.join(once, name).join(classes.select("rep", "prints"), "rep").select(*name, "rep", "comp", "prints")
+
+    def work(table: pa.Table) -> pa.Table:
+        table = table.sort_by("rep")
+        links = joining_links(table.column("rep").to_pylist(), table.column("comp").to_pylist(), [x.values.to_numpy() for x in table.column("prints").combine_chunks()], like) if table.num_rows else []
+        return pa.table({"u": pa.array([a for a, _ in links], pa.int64()), "v": pa.array([b for _, b in links], pa.int64())})
+
+    return full.groupBy(*name).applyInArrow(releasing(work), "u long, v long")
+
+
+def aligned(recordings: DataFrame, id_col: str, media_col: str, sound: Sound = SOUND, like: Likeness = Likeness()) -> DataFrame:
+    """id, n_frames, n_prints, prints_crc32, class_id (smallest id with these integers), group_id (smallest id of all that align, over whatever steps)."""
+    signed = written(fingerprints(recordings, id_col, media_col, sound))
     usable = (F.col("n_prints") > 0) & F.col("id").isNotNull()
     some = signed.where(usable)
-    classes = written(some.groupBy("prints_crc32", "prints").agg(F.min("id").alias("rep"), F.max("n_prints").alias("n")))
-    found = written(keys(classes))
-    meets = meetings(found)
-    peaks = meets.groupBy("u", "v", "offset").agg(F.count("*").alias("n")).groupBy("u", "v").agg(F.max(F.struct("n", -F.abs("offset"), "offset")).alias("m")).select("u", "v", "m.offset")
-    # Pairs that overlap too little go before prints are sent.
-    sizes = classes.select("rep", "n")
-    peaks = peaks.join(sizes.select(F.col("rep").alias("u"), F.col("n").alias("na")), "u").join(sizes.select(F.col("rep").alias("v"), F.col("n").alias("nb")), "v")
-    begin = F.greatest(F.col("offset"), F.lit(0))
-    overlap = F.least(F.col("na") - begin, F.col("nb") - F.greatest(-F.col("offset"), F.lit(0))).cast("int")
-    peaks = written(peaks.withColumn("overlap", overlap).where((F.col("overlap") >= least_overlap) & (F.col("overlap") >= F.least("na", "nb") * least_share)))
-    # A pair's first class goes to as many places as its pairs fill.
-    degree = peaks.groupBy("v").agg(F.ceil(F.count("*") / LEADER_LINKS).cast("int").alias("places"))
-    right = degree.join(classes, F.col("v") == F.col("rep")).select("v", F.explode(F.sequence(F.lit(0), F.col("places") - 1)).alias("place"), F.col("prints").alias("b"))
-    left = peaks.join(degree, "v").withColumn("place", F.pmod(F.xxhash64("u"), F.col("places")).cast("int")).join(classes.select(F.col("rep").alias("u"), F.col("prints").alias("a")), "u")
-    both = left.join(right, ["v", "place"])
-    side_a, side_b = F.slice("a", begin + 1, F.col("overlap")), F.slice("b", F.greatest(-F.col("offset"), F.lit(0)) + 1, F.col("overlap"))
-    links = written(both.where(bit_errors(side_a, side_b) <= F.col("overlap") * 32 * most_errors).select("u", "v"))
+    classes = written(some.groupBy("prints_crc32", "prints").agg(F.min("id").alias("rep")))
+    keyed = class_keys(classes)
+    leaders = keyed.groupBy("key").agg(F.min("rep").alias("leader"), F.count("*").alias("n")).where("n > 1")
+    members = written(keyed.join(leaders, "key"))
+    stars = members.where("rep <> leader").select(F.col("rep").alias("u"), F.col("leader").alias("v")).distinct()
+    links = written(verified(stars, classes, like))
     groups = components(links)
-    count = links.select("u").unionByName(links.select(F.col("v").alias("u"))).groupBy("u").agg(F.count("*").alias("n_links"))
-    named = classes.join(groups, F.col("rep") == F.col("node"), "left").join(count, F.col("rep") == F.col("u"), "left")
-    named = named.select("prints_crc32", "prints", F.coalesce("component", "rep").alias("group_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    full = some.join(named, ["prints_crc32", "prints"]).select("id", "n_frames", "n_prints", "prints_crc32", "group_id", "n_links")
+    # Of two members the star has compared all there is.
+    several = members.where("n > 2").join(groups, F.col("rep") == F.col("node"), "left").select("key", "rep", F.coalesce("component", "rep").alias("comp"))
+    hidden = written(hidden_links(several, classes, like))
+    if hidden.limit(1).count():
+        discard(groups)
+        groups = components(links.unionByName(hidden))
+    named = written(classes.join(groups, F.col("rep") == F.col("node"), "left").select("prints_crc32", "prints", F.col("rep").alias("class_id"), F.coalesce("component", "rep").alias("group_id")))
+    discard(members, links, hidden, groups, classes)
+    full = some.join(named, ["prints_crc32", "prints"]).select("id", "n_frames", "n_prints", "prints_crc32", "class_id", "group_id")
     rest = signed.where(~usable)
     equal = rest.where("raw is not null and id is not null").groupBy("raw").agg(F.min("id").alias("least"))
-    rest = rest.join(equal, "raw", "left").withColumn("group_id", F.when(F.col("id").isNotNull(), F.coalesce("least", "id")))
-    rest = rest.select("id", "n_frames", "n_prints", "prints_crc32", "group_id", F.lit(0).cast("long").alias("n_links"))
-    return full.unionByName(rest)
+    rest = rest.join(equal, "raw", "left").withColumn("class_id", F.when(F.col("id").isNotNull(), F.coalesce("least", "id")))
+    return full.unionByName(rest.select("id", "n_frames", "n_prints", "prints_crc32", "class_id", F.col("class_id").alias("group_id")))
 
 
 def sonified(texts: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, media: a recording of each text, a tone of HOP samples for each word.
+    """id, media: a recording of each text, a tone of one hop for each word.
 
     A word's tone is a semitone between 110 and 440 Hz taken from its crc32. This stands in for a
     media table, of which there is none: equal words sound alike, so texts that share a passage
@@ -213,7 +333,7 @@ def sonified(texts: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tones = np.stack([128 + 100 * np.sin(2 * np.pi * 110 * 2 ** (k / 12) * np.arange(HOP) / RATE) for k in range(24)]).round().astype(np.uint8)
+        tones = np.stack([128 + 100 * np.sin(2 * np.pi * 110 * 2 ** (k / 12) * np.arange(SOUND.hop) / SOUND.rate) for k in range(24)]).round().astype(np.uint8)
         for batch in batches:
             for k in range(0, batch.num_rows, 64):
                 part = batch.slice(k, 64)

@@ -12,9 +12,11 @@ out such that all that share their first ``width`` bytes meet:
    window by itself, under the window's own hash, which spreads them.
 3. Where stretches meet, a suffix array over all their windows is built by prefix
    doubling, with the common-prefix length of neighbours. A stack scan gives the tree of common-prefix
-   intervals of at least ``width``. An interval whose occurrences differ in the byte before them is a
-   maximal repeat; an outermost interval holds all occurrences of its first ``width`` bytes.
-4. Each occurrence whose document isn't the interval's first is covered; its ranges go back to
+   intervals of at least ``width``. An interval whose occurrences differ in the byte before them (a
+   stretch's begin differs from all) is a maximal repeat group within these stretches; so is a stretch that occurs several times.
+   Every string of ``width`` bytes that occurs twice lies in a group with just its occurrences: to the left
+   it is extended until they differ.
+4. Of each group every occurrence whose document isn't the group's first is covered; its ranges go back to
    its part, where they are united and cut out.
 
 All steps are Spark shuffles of compact binary rows; a hot passage is combined
@@ -47,6 +49,8 @@ HASH_BITS = 48
 PART_BYTES, SPREAD = 4 << 20, 2
 #: Sections of a part of the hashes, worked on one after the other: sorting takes about a hundred bytes for each of a section's.
 SECTIONS = 8
+#: Occurrences of groups that are worked on at a time.
+GROUP_PLACES = 1 << 19
 #: Occurrences of a leader from which its windows go separately.
 MANY = 2000
 #: Stands for an id that is null.
@@ -294,13 +298,13 @@ def repeated_suffixes(data: np.ndarray, size: np.ndarray, width: int) -> tuple[n
     return order, np.concatenate([[0], prefix])
 
 
-def prefix_intervals(prefix: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Common-prefix intervals of at least least: length, first, last, and whether no other holds it. By a stack scan.
+def prefix_intervals(prefix: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Common-prefix intervals of at least least: length, first, last. By a stack scan.
 
     Neighbours whose common prefix doesn't change add nothing to the tree and are passed over.
     """
     turn = np.flatnonzero(np.concatenate([prefix[1:] != prefix[:-1], [True]])) if len(prefix) else np.zeros(0, np.int64)
-    length, first, last, outer = [], [], [], []
+    length, first, last = [], [], []
     stack: list[tuple[int, int]] = []
     begin = 0
     for value, end in zip(prefix[turn].tolist(), turn.tolist(), strict=True):
@@ -312,7 +316,6 @@ def prefix_intervals(prefix: np.ndarray, least: int) -> tuple[np.ndarray, np.nda
             length.append(size)
             first.append(start)
             last.append(begin - 1)
-            outer.append(not stack and not value)
         if value and (not stack or stack[-1][0] < value):
             stack.append((value, start))
         begin = end + 1
@@ -321,8 +324,7 @@ def prefix_intervals(prefix: np.ndarray, least: int) -> tuple[np.ndarray, np.nda
         length.append(size)
         first.append(start)
         last.append(len(prefix) - 1)
-        outer.append(not stack)
-    return np.array(length, np.int64), np.array(first, np.int64), np.array(last, np.int64), np.array(outer, bool)
+    return np.array(length, np.int64), np.array(first, np.int64), np.array(last, np.int64)
 
 
 def left_diverse(before: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -352,21 +354,29 @@ class Meeting:
         self.data = data[ranges(start[one], self.size)]
         self.width = width
         self.order, self.prefix = repeated_suffixes(self.data, self.size, width)
-        self.length, self.first, self.last, self.outer = prefix_intervals(self.prefix, width)
+        self.length, self.first, self.last = prefix_intervals(self.prefix, width)
+        starts = np.zeros(len(self.data) + 1, bool)
+        starts[self.start] = True
+        before = np.where(starts[self.order], -1, self.data[self.order - 1].astype(np.int64)) if len(self.order) else self.order
+        #: The intervals that are maximal repeat groups.
+        self.maximal = np.flatnonzero(left_diverse(before, self.first, self.last))
 
     def covered(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Ranges covered: part, row of the part, begin, end."""
+        """Ranges that the groups cover: part, row of the part, begin, end."""
         owner = np.full(len(self.size), np.iinfo(np.int64).max)
         np.minimum.at(owner, self.which, self.doc)
-        # The first document that has the window at each place: of its stretch, or of its interval.
+        # The first document of the groups that each window is in; a stretch's own occurrences are one.
         least = np.repeat(owner, self.size)
-        top = np.flatnonzero(self.outer)
-        if len(top):
-            docs, lo = least[self.order], self.first[top]
-            top = top[np.argsort(lo)]
-            lo, count = self.first[top], self.last[top] - self.first[top] + 1
-            members = ranges(lo, count)
-            least[self.order[members]] = np.repeat(np.minimum.reduceat(docs[members], np.cumsum(count) - count), count)
+        docs = least[self.order]
+        count = self.last[self.maximal] - self.first[self.maximal] + 1
+        # Some groups at a time, for a bounded number of places.
+        cuts = np.unique(np.searchsorted(np.cumsum(count), np.arange(0, count.sum() + GROUP_PLACES, GROUP_PLACES)).clip(0, len(count)))
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            n, longer = count[a:b], self.length[self.maximal[a:b]] - self.width + 1
+            members = ranges(self.first[self.maximal[a:b]], n)
+            first = np.repeat(np.minimum.reduceat(docs[members], np.cumsum(n) - n), n)
+            reach = np.repeat(longer, n)
+            np.minimum.at(least, ranges(self.order[members], reach), np.repeat(first, reach))
         windows = self.size[self.which] - self.width + 1
         at = ranges(self.start[self.which], windows)
         row = np.repeat(np.arange(len(windows)), windows)
@@ -379,10 +389,9 @@ class Meeting:
 
     def groups(self) -> Iterator[tuple[int, list[tuple[int, int]]]]:
         """Maximal repeats: length, and all occurrences as (doc_id, offset). Longer ones go on in the next stretch."""
-        before = np.where(np.isin(self.order, self.start), -1, self.data[self.order - 1].astype(np.int64)) if len(self.order) else self.order
         stretch = np.searchsorted(self.start, self.order, side="right") - 1
         rows, first = np.argsort(self.which, kind="stable"), np.concatenate([[0], np.cumsum(np.bincount(self.which, minlength=len(self.size)))])
-        for i in np.flatnonzero(left_diverse(before, self.first, self.last)).tolist():
+        for i in self.maximal.tolist():
             places = []
             for j in range(self.first[i], self.last[i] + 1):
                 s = stretch[j]
@@ -441,7 +450,8 @@ def parted(docs: DataFrame, id_col: str, text_col: str, rest: bool = False) -> t
     """dp, doc_id, text (and rest: all columns but the text, in a struct), dealt by part; and the number of parts."""
     total = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     parts = max(2, -(-total // PART_BYTES))
-    dp = F.pmod(F.xxhash64(F.col(id_col)), F.lit(parts)).cast("int").alias("dp")
+    # By id and text, so that texts under one id, or under none, part.
+    dp = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(parts)).cast("int").alias("dp")
     others = [F.struct(*[docs[c].alias(f"c{i}") for i, c in enumerate(docs.columns) if c != text_col]).alias("rest")] if rest else []
     return docs.select(dp, F.coalesce(F.col(id_col).cast("long"), F.lit(FIRST)).alias("doc_id"), F.col(text_col).alias("text"), *others).repartition(parts, "dp"), parts
 

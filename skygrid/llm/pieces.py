@@ -25,7 +25,8 @@ Defined cases
 - text null or empty: no ids, decoded as empty
 - characters without a piece: their UTF-8 bytes as byte pieces, or the unknown
   id where the model has none
-- very long words: as others; the work is linear in their length
+- very long words (text without blanks): overlapping windows of one word advance together, and are joined at
+  pieces that they share; for a unigram model, whose best sum has no such joints, the word advances whole
 - an empty table: no rows; repeated rows get equal ids; extra columns stay out
 """
 
@@ -45,6 +46,8 @@ from .common import joined_bytes, mapped, mix64, powers, slices
 BASE = 0x5851F42D4C957F2D
 INVERSE = pow(BASE, -1, 1 << 64)
 SLICE_BYTES = 1 << 22
+#: Characters from which a word is cut into windows; from one window to the next (a multiple of many periods), and what they share at least.
+LONG, STEP, OVERLAP = 2048, 720, 160
 #: Distinct words that a worker remembers; beyond, it starts afresh.
 MEMORY = 1_500_000
 BLANK = "▁"
@@ -294,10 +297,23 @@ class Lattice:
 
 def encode_words(pieces: Pieces, words: list[str]) -> list[np.ndarray]:
     """Ids of each word; all blanks are U+2581 here, and lead."""
+    out = segmented(pieces, words)
+    for i, ids in enumerate(out):
+        if (ids == len(pieces.text)).any():
+            out[i] = _spelled(pieces, ids, np.frombuffer(words[i].encode("utf-32-le"), np.uint32))
+    return out
+
+
+def segmented(pieces: Pieces, words: list[str], long: int = LONG) -> list[np.ndarray]:
+    """Pieces of each word; len(pieces.text) stands for a character without one. BPE words above long go by windows."""
     out: list[np.ndarray] = [np.zeros(0, np.int32)] * len(words)
     sizes = np.fromiter(map(len, words), np.int64, len(words))
     for size in np.unique(sizes).tolist():
         at = np.flatnonzero(sizes == size)
+        if size > long and not pieces.unigram:
+            for i in at.tolist():
+                out[i] = stitched(pieces, words[i])
+            continue
         for part in np.array_split(at, max(1, len(at) * size * min(size, pieces.longest) // 4_000_000)):
             points = np.frombuffer("".join(words[i] for i in part).encode("utf-32-le"), np.uint32).reshape(len(part), size)
             lattice = Lattice(pieces, points)
@@ -315,11 +331,45 @@ def encode_words(pieces: Pieces, words: list[str]) -> list[np.ndarray]:
             flat, kept = found[there], np.cumsum(there.sum(axis=1)).tolist()
             for i, a, b in zip(part.tolist(), [0, *kept], kept):
                 out[i] = flat[a:b]
-            for k in np.flatnonzero((found == len(pieces.text)).any(axis=1)).tolist():
-                out[part[k]] = _spelled(pieces, out[part[k]], points[k])
     return out
 
 
+def stitched(pieces: Pieces, word: str) -> np.ndarray:
+    """segmented() for a long word and a BPE model: windows of it advance together.
+
+    A piece that two neighbouring windows have at one place joins their results: left of it all neighbours
+    are stable in the one, right of it in the other, and the whole word's result is the only one in
+    which all are. Where two windows have no piece in common (texts with a period), the later ones are moved to where the
+    earlier one has a border.
+    """
+    n, reach = len(word), STEP + OVERLAP + 4 * pieces.longest
+    starts = list(range(0, n, STEP))
+
+    def windows(at: list[int]) -> list[np.ndarray]:
+        return segmented(pieces, [word[x : x + reach] for x in at], n)
+
+    found, kept, k, moves, tries = windows(starts), [], 1, 0, 0
+    now, begin, end = found[0], 0, reach
+    while end < n:
+        size, others = pieces.size[now], pieces.size[found[k]]
+        places, other_places = begin + np.cumsum(size) - size, starts[k] + np.cumsum(others) - others
+        _, a, b = np.intersect1d(places * (pieces.longest + 1) + size, other_places * (pieces.longest + 1) + others, return_indices=True)
+        if len(a):
+            kept.append(now[: a[0]])
+            now, begin, end = found[k][b[0] :], int(other_places[b[0]]), starts[k] + reach
+            k, tries = k + 1, 0
+            continue
+        borders = places[(places > starts[k]) & (places < starts[k] + pieces.longest)]
+        if not len(borders) or tries > 8:
+            return segmented(pieces, [word], n)[0]
+        # All later windows move alike, as a period asks for; if that has not helped, this one alone.
+        shift, stop = int(borders[0]) - starts[k], len(starts) if moves < 4 else k + 1
+        starts[k:stop] = [x + shift for x in starts[k:stop] if x + shift < n]
+        found[k:stop] = windows(starts[k : min(stop, len(starts))])
+        moves, tries = moves + 1, tries + 1
+    return np.concatenate([*kept, now])
+
+
 def _spelled(pieces: Pieces, ids: np.ndarray, points: np.ndarray) -> np.ndarray:
     """ids with characters that have no piece as bytes."""
     out: list[int] = []

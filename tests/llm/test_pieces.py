@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -90,3 +91,30 @@ def test_memory_is_bounded_and_grows():
         ids, counts = memory.encode(data, np.array([0, len(data)]), start)
         assert ids.tolist() == np.diff([*start, len(t)]).tolist() and counts.tolist() == [len(start)]
     assert len(seen) > len(set(seen)) and len(memory.begin) <= 6
+
+
+def long_words():
+    rng = random.Random(5)
+    han = "".join(rng.choices("的一是在不了有和人这中大为上个国我以要他", k=30_000))
+    digits = "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=1_000_000))
+    periods = ["x" * 30_000, "ab" * 9_000, "abc" * 5_000 + "x" * 5_000, "=" * 4_001, "the" * 3_000, "ＡＢ" * 3_000, "日" * 5_000, "é" * 2_049, "aaaaaaaaaaa-" * 700]
+    joined = "".join(rng.choices(["the", "ing", "station", "tion", "er", "é", "日本", "€", "😀", "xx", "===="], k=9_000))
+    return [han, digits, *periods, joined, "a " + joined[:3_000] + "  b " + "x" * 3_000 + "\n" + joined[:2_500]]
+
+
+def test_long_texts_without_blanks():
+    """A million characters in one word, words with periods, and scripts without blanks: the library's ids, in linear time."""
+    codec, plain = pieces.Codec(pieces.load(PATH)), sentencepiece.SentencePieceProcessor(model_file=PATH)
+    for text in long_words():
+        began = time.process_time()
+        ids, _ = codec.encode(*joined_bytes(pa.array([text])))
+        assert ids.tolist() == plain.encode(text), (text[:20], len(text))
+        assert time.process_time() - began < 5 + len(text) / 50_000
+
+
+def test_windows_that_share_no_piece(monkeypatch):
+    """Steps that no period divides, so that windows have to move."""
+    monkeypatch.setattr(pieces, "STEP", 701)
+    codec, plain = pieces.Codec(pieces.load(PATH)), sentencepiece.SentencePieceProcessor(model_file=PATH)
+    for text in [t for t in long_words() if len(t) < 31_000]:
+        assert codec.encode(*joined_bytes(pa.array([text])))[0].tolist() == plain.encode(text)

@@ -36,15 +36,15 @@ def shared_dir(spark: SparkSession) -> str:
 _PATHS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
-def written(df: DataFrame, **options: str) -> DataFrame:
-    """df as a Parquet table in the shared folder, read back.
+def written(df: DataFrame, by: str | None = None) -> DataFrame:
+    """df as a Parquet table in the shared folder (with a folder for each value of by), read back.
 
     This cuts the lineage: a lost executor costs a reread, not a recomputation,
     and what is used several times is computed once.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/skygrid-{uuid.uuid4().hex}"
-    df.write.options(**{"compression": "zstd", **options}).parquet(path)
+    df.write.partitionBy(*[by] * bool(by)).option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     _PATHS[out] = path
     return out

@@ -132,10 +132,10 @@ class Model:
 
 @dataclass
 class Tables:
-    """A model as tables: gram, p (probability in each language), and context, back (the weight of the next lower order)."""
+    """A model as tables: gram (of 1 to ORDER characters), p (probability in each language), and context, back (the weight of the next lower order)."""
 
     grams: dict[int, DataFrame]
-    contexts: dict[int, DataFrame]
+    contexts: DataFrame
     base: float
 
 
@@ -210,52 +210,50 @@ def _added(old: tuple[np.ndarray, np.ndarray] | None, windows: np.ndarray, count
 
 def kneser_ney_tables(counts: DataFrame, langs: list[str]) -> Tables:
     """The model of counts(lang, gram, n). Absolute discounting with D = n1 / (n1 + 2 n2) at each order."""
-    each = range(len(langs))
-    by_lang = [F.sum(F.when(F.col("lang") == x, F.col("n")).otherwise(0)) for x in langs]
-    wide = {ORDER: written(counts.groupBy("gram").agg(F.array(*by_lang).alias("v")))}
-    for n in range(ORDER, 1, -1):
-        # An n-gram counts once for each different character before it.
-        before = [F.sum((F.col("v")[i] > 0).cast("long")) for i in each]
-        wide[n - 1] = written(wide[n].groupBy(F.expr("substring(gram, 2)").alias("gram")).agg(F.array(*before).alias("v")))
-    out = Tables({}, {}, 1.0 / (wide[1].count() + 1))
-    rare = [wide[n].agg(*[F.sum((F.col("v")[i] == k).cast("long")).alias(f"n{k}_{i}") for i in each for k in (1, 2)]).withColumn("order", F.lit(n)) for n in wide]
-    few = {r["order"]: r for r in reduce(DataFrame.unionByName, rare).collect()}
+    spark = counts.sparkSession
+    # In lower orders an n-gram counts once for each different character before it.
+    tails = counts.select("lang", F.explode(F.transform(F.sequence(F.lit(2), F.lit(ORDER)), lambda m: F.substring("gram", F.lit(ORDER + 1) - m, m))).alias("gram")).distinct()
+    lower = tails.groupBy("lang", F.expr("substring(gram, 2)").alias("gram")).agg(F.count("*").alias("n"))
+    every = written(counts.unionByName(lower).withColumn("order", F.length("gram")))
+    few = {(r["order"], r["lang"]): r for r in every.groupBy("order", "lang").agg(*[F.sum((F.col("n") == k).cast("long")).alias(f"n{k}") for k in (1, 2)]).collect()}
+    discounts = [(n, i, x, min(0.9, max(0.1, (r["n1"] + 0.5) / (r["n1"] + 2 * r["n2"] + 1.0)))) for i, x in enumerate(langs) for n in range(1, ORDER + 1) if (r := few.get((n, x)))]
+    discounts = spark.createDataFrame(discounts, "order int, i int, lang string, d double")
+    every = every.join(F.broadcast(discounts), ["order", "lang"]).withColumn("context", F.expr("left(gram, order - 1)"))
+    totals = written(every.groupBy("i", "context").agg(F.sum("n").alias("total"), (F.count("*") * F.first("d")).alias("share")).withColumn("back", F.col("share") / F.col("total")))
+
+    def by_lang(value: str, none: float) -> Column:
+        """An array of each language's value (at most one row for each); none where a language has no row."""
+        known = F.map_from_entries(F.collect_list(F.struct("i", value)))
+        return F.transform(F.sequence(F.lit(0), F.lit(len(langs) - 1)), lambda i: F.coalesce(known[i], F.lit(none)))
+
+    contexts = written(totals.groupBy("context").agg(by_lang("back", 1.0).cast("array<float>").alias("back")))
+    direct = every.join(totals.select("i", "context", "total"), ["i", "context"]).withColumn("direct", F.greatest(F.col("n") - F.col("d"), F.lit(0.0)) / F.col("total"))
+    direct = direct.groupBy("order", "gram", "context").agg(by_lang("direct", 0.0).alias("direct")).join(contexts, "context")
+    direct = written(direct.select("order", "gram", F.expr("substring(gram, 2)").alias("tail"), "direct", "back"), by="order")
+    base = 1.0 / (direct.where("order = 1").count() + 1)
+    below = spark.createDataFrame([("", [base] * len(langs))], "gram string, p array<float>")
+    grams = {}
     for n in range(1, ORDER + 1):
-        ones, twos = (np.array([few[n][f"n{k}_{i}"] or 0 for i in each], float) for k in (1, 2))
-        discount = [float(x) for x in np.clip((ones + 0.5) / (ones + 2 * twos + 1.0), 0.1, 0.9)]
-        named = wide[n].withColumn("context", F.expr(f"substring(gram, 1, {n - 1})"))
-        sums = [F.sum(F.col("v")[i]).alias(f"t{i}") for i in each] + [F.sum((F.col("v")[i] > 0).cast("long")).alias(f"k{i}") for i in each]
-        total, back = F.array(*[F.col(f"t{i}") for i in each]), [F.when(F.col(f"t{i}") > 0, F.col(f"k{i}") * discount[i] / F.col(f"t{i}")).otherwise(1.0) for i in each]
-        out.contexts[n - 1] = written(named.groupBy("context").agg(*sums).select("context", total.alias("total"), F.array(*back).cast("array<float>").alias("back")))
-        full = named.join(out.contexts[n - 1], "context")
-        if n > 1:
-            full = full.withColumn("tail", F.expr("substring(gram, 2)")).join(out.grams[n - 1].select(F.col("gram").alias("tail"), F.col("p").alias("lower")), "tail")
-        else:
-            full = full.withColumn("lower", F.array(*[F.lit(out.base)] * len(langs)))
-        direct = [F.when(F.col("total")[i] > 0, F.greatest(F.col("v")[i] - discount[i], F.lit(0.0)) / F.col("total")[i]).otherwise(0.0) for i in each]
-        out.grams[n] = written(full.select("gram", F.array(*[direct[i] + F.col("back")[i] * F.col("lower")[i] for i in each]).cast("array<float>").alias("p")))
-    discard(*wide.values())
-    return out
+        full = direct.where(F.col("order") == n).drop("order").join(below.select(F.col("gram").alias("tail"), F.col("p").alias("lower")), "tail")
+        mixed = F.zip_with("direct", F.zip_with("back", "lower", lambda b, q: b.cast("double") * q), lambda d, x: d + x)
+        grams[n] = below = written(full.select("gram", mixed.cast("array<float>").alias("p")))
+    discard(every, totals, direct)
+    return Tables(grams, contexts, base)
 
 
 def table_scores(tables: Tables, grams: DataFrame, size: int) -> DataFrame:
     """gram, whole (log probability in each of size languages times SCALE, rounded); grams: distinct 5-grams, seen or not."""
-    out = grams.select("gram")
-    for n in range(ORDER, 0, -1):
-        tail = F.expr(f"substring(gram, {ORDER + 1 - n}, {n})")
-        seen = tables.grams[n].select(F.col("gram").alias(f"gram{n}"), F.col("p").alias(f"p{n}"))
-        context = tables.contexts[n - 1].select(F.col("context").alias(f"context{n}"), F.col("back").alias(f"back{n}"))
-        out = out.withColumn(f"tail{n}", tail).join(seen, F.col(f"tail{n}") == F.col(f"gram{n}"), "left")
-        # The context matters only where the n-gram is unseen.
-        lead = F.when(F.col(f"p{n}").isNull(), F.expr(f"substring(gram, {ORDER + 1 - n}, {n - 1})"))
-        out = out.withColumn(f"lead{n}", lead).join(context, F.col(f"lead{n}") == F.col(f"context{n}"), "left")
-    whole = []
-    for i in range(size):
-        p = F.lit(tables.base)
-        for n in range(1, ORDER + 1):
-            p = F.coalesce(F.col(f"p{n}")[i].cast("double"), F.coalesce(F.col(f"back{n}")[i], F.lit(1.0)) * p)
-        whole.append(F.round(F.log(p) * SCALE).cast("long"))
-    return out.select("gram", F.array(*whole).alias("whole"))
+    at = lambda n: F.substring("gram", F.lit(ORDER + 1) - n, n)
+    tails = F.transform(F.sequence(F.lit(1), F.lit(ORDER)), lambda n: F.struct(n.alias("n"), at(n).alias("tail"), F.substring("gram", F.lit(ORDER + 1) - n, n - 1).alias("context")))
+    known = reduce(DataFrame.unionByName, tables.grams.values()).select(F.col("gram").alias("tail"), "p")
+    steps = grams.select("gram", F.explode(tails).alias("t")).select("gram", "t.*").join(known, "tail", "left").join(tables.contexts, "context", "left")
+    steps = steps.groupBy("gram").agg(F.sort_array(F.collect_list(F.struct("n", F.col("p").cast("array<double>").alias("p"), F.col("back").cast("array<double>").alias("back")))).alias("steps"))
+
+    def longer(p: Column, step: Column) -> Column:
+        return F.when(step["p"].isNotNull(), step["p"]).when(step["back"].isNotNull(), F.zip_with(p, step["back"], lambda x, b: x * b)).otherwise(p)
+
+    p = F.aggregate("steps", F.array_repeat(F.lit(tables.base), size), longer)
+    return steps.select("gram", F.transform(p, lambda x: F.round(F.log(x) * SCALE).cast("long")).alias("whole"))
 
 
 def frequent_model(tables: Tables, langs: list[str], grams: DataFrame) -> Model:
@@ -448,7 +446,7 @@ def learn_from(docs: DataFrame, id_col: str, lang_col: str, text_col: str, **opt
 def forget(model: Model) -> None:
     """Delete the model's tables, when all that is to be scored is scored."""
     if model.tables is not None:
-        discard(*model.tables.grams.values(), *model.tables.contexts.values())
+        discard(*model.tables.grams.values(), model.tables.contexts)
 
 
 def accepted(docs: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", text_col: str = "text", **options) -> DataFrame:

@@ -1,13 +1,15 @@
 """Fixity audit of web archives by hash trees.
 
 Each record is hashed over its named columns. Records are ordered by their offset; a
-node of level L covers the offsets with one value of offset div fanout ** L, and its
+node of level L covers the offsets with one value of offset div fanout ** L (towards zero, so that all
+meet in node 0), and its
 hash is that of its children's numbers and hashes in order. Two replicas whose roots
-agree agree throughout. Where they differ, only children of differing nodes are compared,
-down to the records.
+agree agree throughout, and nothing but the roots is compared. Where they differ, only children of differing nodes
+are read, down to the records.
 
-A tree is one table, (level, node, hash), written partitioned by level, so that an audit
-reads the upper levels whole and of the lower ones what it descends to. A node has at most fanout
+A tree has one table (node, hash) for each level, ordered by node, so that the ranges of nodes that an audit
+descends to are few row groups of the files. While at most ``listed`` nodes differ, their
+children's ranges are a filter of the scan; beyond, a join finds the children. A node has less than twice fanout
 children; records that share one offset are combined by sums before that, whatever their number.
 
 Defined cases
@@ -20,11 +22,13 @@ Defined cases
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import discard, written
 
 #: Hex digits in each part of a hash that is summed; four parts.
 LANE = 15
@@ -43,46 +47,59 @@ def leaves(records: DataFrame, offset: str, columns: Sequence[str]) -> DataFrame
     return hashed.groupBy("node").agg(F.sha2(F.concat_ws("|", F.count("*").cast("string"), F.min("h"), F.max("h"), *sums), 256).alias("hash"))
 
 
-def tree(records: DataFrame, offset: str, columns: Sequence[str], fanout: int = 64) -> DataFrame:
-    """level, node, hash; the root is the only node of the highest level."""
-    level, depth = written(leaves(records, offset, columns)), 0
-    levels = [level.withColumn("level", F.lit(0))]
-    while depth == 0 or level.limit(2).count() > 1:
-        depth += 1
+def tree(records: DataFrame, offset: str, columns: Sequence[str], fanout: int = 64) -> list[DataFrame]:
+    """The levels, from the records' (node, hash) to the root's."""
+
+    def placed(level: DataFrame) -> DataFrame:
+        return written(level.repartitionByRange("node").sortWithinPartitions("node"))
+
+    levels = [placed(leaves(records, offset, columns))]
+    while len(levels) == 1 or levels[-1].limit(2).count() > 1:
         children = F.array_sort(F.collect_list(F.struct("node", "hash")))
         text = F.concat_ws(",", F.transform(children, lambda c: F.concat(c["node"].cast("string"), F.lit(":"), c["hash"])))
-        # Numbers below 0 would never meet in one root: they do at the level above all others.
-        above = F.when(F.lit(depth) >= 11, F.lit(0)).otherwise(F.floor(F.col("node") / fanout)).cast("long")
-        level = written(level.groupBy(above.alias("node")).agg(F.sha2(text, 256).alias("hash")))
-        levels.append(level.withColumn("level", F.lit(depth)))
-    out = levels[0]
-    for x in levels[1:]:
-        out = out.unionByName(x)
+        levels.append(placed(levels[-1].groupBy(F.expr(f"node div {fanout}").alias("node")).agg(F.sha2(text, 256).alias("hash"))))
+    return levels
+
+
+def ranges_below(nodes: list[int], fanout: int) -> list[tuple[int, int]]:
+    """First and last of the children of nodes, ranges that touch as one."""
+    out: list[tuple[int, int]] = []
+    for n in sorted(nodes):
+        a, b = (n * fanout - (fanout - 1 if n <= 0 else 0), n * fanout + (fanout - 1 if n >= 0 else 0))
+        if out and a <= out[-1][1] + 1:
+            out[-1] = (out[-1][0], b)
+        else:
+            out.append((a, b))
     return out
 
 
-def audit(left: DataFrame, right: DataFrame, fanout: int = 64) -> DataFrame:
+def audit(left: list[DataFrame], right: list[DataFrame], fanout: int = 64, listed: int = 256) -> DataFrame:
     """offset, status of the records that differ: "changed", "missing" (from right) or "extra" (in right)."""
-
-    def level(t: DataFrame, k: int, name: str) -> DataFrame:
-        return t.where(F.col("level") == k).select("node", F.col("hash").alias(name))
-
-    top = max(r[0] for t in (left, right) for r in t.agg(F.coalesce(F.max("level"), F.lit(0))).collect())
     # The smaller tree's root stands below: comparing begins at the level that both have.
-    shared = min(r[0] for t in (left, right) for r in t.agg(F.coalesce(F.max("level"), F.lit(0))).collect())
-    suspects: DataFrame | None = None
-    differ = None
-    for k in range(shared if shared == top else max(0, shared - 1), -1, -1):
-        a, b = level(left, k, "a"), level(right, k, "b")
-        if suspects is not None:
-            up = F.floor(F.col("node") / fanout).cast("long") if k < 10 else F.lit(0).cast("long")
-            a, b = (x.withColumn("up", up).join(suspects, "up", "left_semi").drop("up") for x in (a, b))
-        differ = written(a.join(b, "node", "full_outer").where(~F.col("a").eqNullSafe(F.col("b"))))
-        suspects = differ.select(F.col("node").alias("up"))
+    top, differ = min(len(left), len(right)) - 1, None
+    for k in range(top, -1, -1):
+        suspects = [] if differ is None else [r[0] for r in differ.select("node").limit(listed + 1).collect()]
+        if differ is not None and not suspects:
+            break
+        a, b = left[k].withColumnRenamed("hash", "a"), right[k].withColumnRenamed("hash", "b")
+        if suspects:
+            if len(suspects) <= listed:
+                near = reduce(or_, [F.col("node").between(x, y) for x, y in ranges_below(suspects, fanout)])
+                a, b = a.where(near), b.where(near)
+            else:
+                up = differ.select(F.col("node").alias("up"))
+                a, b = (x.withColumn("up", F.expr(f"node div {fanout}")).join(up, "up", "left_semi").drop("up") for x in (a, b))
+        found = written(a.join(b, "node", "full_outer").where(~F.col("a").eqNullSafe(F.col("b"))))
+        if differ is not None:
+            discard(differ)
+        differ = found
     status = F.when(F.col("b").isNull(), "missing").when(F.col("a").isNull(), "extra").otherwise("changed")
     return differ.select(F.col("node").alias("offset"), status.alias("status"))
 
 
 def fixity_audit(left: DataFrame, right: DataFrame, offset: str, columns: Sequence[str], fanout: int = 64) -> DataFrame:
     """audit of the trees of two replicas."""
-    return audit(tree(left, offset, columns, fanout), tree(right, offset, columns, fanout), fanout)
+    trees = [tree(x, offset, columns, fanout) for x in (left, right)]
+    out = audit(*trees, fanout)
+    discard(*trees[0], *trees[1])
+    return out

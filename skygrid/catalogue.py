@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from skygrid.functions import text, times, values
 from skygrid.operators import hourly, preprocess, regions, series, stations, validity
 from skygrid.plans.products import MESONET, METAR
-from skygrid.plans.regions import classify, shape_filter
-from skygrid.sources import archive
+from skygrid.plans.regions import classify, kind_of, shape_filter
+from skygrid.sources import archive, tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -167,6 +167,23 @@ def preprocessed_records(spark, sf_dir):
     return obs.select(F.col("record_pos").alias("event_id"), F.date_format("time", "yyyy").alias("dated"), "station_id", F.col("temperature").cast("double").alias("temperature"), (F.round(F.col("U10").cast("double"), 3) + 0.0).alias("u10"))
 
 
+@query("""SELECT event_id, ts AS time, CASE WHEN event_id % 50 = 0 THEN '' ELSE user_id::VARCHAR END AS station_id,
+ CASE WHEN event_type IN ('view', 'purchase') THEN value::FLOAT::DOUBLE END AS temperature, CASE WHEN event_id % 2 = 0 THEN (value + 1)::FLOAT::DOUBLE END AS dewpoint,
+ CASE WHEN event_type IN ('view', 'purchase') AND value::FLOAT BETWEEN 0 AND 50 THEN round((-value::FLOAT::DOUBLE * cos(radians(event_id % 360)))::FLOAT::DOUBLE, 3) + 0.0 END AS v10
+FROM events WHERE event_id % 9 <> 0""")
+def preprocessed_metar(spark, sf_dir):
+    """The other product: tenths go by the flags of whole degrees; some records lack a time or an identifier."""
+    good, e = F.col("event_type").isin("view", "purchase"), table(spark, sf_dir, "events")
+    flags = {"temperatureDD": F.when(good, "V").otherwise("X"), "dewpointDD": F.when(F.col("event_id") % 2 == 0, "S"), "windDirDD": F.lit("S"), "windSpeedDD": F.when(good, "S").otherwise("Q")}
+    numbers = {"tempFromTenths": F.col("value"), "dpFromTenths": F.col("value") + 1, "windSpeed": F.col("value"), "windDir": F.col("event_id") % 360, **{c: F.lit(0) for c in ("latitude", "longitude", "elevation")}}
+    raw = e.select(
+        F.when(F.col("event_id") % 50 != 0, F.rpad(F.col("user_id").cast("string"), 5, " ")).cast("binary").alias("stationName"), F.when(F.col("event_id") % 9 != 0, times.to_epoch(F.col("ts"))).alias("timeObs"),
+        *[x.cast("float").alias(c) for c, x in numbers.items()], *[x.alias(c) for c, x in flags.items()], F.lit("f").alias("source_file"), F.col("event_id").alias("record_pos"),
+    )
+    obs = preprocess.observations(raw, METAR)
+    return obs.select(F.col("record_pos").alias("event_id"), "time", "station_id", *[F.col(c).cast("double").alias(c) for c in ("temperature", "dewpoint")], (F.round(F.col("V10").cast("double"), 3) + 0.0).alias("v10"))
+
+
 # --- identifiers and names -------------------------------------------------------------------------------------------
 
 
@@ -187,8 +204,7 @@ def station_name_clean(spark, sf_dir):
 @query("SELECT p_brand AS station_id, arg_min(replace(p_name, ' ', ' '), p_partkey) AS name FROM part WHERE regexp_full_match(replace(upper(p_type), ' ', ''), '[A-Z0-9]+') GROUP BY p_brand")
 def station_names_first(spark, sf_dir):
     rows = table(spark, sf_dir, "part").where(F.upper(F.replace("p_type", F.lit(" "), F.lit(""))).rlike("^[A-Z0-9]+$"))
-    named = rows.select(F.col("p_brand").alias("station_id"), text.clean_wide_name(F.replace("p_name", F.lit(" "), F.lit("_"))).alias("name"), F.col("p_partkey").alias("ord"))
-    return named.groupBy("station_id").agg(F.min_by("name", "ord").alias("name"))
+    return tables.first_named(rows.select(F.col("p_brand").alias("station_id"), text.clean_wide_name(F.replace("p_name", F.lit(" "), F.lit("_"))).alias("name"), F.col("p_partkey").alias("line")))
 
 
 @query("SELECT c_custkey::VARCHAR AS station_id, coalesce(n_name, c_custkey::VARCHAR) AS station_name FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey AND n_nationkey % 2 = 0")
@@ -199,11 +215,12 @@ def station_name_lookup(spark, sf_dir):
     return stations.with_names(customers.select("station_id"), names)
 
 
-@query("SELECT n_name AS identifier, CASE WHEN n_nationkey % 4 = 0 THEN 'state' WHEN n_nationkey % 4 = 1 THEN 'grid operator' WHEN n_nationkey % 4 = 2 THEN 'contiguous' ELSE 'station' END AS kind FROM nation")
+@query("""WITH c AS (SELECT n_name, ['CO', 'ERCOT', 'CONUS', 'KDEN', 'ca', 'QQ'][n_nationkey % 6 + 1] AS code FROM nation)
+SELECT n_name AS identifier, CASE WHEN code IN ('CAISO', 'ERCOT', 'ISONE', 'NYISO', 'MISO', 'PJM', 'SPP') THEN 'grid operator' WHEN code = 'CONUS' THEN 'contiguous'
+ WHEN length(code) <> 2 THEN 'station' WHEN code IN ('CO', 'CA', 'TX') THEN 'state' END AS kind FROM c""")
 def region_code_kinds(spark, sf_dir):
-    names = [r[0] for r in table(spark, sf_dir, "nation").orderBy("n_nationkey").select("n_name").collect()]
-    codes = ["CO", "ERCOT", "CONUS", "KDEN"]
-    return spark.createDataFrame([(n, classify(codes[i % 4]).kind) for i, n in enumerate(names)], "identifier string, kind string")
+    codes = F.array(*[F.lit(x) for x in ("CO", "ERCOT", "CONUS", "KDEN", "ca", "QQ")])
+    return table(spark, sf_dir, "nation").select(F.col("n_name").alias("identifier"), kind_of(F.get(codes, F.col("n_nationkey") % 6)).alias("kind"))
 
 
 @query("""WITH s AS (SELECT c_custkey, ['CO', 'AK', 'TX', 'PR'][c_custkey % 4 + 1] AS STUSPS, ['PJM', 'MISO', 'SPP'][c_custkey % 3 + 1] AS RTO_ISO, CASE WHEN c_custkey % 2 = 0 THEN 'REG' ELSE 'HUB' END AS LOC_TYPE FROM customer)
@@ -227,10 +244,10 @@ def select_stations_semi(spark, sf_dir):
     return stations.select_records(obs, wanted).select("o_orderkey", F.col("station_id").alias("o_custkey"))
 
 
-@query("SELECT c_custkey AS station_id FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("SELECT c_custkey AS station_id FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')")
 def missing_stations_anti(spark, sf_dir):
     wanted = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("station_id"))
-    return stations.missing_stations(wanted, table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("station_id")))
+    return stations.missing_stations(wanted, table(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("station_id")))
 
 
 @query("SELECT user_id::VARCHAR AS station_id, count(*) AS n FROM events WHERE user_id IN (3, 1, 4, 15, 9, 2, 6) GROUP BY ALL")
@@ -315,6 +332,13 @@ def single_station_table(spark, sf_dir):
     return found.select("station_id", *[r6(F.col(c)).alias(c) for c in ("latitude", "longitude", "elevation")], "coordinate_warning")
 
 
+# Greedy and in order, so SQL has no short form; a test holds it against brute force.
+@query(None)
+def changed_station_places(spark, sf_dir):
+    found = stations.changed_places(moving(spark, sf_dir))
+    return found.select("station_id", "place", *[r6(F.col(c)).alias(c) for c in ("latitude", "longitude", "elevation")])
+
+
 # --- regions -------------------------------------------------------------------------------------------------------
 
 
@@ -370,7 +394,7 @@ def region_semi_join(spark, sf_dir):
 
 @query("SELECT user_id::VARCHAR AS station_id, ts AS time, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS next_time FROM events")
 def consecutive_pairs(spark, sf_dir):
-    return observed(spark, sf_dir).selectExpr("station_id", "time", "lead(time) OVER (PARTITION BY station_id ORDER BY time, seq) AS next_time")
+    return hourly.consecutive(observed(spark, sf_dir))
 
 
 GRID_SQL = "g AS (SELECT s.station_id, unnest(generate_series(date_trunc('hour', a), date_trunc('hour', b) + INTERVAL 1 HOUR, INTERVAL 1 HOUR)) AS h FROM (SELECT station_id, min(time) AS a, max(time) AS b FROM o GROUP BY station_id) s)"
@@ -431,11 +455,13 @@ def asof_prev_next(spark, sf_dir):
     return hourly.neighbours(hourly.hour_grid(obs, ends), obs, "temperature")
 
 
-MERGED_SQL = f"WITH {TWO_SQL}, {GRID_SQL}, {_at_hours('t', 'temperature', 24)}, {_at_hours('d', 'dewpoint', 24)}, m AS (SELECT station_id, time, t_h.v AS temperature, d_h.v AS dewpoint FROM t_h FULL JOIN d_h USING (station_id, time))"
+#: For two series of half the records; so that some stations reach each threshold, and some don't.
+WIDE_GAP_HOURS = 120
+MERGED_SQL = f"WITH {TWO_SQL}, {GRID_SQL}, {_at_hours('t', 'temperature', WIDE_GAP_HOURS)}, {_at_hours('d', 'dewpoint', WIDE_GAP_HOURS)}, m AS (SELECT station_id, time, t_h.v AS temperature, d_h.v AS dewpoint FROM t_h FULL JOIN d_h USING (station_id, time))"
 
 
 def merged_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hourly.at_full_hours(series.consolidated(two_series(spark, sf_dir)), ["temperature", "dewpoint"], 24)
+    return hourly.at_full_hours(series.consolidated(two_series(spark, sf_dir)), ["temperature", "dewpoint"], WIDE_GAP_HOURS)
 
 
 @query(f"{MERGED_SQL} SELECT station_id, time, round(temperature, 6) AS temperature, round(dewpoint, 6) AS dewpoint FROM m")
@@ -456,9 +482,8 @@ def concurrent_valid_fraction(spark, sf_dir):
 
 def _threshold(t: float) -> None:
     def run(spark, sf_dir):
-        found = merged_hourly(spark, sf_dir)
-        fractions = validity.valid_fraction(found, ["temperature", "dewpoint"], N_HOURS)
-        return validity.at_least(found, fractions, t).select("station_id", "time", r6(F.col("temperature")).alias("temperature"), r6(F.col("dewpoint")).alias("dewpoint"))
+        found = validity.at_least_of(merged_hourly(spark, sf_dir), ["temperature", "dewpoint"], N_HOURS, t)
+        return found.select("station_id", "time", r6(F.col("temperature")).alias("temperature"), r6(F.col("dewpoint")).alias("dewpoint"))
 
     run.__name__ = f"valid_fraction_filter_{round(t * 1000)}"
     query(f"{FRACTION_SQL} SELECT station_id, time, round(temperature, 6) AS temperature, round(dewpoint, 6) AS dewpoint FROM m WHERE station_id IN (SELECT station_id FROM f WHERE valid_fraction >= {t})")(run)

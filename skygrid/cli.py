@@ -1,23 +1,24 @@
 """Command line: build hourly series from tables of observations.
 
-skygrid.cli PRODUCT Y M D Y M D IDENTIFIER DATA_DIR [--rings PATH] [--region-column SQL] [--names PATH] [--max-hours H]
+skygrid.cli PRODUCT Y M D Y M D IDENTIFIER DATA_DIR [--rings PATH] [--region-column SQL] [--names PATH] [--max-hours H] [--land ROOT]
 
-DATA_DIR holds obs/ (as write_observations leaves it) or raw/ (NetCDF files); results go beside them.
+DATA_DIR holds obs/ (as write_observations leaves it) or raw/ (NetCDF files); results go beside them. With --land,
+the archive's files of the interval (and a day on either side) are first landed in raw/.
 """
 
 from __future__ import annotations
 
 import argparse
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
 from skygrid.operators import preprocess, sinks
-from skygrid.plans.build import WARNING, build
+from skygrid.plans.build import HALO, WARNING, build
 from skygrid.plans.products import PRODUCTS, Product
 from skygrid.session import session
-from skygrid.sources import netcdf, tables
+from skygrid.sources import archive, netcdf, tables
 
 
 def parser() -> argparse.ArgumentParser:
@@ -31,7 +32,10 @@ def parser() -> argparse.ArgumentParser:
     out.add_argument("--rings", help="Parquet table of shapes: region, polygon, ring, points and the columns that select them")
     out.add_argument("--names", help="Parquet table of station_id, name")
     out.add_argument("--max-hours", type=float, default=2.0)
-    out.add_argument("--refresh", action="store_true", help="read raw/ again even if obs/ has the product")
+    out.add_argument("--refresh", action="store_true", help="read raw/ again even if obs/ has the product, and land files again")
+    out.add_argument("--land", metavar="ROOT", help="land the files below this root of the archive first")
+    out.add_argument("--jobs", type=int, default=8, help="files landed at a time")
+    out.add_argument("--remove-original", action="store_true", help="drop landed files once their observations are written")
     return out
 
 
@@ -46,18 +50,21 @@ def main(argv: Sequence[str] | None = None) -> None:
     start, end = datetime(args.start_year, args.start_month, args.start_day), datetime(args.end_year, args.end_month, args.end_day)
     table, raw = f"{args.data_dir}/obs", f"{args.data_dir}/raw"
     fs = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{table}/product={product.name}")
-    if args.refresh or not fs.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(fs):
+    landed = archive.land(spark, product, start - HALO, end + timedelta(hours=23) + HALO, args.land, raw, args.jobs, refresh=args.refresh) if args.land else []
+    if landed or args.refresh or not fs.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(fs):
         sinks.write_observations(preprocess.observations(netcdf.read(spark, raw, raw_schema(product), "skip"), product), table, product.name)
-    obs = tables.with_sequence(spark.read.parquet(table).where(F.col("product") == product.name).drop("product", "date"))
+    if args.remove_original:
+        for path in landed:
+            archive.remove_landed(path)
+    obs = tables.with_sequence(spark.read.parquet(table).where(F.col("product") == product.name).drop("product"))
     read = {k: spark.read.parquet(p) if p else None for k, p in (("rings", args.rings), ("names", args.names))}
     built = build(obs, args.identifier, start, end, max_hours=args.max_hours, **read)
     out = f"{args.data_dir}/{args.identifier}.{start:%Y%m%d}_{end:%Y%m%d}"
     sinks.write_table(built.records.drop("seq"), out)
+    sinks.write_table(sinks.source_files(spark.read.parquet(out)), f"{out}.files")
     sinks.write_table(built.stations, f"{out}.stations", {"coordinate_warning": WARNING})
     columns = [c for c in built.hourly.columns if c not in ("station_id", "time")]
-    sinks.write_table(sinks.described(built.hourly, sinks.hourly_notes(columns, args.max_hours)), f"{out}.all_hours")
-    hourly = spark.read.parquet(f"{out}.all_hours")
-    sinks.write_hourly(hourly, built.fractions.cache(), out)
+    sinks.write_hourly(sinks.described(built.hourly, sinks.hourly_notes(columns, args.max_hours)), out, built.counted, built.n_hours)
 
 
 if __name__ == "__main__":

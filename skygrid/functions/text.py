@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# What the archive's name tables put behind a place, and how their identifiers look.
 #: Place suffixes of names: padded state or province and country, then the compact form of two countries.
 PADDED_PLACE = r"\s{2,}(?:[A-Z]{2}\s+)?[A-Z]{2}$"
 COMPACT_PLACE = r"\s+[A-Z]{2}\s+(?:US|CA)$"

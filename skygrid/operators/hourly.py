@@ -109,14 +109,34 @@ def merged(*parts: DataFrame) -> DataFrame:
     return out
 
 
+def _chunk(time: Column) -> Column:
+    """Number of the chunk of time that a row is in."""
+    return F.floor(times.micros(time) / (CHUNK_HOURS * times.HOUR))
+
+
 def neighbours(grid: DataFrame, series: DataFrame, column: str) -> DataFrame:
     """grid with prev_time, prev_value (last valid at or before) and next_time, next_value (first valid after).
 
-    One union and two windows in opposite orders; no window looks beyond the current row.
+    One union and two windows in opposite orders over each chunk of a station; no window looks beyond the
+    current row. What lies in other chunks comes from their first and last valid rows, of which there are few.
     """
     marks = series.where(F.col(column).isNotNull()).select("station_id", "time", F.struct("time", F.col(column).alias("v")).alias("o"))
-    both = grid.select("station_id", "time", F.lit(None).cast(marks.schema["o"].dataType).alias("o")).unionByName(marks)
-    ahead = Window.partitionBy("station_id").orderBy("time", F.col("o").isNull()).rowsBetween(Window.unboundedPreceding, 0)
-    back = Window.partitionBy("station_id").orderBy(F.col("time").desc(), F.col("o").isNull().desc()).rowsBetween(Window.unboundedPreceding, 0)
-    found = both.withColumn("p", F.last("o", ignorenulls=True).over(ahead)).withColumn("n", F.last("o", ignorenulls=True).over(back))
-    return found.where("o IS NULL").select("station_id", "time", F.col("p.time").alias("prev_time"), F.col("p.v").alias("prev_value"), F.col("n.time").alias("next_time"), F.col("n.v").alias("next_value"))
+    both = grid.select("station_id", "time", F.lit(None).cast(marks.schema["o"].dataType).alias("o")).unionByName(marks).withColumn("chunk", _chunk(F.col("time")))
+    ahead = Window.partitionBy("station_id", "chunk").orderBy("time", F.col("o").isNull()).rowsBetween(Window.unboundedPreceding, 0)
+    back = Window.partitionBy("station_id", "chunk").orderBy(F.col("time").desc(), F.col("o").isNull().desc()).rowsBetween(Window.unboundedPreceding, 0)
+    found = both.withColumn("p", F.last("o", ignorenulls=True).over(ahead)).withColumn("n", F.last("o", ignorenulls=True).over(back)).where("o IS NULL")
+    ends = both.groupBy("station_id", "chunk").agg(F.min("o").alias("first"), F.max("o").alias("last"))
+    before = Window.partitionBy("station_id").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    after = Window.partitionBy("station_id").orderBy(F.col("chunk").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.select("station_id", "chunk", F.last("last", ignorenulls=True).over(before).alias("p0"), F.last("first", ignorenulls=True).over(after).alias("n0"))
+    found = found.join(ends, ["station_id", "chunk"]).select("station_id", "time", F.coalesce("p", "p0").alias("p"), F.coalesce("n", "n0").alias("n"))
+    return found.select("station_id", "time", F.col("p.time").alias("prev_time"), F.col("p.v").alias("prev_value"), F.col("n.time").alias("next_time"), F.col("n.v").alias("next_value"))
+
+
+def consecutive(obs: DataFrame, seq: str = "seq") -> DataFrame:
+    """station_id, time, next_time: each record and the station's next one; by chunks, as neighbours()."""
+    rows = obs.where("time IS NOT NULL").select("station_id", "time", F.col(seq).alias("_seq")).withColumn("chunk", _chunk(F.col("time")))
+    inside = rows.withColumn("next", F.lead("time").over(Window.partitionBy("station_id", "chunk").orderBy("time", "_seq")))
+    begins = rows.groupBy("station_id", "chunk").agg(F.min("time").alias("first"))
+    begins = begins.select("station_id", "chunk", F.lead("first").over(Window.partitionBy("station_id").orderBy("chunk")).alias("following"))
+    return inside.join(begins, ["station_id", "chunk"]).select("station_id", "time", F.coalesce("next", "following").alias("next_time"))

@@ -46,9 +46,20 @@ def exported(df: DataFrame) -> DataFrame:
     return df.withColumn("time", times.to_epoch(F.col("time")))
 
 
-def write_hourly(hourly: DataFrame, fractions: DataFrame, path: str, thresholds: Sequence[float] = validity.THRESHOLDS) -> None:
-    """The whole hourly table, and one for each threshold; a threshold that no station reaches gives an empty table."""
+def write_hourly(hourly: DataFrame, path: str, columns: Sequence[str], n_hours: int, thresholds: Sequence[float] = validity.THRESHOLDS) -> None:
+    """The whole hourly table, and one for each threshold; a threshold that no station reaches gives an empty table.
+
+    Series are interpolated once: fractions and thresholds go by the table that was written.
+    """
+    spark = hourly.sparkSession
     write_table(hourly, f"{path}.hourly")
+    whole = spark.read.parquet(f"{path}.hourly")
+    write_table(validity.valid_fraction(whole, columns, n_hours), f"{path}.fractions")
+    fractions = spark.read.parquet(f"{path}.fractions")
     for t in thresholds:
-        note = {"note": validity.processing_note(fractions, t, [c for c in validity.VARIABLES if c in hourly.columns])}
-        write_table(validity.at_least(hourly, fractions, t), f"{path}.hourly.{t:.3f}", note)
+        write_table(validity.at_least(whole, fractions, t), f"{path}.hourly.{t:.3f}", {"note": validity.processing_note(fractions, t, columns)})
+
+
+def source_files(records: DataFrame) -> DataFrame:
+    """source_file of all files that records came from, in order of name."""
+    return records.select("source_file").distinct().orderBy("source_file")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -66,6 +68,33 @@ def mean_places(obs: DataFrame) -> DataFrame:
     return places.groupBy("station_id").agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in ("latitude", "longitude", "elevation")])
 
 
+def changed_places(obs: DataFrame, tolerance: Tolerance = Tolerance(), seq: str = "seq") -> DataFrame:
+    """station_id, place (from 0, by first encounter), latitude, longitude, elevation: all places of stations that changed.
+
+    A place is anchored at the first record that is at no earlier place; its elevation is the first
+    one reported there, and records belong to it that are within the tolerances of both. The
+    order matters, so a station's distinct places, not its records, pass through one group.
+    """
+    moved = station_locations(obs, tolerance, seq).where("changed").select("station_id")
+    distinct = located(obs).join(moved, "station_id", "left_semi").groupBy("station_id", "latitude", "longitude", "elevation").agg(F.min(seq).alias("first"))
+
+    def anchored(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("first", key=lambda s: s.map(tuple) if isinstance(s.iloc[0], dict) else s, kind="stable")
+        place = rows[["latitude", "longitude", "elevation"]].to_numpy("float64", na_value=np.nan)
+        found = []
+        while len(place):
+            near = (np.abs(place[:, :2] - place[0, :2]) <= (tolerance.latitude, tolerance.longitude)).all(axis=1)
+            known = place[near & ~np.isnan(place[:, 2]), 2]
+            level = known[0] if len(known) else np.nan
+            found.append((*place[0, :2], level))
+            place = place[~(near & ~(np.abs(place[:, 2] - level) > tolerance.elevation))]
+        out = pd.DataFrame(found, columns=["latitude", "longitude", "elevation"])
+        return out.assign(station_id=rows["station_id"].iloc[0], place=range(len(out)))[["station_id", "place", "latitude", "longitude", "elevation"]]
+
+    rows = distinct.groupBy("station_id").applyInPandas(anchored, "station_id string, place int, latitude double, longitude double, elevation double")
+    return rows.withColumn("elevation", F.nanvl("elevation", F.lit(None)))
+
+
 def station_table(obs: DataFrame, station_id: str, tolerance: Tolerance = Tolerance(), seq: str = "seq") -> DataFrame:
     """The table of one requested station: its base, or if it changed its mean place with coordinate_warning."""
     own = obs.where(F.col("station_id") == station_id)
@@ -82,7 +111,7 @@ def requested(spark, station_ids: Sequence[str]) -> DataFrame:
 
 def select_records(obs: DataFrame, stations: DataFrame) -> DataFrame:
     """Records of the stations in a table. Catalyst broadcasts it if it is small."""
-    return obs.join(stations.select("station_id").distinct(), "station_id", "left_semi")
+    return obs.join(stations.select("station_id"), "station_id", "left_semi")
 
 
 def missing_stations(stations: DataFrame, obs: DataFrame) -> DataFrame:
@@ -98,6 +127,7 @@ def require_stations(stations: DataFrame, obs: DataFrame) -> None:
 
 
 def with_names(stations: DataFrame, names: DataFrame) -> DataFrame:
-    """stations with station_name: of the name table, or the identifier itself."""
-    first = names.groupBy("station_id").agg(F.min("name").alias("name")) if "ord" not in names.columns else names.groupBy("station_id").agg(F.min_by("name", "ord").alias("name"))
+    """stations with station_name: the first of the name table (by ord, or as it is read), or the identifier itself."""
+    rows = names if "ord" in names.columns else names.withColumn("ord", F.monotonically_increasing_id())
+    first = rows.groupBy("station_id").agg(F.min_by("name", "ord").alias("name"))
     return stations.join(first, "station_id", "left").withColumn("station_name", F.coalesce("name", "station_id")).drop("name")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Shares at which hourly series are offered (fixed values), and the variables that count.
@@ -30,6 +30,15 @@ def at_least(hourly: DataFrame, fractions: DataFrame, threshold: float) -> DataF
     return hourly.join(fractions.where(F.col("valid_fraction") >= threshold).select("station_id"), "station_id", "left_semi")
 
 
+def at_least_of(hourly: DataFrame, columns: Sequence[str], n_hours: int, threshold: float) -> DataFrame:
+    """at_least() of one threshold, with the fractions counted beside the rows: hourly is worked out once."""
+    together = F.lit(True)
+    for c in columns:
+        together &= F.col(c).isNotNull()
+    counted = hourly.withColumn("_n", F.count(F.when(together, 1)).over(Window.partitionBy("station_id")))
+    return counted.where(F.col("_n") / n_hours >= threshold).drop("_n")
+
+
 def processing_note(fractions: DataFrame, threshold: float, columns: Sequence[str]) -> str:
     """How many stations a threshold leaves, in words."""
     kept, every = fractions.agg(F.count(F.when(F.col("valid_fraction") >= threshold, 1)), F.count("*")).first()

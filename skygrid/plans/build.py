@@ -17,10 +17,17 @@ WARNING = "The reported place of this station changes by more than the tolerance
 
 
 class Built(NamedTuple):
+    """counted and n_hours: what validity goes by."""
+
     records: DataFrame
     stations: DataFrame
     hourly: DataFrame
-    fractions: DataFrame
+    counted: list[str]
+    n_hours: int
+
+    def fractions(self, hourly: DataFrame | None = None) -> DataFrame:
+        """valid_fraction of the hourly rows, or of the table they were written to."""
+        return validity.valid_fraction(self.hourly if hourly is None else hourly, self.counted, self.n_hours)
 
 
 def interval(start: datetime, end: datetime) -> tuple[datetime, datetime]:
@@ -32,13 +39,16 @@ def interval(start: datetime, end: datetime) -> tuple[datetime, datetime]:
 
 
 def build(obs: DataFrame, identifier: str, start: datetime, end: datetime, rings: DataFrame | None = None, names: DataFrame | None = None, max_hours: float = 2, tolerance: stations.Tolerance = stations.Tolerance()) -> Built:
-    """obs: observations with seq. rings: shapes with the columns that shape_filter names, for a region.
+    """obs: observations with seq; if they come from a table by date, only the days of the interval and its halo are read.
+    rings: shapes with the columns that shape_filter names, for a region.
 
     Stations that moved are left out of a region, and kept under their mean place if asked for by
     name. No stations give empty tables, and no error.
     """
     a, b = interval(start, end)
     obs = obs.where(F.col("time").between(F.lit((a - HALO).isoformat(sep=" ")).cast("timestamp_ntz"), F.lit((b + HALO).isoformat(sep=" ")).cast("timestamp_ntz")))
+    if "date" in obs.columns:
+        obs = obs.where(F.col("date").between(F.lit((a - HALO).date()), F.lit((b + HALO).date()))).drop("date")
     place = classify(identifier)
     if place.kind == "station":
         obs = obs.where(F.col("station_id") == identifier)
@@ -55,4 +65,4 @@ def build(obs: DataFrame, identifier: str, start: datetime, end: datetime, rings
     counted = [c for c in validity.VARIABLES if c in values]
     n_hours = int((b - a).total_seconds() // 3600) + 1
     named = stations.with_names(found, names) if names is not None else found.withColumn("station_name", F.col("station_id"))
-    return Built(records, named, whole, validity.valid_fraction(whole, counted, n_hours))
+    return Built(records, named, whole, counted, n_hours)

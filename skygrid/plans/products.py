@@ -36,7 +36,7 @@ MESONET = Product(
     time="reportTime",
     station="stationId",
     plain=("stationId", "latitude", "longitude", "elevation", "solarRadiation"),
-    flags={"dewpoint": "dewpointDD", "temperature": "temperatureDD", "windSpeed": "windSpeedDD", "windDir": "windDirDD"},
+    flags={"dewpoint": "dewpointDD", "temperature": "temperatureDD", "windDir": "windDirDD", "windSpeed": "windSpeedDD"},
     renames={"stationId": "station_id", "reportTime": "time"},
 )
 METAR = Product(

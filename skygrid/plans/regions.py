@@ -4,10 +4,17 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
 # Postal codes of states and territories, grid operators, and what is outside the contiguous states.
-STATES = tuple(
-    "AL AK AZ AR CA CO CT DE DC FL GA HI ID IL IN IA KS KY LA ME MD MA MI MN MS MO MT NE NV NH NJ NM NY NC ND OH OK OR PA RI SC SD TN TX UT VT VA WA WV WI WY AS GU MP PR VI".split()
+# fmt: off
+STATES = (
+    "AK", "AL", "AR", "AS", "AZ", "CA", "CO", "CT", "DC", "DE", "FL", "GA", "GU", "HI", "IA", "ID", "IL", "IN", "KS", "KY",
+    "LA", "MA", "MD", "ME", "MI", "MN", "MO", "MP", "MS", "MT", "NC", "ND", "NE", "NH", "NJ", "NM", "NV", "NY", "OH", "OK",
+    "OR", "PA", "PR", "RI", "SC", "SD", "TN", "TX", "UT", "VA", "VI", "VT", "WA", "WI", "WV", "WY",
 )
+# fmt: on
 GRID_OPERATORS = ("CAISO", "ERCOT", "ISONE", "NYISO", "MISO", "PJM", "SPP")
 CONTIGUOUS = "CONUS"
 NOT_CONTIGUOUS = ("AK", "HI", "PR", "GU", "VI", "AS", "MP")
@@ -29,6 +36,13 @@ def classify(identifier: str) -> Place:
     return Place("contiguous" if identifier == CONTIGUOUS else "station", identifier)
 
 
+def kind_of(code: Column) -> Column:
+    """classify() over a column: the kind of place, null for two letters that are no state."""
+    state = F.when(code.isin(*STATES), "state")
+    other = F.when(code.isin(*GRID_OPERATORS), "grid operator").when(code == CONTIGUOUS, "contiguous").otherwise("station")
+    return F.when(F.length(code) == 2, state).otherwise(other)
+
+
 def shape_filter(place: Place) -> str | None:
     """SQL condition on a table of shapes (STUSPS for states; RTO_ISO and LOC_TYPE for grid operators); None for a station.
 

@@ -5,13 +5,13 @@ Landing runs outside Spark jobs' data path: it moves files, not rows.
 
 from __future__ import annotations
 
-import gzip
+import http.client
 import os
 import shutil
-import tempfile
 import time
 import urllib.error
 import urllib.request
+import uuid
 import zlib
 from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -55,54 +55,74 @@ def not_yet_ingested(wanted: DataFrame, manifest: DataFrame, key: str = "url") -
 
 
 def gzip_is_whole(path: str | os.PathLike) -> bool:
-    """Whether a gzip file can be read to its end."""
+    """Whether every member of a gzip file inflates to its end and agrees with its checksum."""
+    inflate, members = zlib.decompressobj(wbits=31), 0
     try:
-        with gzip.open(path, "rb") as f:
-            while f.read(1 << 20):
-                pass
-        return True
-    except (OSError, EOFError, zlib.error):
+        with open(path, "rb") as f:
+            while block := f.read(1 << 20):
+                while block:
+                    inflate.decompress(block)
+                    block = inflate.unused_data
+                    if inflate.eof:
+                        inflate, members = zlib.decompressobj(wbits=31), members + 1
+                        block = block.lstrip(b"\0")  # padding after the last member
+                        pending = bool(block)
+                    else:
+                        pending = True
+    except (OSError, zlib.error):
         return False
+    return members > 0 and not pending
 
 
-def exists(url: str, timeout: float = 10.0) -> bool:
+def exists(url: str, timeout: float = 10.0, opener: Callable = urllib.request.urlopen) -> bool:
     """Whether a URL answers; asked by GET where HEAD isn't allowed."""
     for method in ("HEAD", "GET"):
         try:
-            with urllib.request.urlopen(urllib.request.Request(url, method=method), timeout=timeout) as answer:
-                return answer.status < 400
+            with opener(urllib.request.Request(url, method=method), timeout=timeout) as answer:
+                return answer.status == 200
         except urllib.error.HTTPError as e:
             if e.code == 404 or e.code >= 500:
                 return False
-        except OSError:
+        except (OSError, http.client.HTTPException):
             return False
     return False
 
 
-def download(url: str, folder: str | os.PathLike, name: str, refresh: bool = False, retries: int = 3, delay: float = 2.0, opener: Callable = urllib.request.urlopen) -> Path:
+class CutShort(ConnectionError):
+    """A transfer that ended before the file did."""
+
+
+def download(url: str, folder: str | os.PathLike, name: str, refresh: bool = False, retries: int = 3, delay: float = 2.0, timeout: float = 60.0, opener: Callable = urllib.request.urlopen) -> Path:
     """Land one file with its ETag beside it. A whole file with the ETag of the archive's is kept.
 
-    The file appears under its name only when it is complete.
+    The file appears under its name only when it is complete: a transfer that was cut, or a .gz that
+    doesn't inflate, is tried again.
     """
     path, tag = Path(folder) / name, Path(folder) / f"{name}.etag"
+    zipped = path.suffix.lower() == ".gz"
     for attempt in range(retries + 1):
         try:
-            with opener(urllib.request.Request(url, method="HEAD")) as head:
+            with opener(urllib.request.Request(url, method="HEAD"), timeout=timeout) as head:
                 etag = head.headers.get("ETag")
             if not etag:
                 raise ValueError(f"{url}: no ETag")
-            if not refresh and path.exists() and tag.exists() and tag.read_text() == etag and gzip_is_whole(path):
+            if not refresh and path.exists() and tag.exists() and tag.read_text() == etag and (not zipped or gzip_is_whole(path)):
                 return path
-            with tempfile.NamedTemporaryFile(dir=folder, delete=False) as part:
-                with opener(urllib.request.Request(url)) as body:
-                    shutil.copyfileobj(body, part)
-            os.replace(part.name, path)
+            part = path.with_name(f"{name}.{uuid.uuid4().hex}.part")
+            try:
+                with opener(urllib.request.Request(url), timeout=timeout) as body, part.open("wb") as f:
+                    shutil.copyfileobj(body, f)
+                if zipped and not gzip_is_whole(part):
+                    raise CutShort(f"{url}: the file doesn't inflate")
+                os.replace(part, path)
+            finally:
+                part.unlink(missing_ok=True)
             tag.write_text(etag)
             return path
         except urllib.error.HTTPError as e:
             if e.code not in TRY_AGAIN or attempt == retries:
                 raise
-        except (urllib.error.URLError, TimeoutError, ConnectionError):
+        except (urllib.error.URLError, TimeoutError, ConnectionError, http.client.HTTPException):
             if attempt == retries:
                 raise
         time.sleep(delay * 2**attempt)
@@ -115,7 +135,7 @@ def download_all(urls: Sequence[tuple[str, str]], folder: str | os.PathLike, job
     def one(pair: tuple[str, str]) -> tuple[str, Path | None]:
         try:
             return pair[0], download(*((pair[0], folder, pair[1])), **options)
-        except (OSError, ValueError) as e:
+        except (OSError, ValueError, http.client.HTTPException) as e:
             print(f"not landed: {pair[0]}: {e}")
             return pair[0], None
 
@@ -123,6 +143,13 @@ def download_all(urls: Sequence[tuple[str, str]], folder: str | os.PathLike, job
         yield from pool.map(one, urls)
 
 
+def land(spark: SparkSession, product: Product, start: datetime, end: datetime, root: str, folder: str | os.PathLike, jobs: int = 8, **options) -> list[Path]:
+    """Land the archive's files of all hours from start to end; paths of those that are there, in order of their hours."""
+    named = hourly_urls(hours(spark, start, end), product, root).select("hour", "url", local_name(F.col("url"), product).alias("file")).orderBy("hour")
+    Path(folder).mkdir(parents=True, exist_ok=True)
+    return [path for _, path in download_all([(r.url, r.file) for r in named.toLocalIterator()], folder, jobs, **options) if path]
+
+
 def remove_landed(path: str | os.PathLike) -> None:
     """Drop a landed file and its ETag."""
     Path(path).unlink(missing_ok=True)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from skygrid.functions import text
 
 
-def _named(rows: DataFrame) -> DataFrame:
+def first_named(rows: DataFrame) -> DataFrame:
     """station_id, name: the first usable line of each station."""
     rows = rows.where("station_id <> '' AND name <> ''")
     return rows.groupBy("station_id").agg(F.min_by("name", "line").alias("name"))
@@ -19,14 +19,14 @@ def _named(rows: DataFrame) -> DataFrame:
 def csv_names(spark: SparkSession, path: str) -> DataFrame:
     """station_id, name of a CSV without a header: column 0 is the id, column 7 the place."""
     rows = spark.read.option("header", False).csv(path).withColumn("line", F.monotonically_increasing_id())
-    return _named(rows.select("line", text.stripped(F.coalesce("_c0", F.lit(""))).alias("station_id"), text.clean_place_name(F.coalesce("_c7", F.lit(""))).alias("name")))
+    return first_named(rows.select("line", text.stripped(F.coalesce("_c0", F.lit(""))).alias("station_id"), text.clean_place_name(F.coalesce("_c7", F.lit(""))).alias("name")))
 
 
 def wide_names(spark: SparkSession, path: str) -> DataFrame:
     """station_id, name of fixed-width lines: name in columns 3 to 18, id in 20 to 23, counted from 0."""
     rows = spark.read.text(path).withColumn("line", F.monotonically_increasing_id())
     rows = rows.select("line", text.stripped(F.substring("value", 21, 4)).alias("station_id"), text.clean_wide_name(F.substring("value", 4, 16)).alias("name"))
-    return _named(rows.where(F.col("station_id").rlike(text.FOUR_SIGNS)))
+    return first_named(rows.where(F.col("station_id").rlike(text.FOUR_SIGNS)))
 
 
 def geojson_rings(spark: SparkSession, path: str, region: str, condition: str | None = None, properties: Sequence[str] = ("STUSPS", "RTO_ISO", "LOC_TYPE")) -> DataFrame:

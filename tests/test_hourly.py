@@ -85,3 +85,21 @@ def test_valid_fraction(spark):
     fractions = validity.valid_fraction(df, ["x", "y"], 4)
     assert fractions.first().valid_fraction == 0.5
     assert validity.at_least(df, fractions, 0.5).count() == 4 and validity.at_least(df, fractions, 0.666).count() == 0
+
+
+@pytest.mark.parametrize("chunk", [1, 5, 768])
+def test_neighbours_across_chunks(spark, monkeypatch, chunk):
+    """Previous and next valid rows, and consecutive ones, may lie in other chunks of time."""
+
+    monkeypatch.setattr(hourly, "CHUNK_HOURS", chunk)
+    rng = random.Random(chunk)
+    begin = datetime(2024, 1, 1)
+    rows = [(s, begin + timedelta(minutes=m), k, rng.choice([None, float(m)])) for s in ("a", "b") for k, m in enumerate(sorted(rng.sample(range(0, 6000), 25)))]
+    obs = spark.createDataFrame(rows, "station_id string, time timestamp_ntz, seq int, v double")
+    grid = spark.createDataFrame([(s, begin + timedelta(hours=h)) for s in ("a", "b", "c") for h in range(0, 101, 3)], "station_id string, time timestamp_ntz")
+    for r in hourly.neighbours(grid, obs, "v").collect():
+        own = sorted((t, v) for s, t, _, v in rows if s == r.station_id and v is not None)
+        assert (r.prev_time, r.prev_value) == max([x for x in own if x[0] <= r.time], default=(None, None))
+        assert (r.next_time, r.next_value) == min([x for x in own if x[0] > r.time], default=(None, None))
+    times = {s: sorted(t for x, t, _, _ in rows if x == s) for s in ("a", "b")}
+    assert sorted(map(tuple, hourly.consecutive(obs).collect()), key=str) == sorted([(s, t, n) for s, x in times.items() for t, n in zip(x, [*x[1:], None], strict=True)], key=str)

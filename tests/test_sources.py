@@ -1,6 +1,10 @@
 import gzip
+import http.client
+import http.server
+import io
 import json
 import struct
+import threading
 import urllib.error
 from datetime import datetime
 
@@ -9,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skygrid import cli
-from skygrid.operators import preprocess
+from skygrid.operators import preprocess, sinks
 from skygrid.plans.build import build
 from skygrid.plans.products import MESONET, METAR
 from skygrid.sources import archive, netcdf, tables
@@ -88,7 +92,65 @@ def test_build_and_command_line(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "CO.20240101_20240101.hourly.0.500")).count() == 0
     obs = tables.with_sequence(spark.read.parquet(str(tmp_path / "obs")).drop("product", "date"))
     assert build(obs, "NOSUCH", datetime(2024, 1, 1), datetime(2024, 1, 1)).hourly.count() == 0
-    assert build(obs, "KDEN", datetime(2024, 1, 1), datetime(2024, 1, 1)).stations.first().coordinate_warning is False
+    one = build(obs, "KDEN", datetime(2024, 1, 1), datetime(2024, 1, 1))
+    assert one.stations.first().coordinate_warning is False and one.fractions().first().valid_fraction == 2 / 24
+    assert [r.source_file.rsplit("/", 1)[-1] for r in spark.read.parquet(str(tmp_path / "CO.20240101_20240101.files")).collect()] == ["a.nc"]
+    note = spark.read.text(str(tmp_path / "CO.20240101_20240101.hourly.0.500.notes")).first().value
+    assert "Of 1 stations, 0 have" in note
+
+
+def test_a_build_reads_its_days_only(spark, tmp_path):
+    rows = [(datetime(2024, 1, d, h), "KDEN", 39.0, -105.0, 1.0, 280.0 + h, "f", h) for d in (1, 9, 10, 11, 30) for h in (0, 1)]
+    obs = spark.createDataFrame(rows, "time timestamp_ntz, station_id string, latitude float, longitude float, elevation float, temperature float, source_file string, record_pos long")
+    sinks.write_observations(obs, str(tmp_path / "obs"), "mesonet")
+    read = tables.with_sequence(spark.read.parquet(str(tmp_path / "obs")).where("product = 'mesonet'").drop("product"))
+    built = build(read, "KDEN", datetime(2024, 1, 10), datetime(2024, 1, 10))
+    plan = built.records._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "date" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
+    assert sorted({r.time.day for r in built.records.collect()}) == [9, 10, 11]
+    assert [(r.time.day, r.time.hour) for r in built.hourly.orderBy("time").collect()] == [(10, 0), (10, 1)]
+
+
+class Archive(http.server.BaseHTTPRequestHandler):
+    files: dict = {}
+
+    def do_HEAD(self):
+        body = self.files.get(self.path)
+        self.send_response(404 if body is None else 200)
+        self.send_header("ETag", '"1"')
+        self.send_header("Content-Length", str(len(body or b"")))
+        self.end_headers()
+        return body
+
+    def do_GET(self):
+        self.wfile.write(self.do_HEAD() or b"")
+
+    def log_message(self, *_):
+        pass
+
+
+def metar_file():
+    f4 = lambda *x: np.array(x, "f4")
+    columns = [("stationName", chars("KDEN", "KDEN", "KBOU", width=5), {}), ("latitude", f4(39, 39, 40), {}), ("longitude", f4(-105, -105, -105), {}), ("elevation", f4(1600, 1600, 1700), {})]
+    columns += [("tempFromTenths", f4(280.1, 281.1, 270.0), {}), ("dpFromTenths", f4(270.1, 271.1, 260.0), {}), ("windSpeed", f4(5, 5, 5), {}), ("windDir", f4(0, 0, 0), {})]
+    columns += [(c, np.array([bytes([x]) for x in v]), {}) for c, v in (("temperatureDD", b"SVX"), ("dewpointDD", b"SXS"), ("windSpeedDD", b"SSS"), ("windDirDD", b"SSS"))]
+    return classic([*columns, ("timeObs", np.array([1704067200.0, 1704070800.0, 1704067200.0], "f8"), {})], 3)
+
+
+def test_landing_and_building_the_other_product(spark, tmp_path):
+    """METAR files from an archive, by the command line: landed, flagged by the flags of whole degrees, built, removed."""
+    Archive.files = {"/data/2024/01/01/point/metar/netcdf/20240101_0000.gz": gzip.compress(metar_file())}
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Archive)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        cli.main(["metar", *"2024 1 1 2024 1 1 KDEN".split(), str(tmp_path), "--land", f"http://127.0.0.1:{server.server_port}/data", "--remove-original"])
+    finally:
+        server.shutdown()
+    hours = spark.read.parquet(str(tmp_path / "KDEN.20240101_20240101.hourly")).orderBy("time").collect()
+    assert [(r.time.hour, round(r.temperature, 2), r.dewpoint and round(r.dewpoint, 2), r.V10) for r in hours] == [(0, 280.1, 270.1, -5.0), (1, 281.1, None, -5.0)]
+    assert not list((tmp_path / "raw").iterdir())
+    obs = spark.read.parquet(str(tmp_path / "obs")).where("station_id = 'KBOU'").first()
+    assert obs.temperature is None and obs.dewpoint == 260.0 and obs.product == "metar"
 
 
 def test_name_tables(spark, tmp_path):
@@ -130,7 +192,7 @@ class Answer:
 def test_download(tmp_path):
     calls = []
 
-    def opener(request):
+    def opener(request, timeout):
         calls.append(request.get_method())
         if len(calls) == 1:
             raise urllib.error.HTTPError("u", 503, "", {}, None)
@@ -141,9 +203,72 @@ def test_download(tmp_path):
     archive.download("http://x/f.gz", tmp_path, "f.gz", delay=0, opener=opener)
     assert calls[3:] == ["HEAD"]
     with pytest.raises(urllib.error.HTTPError):
-        archive.download("http://x/g.gz", tmp_path, "g.gz", delay=0, opener=lambda r: (_ for _ in ()).throw(urllib.error.HTTPError("u", 404, "", {}, None)))
+        archive.download("http://x/g.gz", tmp_path, "g.gz", delay=0, opener=lambda r, timeout: (_ for _ in ()).throw(urllib.error.HTTPError("u", 404, "", {}, None)))
     archive.remove_landed(path)
-    assert not path.exists()
+    assert not path.exists() and not list(tmp_path.iterdir())
+
+
+def test_cut_transfers_are_tried_again(tmp_path):
+    """A .gz that doesn't inflate, a body that ends early, and a file without .gz; nothing half done stays."""
+    whole = gzip.compress(b"observations" * 1000)
+    bodies = [whole[:-9], http.client.IncompleteRead(b""), whole]
+
+    class Cut(Answer):
+        def read(self, n=-1):
+            if isinstance(self.body, Exception):
+                raise self.body
+            return super().read(n)
+
+    def opener(request, timeout):
+        answer = Cut()
+        if request.get_method() == "GET":
+            body = bodies.pop(0)
+            answer.body = body if isinstance(body, Exception) else io.BytesIO(body)
+        return answer
+
+    assert archive.download("http://x/f.gz", tmp_path, "f.gz", delay=0, opener=opener).read_bytes() == whole
+    bodies += [b"plain", whole[:50], whole[:50]]
+    assert archive.download("http://x/f.txt", tmp_path, "f.txt", delay=0, opener=opener).read_bytes() == b"plain"
+    with pytest.raises(archive.CutShort):
+        archive.download("http://x/h.gz", tmp_path, "h.gz", delay=0, retries=1, opener=opener)
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["f.gz", "f.gz.etag", "f.txt", "f.txt.etag"]
+
+
+def test_all_that_is_to_be_had_is_landed(tmp_path, capsys):
+    def opener(request, timeout):
+        if "gone" in request.full_url:
+            raise urllib.error.HTTPError("u", 404, "", {}, None)
+        return Answer(gzip.compress(request.full_url.encode()))
+
+    got = dict(archive.download_all([(f"http://x/{n}", n) for n in ("a.gz", "gone.gz", "b.gz")], tmp_path, jobs=2, delay=0, opener=opener))
+    assert {u: p and p.name for u, p in got.items()} == {"http://x/a.gz": "a.gz", "http://x/gone.gz": None, "http://x/b.gz": "b.gz"}
+    assert "gone.gz" in capsys.readouterr().out
+
+
+def test_gzip_files(tmp_path):
+    good = gzip.compress(b"a" * 5000)
+    for k, (body, whole) in enumerate([(good, True), (good + good, True), (good + b"\0" * 20, True), (good[:-1], False), (good + good[:10], False), (b"", False), (b"text", False), (good[:-8] + b"12345678", False)]):
+        (tmp_path / str(k)).write_bytes(body)
+        assert archive.gzip_is_whole(tmp_path / str(k)) == whole, k
+    assert not archive.gzip_is_whole(tmp_path / "none")
+
+
+def test_existence():
+    def answers(head, get=200):
+        def opener(request, timeout):
+            code = head if request.get_method() == "HEAD" else get
+            if isinstance(code, Exception):
+                raise code
+            if code >= 400:
+                raise urllib.error.HTTPError("u", code, "", {}, None)
+            out = Answer()
+            out.status = code
+            return out
+
+        return opener
+
+    for head, get, want in ((200, 500, True), (405, 200, True), (403, 404, False), (404, 200, False), (500, 200, False), (TimeoutError(), 200, False), (204, 200, False)):
+        assert archive.exists("http://x/f", opener=answers(head, get)) == want, (head, get)
 
 
 def test_stream_ingests_each_file_once(spark, tmp_path):
@@ -155,3 +280,26 @@ def test_stream_ingests_each_file_once(spark, tmp_path):
         q.awaitTermination(120)
         assert spark.read.parquet(str(tmp_path / "obs")).count() == k + 1
     assert spark.read.parquet(str(tmp_path / "obs")).where(F.col("product") == "mesonet").first().temperature == 280.0
+
+
+def test_files_without_records(spark):
+    rows = [("a", -1.0), ("a", 1.0), ("b", -1.0), ("b", None), ("c", 0.0)]
+    raw = spark.createDataFrame(rows, "source_file string, reportTime double")
+    assert [r.source_file for r in preprocess.files_without_records(raw, MESONET).collect()] == ["b"]
+
+
+def test_exported_times(spark):
+    df = spark.createDataFrame([(datetime(2024, 1, 1, 0, 0, 1),)], "time timestamp_ntz")
+    assert sinks.exported(df).first().time == 1704067201.0
+
+
+def test_streams_of_late_records(spark, tmp_path):
+    """Repeated records within the watermark go; an hour is counted once it is past the watermark."""
+    rows = [("A", datetime(2024, 1, 1, 0, 10), 1.0), ("A", datetime(2024, 1, 1, 0, 10), 1.0), ("A", datetime(2024, 1, 1, 0, 50), 3.0), ("B", datetime(2024, 1, 1, 6, 0), 5.0)]
+    schema = "station_id string, time timestamp_ntz, temperature double"
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / "in"))
+    for name, work in (("distinct", ingest.late_distinct), ("counts", ingest.hourly_counts)):
+        stream = work(spark.readStream.schema(schema).parquet(str(tmp_path / "in")))
+        stream.writeStream.format("parquet").option("path", str(tmp_path / name)).option("checkpointLocation", str(tmp_path / f"{name}.c")).trigger(availableNow=True).start().awaitTermination(120)
+    assert spark.read.parquet(str(tmp_path / "distinct")).count() == 3
+    assert [tuple(r) for r in spark.read.parquet(str(tmp_path / "counts")).collect()] == [("A", datetime(2024, 1, 1), 3, 5 / 3)]

@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from skygrid import catalogue
 from skygrid.operators import regions, series, stations
 
 SCHEMA = "station_id string, seq long, latitude float, longitude float, elevation float"
@@ -73,3 +74,56 @@ def test_first_value_of_each_column(spark):
     obs = spark.createDataFrame(rows, "station_id string, t string, seq long, x double, y double").selectExpr("station_id", "cast(t as timestamp_ntz) time", "seq", "x", "y")
     got = {r.time.hour: (r.x, r.y) for r in series.consolidated(obs).collect()}
     assert got == {0: (5.0, 1.0), 1: (None, None)}
+
+
+def greedy_places(rows, steps=(0.01, 0.01, 25.0)):
+    """Record by record: the first place within reach, or a new one with the first elevation to be reported there."""
+    places = []
+    for k, (lat, lon, _) in enumerate(rows):
+        def near(p, r):
+            return abs(p[0] - r[0]) <= steps[0] and abs(p[1] - r[1]) <= steps[1]
+
+        def same(p, r):
+            return near(p, r) and (p[2] is None or r[2] is None or abs(p[2] - r[2]) <= steps[2])
+
+        if not any(same(p, rows[k]) for p in places):
+            left = [r for r in rows[k:] if not any(same(p, r) for p in places)]
+            places.append((lat, lon, next((r[2] for r in left if near((lat, lon), r) and r[2] is not None), None)))
+    return places
+
+
+def test_places_of_changed_stations(spark, sf_dir):
+
+    rng = random.Random(5)
+    rows = []
+    for s in range(12):
+        for k in range(rng.randint(1, 60)):
+            rows.append((f"s{s}", k, 40.0 + rng.choice([0, 0.0078125, 0.015625, 1]) * (s > 2), -100.0, rng.choice([None, 100.0, 120.0, 140.0, 160.0]) if s > 1 else 100.0))
+    obs = spark.createDataFrame(rows, "station_id string, seq int, latitude double, longitude double, elevation double")
+    moved = {r.station_id for r in stations.station_locations(obs).where("changed").collect()}
+    want = {(s, k, *p) for s in moved for k, p in enumerate(greedy_places([r[2:] for r in rows if r[0] == s]))}
+    assert {tuple(r) for r in stations.changed_places(obs).collect()} == want and 5 < len(moved) < 12 and max(w[1] for w in want) > 2
+    found = catalogue.changed_station_places(spark, sf_dir).collect()
+    by = {}
+    for r in catalogue.moving(spark, sf_dir).where("latitude is not null").orderBy("station_id", "seq").collect():
+        by.setdefault(r.station_id, []).append((r.latitude, r.longitude, r.elevation))
+    got = {}
+    for r in sorted(found, key=lambda r: r.place):
+        got.setdefault(r.station_id, []).append((round(r.latitude, 4), round(r.longitude, 4), r.elevation))
+    assert got and got == {s: [(round(a, 4), round(b, 4), c) for a, b, c in greedy_places(by[s])] for s in got}
+
+
+def test_requested_series(spark):
+    rows = [("b", 0, 1, 5.0), ("a", 0, 2, None), ("a", 0, 3, 7.0), ("", 0, 4, 1.0), ("a", None, 5, 9.0)]
+    obs = spark.createDataFrame(rows, "station_id string, time int, seq int, temperature double")
+    got = [(r.ord, r.station_id, r.temperature) for r in series.of_requested(obs, ["a", "b", "a"]).orderBy("ord").collect()]
+    assert got == [(0, "a", 7.0), (1, "b", 5.0)]
+    with pytest.raises(KeyError, match="zz"):
+        series.of_requested(obs, ["a", "zz"])
+    places = obs.selectExpr("station_id", "1.0 as latitude", "1.0 as longitude", "1.0 as elevation")
+    assert stations.located(places).where("station_id = ''").count() == 0
+
+
+def test_names_in_order_of_reading(spark):
+    names = spark.createDataFrame([("a", "Z first"), ("a", "A second")], "station_id string, name string").coalesce(1)
+    assert stations.with_names(spark.createDataFrame([("a",)], "station_id string"), names).first().station_name == "Z first"

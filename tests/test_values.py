@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skygrid.functions import text, times, values
-from skygrid.plans.regions import classify, shape_filter
+from skygrid.plans.regions import classify, kind_of, shape_filter
 
 
 def one(spark, rows, schema, *columns):
@@ -55,3 +55,18 @@ def test_region_codes():
     with pytest.raises(ValueError):
         classify("XX")
     assert classify("co1").kind == "station"
+
+
+def test_anything_as_text(spark):
+    assert one(spark, [(1.5, None)], "a double, b string", text.as_text(F.col("a")), text.as_text(F.col("b"))) == [("1.5", "")]
+
+
+def test_kinds_of_codes_as_a_column(spark):
+    codes = ["CO", "ERCOT", "CONUS", "KDEN", "co", "ZZ"]
+    got = [r[0] for r in one(spark, [(c,) for c in codes], "c string", kind_of(F.col("c")))]
+    for code, kind in zip(codes, got, strict=True):
+        if kind is None:
+            with pytest.raises(ValueError):
+                classify(code)
+        else:
+            assert classify(code).kind == kind

@@ -9,6 +9,7 @@ import tempfile
 import uuid
 import weakref
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -34,6 +35,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 _PATHS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+_SCOPES: list[list[str]] = []
 
 
 def written(df: DataFrame, by: str | None = None) -> DataFrame:
@@ -47,16 +49,33 @@ def written(df: DataFrame, by: str | None = None) -> DataFrame:
     df.write.partitionBy(*[by] * bool(by)).option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     _PATHS[out] = path
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     return out
 
 
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a table's folder, if it is there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete tables of written() that nothing will read again."""
     for table in tables:
         if path := _PATHS.pop(table, None):
-            spark = table.sparkSession
-            path = spark._jvm.org.apache.hadoop.fs.Path(path)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+            removed(table.sparkSession, path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What written() leaves inside goes at the end; a result must be written or collected before that."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            removed(spark, path)
 
 
 _LIBC: list[ctypes.CDLL] = []

@@ -66,15 +66,15 @@ def source_targets(sizes: DataFrame, weights: Sequence[int], share: float, max_e
     return first.select("source", "source_size", target.alias("target"))
 
 
-def mix(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: float = 1.5, max_epochs: int = 2, seed: int = 0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """doc_id, size, source_size, target, taken, one row for each row of docs.
+def mix(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: float = 1.5, max_epochs: int = 2, seed: int = 0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", marked: bool = False) -> DataFrame:
+    """doc_id, size, source_size, target, taken (and mark, a hash of the text, if marked), one row for each row of docs.
 
     taken is in words: whole repetitions of the document, and its part of the
     source's fractional repetition, in which at most one document of a source is cut.
     """
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
     # The one pass over the texts; what follows reads a few bytes a document.
-    sized = written(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), key.alias("key")))
+    sized = written(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), key.alias("key"), *[F.xxhash64(F.col(text_col)).alias("mark")] * marked))
     cell = F.substring("key", 1, CELL_DIGITS)
     cells = sized.groupBy("source", cell.alias("cell")).agg(F.sum("size").alias("cell_size"))
     targets = source_targets(cells.groupBy("source").agg(F.sum("cell_size").alias("source_size")), weights, share, max_epochs)
@@ -91,11 +91,11 @@ def mix(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: float = 1.5,
     )
     rows = sized.join(cells, F.col("s").eqNullSafe(F.col("source")) & (F.col("cell") == F.substring("key", 1, CELL_DIGITS)))
     split = (F.col("left") > 0) & (F.col("left") < F.col("cell_size"))
-    before = F.sum("size").over(Window.partitionBy("source", "cell").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1))
+    before = F.sum("size").over(Window.partitionBy("source", "cell").orderBy("key", "doc_id", "size", *["mark"] * marked).rowsBetween(Window.unboundedPreceding, -1))
     part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("left") - F.coalesce(before, F.lit(0))))
     whole_cells = rows.where(~split).withColumn("part", F.when(F.col("left") > 0, F.col("size")).otherwise(F.lit(0)))
     out = whole_cells.unionByName(rows.where(split).withColumn("part", part))
-    return out.select("doc_id", "size", "source_size", "target", (F.col("whole") * F.col("size") + F.col("part")).cast("long").alias("taken"))
+    return out.select("doc_id", *["mark"] * marked, "size", "source_size", "target", (F.col("whole") * F.col("size") + F.col("part")).cast("long").alias("taken"))
 
 
 def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -103,8 +103,9 @@ def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     A document whose last repetition is cut gets it whole if half or more of it is taken.
     """
-    mixed = mix(docs, id_col=id_col, text_col=text_col, **options)
+    mixed = mix(docs, id_col=id_col, text_col=text_col, marked=True, **options)
     copies = F.when(F.col("size") > 0, F.floor((F.col("taken") * 2 + F.col("size")) / (F.col("size") * 2))).otherwise(0).cast("int")
-    taken = mixed.select(F.col("doc_id").alias("_mix_id"), copies.alias("_mix_copies")).where("_mix_copies > 0").groupBy("_mix_id").agg(F.max("_mix_copies").alias("_mix_copies"))
-    rows = docs.join(taken, docs[id_col].eqNullSafe(taken["_mix_id"]))
+    # By id and text, so that rows under one id, or under none, part and keep their own number.
+    taken = mixed.select(F.col("doc_id").alias("_mix_id"), F.col("mark").alias("_mix_mark"), copies.alias("_mix_copies")).where("_mix_copies > 0").groupBy("_mix_id", "_mix_mark").agg(F.max("_mix_copies").alias("_mix_copies"))
+    rows = docs.join(taken, docs[id_col].eqNullSafe(taken["_mix_id"]) & (F.xxhash64(docs[text_col]) == taken["_mix_mark"]))
     return rows.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_copies")))).select(*[docs[c] for c in docs.columns])

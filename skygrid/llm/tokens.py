@@ -129,7 +129,7 @@ def encoded(docs: DataFrame, tokenizer_path: str, end_id: int | None = 0, specia
                 row += n
 
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    ordered = narrow.repartitionByRange(spread(docs.sparkSession), "doc_id").sortWithinPartitions("doc_id")
+    ordered = narrow.repartitionByRange(spread(docs.sparkSession), "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
     return mapped(ordered, work, "part int, row long, doc_id long, n_tokens long, ids array<int>")
 
 

@@ -69,3 +69,18 @@ def test_empty_tables(spark):
 def test_native(spark):
     plan = mixing.mix(frame(spark, corpus(1)))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_rows_of_one_id_keep_their_own_number(spark):
+    """Texts under one id, or under none, are taken each by itself."""
+    rows = [(7, "a " * 40, "s"), (7, "b", "s"), (None, "c " * 30, "s"), (None, "d d", "t"), (8, None, "t"), (9, "e " * 50, "t")]
+    docs = frame(spark, rows)
+    got = {}
+    for r in mixing.mixed_rows(docs).collect():
+        got[r.doc_id, r.text] = got.get((r.doc_id, r.text), 0) + 1
+    taken = {}
+    for r in mixing.mix(docs).collect():
+        taken.setdefault((r.doc_id, r.size), r.taken)
+    for i, t, _ in rows:
+        size = len((t or "").split())
+        assert abs(got.get((i, t), 0) * size - taken[i, size]) * 2 <= size

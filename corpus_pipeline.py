@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skygrid.llm import langid, minhash, mixing, pieces, suffixes
-from skygrid.llm.common import shared_dir, table
+from skygrid.llm.common import removed, scratch, shared_dir, table
 
 #: The stages hold models and union-find, which SQL doesn't express; tests hold run() against brute force.
 ORACLE_SQL = None
@@ -55,10 +55,13 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; what lies between them is written to the shared folder."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over documents; what lies between them is written to the shared folder, and goes when the next stage is written."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = f"{shared_dir(spark)}/corpus-{name}-{uuid.uuid4().hex}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            removed(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs

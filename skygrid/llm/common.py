@@ -164,7 +164,7 @@ _POWERS: dict[int, np.ndarray] = {}
 
 def powers(base: int, n: int) -> np.ndarray:
     """base**0 .. base**(n - 1) modulo 2**64, to read only; kept for the next call."""
-    if n > len(_POWERS.get(base, ())):
+    if base not in _POWERS or n > len(_POWERS[base]):
         out = np.full(max(n, 1), base, dtype=np.uint64)
         out[0] = 1
         np.multiply.accumulate(out, out=out)

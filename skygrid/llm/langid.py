@@ -14,7 +14,8 @@ it has no letter, or if that entropy is too high for a text of its language and
 is calibrated on texts set aside from the counting: their entropies' mean for each language
 and their spread for each class of lengths make every entropy a distance in spreads, and the limit is
 the distance that a share ``reject_rate`` of such texts passes (by an exponential tail above
-their ninth decile, so few calibration texts give a limit as well).
+their ninth decile; the fewer texts it is known from, the further out the limit lies). A language with
+fewer than KNOWN_TEXTS calibration texts rejects nothing by entropy.
 
 Statistics and scores are of all counts, however many there are, and are worked out by Spark as tables
 that grow with the corpus (``Tables``). The scores of the most frequent 5-grams are broadcast as
@@ -292,8 +293,8 @@ def bounded(counts: DataFrame, most: int) -> DataFrame:
     return leveled.join(F.broadcast(cuts), "lang").where(kept).select(*counts.columns)
 
 
-#: Classes of length: by the number of binary digits.
-LENGTHS = 48
+#: Classes of length: by the number of binary digits. Calibration texts that a language needs.
+LENGTHS, KNOWN_TEXTS = 48, 20
 
 
 def learn(docs: DataFrame, calibrate: Column, max_scores: int = MAX_SCORES, reject_rate: float = 0.001, lang_col: str = "lang", text_col: str = "text") -> Model:
@@ -314,27 +315,31 @@ def learn(docs: DataFrame, calibrate: Column, max_scores: int = MAX_SCORES, reje
 def calibrated(model: Model, texts: DataFrame, reject_rate: float) -> None:
     """Set the model's limit from texts (lang_pred, entropy, length) of its languages."""
     texts = written(texts.withColumn("size", F.length(F.bin("length"))))
+    enough = [r["lang_pred"] for r in texts.groupBy("lang_pred").count().where(F.col("count") >= KNOWN_TEXTS).collect()]
+    texts, every = texts.where(F.col("lang_pred").isin(enough)), texts
     cells = texts.groupBy("lang_pred", "size").agg(F.count("*").alias("n"), F.sum("entropy").alias("s"), F.sum(F.col("entropy") * F.col("entropy")).alias("q")).collect()
     if not cells:
+        discard(every)
         return
     n, s, q = (np.array([r[c] for r in cells], float) for c in ("n", "s", "q"))
     lang, size = np.array([model.langs.index(r["lang_pred"]) for r in cells]), np.array([r["size"] for r in cells])
     by_lang = np.bincount(lang, n, len(model.langs))
-    usual = np.where(by_lang > 0, np.bincount(lang, s, len(model.langs)) / np.maximum(by_lang, 1), s.sum() / n.sum())
+    usual = np.where(by_lang > 0, np.bincount(lang, s, len(model.langs)) / np.maximum(by_lang, 1), np.inf)
     # A mean over n characters varies as a + b / n; what a class of lengths shows by itself counts more the more texts it has.
-    squares = np.bincount(size, q - 2 * usual[lang] * s + n * usual[lang] ** 2, LENGTHS)
+    squares = np.maximum(np.bincount(size, q - 2 * usual[lang] * s + n * usual[lang] ** 2, LENGTHS), 0.0)
     texts_of, short = np.bincount(size, n, LENGTHS), 2.0 ** -np.arange(LENGTHS)
     seen = np.flatnonzero(texts_of)
     weight = np.sqrt(texts_of[seen]) / short[seen] ** 0.5
     fit = np.linalg.lstsq(np.stack([np.ones(len(seen)), short[seen]], axis=1) * weight[:, None], squares[seen] / texts_of[seen] * weight, rcond=None)[0]
     law = np.maximum(fit[0], 1e-6) + np.maximum(fit[1], 0.0) * short
     model.usual, model.spread = usual, np.sqrt((squares + 20 * law) / (texts_of + 20))
-    usual_of, spread_of = (F.create_map(*chain(*[(F.lit(k), F.lit(float(v))) for k, v in pairs])) for pairs in (zip(model.langs, usual, strict=True), enumerate(model.spread.tolist())))
+    usual_of, spread_of = (F.create_map(*chain(*[(F.lit(k), F.lit(float(v))) for k, v in pairs])) for pairs in ([(x, u) for x, u in zip(model.langs, usual, strict=True) if u < np.inf], enumerate(model.spread.tolist())))
     far = texts.select(((F.col("entropy") - usual_of[F.col("lang_pred")]) / spread_of[F.col("size")]).alias("far"))
     decile = far.agg(F.percentile_approx("far", 0.9, 10000)).first()[0]
-    beyond = far.where(F.col("far") > decile).agg(F.avg(F.col("far") - decile)).first()[0]
-    discard(texts)
-    model.limit = decile + (beyond or 1.0) * float(np.log(0.1 / reject_rate))
+    beyond = far.where(F.col("far") > decile).agg(F.sum(F.col("far") - decile).alias("s"), F.count("*").alias("n")).first()
+    discard(every)
+    # The chance that the next text lies x above the decile, given n excesses of sum s, is a tenth of (1 + x / s) ** -n.
+    model.limit = decile + beyond["s"] * ((0.1 / reject_rate) ** (1 / beyond["n"]) - 1) if beyond["n"] else float("inf")
 
 
 def verdicts(model: Model, nats: np.ndarray, letters: np.ndarray, length: np.ndarray) -> list[pa.Array]:

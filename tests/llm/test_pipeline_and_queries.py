@@ -1,3 +1,6 @@
+import os
+import random
+
 import sentencepiece
 import pytest
 from brute import mixed, near_duplicates, repeats
@@ -48,3 +51,30 @@ def test_pipeline_against_brute_force(spark, sf_dir):
         want += [(i, len(ids), ids, True)] * copies
     got = sorted((r.doc_id, r.n_tokens, r.ids, r.exact) for r in corpus_pipeline.run(spark, sf_dir).collect())
     assert got == sorted(want)
+
+
+def test_language_stage_rejects_planted_junk(spark, sf_dir):
+    """Random letters, another script and letterless texts (unlabelled, so not learned from) among the documents go; nearly all documents stay."""
+    docs = spark.read.parquet(f"{os.path.dirname(sf_dir)}/sf0.1/documents.parquet")
+    rng = random.Random(1)
+    junk = ["".join(rng.choices("bcdfghjklmnpqrstvwxz  ", k=rng.randint(200, 900))) for _ in range(20)] + ["Съешь же ещё этих мягких французских булок. " * 4, "1234 5678 -- ..", "", None]
+    rows = [(10_000_000 + i, t, None, "src0", len(t or "")) for i, t in enumerate(junk)]
+    both = docs.unionByName(spark.createDataFrame(rows, docs.schema))
+    kept = {r.doc_id for r in corpus_pipeline.known_language(spark, both, sf_dir).collect()}
+    assert not [i for i in kept if i >= 10_000_000] and len(kept) >= 0.99 * docs.count()
+
+
+def test_stages_on_odd_rows(spark, sf_dir):
+    """Nulls everywhere, repeated rows and no rows: each stage gives the columns of its input."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(30)
+    odd = spark.createDataFrame([(None, None, None, None, None), (1, "", None, None, 0), (2, "a", "en", "s", 1), (2, "a", "en", "s", 1), (None, "some words of a text", None, None, None)], docs.schema)
+    for df in (docs.unionByName(odd), docs.where("false")):
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, df, sf_dir)
+            found = out.collect()
+            if name == "sentence_pieces":
+                assert out.columns == ["doc_id", "n_tokens", "ids", "exact"] and all(r.exact for r in found)
+            else:
+                assert out.columns == df.columns
+            if name == "sentence_pieces" or name == "repeated_passages":
+                assert len(found) == df.count()

@@ -118,12 +118,13 @@ def centred(x: np.ndarray, centres: int, rng: np.random.Generator) -> np.ndarray
 def trained(rows: DataFrame, k: int, sample_rows: int, lists: int | None, recall: float, seed: int) -> Index | None:
     total = rows.count()
     size = min(sample_rows, max(256, total // 8))
-    picked = rows.orderBy(F.xxhash64(F.lit(seed), "vec_id"), "vec_id").limit(size).toArrow().combine_chunks()
+    # By id, so that an id that repeats is drawn once.
+    drawn = rows.select("vec_id").distinct().orderBy(F.xxhash64(F.lit(seed), "vec_id"), "vec_id").limit(size)
+    picked = rows.join(F.broadcast(drawn), "vec_id", "left_semi").groupBy("vec_id").agg(F.min("v").alias("v")).toArrow().sort_by("vec_id").combine_chunks()
     if not picked.num_rows:
         return None
     rng = np.random.default_rng(seed)
-    ids, first = np.unique(picked.column("vec_id").to_numpy(), return_index=True)
-    given = matrix(picked.column("v").combine_chunks())[first]
+    ids, given = picked.column("vec_id").to_numpy(), matrix(picked.column("v").combine_chunks())
     rotation = np.linalg.qr(rng.standard_normal((given.shape[1],) * 2))[0]
     sample = unit(given) @ rotation
     centres = min(MOST_CENTRES, max(1, len(sample) // 16), int(np.ceil((lists or total**0.5) ** 0.5)))

@@ -71,7 +71,7 @@ def extendible_shards(df: DataFrame, key: Sequence[str], size: Column, limit: in
         sums = by_level.groupBy("level", "p").agg(F.sum("b").alias("b"), F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
         ends = sums.where((F.col("b") <= limit) | (F.col("lo") == F.col("hi")) | (F.col("level") == ALL_BITS))
         found = written(
-            by_level.select("_cell", "level", "p").join(ends.select("level", "p", "b", "n"), ["level", "p"])
+            by_level.select("_cell", "level", "p").join(ends.select("level", "p", "b", "n").hint("merge"), ["level", "p"])  # a file's size says little of its prefixes
             .groupBy("_cell").agg(F.min(F.struct("level", "p", "b", "n")).alias("s"))
             .select("_cell", F.lit(depth).alias("_depth"), "s.*")
         )

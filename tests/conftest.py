@@ -43,8 +43,10 @@ def duck(sf_dir):
 def cells(frame):
     """Rows as sorted tuples of comparable values; doubles to six places."""
 
+    from pandas import NA
+
     def cell(v):
-        if v is None or v != v:
+        if v is None or v is NA or v != v:
             return "null"
         if isinstance(v, bool):
             return str(v)

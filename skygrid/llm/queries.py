@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, fixity, langid, media, minhash, mixing, pieces, sharding, suffixes, tokens
+from . import ann, fixity, langid, media, middle, minhash, mixing, pieces, sharding, suffixes, tokens
 from .common import shared_dir, table, text_bytes
 
 #: Bytes of text that a shard may hold.
@@ -107,6 +107,24 @@ def op10_prefix_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.repeats_cut(table(spark, sf_dir, "documents"), width=50)
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = middle.fill_in_middle(table(spark, sf_dir, "documents"), seed="1", plain_percent=10, spm_percent=20)
+    text = middle.restored(F.col("form"), F.col("output"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(text, 256).alias("restored_sha256"))
+
+
+OP11_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+k AS (SELECT doc_id, text, t, len(t)::BIGINT AS n, ('0x' || substr(h, 1, 8))::BIGINT AS h1, ('0x' || substr(h, 9, 8))::BIGINT AS h2, ('0x' || substr(h, 17, 8))::BIGINT AS h3, ('0x' || substr(h, 25, 8))::BIGINT AS h4 FROM d),
+c AS (SELECT doc_id, text, n, array_to_string(t[1:a], '') AS p, array_to_string(t[a + 1:b], '') AS m, array_to_string(t[b + 1:], '') AS s,
+  CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b FROM k))
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p)::BIGINT END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m)::BIGINT END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(text) AS restored_sha256
+FROM c
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_extendible_sharding": op1_extendible_sharding,
     "op2_fixity_audit": op2_fixity_audit,
@@ -118,10 +136,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_source_mixing": op8_source_mixing,
     "op9_chroma_prints": op9_chroma_prints,
     "op10_prefix_intervals": op10_prefix_intervals,
+    "op11_fill_in_middle": op11_fill_in_middle,
 }
 
 ORACLES: dict[str, str] = {
     "op1_extendible_sharding": OP1_SQL,
     "op2_fixity_audit": OP2_SQL,
     "op8_source_mixing": OP8_SQL,
+    "op11_fill_in_middle": OP11_SQL,
 }

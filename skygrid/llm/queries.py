@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, fixity, langid, media, middle, minhash, mixing, pieces, sharding, suffixes, tokens
+from . import ann, fixity, langid, media, middle, minhash, mixing, pieces, sharding, spelling, suffixes, tokens
 from .common import shared_dir, table, text_bytes
 
 #: Bytes of text that a shard may hold.
@@ -125,6 +125,30 @@ FROM c
 """
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.counted(spelling.runs(table(spark, sf_dir, "documents"), least_length=7, drop_every=31), least_count=2)
+    return spelling.spelling_groups(words, least_length=7, ratio=10)
+
+
+#: crc32 by its table of 256 remainders, which the polynomial gives; near words by deleted characters.
+OP12_SQL = r"""
+WITH RECURSIVE t AS (SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t FROM range(256) AS r(i)),
+r AS (SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{00C0}-\x{00FF}]{7,}')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w FROM documents),
+o AS (SELECT doc_id, w, count(*) AS n, hex(encode(coalesce(doc_id || ':' || w, ''))) AS x FROM r GROUP BY ALL),
+h AS (SELECT w, n, CASE WHEN doc_id IS NULL THEN 1 ELSE xor(list_reduce(list_prepend(4294967295, list_transform(range(length(x) // 2), lambda i: ('0x' || substr(x, 2 * i + 1, 2))::BIGINT)), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) END AS h FROM o, t),
+m AS (SELECT CASE WHEN h % 31 = 0 THEN left(w, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word, n FROM h),
+v AS MATERIALIZED (SELECT word, sum(n)::BIGINT AS n FROM m WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+d AS MATERIALIZED (SELECT word, n, i, left(word, i) || substr(word, i + 2) AS less FROM (SELECT word, n, unnest(range(length(word))) AS i FROM v)),
+p AS (SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM d a JOIN d b ON a.less = b.less AND a.i = b.i WHERE a.word <> b.word
+  UNION SELECT d.word, d.n, v.word, v.n FROM d JOIN v ON d.less = v.word UNION SELECT v.word, v.n, d.word, d.n FROM d JOIN v ON d.less = v.word),
+b AS (SELECT word, n, count(*)::BIGINT AS n_near, arg_min(other, (-other_n, other)) AS form, max(other_n)::BIGINT AS form_n FROM p GROUP BY word, n),
+f AS MATERIALIZED (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 10 * v.n THEN form END AS form, CASE WHEN form_n >= 10 * v.n THEN form_n END AS form_n FROM v LEFT JOIN b USING (word)),
+c AS (SELECT word, word AS root FROM f UNION ALL SELECT c.word, f.form FROM c JOIN f ON c.root = f.word WHERE f.form IS NOT NULL),
+z AS (SELECT c.word, c.root FROM c JOIN f ON c.root = f.word WHERE f.form IS NULL)
+SELECT f.word, form, root, n, n_near, form_n FROM f JOIN z ON f.word = z.word
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_extendible_sharding": op1_extendible_sharding,
     "op2_fixity_audit": op2_fixity_audit,
@@ -137,6 +161,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_chroma_prints": op9_chroma_prints,
     "op10_prefix_intervals": op10_prefix_intervals,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_spelling_variants": op12_spelling_variants,
 }
 
 ORACLES: dict[str, str] = {
@@ -144,4 +169,5 @@ ORACLES: dict[str, str] = {
     "op2_fixity_audit": OP2_SQL,
     "op8_source_mixing": OP8_SQL,
     "op11_fill_in_middle": OP11_SQL,
+    "op12_spelling_variants": OP12_SQL,
 }

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, fixity, langid, media, middle, minhash, mixing, pieces, sharding, spelling, suffixes, tokens
+from . import ann, fixity, langid, media, middle, minhash, mixing, pieces, secrets, sharding, spelling, suffixes, tokens
 from .common import shared_dir, table, text_bytes
 
 #: Bytes of text that a shard may hold.
@@ -149,6 +149,13 @@ SELECT f.word, form, root, n, n_near, form_n FROM f JOIN z ON f.word = z.word
 """
 
 
+def op13_secret_grammars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"), sample=4000)
+    base = F.filter("spans", lambda s: s["base"])
+    counts = [F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in secrets.KINDS]
+    return found.select("doc_id", *counts, F.sha2(secrets.span_list(base), 256).alias("base_sha256"), secrets.span_list(F.col("spans")).alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_extendible_sharding": op1_extendible_sharding,
     "op2_fixity_audit": op2_fixity_audit,
@@ -162,6 +169,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_prefix_intervals": op10_prefix_intervals,
     "op11_fill_in_middle": op11_fill_in_middle,
     "op12_spelling_variants": op12_spelling_variants,
+    "op13_secret_grammars": op13_secret_grammars,
 }
 
 ORACLES: dict[str, str] = {

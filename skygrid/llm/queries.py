@@ -152,7 +152,8 @@ SELECT f.word, form, root, n, n_near, form_n FROM f JOIN z ON f.word = z.word
 def op13_secret_grammars(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(table(spark, sf_dir, "documents"), sample=4000)
     base = F.filter("spans", lambda s: s["base"])
-    counts = [F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in secrets.KINDS]
+    number = lambda kind: F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long")
+    counts = [number(k).alias(f"n_{k}") for k in secrets.KINDS]
     return found.select("doc_id", *counts, F.sha2(secrets.span_list(base), 256).alias("base_sha256"), secrets.span_list(F.col("spans")).alias("spans"))
 
 

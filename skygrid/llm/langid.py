@@ -59,7 +59,7 @@ BLANK = 32
 def _fold_table() -> np.ndarray:
     """Code point to its lower-case letter, or a blank."""
     out = np.full(0x110000, BLANK, np.uint32)
-    for c in (*range(0xD800), *range(0xE000, 0x20000)):
+    for c in (*range(0xD800), *range(0xE000, 0x110000)):
         x = chr(c)
         if x.isalpha():
             low = x.lower()

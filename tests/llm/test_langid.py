@@ -24,6 +24,13 @@ def test_folding():
     assert [points[a:b].astype("<u4").tobytes().decode("utf-32-le") for a, b in zip(ends[:-1], ends[1:], strict=True)] == [folded(t)[1:] for t in texts]
 
 
+def test_letters_of_all_planes():
+    """Letters above U+1FFFF are letters; private, unassigned and other signs are not."""
+    points, offsets = langid.folded(*joined_bytes(pa.array(["𠀀𠀁", "𰀀 x", "\U000e0041\U00100000"])))
+    assert np.diff(offsets).tolist() == [3, 4, 0] and [chr(c) for c in points] == ["𠀀", "𠀁", " ", "𰀀", " ", "x", " "]
+
+
+
 @pytest.mark.parametrize("max_scores", [0, 400, 1 << 22])
 def test_entropies_are_kneser_ney(spark, max_scores):
     """Every text's best language, entropy and score against models of dictionaries, however few 5-grams are broadcast."""

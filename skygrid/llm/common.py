@@ -174,6 +174,36 @@ def powers(base: int, n: int) -> np.ndarray:
     return _POWERS[base][:n]
 
 
+#: Two primes just below 2**31, and a base for each. Sums modulo a prime have no strings that agree for every base, as sums modulo 2**64 have.
+PRIMES, BASES = (2147483647, 2147483629), (1486287349, 1911520717)
+_PRIME_POWERS: dict[tuple[int, int], np.ndarray] = {}
+
+
+def _prime_powers(base: int, prime: int, n: int) -> np.ndarray:
+    """base**0 .. base**(n - 1) modulo prime, to read only; kept for the next call."""
+    out = _PRIME_POWERS.get((base, prime), np.ones(1, np.uint64))
+    while len(out) < n:
+        out = np.concatenate([out, out * np.uint64(pow(base, len(out), prime)) % np.uint64(prime)])
+    if len(out) <= 1 << 24:
+        _PRIME_POWERS[base, prime] = out
+    return out[:n]
+
+
+def span_hashes(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """A hash of each span of the bytes, from prefix sums modulo two primes; equal for equal bytes wherever they lie."""
+    out = np.zeros(len(start), np.uint64)
+    for prime, base in zip(PRIMES, BASES, strict=True):
+        p = np.uint64(prime)
+        sums = np.zeros(len(data) + 1, np.uint64)
+        terms = (data + np.uint64(1)) * _prime_powers(base, prime, len(data))
+        if len(data) > 1 << 23:
+            terms %= p  # so that sums of up to 2**32 terms fit
+        np.cumsum(terms, out=sums[1:])
+        back = _prime_powers(pow(base, -1, prime), prime, len(data) + 1)
+        out = (out << np.uint64(31)) + (sums[stop] - sums[start]) % p * back[start] % p
+    return mix64(out + mix64((stop - start).astype(np.uint64)))
+
+
 def joined_bytes(column) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of an Arrow string column end to end, and len + 1 offsets; nulls are empty."""
     import pyarrow as pa

@@ -1,13 +1,13 @@
 """Near-duplicate documents: SuperMinHash, banding, exact verification, union-find.
 
-1. Each text becomes its set of word shingles (64-bit hashes), a digest of that
+1. Each text becomes its set of word shingles (64-bit hashes, of words hashed modulo two primes), a digest of that
    set, and a SuperMinHash signature: every shingle takes the slots in the
    order of its own random permutation, with value step + random fraction, and
    a slot keeps its least value. As values of a later step are larger than all
    before, a text is finished as soon as each slot is filled; long texts need
    one step or two. The ranks that a shingle takes are correlated (a permutation),
    which gives less variance than as many independent hashes.
-2. Texts with one digest are one class; its smallest id stands for it from here on.
+2. Texts with one digest are one class; it has a number, and its smallest id.
 3. Bands of the signature are buckets. Each member is compared with the
    smallest of its bucket on full sets, which is linear in the bucket.
 4. A bucket of three or more whose members still lie in several components may
@@ -22,7 +22,8 @@ With 20 bands of 4 a pair at similarity 0.85 shares no bucket with chance
 Defined cases
 - text null, empty or blank: an empty set, linked with nothing, kept
 - fewer words than a shingle has: the whole sequence is the only shingle
-- repeated rows (one id): one document; both rows get its component
+- repeated rows (one id and text): one document; both rows get its component
+- one id with several texts: each text is a document of its own, in the component of what it links to
 - id null: linked with nothing, kept
 - an empty table: no rows; extra columns are ignored, whatever their names
 """
@@ -36,11 +37,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, joined_bytes, mapped, mix64, powers, releasing, slices, written
+from .common import discard, joined_bytes, mapped, mix64, releasing, slices, span_hashes, written
 from .graph import components
 
-BASE = 0x2545F4914F6CDD1D
-INVERSE = pow(BASE, -1, 1 << 64)
 #: Text that is hashed at a time.
 SLICE_BYTES = 1 << 21
 #: Members of a bucket that meet in one task are two blocks at most.
@@ -62,10 +61,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     first[offsets] = True  # a text begins a word anew
     start = np.flatnonzero(inside[1:-1] & (~inside[:-2] | first[:-1]))
     end = np.flatnonzero(inside[1:-1] & (~inside[2:] | first[1:])) + 1
-    sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum((_LOWER[data].astype(np.uint64) + np.uint64(1)) * powers(BASE, len(data)), out=sums[1:])
-    hashes = (sums[end] - sums[start]) * powers(INVERSE, len(data) + 1)[start]
-    return mix64(hashes + (end - start).astype(np.uint64)), np.diff(np.searchsorted(start, offsets))
+    return span_hashes(_LOWER[data], start, end), np.diff(np.searchsorted(start, offsets))
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -142,39 +138,49 @@ def _lists(flat: np.ndarray, counts: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int64)))
 
 
+def _digests(elements: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
+    """Two numbers for each set."""
+    ends, out = np.concatenate([[0], np.cumsum(counts)]), []
+    for salt in (11, 13):
+        sums = np.zeros(len(elements) + 1, np.uint64)
+        np.cumsum(mix64(elements ^ mix64(np.full(1, salt, np.uint64))), out=sums[1:])
+        out.append((sums[ends[1:]] - sums[ends[:-1]]).view(np.int64))
+    return out
+
+
+def _narrow(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, text, t (what tells the texts of one id apart)."""
+    text = F.col(text_col)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("t"))
+
+
 def signatures(docs: DataFrame, width: int = 5, bands: int = 20, rows: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, d1 and d2 (digest of the set), bands (array of hashes; empty for empty sets)."""
+    """doc_id, t (hash of the text), n_shingles, d1 and d2 (digest of the set), bands (array of hashes; empty for empty sets)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES):
                 elements, counts = shingle_sets(*joined_bytes(part.column("text")), width)
                 hashes = band_hashes(super_minhash(elements, counts, bands * rows), bands)
-                ends = np.concatenate([[0], np.cumsum(counts)])
-                digests = []
-                for salt in (11, 13):
-                    sums = np.concatenate([[0], np.cumsum(mix64(elements ^ mix64(np.full(1, salt, np.uint64))), dtype=np.uint64)]).astype(np.uint64)
-                    digests.append((sums[ends[1:]] - sums[ends[:-1]]).view(np.int64))
                 some = counts > 0
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(counts.astype(np.int64)), *map(pa.array, digests), _lists(hashes[some].ravel(), np.where(some, bands, 0))],
-                    ["doc_id", "n_shingles", "d1", "d2", "bands"],
+                    [part.column("doc_id"), part.column("t"), pa.array(counts.astype(np.int64)), *map(pa.array, _digests(elements, counts)), _lists(hashes[some].ravel(), np.where(some, bands, 0))],
+                    ["doc_id", "t", "n_shingles", "d1", "d2", "bands"],
                 )
 
-    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return mapped(narrow, work, "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>")
+    return mapped(_narrow(docs, id_col, text_col), work, "doc_id long, t long, n_shingles long, d1 long, d2 long, bands array<long>")
 
 
 def shingles_of(docs: DataFrame, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, shingles (sorted distinct hashes)."""
+    """doc_id, d1 and d2 (digest of the set), shingles (sorted distinct hashes)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES):
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), _lists(*shingle_sets(*joined_bytes(part.column("text")), width))], ["doc_id", "shingles"])
+                elements, counts = shingle_sets(*joined_bytes(part.column("text")), width)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *map(pa.array, _digests(elements, counts)), _lists(elements, counts)], ["doc_id", "d1", "d2", "shingles"])
 
-    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return mapped(narrow, work, "doc_id long, shingles array<long>")
+    return mapped(_narrow(docs, id_col, text_col).drop("t"), work, "doc_id long, d1 long, d2 long, shingles array<long>")
 
 
 def _similar(percent: int, shared: F.Column, a: F.Column, b: F.Column) -> F.Column:
@@ -187,9 +193,9 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     The set of v goes to as many places as its pairs fill, LEADER_LINKS in each.
     """
     degree = pairs.groupBy("v").agg(F.ceil(F.count("*") / LEADER_LINKS).cast("int").alias("places"))
-    right = degree.join(sets, degree["v"] == sets["doc_id"]).select("v", F.explode(F.sequence(F.lit(0), F.col("places") - 1)).alias("place"), F.col("shingles").alias("b"))
+    right = degree.join(sets, degree["v"] == sets["node"]).select("v", F.explode(F.sequence(F.lit(0), F.col("places") - 1)).alias("place"), F.col("shingles").alias("b"))
     left = pairs.join(degree, "v").withColumn("place", F.pmod(F.xxhash64("u"), F.col("places")).cast("int"))
-    left = left.join(sets.select(F.col("doc_id").alias("u"), F.col("shingles").alias("a")), "u")
+    left = left.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("a")), "u")
     both = left.join(right, ["v", "place"]).where(_similar(percent, F.least(F.size("a"), F.size("b")), F.size("a"), F.size("b")))
     return both.where(_similar(percent, F.size(F.array_intersect("a", "b")), F.size("a"), F.size("b"))).select("u", "v")
 
@@ -249,7 +255,7 @@ def hidden_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     name = ["h", "kind", "i", "j"]
     tasks = rows.groupBy(*name).agg(F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("same"), F.count("*").alias("size"), F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b")
     once = tasks.groupBy("same", "size", "a", "b").agg(F.min(F.struct(*name)).alias("t")).select("t.*")
-    full = rows.join(once, name).join(sets, F.col("rep") == F.col("doc_id")).select(*name, "rep", "comp", "shingles")
+    full = rows.join(once, name).join(sets, F.col("rep") == F.col("node")).select(*name, "rep", "comp", "shingles")
 
     def work(table: pa.Table) -> pa.Table:
         sets = [x.values.to_numpy() for x in table.column("shingles").combine_chunks()] if table.num_rows else []
@@ -264,16 +270,23 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 5, bands: i
 
     Documents link when 100 * shared >= percent * united distinct shingles.
     """
+    return _signed_components(docs, percent, width, bands, rows, id_col, text_col).drop("t")
+
+
+def _signed_components(docs: DataFrame, percent: int, width: int, bands: int, rows: int, id_col: str, text_col: str) -> DataFrame:
+    """near_duplicates() with t, the hash of each row's text."""
     signed = written(signatures(docs, width, bands, rows, id_col, text_col))
     some = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
-    classes = signed.where(some).groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
-    classes = written(classes)
+    classes = signed.where(some).groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands"))
+    # A class is a node by a number of its own, as one id may have several texts; the table is written once, so its numbers stay.
+    classes = written(classes.withColumn("rep", F.monotonically_increasing_id()))
     dealt = classes.select("rep", F.explode("bands").alias("h"))
     buckets = dealt.groupBy("h").agg(F.min("rep").alias("leader"), F.count("*").alias("n")).where("n > 1")
     members = written(dealt.join(buckets, "h"))
-    wanted = members.select(F.col("rep").alias("doc_id")).distinct()
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).join(wanted, "doc_id", "left_semi")
-    sets = written(shingles_of(texts, width).dropDuplicates(["doc_id"]))
+    wanted = written(classes.select("rep", "id", "d1", "d2").join(members.select("rep").distinct(), "rep", "left_semi"))
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).join(wanted.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    full = shingles_of(texts, width).join(wanted.withColumnRenamed("id", "doc_id"), ["doc_id", "d1", "d2"])
+    sets = written(full.select(F.col("rep").alias("node"), "shingles").dropDuplicates(["node"]))
     stars = members.where("rep <> leader").select(F.col("rep").alias("u"), F.col("leader").alias("v")).distinct()
     links = written(verified(stars, sets, percent))
     comps = components(links)
@@ -283,15 +296,17 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 5, bands: i
     if hidden.limit(1).count():
         discard(comps)
         comps = components(links.unionByName(hidden))
-    named = written(classes.join(comps, F.col("rep") == F.col("node"), "left").select("d1", "d2", "n_shingles", F.coalesce("component", "rep").alias("component_id")))
-    discard(members, sets, links, hidden, comps, classes)
-    full = signed.where(some).select("doc_id", "n_shingles", "d1", "d2").join(named, ["d1", "d2", "n_shingles"]).select("doc_id", "n_shingles", "component_id")
-    empty = signed.where(~some).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    joined = classes.select("rep", "id", "d1", "d2", "n_shingles").join(comps, F.col("rep") == F.col("node"), "left").withColumn("comp", F.coalesce("component", "rep"))
+    least = joined.where("component IS NOT NULL").groupBy("comp").agg(F.min("id").alias("least"))
+    named = written(joined.join(least, "comp", "left").select("d1", "d2", "n_shingles", F.coalesce("least", "id").alias("component_id")))
+    discard(members, sets, links, hidden, comps, classes, wanted)
+    full = signed.where(some).select("doc_id", "t", "n_shingles", "d1", "d2").join(named, ["d1", "d2", "n_shingles"]).select("doc_id", "t", "n_shingles", "component_id")
+    empty = signed.where(~some).select("doc_id", "t", "n_shingles", F.col("doc_id").alias("component_id"))
     return full.unionByName(empty).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def one_of_each(docs: DataFrame, percent: int = 85, width: int = 5, bands: int = 20, rows: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs without near duplicates: of each component the row with the smallest id stays."""
-    found = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
-    gone = found.where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col].cast("long") == F.col("_gone"), "left_anti")
+    found = _signed_components(docs, percent, width, bands, rows, id_col, text_col)
+    gone = found.where("not kept").select(F.col("doc_id").alias("_gone"), F.col("t").alias("_text")).distinct()
+    return docs.join(gone, (docs[id_col].cast("long") == gone["_gone"]) & (F.xxhash64(docs[text_col]) == gone["_text"]), "left_anti")

@@ -41,23 +41,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import joined_bytes, mapped, mix64, powers, slices
+from .common import joined_bytes, mapped, mix64, powers, slices, span_hashes
 
 BASE = 0x5851F42D4C957F2D
 INVERSE = pow(BASE, -1, 1 << 64)
 SLICE_BYTES = 1 << 22
 #: Characters from which a word is cut into windows; from one window to the next (a multiple of many periods), and what they share at least.
 LONG, STEP, OVERLAP = 2048, 720, 160
-#: Distinct words that a worker remembers; beyond, it starts afresh.
-MEMORY = 1_500_000
+#: Distinct words that a worker remembers, and their bytes; beyond, it starts afresh.
+MEMORY, MEMORY_BYTES = 1_500_000, 1 << 26
 BLANK = "▁"
 FAR = np.int64(1 << 40)
 
 
 class Memory:
-    """Words met so far: an open-addressing table of their hashes, and for each where its ids lie.
+    """Words met so far: an open-addressing table of their hashes, and for each its bytes and ids.
 
-    learn: new words to their ids.
+    learn: new words to their ids. A word that is found by its hash is compared with the bytes held;
+    if they differ it goes by another hash.
     """
 
     BITS = 22
@@ -69,6 +70,7 @@ class Memory:
     def _forget(self) -> None:
         self.keys, self.slots = np.zeros(1 << self.BITS, np.uint64), np.zeros(1 << self.BITS, np.int32)
         self.begin, self.length, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.at, self.size, self.bytes = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint8)
 
     def _place(self, hashes: np.ndarray) -> np.ndarray:
         """Number of each word, -1 where it is new. No hash is 0."""
@@ -87,28 +89,49 @@ class Memory:
 
     def encode(self, data: np.ndarray, offsets: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, and how many each has. start: first bytes of the words."""
-        if len(self.begin) > self.most:
+        if len(self.begin) > self.most or len(self.bytes) > MEMORY_BYTES:
             self._forget()
         stop = np.append(start[1:], len(data))[: len(start)]
-        sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((data + np.uint64(1)) * powers(BASE, len(data)), out=sums[1:])
-        hashes = mix64((sums[stop] - sums[start]) * powers(INVERSE, len(data) + 1)[start]) | np.uint64(1)
-        del sums
-        which = self._place(hashes)
-        fresh = np.flatnonzero(which < 0)
-        if len(fresh):
-            distinct, first = np.unique(hashes[fresh], return_index=True)
-            raw, new = data.tobytes(), fresh[first]
-            words = [raw[a:b].decode() for a, b in zip(start[new].tolist(), stop[new].tolist(), strict=True)]
-            for k in range(0, len(distinct), self.most):
-                self._add(distinct[k : k + self.most], self.learn(words[k : k + self.most]))
-            which[fresh] = self._place(hashes[fresh])
+        hashes, which, raw = self._hashed(data, start, stop), np.full(len(start), -1), None
+        left = np.arange(len(start))
+        while len(left):
+            which[left] = self._place(hashes[left])
+            fresh = left[which[left] < 0]
+            if len(fresh):
+                distinct, first = np.unique(hashes[fresh], return_index=True)
+                raw, new = raw or data.tobytes(), fresh[first]
+                words = [raw[a:b] for a, b in zip(start[new].tolist(), stop[new].tolist(), strict=True)]
+                for k in range(0, len(distinct), self.most):
+                    some = words[k : k + self.most]
+                    self._add(distinct[k : k + self.most], some, self.learn([w.decode() for w in some]))
+                which[fresh] = self._place(hashes[fresh])
+            left = left[~self._same(data, start[left], stop[left], which[left])]
+            hashes[left] = mix64(hashes[left]) | np.uint64(1)
         length = self.length[which]
         total = np.concatenate([[0], np.cumsum(length)])
         ids = self.ids[np.repeat(self.begin[which] - total[:-1], length) + np.arange(total[-1])]
         return ids, np.diff(total[np.searchsorted(start, offsets)])
 
-    def _add(self, hashes: np.ndarray, found: list) -> None:
+    @staticmethod
+    def _hashed(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        return span_hashes(data, start, stop) | np.uint64(1)
+
+    def _same(self, data: np.ndarray, start: np.ndarray, stop: np.ndarray, which: np.ndarray) -> np.ndarray:
+        """Whether words have the bytes that are held under their numbers."""
+        n = stop - start
+        out = self.size[which] == n
+        some = np.flatnonzero(out & (n > 0))
+        if len(some):
+            n = n[some]
+            first = np.cumsum(n) - n
+            place = np.arange(n.sum()) - np.repeat(first, n)
+            out[some] = ~np.logical_or.reduceat(data[place + np.repeat(start[some], n)] != self.bytes[place + np.repeat(self.at[which[some]], n)], first)
+        return out
+
+    def _add(self, hashes: np.ndarray, words: list[bytes], found: list) -> None:
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        self.at = np.concatenate([self.at, len(self.bytes) + np.cumsum(size) - size])
+        self.size, self.bytes = np.concatenate([self.size, size]), np.concatenate([self.bytes, np.frombuffer(b"".join(words), np.uint8)])
         length = np.fromiter(map(len, found), np.int64, len(found))
         number = np.arange(len(self.begin), len(self.begin) + len(found), dtype=np.int32)
         self.begin = np.concatenate([self.begin, len(self.ids) + np.cumsum(length) - length])

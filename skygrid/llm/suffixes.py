@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import joined_bytes, mix64, powers, releasing
+from .common import joined_bytes, mix64, powers, releasing, span_hashes
 
 BASE = 0x5851F42D4C957F2D
 INVERSE = pow(BASE, -1, 1 << 64)
@@ -203,10 +203,7 @@ def part_stretches(part: Part, rows: list[bytes], width: int, parts: int, every:
     # Windows of leaders that occur very often, one by one.
     single = ranges(begin[often], count[often])
     begin, size = np.concatenate([begin[~often], single]), np.concatenate([count[~often] + width - 1, np.full(len(single), width)])
-    sums = np.zeros(len(part.data) + 1, np.uint64)
-    np.cumsum((part.data + np.uint64(1)) * powers(BASE, len(part.data)), out=sums[1:])
-    whole = mix64((sums[begin + size] - sums[begin]) * powers(INVERSE, len(part.data) + 1)[begin] + size.astype(np.uint64))
-    del sums
+    whole = span_hashes(part.data, begin, begin + size)
     key = np.concatenate([hashes[~often], whole[int((~often).sum()) :] >> np.uint64(64 - HASH_BITS)])
     # Equal stretches: the first document's goes on, and covers those of later documents.
     order = np.lexsort((begin, whole))
@@ -345,9 +342,7 @@ class Meeting:
         size = np.concatenate([x[4] for x in found]).astype(np.int64)
         data = np.concatenate([x[5] for x in found])
         start = np.cumsum(size) - size
-        sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((data + np.uint64(1)) * powers(BASE, len(data)), out=sums[1:])
-        names = mix64((sums[start + size] - sums[start]) * powers(INVERSE, len(data) + 1)[start] + size.astype(np.uint64))
+        names = span_hashes(data, start, start + size)
         _, one, self.which = np.unique(names, return_index=True, return_inverse=True)
         self.size = size[one]
         self.start = np.cumsum(self.size) - self.size

@@ -131,6 +131,19 @@ def test_hidden_links_between_blocks(spark, monkeypatch):
     sets = {i: sorted({100 * (i // 2) + k for k in range(20)} | {-i - 1}) for i in range(11)}
     comp = {i: 0 if i in (0, 2, 4, 6) else i for i in sets}
     members = spark.createDataFrame([(7, i, comp[i]) for i in sets], "h long, rep long, comp long")
-    table = spark.createDataFrame(list(sets.items()), "doc_id long, shingles array<long>")
+    table = spark.createDataFrame(list(sets.items()), "node long, shingles array<long>")
     found = {tuple(sorted((r.u, r.v))) for r in minhash.hidden_links(members, table, 80).collect()}
     assert found == {(i, i + 1) for i in range(0, 10, 2)}
+
+
+@pytest.mark.parametrize("turn", [1, -1])
+def test_one_id_with_several_texts(spark, turn):
+    """Each text of an id is a document of its own, in whatever order the rows come."""
+    base = [f"w{k}" for k in range(60)]
+    a, near_a, b, c = (" ".join(x) for x in (base, [*base[:-1], "x"], base[::-1], [f"v{k}" for k in range(9)]))
+    rows = [(1, a, "x", 0), (5, near_a, "x", 0), (5, b, "x", 0), (5, c, "x", 0), (2, b, "x", 0), (5, c, "x", 0), (None, a, "x", 0), (7, None, "x", 0)][::turn]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _gone string, T int").repartition(3)
+    got = sorted((r.doc_id or 0, r.n_shingles, r.component_id or 0, r.kept) for r in minhash.near_duplicates(docs).collect())
+    assert got == [(0, 56, 0, True), (1, 56, 1, True), (2, 56, 2, True), (5, 5, 5, True), (5, 5, 5, True), (5, 56, 1, False), (5, 56, 2, False), (7, 0, 7, True)]
+    kept = minhash.one_of_each(docs)
+    assert kept.columns == docs.columns and sorted((r.doc_id or 0, r.text or "") for r in kept.collect()) == sorted([(0, a), (1, a), (2, b), (5, c), (5, c), (7, "")])

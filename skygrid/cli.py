@@ -2,8 +2,9 @@
 
 skygrid.cli PRODUCT Y M D Y M D IDENTIFIER DATA_DIR [--rings PATH] [--region-column SQL] [--names PATH] [--max-hours H] [--land ROOT]
 
-DATA_DIR holds obs/ (as write_observations leaves it) or raw/ (NetCDF files); results go beside them. With --land,
-the archive's files of the interval (and a day on either side) are first landed in raw/.
+DATA_DIR holds obs/ and its manifest, and raw/ (NetCDF files); results go beside them. Files of raw/ that are new or changed are added
+to obs/; those that can't be read are named, and listed in rejects/. With --land, the archive's files of the interval (and a day on either side) are first
+landed in raw/ by the tasks of a Spark job, so DATA_DIR is a folder (or URI) that all executors reach.
 """
 
 from __future__ import annotations
@@ -12,13 +13,11 @@ import argparse
 from collections.abc import Sequence
 from datetime import datetime, timedelta
 
-from pyspark.sql import functions as F
-
-from skygrid.operators import preprocess, sinks
+from skygrid.operators import ingest, sinks
 from skygrid.plans.build import HALO, WARNING, build
 from skygrid.plans.products import PRODUCTS, Product
 from skygrid.session import session
-from skygrid.sources import archive, netcdf, tables
+from skygrid.sources import archive, tables
 
 
 def parser() -> argparse.ArgumentParser:
@@ -32,9 +31,9 @@ def parser() -> argparse.ArgumentParser:
     out.add_argument("--rings", help="Parquet table of shapes: region, polygon, ring, points and the columns that select them")
     out.add_argument("--names", help="Parquet table of station_id, name")
     out.add_argument("--max-hours", type=float, default=2.0)
-    out.add_argument("--refresh", action="store_true", help="read raw/ again even if obs/ has the product, and land files again")
+    out.add_argument("--refresh", action="store_true", help="land files again even if their ETag is the same")
     out.add_argument("--land", metavar="ROOT", help="land the files below this root of the archive first")
-    out.add_argument("--jobs", type=int, default=8, help="files landed at a time")
+    out.add_argument("--jobs", type=int, default=8, help="files landed at a time from one host")
     out.add_argument("--remove-original", action="store_true", help="drop landed files once their observations are written")
     return out
 
@@ -49,14 +48,19 @@ def main(argv: Sequence[str] | None = None) -> None:
     product, spark = PRODUCTS[args.product], session()
     start, end = datetime(args.start_year, args.start_month, args.start_day), datetime(args.end_year, args.end_month, args.end_day)
     table, raw = f"{args.data_dir}/obs", f"{args.data_dir}/raw"
-    fs = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{table}/product={product.name}")
-    landed = archive.land(spark, product, start - HALO, end + timedelta(hours=23) + HALO, args.land, raw, args.jobs, refresh=args.refresh) if args.land else []
-    if landed or args.refresh or not fs.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(fs):
-        sinks.write_observations(preprocess.observations(netcdf.read(spark, raw, raw_schema(product), "skip"), product), table, product.name)
+    if args.land:
+        landed = archive.land_interval(spark, product, start - HALO, end + timedelta(hours=23) + HALO, args.land, raw, f"{args.data_dir}/landed", args.jobs, refresh=args.refresh)
+        for row in landed.where("error IS NOT NULL").select("url", "error").limit(20).collect():
+            print(f"not landed: {row['url']}: {row['error']}")
+    run = ingest.ingest(spark, raw, table, product, raw_schema(product))
+    if run.where("rows = 0").limit(1).count():
+        left = ingest.rejects(spark, table).join(run.select("run").distinct(), "run", "left_semi")
+        sinks.write_table(left, f"{args.data_dir}/rejects")
+        for row in left.limit(20).collect():
+            print(f"left out: {row['file']}: {row['reason']}")
     if args.remove_original:
-        for path in landed:
-            archive.remove_landed(path)
-    obs = tables.with_sequence(spark.read.parquet(table).where(F.col("product") == product.name).drop("product"))
+        archive.remove_landed(run.where("rows > 0").select("file"))
+    obs = tables.with_sequence(ingest.current(spark, table, product.name))
     read = {k: spark.read.parquet(p) if p else None for k, p in (("rings", args.rings), ("names", args.names))}
     built = build(obs, args.identifier, start, end, max_hours=args.max_hours, **read)
     out = f"{args.data_dir}/{args.identifier}.{start:%Y%m%d}_{end:%Y%m%d}"

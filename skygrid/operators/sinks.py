@@ -28,12 +28,6 @@ def hourly_notes(columns: Sequence[str], max_hours: float) -> dict[str, dict[str
     return {c: {"max_interpolation_interval_h": max_hours, "processing": say} for c in columns}
 
 
-def write_observations(obs: DataFrame, path: str, product: str) -> None:
-    """Observations by product and day; a rerun replaces the days that it has."""
-    rows = obs.withColumn("product", F.lit(product)).withColumn("date", F.to_date("time"))
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("product", "date").parquet(path)
-
-
 def write_table(df: DataFrame, path: str, notes: Mapping[str, object] | None = None) -> None:
     """One table, and its notes as JSON beside it."""
     df.write.mode("overwrite").parquet(path)

@@ -13,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skygrid import cli
+from skygrid.operators import ingest as ingest_table
 from skygrid.operators import preprocess, sinks
 from skygrid.plans.build import build
 from skygrid.plans.products import MESONET, METAR
@@ -90,7 +91,7 @@ def test_build_and_command_line(spark, tmp_path):
     hours = spark.read.parquet(str(tmp_path / "CO.20240101_20240101.hourly")).orderBy("time").collect()
     assert [(r.time.hour, r.temperature) for r in hours] == [(0, 280.0), (1, 282.0)]
     assert spark.read.parquet(str(tmp_path / "CO.20240101_20240101.hourly.0.500")).count() == 0
-    obs = tables.with_sequence(spark.read.parquet(str(tmp_path / "obs")).drop("product", "date"))
+    obs = tables.with_sequence(ingest_table.current(spark, str(tmp_path / "obs"), "mesonet").drop("date"))
     assert build(obs, "NOSUCH", datetime(2024, 1, 1), datetime(2024, 1, 1)).hourly.count() == 0
     one = build(obs, "KDEN", datetime(2024, 1, 1), datetime(2024, 1, 1))
     assert one.stations.first().coordinate_warning is False and one.fractions().first().valid_fraction == 2 / 24
@@ -102,8 +103,8 @@ def test_build_and_command_line(spark, tmp_path):
 def test_a_build_reads_its_days_only(spark, tmp_path):
     rows = [(datetime(2024, 1, d, h), "KDEN", 39.0, -105.0, 1.0, 280.0 + h, "f", h) for d in (1, 9, 10, 11, 30) for h in (0, 1)]
     obs = spark.createDataFrame(rows, "time timestamp_ntz, station_id string, latitude float, longitude float, elevation float, temperature float, source_file string, record_pos long")
-    sinks.write_observations(obs, str(tmp_path / "obs"), "mesonet")
-    read = tables.with_sequence(spark.read.parquet(str(tmp_path / "obs")).where("product = 'mesonet'").drop("product"))
+    ingest_table.append(obs, spark.createDataFrame([("f", 1, datetime(2024, 2, 1))], "file string, bytes long, changed timestamp"), str(tmp_path / "obs"), "mesonet")
+    read = tables.with_sequence(ingest_table.current(spark, str(tmp_path / "obs"), "mesonet"))
     built = build(read, "KDEN", datetime(2024, 1, 10), datetime(2024, 1, 10))
     plan = built.records._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "date" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
@@ -148,7 +149,7 @@ def test_landing_and_building_the_other_product(spark, tmp_path):
         server.shutdown()
     hours = spark.read.parquet(str(tmp_path / "KDEN.20240101_20240101.hourly")).orderBy("time").collect()
     assert [(r.time.hour, round(r.temperature, 2), r.dewpoint and round(r.dewpoint, 2), r.V10) for r in hours] == [(0, 280.1, 270.1, -5.0), (1, 281.1, None, -5.0)]
-    assert not list((tmp_path / "raw").iterdir())
+    assert not [p for p in (tmp_path / "raw").iterdir() if not p.name.startswith(".")]
     obs = spark.read.parquet(str(tmp_path / "obs")).where("station_id = 'KBOU'").first()
     assert obs.temperature is None and obs.dewpoint == 260.0 and obs.product == "metar"
 
@@ -175,8 +176,6 @@ def test_geojson(spark, tmp_path):
 
 class Answer:
     def __init__(self, body=b"", etag='"1"'):
-        import io
-
         self.body, self.headers = io.BytesIO(body), {"ETag": etag}
 
     def __enter__(self):
@@ -189,7 +188,7 @@ class Answer:
         return self.body.read(n)
 
 
-def test_download(tmp_path):
+def test_fetching(tmp_path):
     calls = []
 
     def opener(request, timeout):
@@ -198,14 +197,14 @@ def test_download(tmp_path):
             raise urllib.error.HTTPError("u", 503, "", {}, None)
         return Answer(gzip.compress(b"x"))
 
-    path = archive.download("http://x/f.gz", tmp_path, "f.gz", delay=0, opener=opener)
-    assert archive.gzip_is_whole(path) and calls == ["HEAD", "HEAD", "GET"]
-    archive.download("http://x/f.gz", tmp_path, "f.gz", delay=0, opener=opener)
-    assert calls[3:] == ["HEAD"]
+    target = f"file://{tmp_path}/f.gz"
+    etag, n, moved = archive.fetch("http://x/f.gz", target, delay=0, opener=opener)
+    assert archive.gzip_is_whole(tmp_path / "f.gz") and calls == ["HEAD", "HEAD", "GET"] and moved and n == (tmp_path / "f.gz").stat().st_size
+    assert archive.fetch("http://x/f.gz", target, etag, delay=0, opener=opener) == (etag, n, False) and calls[3:] == ["HEAD"]
+    assert archive.fetch("http://x/f.gz", target, '"0"', delay=0, opener=opener)[2]
     with pytest.raises(urllib.error.HTTPError):
-        archive.download("http://x/g.gz", tmp_path, "g.gz", delay=0, opener=lambda r, timeout: (_ for _ in ()).throw(urllib.error.HTTPError("u", 404, "", {}, None)))
-    archive.remove_landed(path)
-    assert not path.exists() and not list(tmp_path.iterdir())
+        archive.fetch("http://x/g.gz", f"{tmp_path}/g.gz", delay=0, opener=lambda r, timeout: (_ for _ in ()).throw(urllib.error.HTTPError("u", 404, "", {}, None)))
+    assert [p.name for p in tmp_path.iterdir()] == ["f.gz"]
 
 
 def test_cut_transfers_are_tried_again(tmp_path):
@@ -226,23 +225,14 @@ def test_cut_transfers_are_tried_again(tmp_path):
             answer.body = body if isinstance(body, Exception) else io.BytesIO(body)
         return answer
 
-    assert archive.download("http://x/f.gz", tmp_path, "f.gz", delay=0, opener=opener).read_bytes() == whole
+    archive.fetch("http://x/f.gz", f"{tmp_path}/f.gz", delay=0, opener=opener)
+    assert (tmp_path / "f.gz").read_bytes() == whole
     bodies += [b"plain", whole[:50], whole[:50]]
-    assert archive.download("http://x/f.txt", tmp_path, "f.txt", delay=0, opener=opener).read_bytes() == b"plain"
+    archive.fetch("http://x/f.txt", f"{tmp_path}/f.txt", delay=0, opener=opener)
+    assert (tmp_path / "f.txt").read_bytes() == b"plain"
     with pytest.raises(archive.CutShort):
-        archive.download("http://x/h.gz", tmp_path, "h.gz", delay=0, retries=1, opener=opener)
-    assert sorted(p.name for p in tmp_path.iterdir()) == ["f.gz", "f.gz.etag", "f.txt", "f.txt.etag"]
-
-
-def test_all_that_is_to_be_had_is_landed(tmp_path, capsys):
-    def opener(request, timeout):
-        if "gone" in request.full_url:
-            raise urllib.error.HTTPError("u", 404, "", {}, None)
-        return Answer(gzip.compress(request.full_url.encode()))
-
-    got = dict(archive.download_all([(f"http://x/{n}", n) for n in ("a.gz", "gone.gz", "b.gz")], tmp_path, jobs=2, delay=0, opener=opener))
-    assert {u: p and p.name for u, p in got.items()} == {"http://x/a.gz": "a.gz", "http://x/gone.gz": None, "http://x/b.gz": "b.gz"}
-    assert "gone.gz" in capsys.readouterr().out
+        archive.fetch("http://x/h.gz", f"{tmp_path}/h.gz", delay=0, retries=1, opener=opener)
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["f.gz", "f.txt"]
 
 
 def test_gzip_files(tmp_path):

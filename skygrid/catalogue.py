@@ -333,7 +333,26 @@ def single_station_table(spark, sf_dir):
 
 
 # Greedy and in order, so SQL has no short form; a test holds it against brute force.
-@query(None)
+#: Place by place: the first point that is left, the first elevation reported around it, and what is within reach of both.
+ANCHOR_SQL = f"""WITH RECURSIVE {BASE_SQL},
+q AS (SELECT station_id, latitude, longitude, elevation, row_number() OVER (PARTITION BY station_id ORDER BY min(seq)) AS nth FROM v WHERE station_id IN (SELECT station_id FROM c WHERE changed) GROUP BY station_id, latitude, longitude, elevation),
+r AS (SELECT 0 AS step, station_id, nth, latitude::DOUBLE AS la, longitude::DOUBLE AS lo, elevation::DOUBLE AS el, false AS done, NULL::DOUBLE AS pa, NULL::DOUBLE AS po, NULL::DOUBLE AS pe FROM q
+ UNION ALL
+ SELECT step + 1, station_id, nth, la, lo, el, near AND NOT coalesce(abs(el - level) > 25, false), fa, fo, level FROM (
+  SELECT *, arg_min(el, nth) FILTER (near AND el IS NOT NULL) OVER (PARTITION BY station_id) AS level FROM (
+   SELECT *, abs(la - fa) <= 0.01 AND abs(lo - fo) <= 0.01 AS near FROM (
+    SELECT step, station_id, nth, la, lo, el, arg_min(la, nth) OVER (PARTITION BY station_id) AS fa, arg_min(lo, nth) OVER (PARTITION BY station_id) AS fo FROM r WHERE NOT done)))),
+k AS (SELECT station_id, la, lo, el, (step - 1)::INTEGER AS place, pa, po, pe FROM r WHERE done)"""
+
+
+@query(f"""{ANCHOR_SQL} SELECT v.seq, v.station_id, place, round(pa, 6) AS place_latitude, round(po, 6) AS place_longitude, round(pe, 6) AS place_elevation
+FROM v JOIN k ON v.station_id = k.station_id AND v.latitude::DOUBLE = la AND v.longitude::DOUBLE = lo AND v.elevation::DOUBLE IS NOT DISTINCT FROM el""")
+def record_places(spark, sf_dir):
+    found = stations.record_places(moving(spark, sf_dir))
+    return found.select("seq", "station_id", "place", *[r6(F.col(f"place_{c}")).alias(f"place_{c}") for c in ("latitude", "longitude", "elevation")])
+
+
+@query(f"{ANCHOR_SQL} SELECT DISTINCT station_id, place, round(pa, 6) AS latitude, round(po, 6) AS longitude, round(pe, 6) AS elevation FROM k")
 def changed_station_places(spark, sf_dir):
     found = stations.changed_places(moving(spark, sf_dir))
     return found.select("station_id", "place", *[r6(F.col(c)).alias(c) for c in ("latitude", "longitude", "elevation")])

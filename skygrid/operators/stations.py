@@ -6,8 +6,8 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Distances up to which two reported places are one (degrees, degrees, metres; ends included).
@@ -68,31 +68,75 @@ def mean_places(obs: DataFrame) -> DataFrame:
     return places.groupBy("station_id").agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in ("latitude", "longitude", "elevation")])
 
 
-def changed_places(obs: DataFrame, tolerance: Tolerance = Tolerance(), seq: str = "seq") -> DataFrame:
-    """station_id, place (from 0, by first encounter), latitude, longitude, elevation: all places of stations that changed.
+def _anchored(latitude: np.ndarray, longitude: np.ndarray, elevation: np.ndarray, tolerance: Tolerance) -> tuple[np.ndarray, list[tuple[float, float, float]]]:
+    """For points in order of encounter the number of their place, and all places; elevation NaN: unknown.
+
+    Points are kept in cells that are wider than the tolerances, so a new place looks at its own cell and those around it.
+    """
+    width = [2 * x or 1.0 for x in (tolerance.latitude, tolerance.longitude)]
+    cell = np.stack([np.floor(latitude / width[0]), np.floor(longitude / width[1])], axis=1).astype(np.int64)
+    order = np.lexsort((cell[:, 1], cell[:, 0]))  # stable, so a cell's points stay in order
+    cuts = np.flatnonzero((np.diff(cell[order], axis=0) != 0).any(axis=1)) + 1
+    open_ = {tuple(cell[own[0]]): own for own in np.split(order, cuts) if len(own)}
+    place, places = np.full(len(latitude), -1), []
+    for k in range(len(latitude)):
+        if place[k] >= 0:
+            continue
+        i, j = cell[k]
+        around = [c for c in ((i + di, j + dj) for di in (-1, 0, 1) for dj in (-1, 0, 1)) if c in open_]
+        own = np.sort(np.concatenate([open_[c] for c in around]))
+        own = own[(np.abs(latitude[own] - latitude[k]) <= tolerance.latitude) & (np.abs(longitude[own] - longitude[k]) <= tolerance.longitude)]
+        known = elevation[own][~np.isnan(elevation[own])]
+        level = known[0] if len(known) else np.nan
+        place[own[~(np.abs(elevation[own] - level) > tolerance.elevation)]] = len(places)
+        places.append((latitude[k], longitude[k], level))
+        for c in around:
+            left = open_[c][place[open_[c]] < 0]
+            if len(left):
+                open_[c] = left
+            else:
+                del open_[c]
+    return place, places
+
+
+def placed(obs: DataFrame, tolerance: Tolerance = Tolerance(), seq: str = "seq") -> DataFrame:
+    """station_id, latitude, longitude, elevation (as reported, distinct), place (from 0, by first encounter), place_latitude, place_longitude, place_elevation of stations that changed.
 
     A place is anchored at the first record that is at no earlier place; its elevation is the first
-    one reported there, and records belong to it that are within the tolerances of both. The
-    order matters, so a station's distinct places, not its records, pass through one group.
+    one reported there, and records belong to it that are within the tolerances of both. The order matters, so
+    a station's distinct points, not its records, pass through one group, each looking at the points around it only.
     """
     moved = station_locations(obs, tolerance, seq).where("changed").select("station_id")
     distinct = located(obs).join(moved, "station_id", "left_semi").groupBy("station_id", "latitude", "longitude", "elevation").agg(F.min(seq).alias("first"))
+    ordered = distinct.withColumn("nth", F.row_number().over(Window.partitionBy("station_id").orderBy("first"))).drop("first")
+
+    def work(table: pa.Table) -> pa.Table:
+        table = table.sort_by("nth")
+        points = [table.column(c).cast(pa.float64()).to_numpy() for c in ("latitude", "longitude", "elevation")]
+        place, places = _anchored(*points, tolerance)
+        at = pa.array(place, pa.int32())
+        anchors = np.array(places)[place]
+        table = table.drop_columns("nth").append_column("place", at)
+        for k, c in enumerate(("latitude", "longitude", "elevation")):
+            table = table.append_column(f"place_{c}", pa.array(anchors[:, k], pa.float64(), from_pandas=True))
+        return table
+
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ordered.schema if f.name != "nth")
+    return ordered.groupBy("station_id").applyInArrow(work, f"{fields}, place int, place_latitude double, place_longitude double, place_elevation double")
+
+
+def changed_places(obs: DataFrame, tolerance: Tolerance = Tolerance(), seq: str = "seq") -> DataFrame:
+    """station_id, place (from 0, by first encounter), latitude, longitude, elevation: all places of stations that changed."""
+    places = placed(obs, tolerance, seq).select("station_id", "place", *[F.col(f"place_{c}").alias(c) for c in ("latitude", "longitude", "elevation")])
+    return places.groupBy("station_id", "place").agg(*[F.first(c).alias(c) for c in ("latitude", "longitude", "elevation")])
+
 
-    def anchored(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("first", key=lambda s: s.map(tuple) if isinstance(s.iloc[0], dict) else s, kind="stable")
-        place = rows[["latitude", "longitude", "elevation"]].to_numpy("float64", na_value=np.nan)
-        found = []
-        while len(place):
-            near = (np.abs(place[:, :2] - place[0, :2]) <= (tolerance.latitude, tolerance.longitude)).all(axis=1)
-            known = place[near & ~np.isnan(place[:, 2]), 2]
-            level = known[0] if len(known) else np.nan
-            found.append((*place[0, :2], level))
-            place = place[~(near & ~(np.abs(place[:, 2] - level) > tolerance.elevation))]
-        out = pd.DataFrame(found, columns=["latitude", "longitude", "elevation"])
-        return out.assign(station_id=rows["station_id"].iloc[0], place=range(len(out)))[["station_id", "place", "latitude", "longitude", "elevation"]]
-
-    rows = distinct.groupBy("station_id").applyInPandas(anchored, "station_id string, place int, latitude double, longitude double, elevation double")
-    return rows.withColumn("elevation", F.nanvl("elevation", F.lit(None)))
+def record_places(obs: DataFrame, tolerance: Tolerance = Tolerance(), seq: str = "seq") -> DataFrame:
+    """Located records of stations that changed, with place, place_latitude, place_longitude and place_elevation."""
+    points = placed(obs, tolerance, seq)
+    rows = located(obs)
+    same = [rows[c].eqNullSafe(points[c]) for c in ("station_id", "latitude", "longitude", "elevation")]
+    return rows.join(points, same).select(*[rows[c] for c in rows.columns], *[points[c] for c in ("place", "place_latitude", "place_longitude", "place_elevation")])
 
 
 def station_table(obs: DataFrame, station_id: str, tolerance: Tolerance = Tolerance(), seq: str = "seq") -> DataFrame:

@@ -1,5 +1,7 @@
 import random
+import time
 
+import numpy as np
 import pytest
 
 from skygrid import catalogue
@@ -113,6 +115,34 @@ def test_places_of_changed_stations(spark, sf_dir):
     assert got and got == {s: [(round(a, 4), round(b, 4), c) for a, b, c in greedy_places(by[s])] for s in got}
 
 
+def test_places_of_records(spark):
+    """Each record of a changed station belongs to the first place within reach of it, missing elevations to the first place around."""
+    rng = random.Random(8)
+    rows = [(f"s{k % 3}", k, 50 + round(rng.gauss(0, 0.01), 4), 5 + round(rng.gauss(0, 0.01), 4), rng.choice([None, 0.0, 20.0, 40.0, 400.0])) for k in range(900)]
+    rows += [("still", k, 1.0, 1.0, None) for k in range(3)] + [("s0", 1000, None, 5.0, 1.0), ("", 1, 5.0, 5.0, 5.0)]
+    obs = spark.createDataFrame([(*r, "x") for r in rows], "station_id string, seq int, latitude double, longitude double, elevation double, place string").drop("place").repartition(5)
+    got = {(r.station_id, r.seq): (r.place, r.place_latitude, r.place_longitude, r.place_elevation) for r in stations.record_places(obs).collect()}
+    want = {}
+    for s in ("s0", "s1", "s2"):
+        own = [r for r in rows if r[0] == s and r[2] is not None]
+        places = greedy_places([r[2:] for r in own])
+        for r in own:
+            near = [k for k, p in enumerate(places) if abs(p[0] - r[2]) <= 0.01 and abs(p[1] - r[3]) <= 0.01 and (p[2] is None or r[4] is None or abs(p[2] - r[4]) <= 25)]
+            want[s, r[1]] = (near[0], *places[near[0]])
+    assert got == want and max(p[0] for p in want.values()) > 20
+
+
+def test_places_of_a_ship():
+    """A track of 200,000 points, each place of a few; linear in the points."""
+    rng = np.random.default_rng(1)
+    track = np.cumsum(rng.normal(0, 0.003, (200_000, 2)), axis=0)
+    began = time.time()
+    place, places = stations._anchored(track[:, 0], track[:, 1], np.zeros(len(track)), stations.Tolerance())
+    assert time.time() - began < 60 and len(places) > 5_000
+    anchors = np.array(places)[place]
+    assert (np.abs(anchors[:, :2] - track) <= 0.01).all() and (np.diff(np.unique(place, return_index=True)[1]) > 0).all()
+
+
 def test_requested_series(spark):
     rows = [("b", 0, 1, 5.0), ("a", 0, 2, None), ("a", 0, 3, 7.0), ("", 0, 4, 1.0), ("a", None, 5, 9.0)]
     obs = spark.createDataFrame(rows, "station_id string, time int, seq int, temperature double")

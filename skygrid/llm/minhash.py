@@ -171,16 +171,15 @@ def signatures(docs: DataFrame, width: int = 5, bands: int = 20, rows: int = 4,
     return mapped(_narrow(docs, id_col, text_col), work, "doc_id long, t long, n_shingles long, d1 long, d2 long, bands array<long>")
 
 
-def shingles_of(docs: DataFrame, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, d1 and d2 (digest of the set), shingles (sorted distinct hashes)."""
+def shingles_of(docs: DataFrame, width: int = 5, key: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """node (the key), shingles (sorted distinct hashes)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES):
-                elements, counts = shingle_sets(*joined_bytes(part.column("text")), width)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *map(pa.array, _digests(elements, counts)), _lists(elements, counts)], ["doc_id", "d1", "d2", "shingles"])
+                yield pa.RecordBatch.from_arrays([part.column("node"), _lists(*shingle_sets(*joined_bytes(part.column("text")), width))], ["node", "shingles"])
 
-    return mapped(_narrow(docs, id_col, text_col).drop("t"), work, "doc_id long, d1 long, d2 long, shingles array<long>")
+    return mapped(docs.select(F.col(key).cast("long").alias("node"), F.col(text_col).alias("text")), work, "node long, shingles array<long>")
 
 
 def _similar(percent: int, shared: F.Column, a: F.Column, b: F.Column) -> F.Column:
@@ -277,16 +276,16 @@ def _signed_components(docs: DataFrame, percent: int, width: int, bands: int, ro
     """near_duplicates() with t, the hash of each row's text."""
     signed = written(signatures(docs, width, bands, rows, id_col, text_col))
     some = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
-    classes = signed.where(some).groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands"))
+    classes = signed.where(some).groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("id"), F.min_by("t", "doc_id").alias("t"), F.first("bands").alias("bands"))
     # A class is a node by a number of its own, as one id may have several texts; the table is written once, so its numbers stay.
     classes = written(classes.withColumn("rep", F.monotonically_increasing_id()))
     dealt = classes.select("rep", F.explode("bands").alias("h"))
     buckets = dealt.groupBy("h").agg(F.min("rep").alias("leader"), F.count("*").alias("n")).where("n > 1")
     members = written(dealt.join(buckets, "h"))
-    wanted = written(classes.select("rep", "id", "d1", "d2").join(members.select("rep").distinct(), "rep", "left_semi"))
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).join(wanted.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    full = shingles_of(texts, width).join(wanted.withColumnRenamed("id", "doc_id"), ["doc_id", "d1", "d2"])
-    sets = written(full.select(F.col("rep").alias("node"), "shingles").dropDuplicates(["node"]))
+    wanted = classes.select("rep", F.col("id").alias("doc_id"), "t").join(members.select("rep").distinct(), "rep", "left_semi")
+    # One text of each class: the join's partitions serve for telling repeated rows apart, so texts are dealt once.
+    texts = _narrow(docs, id_col, text_col).join(wanted, ["doc_id", "t"]).dropDuplicates(["doc_id", "t"])
+    sets = written(shingles_of(texts, width, "rep"))
     stars = members.where("rep <> leader").select(F.col("rep").alias("u"), F.col("leader").alias("v")).distinct()
     links = written(verified(stars, sets, percent))
     comps = components(links)
@@ -299,7 +298,7 @@ def _signed_components(docs: DataFrame, percent: int, width: int, bands: int, ro
     joined = classes.select("rep", "id", "d1", "d2", "n_shingles").join(comps, F.col("rep") == F.col("node"), "left").withColumn("comp", F.coalesce("component", "rep"))
     least = joined.where("component IS NOT NULL").groupBy("comp").agg(F.min("id").alias("least"))
     named = written(joined.join(least, "comp", "left").select("d1", "d2", "n_shingles", F.coalesce("least", "id").alias("component_id")))
-    discard(members, sets, links, hidden, comps, classes, wanted)
+    discard(members, sets, links, hidden, comps, classes)
     full = signed.where(some).select("doc_id", "t", "n_shingles", "d1", "d2").join(named, ["d1", "d2", "n_shingles"]).select("doc_id", "t", "n_shingles", "component_id")
     empty = signed.where(~some).select("doc_id", "t", "n_shingles", F.col("doc_id").alias("component_id"))
     return full.unionByName(empty).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

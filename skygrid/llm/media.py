@@ -6,11 +6,12 @@ folded frame by frame into twelve pitch classes. Sixteen filters, each the log r
 areas of that image, are evaluated at every frame from one integral image; two bits
 of each make a 32-bit integer per frame.
 
-Recordings with equal integers throughout are one class. Keys of three
-successive integers (thinned: the least hash of every window of eight, and of a run of equal ones
-the ends) are the meeting points of classes. Whether two classes that share a key belong together
-is found by ``agree``: how often their keys meet at each offset is a histogram; at its peak the integers are laid
-side by side, and the pair is linked if enough of them overlap and few of their bits differ.
+Recordings with equal integers throughout are one class. Keys are the meeting points of classes, thinned (the least hash of
+every window, and of a run of equal ones the ends): of three successive whole integers, which short
+recordings have as well, and of the signs of eight sturdy filters at four places of 13, which mostly stay when there is noise or
+the frames are cut elsewhere. Whether two classes that share a key belong together is found by ``agree``: how often any of
+their keys meet at each offset is a histogram; at its peaks the integers are laid side by side, and the pair
+is linked if enough of them overlap and few of their bits differ.
 
 Each member of a key is compared with the key's smallest class, which is linear in its members. A key whose
 members then still lie in several groups may hide links between them: those outside its largest group
@@ -46,6 +47,11 @@ from .graph import components
 CLASSES, FILTERS, REACH = 12, 16, 8
 #: Integers in a key, and keys in a window of which one is taken.
 KEY, WINDOW = 3, 8
+#: Filters whose signs turn least under noise and when frames are cut elsewhere, and the bits that hold these signs.
+STURDY_FILTERS = (3, 7, 9, 10, 11, 12, 14, 15)
+STURDY = np.uint32(sum(1 << (31 - 2 * k) for k in STURDY_FILTERS))
+#: Integers of which a sturdy key has these bits, how far apart they are, and keys in a window of which one is taken.
+FRAMES, STRIDE, STURDY_WINDOW = 4, 4, 6
 #: Links of one class that meet in one task.
 LEADER_LINKS = 64
 #: Members of a key that meet in one task are two blocks at most.
@@ -170,20 +176,43 @@ def fingerprints(recordings: DataFrame, id_col: str, media_col: str, sound: Soun
     return mapped(narrow, work, "id long, n_frames long, n_prints long, prints array<int>, prints_crc32 long, raw binary")
 
 
-def thinned(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of a recording and their places."""
-    if len(prints) < KEY:
-        return np.zeros(0, np.int64), np.zeros(0, np.int32)
-    own = np.zeros(len(prints) - KEY + 1, np.uint64)
-    for k in range(KEY):
+def _exact_keys(prints: np.ndarray) -> np.ndarray:
+    """A key of the whole integers at each place that has KEY of them."""
+    own = np.zeros(max(len(prints) - KEY + 1, 0), np.uint64)
+    for k in range(KEY if len(own) else 0):
         own += mix64(prints[k : len(own) + k].view(np.uint32).astype(np.uint64) + np.uint64(k << 40))
-    own = mix64(own)
-    span = min(WINDOW, len(own))
+    return mix64(own)
+
+
+def _sturdy_keys(prints: np.ndarray) -> np.ndarray:
+    """A key of the sturdiest bits of FRAMES integers, STRIDE apart, at each place that has them."""
+    own = np.zeros(max(len(prints) - STRIDE * (FRAMES - 1), 0), np.uint64)
+    for k in range(FRAMES if len(own) else 0):
+        own += mix64((prints[STRIDE * k : len(own) + STRIDE * k].view(np.uint32) & STURDY).astype(np.uint64) + np.uint64((k + 64) << 40))
+    return mix64(own)
+
+
+def _thin(own: np.ndarray, window: int) -> np.ndarray:
+    """Places of which each window has one; of a run of equal keys, as silence has, the ends say where it lies."""
+    if not len(own):
+        return np.zeros(0, np.int64)
+    span = min(window, len(own))
     place = np.unique(np.lib.stride_tricks.sliding_window_view(own, span).argmin(axis=1) + np.arange(len(own) - span + 1))
-    # Of a run of equal keys, as silence has, the ends say where it lies.
     same = (own[place[1:]] == own[place[:-1]]) & (place[1:] == place[:-1] + 1)
     inner = np.concatenate([[False], same]) & np.concatenate([same, [False]])
-    return own[place[~inner]].view(np.int64), place[~inner].astype(np.int32)
+    return place[~inner]
+
+
+def thinned(prints: np.ndarray) -> np.ndarray:
+    """The keys by which a recording meets others."""
+    found = [own[_thin(own, window)] for own, window in ((_exact_keys(prints), WINDOW), (_sturdy_keys(prints), STURDY_WINDOW))]
+    return np.unique(np.concatenate(found)).view(np.int64)
+
+
+def placed_keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All keys of a recording and their places; inside a run of equal ones the ends."""
+    found = [(own, _thin(own, 1)) for own in (_exact_keys(prints), _sturdy_keys(prints))]
+    return np.concatenate([own[at] for own, at in found]).view(np.int64), np.concatenate([at for _, at in found])
 
 
 @dataclass(frozen=True)
@@ -195,8 +224,8 @@ class Likeness:
     most_errors: float = 0.15
 
     def agree(self, a: np.ndarray, b: np.ndarray, keyed_a: tuple[np.ndarray, np.ndarray] | None = None, keyed_b: tuple[np.ndarray, np.ndarray] | None = None) -> bool:
-        """Whether the integers a and b align at the offset at which most of their keys meet (of several, the nearest to 0)."""
-        (keys_a, at_a), (keys_b, at_b) = keyed_a or thinned(a), keyed_b or thinned(b)
+        """Whether the integers a and b align at one of the three offsets at which most of their keys meet (of several, the nearest to 0)."""
+        (keys_a, at_a), (keys_b, at_b) = keyed_a or placed_keys(a), keyed_b or placed_keys(b)
         order = np.argsort(keys_b, kind="stable")
         first = np.searchsorted(keys_b, keys_a, sorter=order)
         count = np.searchsorted(keys_b, keys_a, side="right", sorter=order) - first
@@ -205,7 +234,10 @@ class Likeness:
             return False
         met = at_b[order[np.repeat(first - (total - count), count) + np.arange(total[-1])]]
         offsets, votes = np.unique(np.repeat(at_a, count) - met, return_counts=True)
-        offset = int(min(offsets[votes == votes.max()].tolist(), key=lambda x: (abs(x), x)))
+        return any(self.align(a, b, int(offsets[k])) for k in np.lexsort((offsets, np.abs(offsets), -votes))[:3])
+
+    def align(self, a: np.ndarray, b: np.ndarray, offset: int) -> bool:
+        """Whether enough integers overlap at an offset, and few enough of their bits differ."""
         x, y = a[max(offset, 0) :], b[max(-offset, 0) :]
         overlap = min(len(x), len(y))
         if overlap < self.least_overlap or overlap < min(len(a), len(b)) * self.least_share:
@@ -219,7 +251,7 @@ def class_keys(classes: DataFrame) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column("prints")
-            found = [np.unique(thinned(x)[0]) for x in np.split(lists.flatten().to_numpy(), np.cumsum(lists.value_lengths().to_numpy())[:-1])] if batch.num_rows else []
+            found = [thinned(x) for x in np.split(lists.flatten().to_numpy(), np.cumsum(lists.value_lengths().to_numpy())[:-1])] if batch.num_rows else []
             if found:
                 reps = np.repeat(batch.column("rep").to_numpy(), [len(x) for x in found])
                 yield pa.RecordBatch.from_arrays([pa.array(reps), pa.array(np.concatenate(found))], ["rep", "key"])
@@ -253,7 +285,7 @@ def joining_links(reps: list[int], groups: list[int], prints: list[np.ndarray],
             x = parent[x]
         return x
 
-    keyed, links = [thinned(x) for x in prints], []
+    keyed, links = [placed_keys(x) for x in prints], []
     names, times = np.unique(groups, return_counts=True)
     main = int(names[times.argmax()])
     for i in (i for i, g in enumerate(groups) if g != main):

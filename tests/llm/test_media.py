@@ -84,16 +84,21 @@ def groups(spark, tunes):
     return {r.id: r.group_id for r in media.aligned(spark.createDataFrame(rows, "clip long, media binary"), "clip", "media").collect()}
 
 
-def brute_groups(prints, like=media.Likeness()):
-    """Of all pairs of recordings (id: integers) those that agree, united."""
-    group = {i: i for i in prints}
+def pairs_within(prints, like=media.Likeness()):
+    """All pairs of recordings (id: integers) that are equal, or align at any offset at all."""
     ids = sorted(prints)
     for k, i in enumerate(ids):
         for j in ids[:k]:
             a, b = prints[i], prints[j]
-            if group[i] != group[j] and (np.array_equal(a, b) or set(media.thinned(a)[0]) & set(media.thinned(b)[0]) and like.agree(a, b)):
-                old, new = max(group[i], group[j]), min(group[i], group[j])
-                group = {x: new if g == old else g for x, g in group.items()}
+            if np.array_equal(a, b) or any(like.align(a, b, off) for off in range(-len(b) + like.least_overlap, len(a) - like.least_overlap + 1)):
+                yield i, j
+
+
+def brute_groups(prints):
+    group = {i: i for i in prints}
+    for i, j in pairs_within(prints):
+        old, new = max(group[i], group[j]), min(group[i], group[j])
+        group = {x: new if g == old else g for x, g in group.items()}
     return group
 
 
@@ -113,11 +118,30 @@ def test_groups_of_all_pairs(spark, monkeypatch, block):
 
 
 def test_groups_of_the_registered_query(spark, sf_dir):
+    """No group joins what doesn't align at some offset, and nine tenths at least of all pairs that do are in one group."""
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").selectExpr("conv_id * 1048576 + turn as clip", "text")
-    found = media.fingerprints(media.sonified(turns, "clip", "text"), "id", "media").where("n_prints > 0").collect()
-    want = brute_groups({r.id: np.array(r.prints, np.int32) for r in found})
+    found = {r.id: np.array(r.prints, np.int32) for r in media.fingerprints(media.sonified(turns, "clip", "text"), "id", "media").where("n_prints > 0").collect()}
     got = {r.clip: r.group_id for r in queries.op9_chroma_prints(spark, sf_dir).where("n_prints > 0").collect()}
-    assert got == want
+    want, pairs = brute_groups(found), list(pairs_within(found))
+    assert all(want[i] == want[g] for i, g in got.items())
+    assert not pairs or np.mean([got[i] == got[j] for i, j in pairs]) >= 0.9
+
+
+@pytest.mark.parametrize(("noise", "cut"), [(8, 0), (16, 0), (0, 32), (0, 96), (8, 7 * 128 + 16)])
+def test_noisy_and_shifted_copies(spark, noise, cut):
+    """Copies with noise (16 of 100 turns 5 % of the bits) or cut elsewhere than at a hop (of 128), against all pairs at all offsets."""
+    rng = np.random.default_rng(noise + cut)
+    rows = []
+    for k in range(40):
+        raw = np.frombuffer(tune(list(rng.integers(0, 24, 150))), np.uint8)
+        copy = np.clip(raw[cut:] + rng.normal(0, noise, len(raw) - cut), 0, 255).round().astype(np.uint8)
+        rows += [(2 * k, bytearray(raw.tobytes()), 1), (2 * k + 1, bytearray(copy.tobytes()), 1)]
+    df = spark.createDataFrame(rows, "clip long, media binary, n_prints int")
+    prints = {r.id: np.array(r.prints, np.int32) for r in media.fingerprints(df, "clip", "media").collect()}
+    within = [(i, j) for i, j in ((2 * k + 1, 2 * k) for k in range(40)) if any(media.Likeness().align(prints[i], prints[j], off) for off in range(-100, 101))]
+    got = {r.id: r.group_id for r in media.aligned(df, "clip", "media").collect()}
+    assert len(within) >= 38 and np.mean([got[i] == got[j] for i, j in within]) >= 0.9
+    assert all(g // 2 == i // 2 for i, g in got.items())
 
 
 def test_pairs_hidden_behind_an_earlier_class(spark):

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from datetime import datetime, timedelta
 
 from skygrid.operators import ingest, sinks
-from skygrid.plans.build import HALO, WARNING, build
+from skygrid.plans.build import HALO, WARNING, build, interval
 from skygrid.plans.products import PRODUCTS, Product
 from skygrid.session import session
 from skygrid.sources import archive, tables
@@ -34,6 +34,7 @@ def parser() -> argparse.ArgumentParser:
     out.add_argument("--refresh", action="store_true", help="land files again even if their ETag is the same")
     out.add_argument("--land", metavar="ROOT", help="land the files below this root of the archive first")
     out.add_argument("--jobs", type=int, default=8, help="files landed at a time from one host")
+    out.add_argument("--cube", action="store_true", help="write the hourly table as NetCDF files as well")
     out.add_argument("--remove-original", action="store_true", help="drop landed files once their observations are written")
     return out
 
@@ -68,7 +69,11 @@ def main(argv: Sequence[str] | None = None) -> None:
     sinks.write_table(sinks.source_files(spark.read.parquet(out)), f"{out}.files")
     sinks.write_table(built.stations, f"{out}.stations", {"coordinate_warning": WARNING})
     columns = [c for c in built.hourly.columns if c not in ("station_id", "time")]
-    sinks.write_hourly(sinks.described(built.hourly, sinks.hourly_notes(columns, args.max_hours)), out, built.counted, built.n_hours)
+    notes = sinks.hourly_notes(columns, args.max_hours, ingest.declared_units(spark, table, product))
+    sinks.write_hourly(sinks.described(built.hourly, notes), out, built.counted, built.n_hours)
+    if args.cube:
+        places = spark.read.parquet(f"{out}.stations").select("station_id", "latitude", "longitude", "elevation", "station_name")
+        sinks.write_cube(sinks.hourly_at_least(spark, out), places, f"{out}.cube", *interval(start, end))
 
 
 if __name__ == "__main__":

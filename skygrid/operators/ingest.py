@@ -91,7 +91,21 @@ def ingest(spark: SparkSession, raw: str, table: str, product: Product, schema:
     if not new:
         return told.where("false")
     obs = preprocess.observations(netcdf.read(spark, [r["file"] for r in new], schema, "skip"), product)
-    return append(obs, spark.createDataFrame(new, "file string, bytes long, changed timestamp"), table, product.name)
+    run = append(obs, spark.createDataFrame(new, "file string, bytes long, changed timestamp"), table, product.name)
+    said = netcdf.declared_fills(netcdf.header_catalogue(run.where("rows > 0"))).select("variable", "units").where("units IS NOT NULL")
+    said.withColumns({"product": F.lit(product.name), "run": F.lit(run.select("run").first()["run"])}).coalesce(1).write.mode("append").parquet(f"{table}.units")
+    return run
+
+
+def declared_units(spark: SparkSession, table: str, product: Product) -> dict[str, str]:
+    """Unit of each observable, as the headers of the product's files declare it; kept beside the table as files go."""
+    path = f"{table}.units"
+    if not exists(spark, path):
+        return {}
+    rows = spark.read.parquet(path).where((F.col("product") == product.name) & F.col("units").isNotNull())
+    found = {r["variable"]: r["units"] for r in rows.groupBy("variable").agg(F.max_by("units", "run").alias("units")).collect()}
+    out = {product.renames.get(v, v): u for v, u in found.items()}
+    return out | {c: out["windSpeed"] for c in ("U10", "V10") if "windSpeed" in out}
 
 
 def rejects(spark: SparkSession, table: str) -> DataFrame:

@@ -3,7 +3,9 @@
 Each record is a row. The schema names the variables that are wanted; only these are decoded, by strided views of a block of
 records, without a loop over cells. Large plain files are read by ranges of records, in as many tasks as their size asks for. Comparisons of
 numbers are pushed into the reader (with spark.sql.python.filterPushdown.enabled). Fill and missing values that a variable
-declares become null, character arrays become binary or, without the NULs at their end, strings.
+declares become null, character arrays become binary or, without the NULs at their end, strings; other variables of several dimensions are read as array columns.
+
+Hourly series are written in the same format, by ``df.write.format("netcdf3")``: see ``CubeWriter``.
 
 Options: ``onInvalid`` ("raise", or "skip" to leave out files that can't be read; ``header_catalogue`` names them and says why),
 ``partitionBytes`` (of a plain file that a task reads). Two more columns may be asked for: source_file and record_pos.
@@ -25,7 +27,19 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, types
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, InputPartition, LessThan, LessThanOrEqual
+from pyspark.sql.datasource import (
+    DataSource,
+    DataSourceArrowWriter,
+    DataSourceReader,
+    EqualTo,
+    Filter,
+    GreaterThan,
+    GreaterThanOrEqual,
+    InputPartition,
+    LessThan,
+    LessThanOrEqual,
+    WriterCommitMessage,
+)
 
 from skygrid.sources import store
 
@@ -225,6 +239,10 @@ def _array(variable: Variable, flat: np.ndarray, kind: pa.DataType) -> pa.Array:
     if variable.kind.kind == "S":
         raise InvalidFile(f"{variable.name} holds characters")
     values = np.ascontiguousarray(flat).view(variable.kind)
+    if pa.types.is_list(kind):
+        each = Variable(variable.name, variable.dims[:1], variable.attrs, variable.kind, 0)
+        inner = _array(each, np.ascontiguousarray(values).reshape(-1, 1).view(np.uint8), kind.value_type)
+        return pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * values.shape[1], pa.int32()), inner)
     if values.shape[1:] != (1,):
         raise InvalidFile(f"{variable.name} has more than one value a row")
     values = values[:, 0]
@@ -338,6 +356,7 @@ class NetCDFReader(DataSourceReader):
 
 
 _ARROW = {"binary": pa.binary(), "string": pa.string(), "float": pa.float32(), "double": pa.float64(), "bigint": pa.int64(), "int": pa.int32(), "smallint": pa.int16(), "tinyint": pa.int8()}
+_ARROW |= {f"array<{k}>": pa.list_(t) for k, t in _ARROW.items() if k not in ("binary", "string")}
 
 
 def _files(options: dict[str, str]) -> list[tuple[int, str]]:
@@ -379,12 +398,180 @@ class NetCDFSource(DataSource):
     def reader(self, schema: types.StructType) -> NetCDFReader:
         return NetCDFReader(schema, dict(self.options))
 
+    def writer(self, schema: types.StructType, overwrite: bool) -> CubeWriter:
+        return CubeWriter(schema, dict(self.options), overwrite)
+
+
+def _named(text: str) -> bytes:
+    raw = text.encode()
+    return struct.pack(">i", len(raw)) + raw + b"\0" * (-len(raw) % 4)
+
+
+def _attributes(notes: dict[str, object]) -> bytes:
+    out = struct.pack(">ii", ATTRIBUTE if notes else 0, len(notes))
+    for name, value in notes.items():
+        if isinstance(value, str):
+            out += _named(name) + struct.pack(">i", 2) + _named(value)
+        else:
+            raw = np.asarray(value, ">f4" if isinstance(value, np.float32) else ">f8").tobytes()
+            out += _named(name) + struct.pack(">ii", 5 if isinstance(value, np.float32) else 6, 1) + raw
+    return out
+
+
+def encoded(records: int, dims: dict[str, int], variables: list[tuple[str, tuple[str, ...], np.ndarray, dict[str, object]]], attrs: dict[str, object]) -> list[bytes]:
+    """A NetCDF classic file (64-bit offsets) in pieces: variables as (name, dimensions, values, attributes). Dimensions of length 0 grow by record."""
+    names, codes = list(dims), {"S1": 2, "f4": 5, "f8": 6}
+    kind = lambda x: ">f8" if x.dtype.str[1:] == "f8" else ">f4" if x.dtype.str[1:] == "f4" else "S1"
+    metas, sizes, grows = [], [], []
+    for name, own, values, notes in variables:
+        growing = bool(own) and dims[own[0]] == 0
+        cell = int(np.prod([dims[d] for d in own[1:]], dtype=np.int64)) * np.dtype(kind(values)).itemsize
+        size = -(-(cell if growing else values.nbytes) // 4) * 4
+        metas.append(_named(name) + struct.pack(">i", len(own)) + b"".join(struct.pack(">i", names.index(d)) for d in own) + _attributes(notes) + struct.pack(">ii", codes[kind(values).lstrip(">")], min(size, 2**31 - 4)))
+        sizes.append(size)
+        grows.append(growing)
+    head = b"CDF\x02" + struct.pack(">i", records) + struct.pack(">ii", DIMENSION if dims else 0, len(dims)) + b"".join(_named(d) + struct.pack(">i", n) for d, n in dims.items()) + _attributes(attrs) + struct.pack(">ii", VARIABLE if variables else 0, len(variables))
+    at = len(head) + sum(len(m) + 8 for m in metas)
+    begin = {}
+    for growing in (False, True):
+        for k, size in enumerate(sizes):
+            if grows[k] == growing:
+                begin[k] = at
+                at += size
+    pieces = [head + b"".join(m + struct.pack(">q", begin[k]) for k, m in enumerate(metas))]
+    for k, (_, _, values, _) in enumerate(variables):
+        if not grows[k]:
+            raw = values.astype(kind(values)).tobytes()
+            pieces.append(raw + b"\0" * (sizes[k] - len(raw)))
+    if records:
+        body = np.zeros((records, sum(n for n, g in zip(sizes, grows, strict=True) if g)), np.uint8)
+        place = 0
+        for k, (_, _, values, _) in enumerate(variables):
+            if grows[k]:
+                cells = np.ascontiguousarray(values.astype(kind(values))).view(np.uint8).reshape(records, -1)
+                body[:, place : place + cells.shape[1]] = cells
+                place += sizes[k]
+        pieces.append(body.tobytes())
+    return pieces
+
+
+@dataclass
+class Written(WriterCommitMessage):
+    files: list[tuple[str, str]]  # as written, and as it is to be named
+
+
+class CubeWriter(DataSourceArrowWriter):
+    """Hourly rows as files of (time, station) arrays: one file for each block of stations.
+
+    Rows have block (int), station_id, time (of full hours), columns to write, and columns whose names options["station"] lists: they are
+    the same for all rows of a station, and are written once. Rows come by block, as ``operators.sinks.write_cube`` deals and sorts them.
+    options: start and end (epoch seconds of the first and last hour), notes (JSON: attributes by column, and those of the file under "").
+    Tasks write aside; the driver names the files when all have ended, or removes them when one has failed.
+    """
+
+    FILL = np.float32(9.969209968386869e36)  # fixed value of the format
+
+    def __init__(self, schema: types.StructType, options: dict[str, str], overwrite: bool) -> None:
+        self.path, self.run = options["path"].rstrip("/"), options.get("run", hashlib.sha256(repr(sorted(options.items())).encode()).hexdigest()[:12])
+        self.start, self.hours = int(options["start"]), (int(options["end"]) - int(options["start"])) // 3600 + 1
+        self.station = json.loads(options.get("station", "[]"))
+        self.notes = json.loads(options.get("notes", "{}"))
+        self.values = [f.name for f in schema if f.name not in ("block", "station_id", "time", *self.station)]
+        self.overwrite = overwrite
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
+        import uuid
+
+        from pyspark import TaskContext
+
+        system, path = store.at(self.path)
+        aside = f"{path}/_aside-{self.run}"
+        system.create_dir(aside, recursive=True)
+        context, held, out = TaskContext.get(), [], []
+
+        def flush(table: pa.Table) -> None:
+            block = table.column("block")[0].as_py()
+            name = f"{aside}/{block:06}-{context.taskAttemptId()}-{uuid.uuid4().hex[:8]}.nc"
+            with system.open_output_stream(name) as f:
+                for piece in self._file(table):
+                    f.write(piece)
+            out.append((name, f"{path}/part-{block:06}.nc"))
+
+        for batch in iterator:
+            table = pa.Table.from_batches([batch])
+            blocks = table.column("block").to_numpy()
+            cuts = np.flatnonzero(np.diff(blocks)) + 1
+            for a, b in zip([0, *cuts], [*cuts, len(blocks)], strict=True):
+                part = table.slice(a, b - a)
+                if held and held[0].column("block")[0] != part.column("block")[0]:
+                    flush(pa.concat_tables(held))
+                    held = []
+                if len(part):
+                    held.append(part)
+        if held:
+            flush(pa.concat_tables(held))
+        return Written(out)
+
+    def _file(self, table: pa.Table) -> list[bytes]:
+        names, which = np.unique(np.array(table.column("station_id").to_pylist(), object), return_inverse=True)
+        hour = (table.column("time").cast(pa.int64()).to_numpy() // 1_000_000 - self.start) // 3600
+        first = np.unique(which, return_index=True)[1]
+        inside = (hour >= 0) & (hour < self.hours)
+        raw = [str(n).encode() for n in names]
+        width = max(1, max(map(len, raw)))
+        variables = [
+            ("time", ("time",), self.start + 3600.0 * np.arange(self.hours), {"units": "seconds since 1970-01-01 00:00:00", "standard_name": "time", "calendar": "standard"}),
+            ("station_id", ("station", "length"), np.array([list(n.ljust(width, b"\0")) for n in raw], np.uint8).view("S1").reshape(len(raw), width), {"cf_role": "timeseries_id"}),
+        ]
+        dims = {"time": 0, "station": len(names), "length": width}
+        for c in self.station:
+            own = table.column(c).take(pa.array(first))
+            if pa.types.is_string(own.type):
+                texts = [(t or "").encode() for t in own.to_pylist()]
+                dims[f"{c}_length"] = max(1, max(map(len, texts)))
+                cells = np.array([list(t.ljust(dims[f"{c}_length"], b"\0")) for t in texts], np.uint8).view("S1").reshape(len(texts), -1)
+                variables.append((c, ("station", f"{c}_length"), cells, self.notes.get(c, {})))
+            else:
+                x = np.array([float("nan") if v is None else float(v) for v in own.to_pylist()])
+                variables.append((c, ("station",), x, self.notes.get(c, {})))
+        for c in self.values:
+            cube = np.full((self.hours, len(names)), self.FILL, np.float32)
+            x = table.column(c).cast(pa.float32()).combine_chunks()
+            good = inside & x.is_valid().to_numpy(zero_copy_only=False)
+            cube[hour[good], which[good]] = x.fill_null(0).to_numpy(zero_copy_only=False)[good]
+            variables.append((c, ("time", "station"), cube, {**self.notes.get(c, {}), "_FillValue": self.FILL}))
+        return encoded(self.hours, dims, variables, {"Conventions": "CF-1.8", "featureType": "timeSeries", **self.notes.get("", {})})
+
+    def commit(self, messages: list[Written | None]) -> None:
+        system, path = store.at(self.path)
+        system.create_dir(path, recursive=True)
+        if self.overwrite:
+            for f in system.get_file_info(fs.FileSelector(path)):
+                if f.type == fs.FileType.File and f.base_name.startswith("part-"):
+                    system.delete_file(f.path)
+        for message in messages:
+            for aside, name in message.files if message else []:
+                system.move(aside, name)
+        self._tidy()
+
+    def abort(self, messages: list[Written | None]) -> None:
+        self._tidy()
+
+    def _tidy(self) -> None:
+        system, path = store.at(self.path)
+        if system.get_file_info(f"{path}/_aside-{self.run}").type == fs.FileType.Directory:
+            system.delete_dir(f"{path}/_aside-{self.run}")
+
+
+def register(spark: SparkSession) -> None:
+    spark.dataSource.register(NetCDFSource)
+
 
 def read(spark: SparkSession, path: str | list[str], schema: str, on_invalid: str = "raise") -> DataFrame:
     """Rows of schema (names of variables; binary, string or numbers) with source_file and record_pos."""
     if on_invalid not in ("raise", "skip"):
         raise ValueError(on_invalid)
-    spark.dataSource.register(NetCDFSource)
+    register(spark)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     paths = {"paths": json.dumps(path)} if isinstance(path, list) else {"path": path}
     return spark.read.format("netcdf3").schema(f"{schema}, source_file string, record_pos long").options(onInvalid=on_invalid, **paths).load()

@@ -17,7 +17,7 @@ from skygrid.operators import ingest as ingest_table
 from skygrid.operators import preprocess, sinks
 from skygrid.plans.build import build
 from skygrid.plans.products import MESONET, METAR
-from skygrid.sources import archive, netcdf, tables
+from skygrid.sources import archive, netcdf, store, tables
 from skygrid.streaming import ingest
 
 
@@ -34,7 +34,7 @@ def classic(variables, records):
         code, width = kinds["S" if a.dtype.kind == "S" else a.dtype.str[1:]]
         ids = [0] + ([1 + widths.index(a.shape[1])] if a.ndim == 2 else [])
         size = -(-(width * (a.shape[1] if a.ndim == 2 else 1)) // 4) * 4
-        att = struct.pack(">ii", 12, len(attrs)) + b"".join(name(k) + struct.pack(">ii", code, 1) + pad(np.array([v], a.dtype.newbyteorder(">")).tobytes()) for k, v in attrs.items()) if attrs else struct.pack(">ii", 0, 0)
+        att = struct.pack(">ii", 12, len(attrs)) + b"".join(name(k) + (struct.pack(">i", 2) + name(v) if isinstance(v, str) else struct.pack(">ii", code, 1) + pad(np.array([v], a.dtype.newbyteorder(">")).tobytes())) for k, v in attrs.items()) if attrs else struct.pack(">ii", 0, 0)
         metas.append(name(n) + struct.pack(">i", len(ids)) + b"".join(struct.pack(">i", i) for i in ids) + att + struct.pack(">ii", code, size))
         sizes.append(size)
     begin = len(head) + 8 + sum(len(m) + 4 for m in metas)
@@ -57,7 +57,7 @@ def chars(*texts, width):
 def raw_file(temperatures=(280.0, -9999.0, 282.0)):
     n = len(temperatures)
     f4 = lambda *x: np.array(x, "f4")
-    columns = [("stationId", chars(*["KDEN"] * n, width=6), {}), ("latitude", f4(*[39.5] * n), {}), ("longitude", f4(*[-105.0] * n), {}), ("elevation", f4(*[1600.0] * n), {}), ("solarRadiation", f4(*[1.0] * n), {}), ("dewpoint", f4(*[270.0] * n), {}), ("temperature", f4(*temperatures), {"_FillValue": -9999.0}), ("windSpeed", f4(*[5.0] * n), {}), ("windDir", f4(*[90.0] * n), {})]
+    columns = [("stationId", chars(*["KDEN"] * n, width=6), {}), ("latitude", f4(*[39.5] * n), {}), ("longitude", f4(*[-105.0] * n), {}), ("elevation", f4(*[1600.0] * n), {}), ("solarRadiation", f4(*[1.0] * n), {}), ("dewpoint", f4(*[270.0] * n), {}), ("temperature", f4(*temperatures), {"_FillValue": -9999.0, "units": "kelvin"}), ("windSpeed", f4(*[5.0] * n), {}), ("windDir", f4(*[90.0] * n), {})]
     columns += [(c, np.array([b"S"] * n), {}) for c in MESONET.flags.values()]
     columns += [("reportTime", np.array([1704067200.0 + 1800 * k for k in range(n)], "f8"), {})]
     return classic(columns, n)
@@ -87,17 +87,21 @@ def test_build_and_command_line(spark, tmp_path):
     (tmp_path / "raw/a.nc").write_bytes(raw_file((280.0, 281.0, 282.0)))
     ring = [{"x": float(x), "y": float(y)} for x, y in ((-110, 36), (-100, 36), (-100, 42), (-110, 42))]
     spark.createDataFrame([("CO", "CO", 1, 0, ring)], "STUSPS string, region string, polygon int, ring int, points array<struct<x: double, y: double>>").write.parquet(str(tmp_path / "rings"))
-    cli.main(["mesonet", *"2024 1 1 2024 1 1 CO".split(), str(tmp_path), "--rings", str(tmp_path / "rings")])
+    cli.main(["mesonet", *"2024 1 1 2024 1 1 CO".split(), str(tmp_path), "--rings", str(tmp_path / "rings"), "--cube"])
     hours = spark.read.parquet(str(tmp_path / "CO.20240101_20240101.hourly")).orderBy("time").collect()
     assert [(r.time.hour, r.temperature) for r in hours] == [(0, 280.0), (1, 282.0)]
-    assert spark.read.parquet(str(tmp_path / "CO.20240101_20240101.hourly.0.500")).count() == 0
+    assert sinks.hourly_at_least(spark, str(tmp_path / "CO.20240101_20240101"), 0.5).count() == 0
     obs = tables.with_sequence(ingest_table.current(spark, str(tmp_path / "obs"), "mesonet").drop("date"))
     assert build(obs, "NOSUCH", datetime(2024, 1, 1), datetime(2024, 1, 1)).hourly.count() == 0
     one = build(obs, "KDEN", datetime(2024, 1, 1), datetime(2024, 1, 1))
     assert one.stations.first().coordinate_warning is False and one.fractions().first().valid_fraction == 2 / 24
     assert [r.source_file.rsplit("/", 1)[-1] for r in spark.read.parquet(str(tmp_path / "CO.20240101_20240101.files")).collect()] == ["a.nc"]
-    note = spark.read.text(str(tmp_path / "CO.20240101_20240101.hourly.0.500.notes")).first().value
-    assert "Of 1 stations, 0 have" in note
+    notes = json.loads(spark.read.text(str(tmp_path / "CO.20240101_20240101.hourly.notes")).first().value)
+    assert "Of 1 stations, 0 have" in notes["0.500"] and len(notes) == 5
+    cube = netcdf.read(spark, str(tmp_path / "CO.20240101_20240101.cube"), "time double, temperature array<float>").orderBy("time").collect()
+    assert [r.temperature for r in cube] == [[280.0], [282.0]] + [[None]] * 22 and cube[1].time == 1704070800.0
+    said = netcdf.header_catalogue(store.listing(spark, str(tmp_path / "CO.20240101_20240101.cube"))).first()
+    assert next(v for v in said.variables if v.name == "temperature").units == "K"
 
 
 def test_a_build_reads_its_days_only(spark, tmp_path):

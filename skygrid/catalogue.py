@@ -14,7 +14,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skygrid.functions import text, times, values
+from skygrid.functions import projections, text, times, values
 from skygrid.operators import hourly, preprocess, regions, series, stations, validity
 from skygrid.plans.products import MESONET, METAR
 from skygrid.plans.regions import classify, kind_of, shape_filter
@@ -332,7 +332,6 @@ def single_station_table(spark, sf_dir):
     return found.select("station_id", *[r6(F.col(c)).alias(c) for c in ("latitude", "longitude", "elevation")], "coordinate_warning")
 
 
-# Greedy and in order, so SQL has no short form; a test holds it against brute force.
 #: Place by place: the first point that is left, the first elevation reported around it, and what is within reach of both.
 ANCHOR_SQL = f"""WITH RECURSIVE {BASE_SQL},
 q AS (SELECT station_id, latitude, longitude, elevation, row_number() OVER (PARTITION BY station_id ORDER BY min(seq)) AS nth FROM v WHERE station_id IN (SELECT station_id FROM c WHERE changed) GROUP BY station_id, latitude, longitude, elevation),
@@ -385,9 +384,32 @@ i AS (SELECT vec_id, region, polygon, sum(CASE WHEN (y1 > y) <> (y2 > y) AND x <
 
 @query(f"WITH {INSIDE_SQL}, b AS (SELECT region, min(x1) AS west, min(y1) AS south, max(x1) AS east, max(y1) AS north FROM e GROUP BY region) SELECT vec_id, region FROM v JOIN b ON x BETWEEN west AND east AND y BETWEEN south AND north WHERE region = 'north'")
 def bbox_filter(spark, sf_dir):
-    box = regions.boxes(regions.edges(shapes(spark))).where("region = 'north'").first()
-    low, high = (box["west"], box["south"]), (box["east"], box["north"])
-    return vectors(spark, sf_dir).where(F.col("longitude").between(low[0], high[0]) & F.col("latitude").between(low[1], high[1])).select(F.col("station_id").alias("vec_id"), F.lit("north").alias("region"))
+    box = regions.boxes(regions.edges(shapes(spark))).where("region = 'north'")
+    found = vectors(spark, sf_dir).join(F.broadcast(box))  # one row a region
+    return found.where(regions.in_box(F.col("longitude"), F.col("latitude"))).select(F.col("station_id").alias("vec_id"), "region")
+
+
+LAMBERT = projections.Lambert()
+MAP_SQL = f"""v AS (SELECT vec_id, -97.0 + embedding[1]::DOUBLE * 80 AS lon, 38.0 + embedding[2]::DOUBLE * 40 AS lat FROM embeddings),
+m AS (SELECT *, {projections.AXIS!r}::DOUBLE AS a, sqrt({projections.FLATTENING!r}::DOUBLE * (2 - {projections.FLATTENING!r}::DOUBLE)) AS e, radians(38.5::DOUBLE) AS p0, radians(lat) AS p FROM v WHERE lon BETWEEN -123 AND -71 AND lat BETWEEN 25 AND 50),
+t AS (SELECT *, sin(p0) AS n, tan(pi() / 4 - p / 2) / pow((1 - e * sin(p)) / (1 + e * sin(p)), e / 2) AS t, tan(pi() / 4 - p0 / 2) / pow((1 - e * sin(p0)) / (1 + e * sin(p0)), e / 2) AS t0, cos(p0) / sqrt(1 - pow(e * sin(p0), 2)) AS m0 FROM m),
+r AS (SELECT *, a * m0 / (n * pow(t0, n)) AS f FROM t)"""
+
+
+def _on_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    places = table(spark, sf_dir, "embeddings").select("vec_id", (F.get("embedding", 0).cast("double") * 80 - 97).alias("longitude"), (F.get("embedding", 1).cast("double") * 40 + 38).alias("latitude"))
+    return stations.on_map(places)
+
+
+@query(f"WITH {MAP_SQL} SELECT vec_id, round(f * pow(t, n) * sin(n * radians(lon + 97.5)), 3) AS x, round(f * pow(t0, n) - f * pow(t, n) * cos(n * radians(lon + 97.5)), 3) AS y FROM r")
+def station_map(spark, sf_dir):
+    return _on_map(spark, sf_dir).select("vec_id", F.round("x", 3).alias("x"), F.round("y", 3).alias("y"))
+
+
+@query(f"WITH {MAP_SQL} SELECT vec_id, round(lon, 6) AS longitude, round(lat, 6) AS latitude FROM m")
+def map_to_degrees(spark, sf_dir):
+    lon, lat = LAMBERT.inverse(F.col("x"), F.col("y"))
+    return _on_map(spark, sf_dir).select("vec_id", r6(lon).alias("longitude"), r6(lat).alias("latitude"))
 
 
 @query(f"WITH {INSIDE_SQL} SELECT DISTINCT vec_id FROM i WHERE inside AND polygon = 1")

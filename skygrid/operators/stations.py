@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skygrid.functions.projections import Lambert
+
 #: Distances up to which two reported places are one (degrees, degrees, metres; ends included).
 LATITUDE_STEP, LONGITUDE_STEP, ELEVATION_STEP = 0.01, 0.01, 25.0
 
@@ -147,6 +149,18 @@ def station_table(obs: DataFrame, station_id: str, tolerance: Tolerance = Tolera
     return joined.select("station_id", *[F.when(F.col("changed"), F.col(c)).otherwise(F.col(b).cast("double")).alias(c) for c, b in pick.items()], F.col("changed").alias("coordinate_warning"))
 
 
+#: The map's corners (fixed values): west, east, south, north.
+MAP_EXTENT = (-123.0, -71.0, 25.0, 50.0)
+
+
+def on_map(stations: DataFrame, extent: tuple[float, float, float, float] = MAP_EXTENT, projection: Lambert = Lambert()) -> DataFrame:
+    """stations within the map's extent, with x and y in metres of its projection, to be drawn."""
+    west, east, south, north = extent
+    rows = stations.where(F.col("longitude").between(west, east) & F.col("latitude").between(south, north))
+    x, y = projection.forward(F.col("longitude").cast("double"), F.col("latitude").cast("double"))
+    return rows.withColumns({"x": x, "y": y})
+
+
 def requested(spark, station_ids: Sequence[str]) -> DataFrame:
     """station_id, ord: each requested station once, in order of first mention."""
     names = list(dict.fromkeys(station_ids))

@@ -3,9 +3,9 @@
 The unit vectors are turned by one random rotation, and each half of their coordinates is
 quantised by centres of its own; a list is a pair of centres, so the number of lists grows with
 the table (as the root of its rows) while the sample that centres are fitted on stays bounded (``sample_rows``,
-chosen by a hash of the id; of small tables an eighth). The sample also gives the number of lists to probe, at which
-it finds its own neighbours, and for every query an upper bound of its k-th distance, from the sample's
-rows in the lists that the query probes. All answers come from the lists.
+chosen by a hash of the id; of small tables an eighth). How many lists a query probes is measured: one scan of all rows finds the true
+neighbours of a few hundred rows of the sample, and so many lists are probed that the share ``recall`` of these is in them. The sample also gives
+every query an upper bound of its k-th distance, from the sample's rows in the lists that it probes. All answers come from the lists.
 
 All vectors are assigned to lists, and each list is cut into blocks of bounded size, so that a list that holds
 a third of all vectors is many tasks. Of equal vectors only the k + 1 smallest ids
@@ -44,6 +44,8 @@ EPSILON = 2.1
 COLUMNS = 16
 #: Centres of a half; lists are at most its square.
 MOST_CENTRES = 512
+#: Rows of the sample whose neighbours among all rows say how many lists to probe.
+ASKED = 256
 #: Queries that are routed or scanned at a time, and numbers in a matrix of queries and lists.
 CHUNK, CELLS = 256, 1 << 22
 
@@ -115,7 +117,7 @@ def centred(x: np.ndarray, centres: int, rng: np.random.Generator) -> np.ndarray
     return out
 
 
-def trained(rows: DataFrame, k: int, sample_rows: int, lists: int | None, recall: float, seed: int) -> Index | None:
+def trained(rows: DataFrame, k: int, sample_rows: int, lists: int | None, seed: int) -> Index | None:
     total = rows.count()
     size = min(sample_rows, max(256, total // 8))
     # By id, so that an id that repeats is drawn once.
@@ -133,21 +135,53 @@ def trained(rows: DataFrame, k: int, sample_rows: int, lists: int | None, recall
     index = Index(rotation, (halves[0], halves[1]), 1, sample, ids, np.zeros(len(ids), np.int64), k, BLOCK_ROWS)
     index.block_rows = min(BLOCK_ROWS, max(64, 2 * total // index.lists))
     index.sample_lists = index.list_of(sample)
-    # Lists at which the sample's own neighbours are found; those of all rows lie closer and need fewer.
-    asked, needed = min(512, len(sample)), []
-    for part in index.chunks(asked):
-        turned = sample[:asked][part]
-        near = turned @ sample.T
-        near[np.arange(len(turned)), np.arange(asked)[part]] = -2
-        best = np.argsort(-near, axis=1)[:, : min(k, len(sample) - 1)]
-        far = index.closeness(turned)
-        goal = np.take_along_axis(far, index.sample_lists[best], axis=1)
-        needed.append((far[:, None, :] <= goal[:, :, None]).sum(axis=2).ravel() if index.lists <= 4096 else np.stack([(far <= g[:, None]).sum(axis=1) for g in goal.T]).ravel())
-    needed = np.concatenate(needed)
-    index.probes = int(np.quantile(needed, recall, method="higher")) if len(needed) else 1
     return index
 
 
+def neighbours_of_sample(assigned: DataFrame, index: Index) -> tuple[np.ndarray, np.ndarray]:
+    """For ASKED rows of the sample the lists of their k nearest of all rows assigned(list, vec_id, v), by one scan; and which row each is for.
+
+    A task keeps k of each, so few rows leave it.
+    """
+    asked, ids, k = index.sample[:ASKED], index.sample_ids[:ASKED], index.k
+    shared = assigned.sparkSession.sparkContext.broadcast((index.rotation, asked, ids))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rotation, asked, ids = shared.value
+        score, own, where = np.full((len(asked), k), -np.inf), np.full((len(asked), k), -1), np.full((len(asked), k), -1)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            given = batch.column("vec_id").to_numpy()
+            near = asked @ (unit(matrix(batch.column("v"))) @ rotation).T
+            near[ids[:, None] == given[None, :]] = -np.inf
+            both = np.concatenate([score, near], axis=1)
+            best = np.argpartition(-both, k - 1, axis=1)[:, :k]
+            score = np.take_along_axis(both, best, axis=1)
+            own = np.take_along_axis(np.concatenate([own, np.broadcast_to(given, near.shape)], axis=1), best, axis=1)
+            where = np.take_along_axis(np.concatenate([where, np.broadcast_to(batch.column("list").to_numpy(), near.shape)], axis=1), best, axis=1)
+        row, col = np.nonzero(np.isfinite(score))
+        yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(own[row, col]), pa.array(where[row, col].astype(np.int32)), pa.array(score[row, col])], ["asked", "vec_id", "list", "score"])
+
+    found = mapped(assigned.select("list", "vec_id", "v"), work, "asked long, vec_id long, list int, score double")
+    best = Window.partitionBy("asked").orderBy(F.col("score").desc(), "vec_id")
+    rows = found.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k).select("asked", "list").collect()
+    return np.array([r["asked"] for r in rows], np.int64), np.array([r["list"] for r in rows], np.int64)
+
+
+def probes_for(assigned: DataFrame, index: Index, recall: float) -> int:
+    """Lists that a query has to probe to find that share of its true neighbours."""
+    row, where = neighbours_of_sample(assigned, index)
+    if not len(row):
+        return 1
+    needed = []
+    for part in index.chunks(min(ASKED, len(index.sample))):
+        far = index.closeness(index.sample[:ASKED][part])
+        mine = np.flatnonzero((row >= part.start) & (row < part.start + len(far)))
+        needed += [int((far[row[i] - part.start] <= far[row[i] - part.start, where[i]]).sum()) for i in mine]
+    return int(np.quantile(needed, recall, method="higher"))
+
+
 def routes(index: Index, ids: np.ndarray, turned: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query, list) pairs to scan, and each query's bound: the k-th squared distance of the sample's rows in its lists."""
     who, where, bounds = [], [], np.full(len(ids), 4.0)
@@ -211,14 +245,12 @@ def _limit(bound: np.ndarray, seen: int, size: int) -> np.ndarray:
     return bound * slack * seen / size + 1e-9
 
 
-def nearest(vectors: DataFrame, is_query: Column, k: int = 5, sample_rows: int = 8192, lists: int | None = None, recall: float = 0.975, seed: int = 0, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """query_id, rank, vec_id, score: the k nearest found of each row where is_query holds (a condition on vec_id)."""
-    spark = vectors.sparkSession
-    rows = usable(vectors, id_col, vector_col)
-    index = trained(rows, k, sample_rows, lists, recall, seed)
+def indexed(rows: DataFrame, k: int, sample_rows: int, lists: int | None, recall: float, seed: int) -> tuple[Index | None, DataFrame | None]:
+    """The index of rows(vec_id, v), and the written table of list, vec_id, v."""
+    index = trained(rows, k, sample_rows, lists, seed)
     if index is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    shared = spark.sparkContext.broadcast(index)
+        return None, None
+    shared = rows.sparkSession.sparkContext.broadcast(index)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -226,6 +258,44 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, sample_rows: int =
                 own = shared.value.list_of(unit(matrix(batch.column("v"))) @ shared.value.rotation)
                 yield pa.RecordBatch.from_arrays([pa.array(own.astype(np.int32)), *batch.columns], ["list", "vec_id", "v"])
 
+    first = Window.partitionBy("v").orderBy("vec_id")
+    candidates = rows.dropDuplicates(["vec_id", "v"]).withColumn("place", F.row_number().over(first)).where(F.col("place") <= k + 1).drop("place")
+    assigned = written(mapped(candidates, assign, "list int, vec_id long, v array<double>"))
+    index.probes = probes_for(assigned, index, recall)
+    return index, assigned
+
+
+def scanned_share(vectors: DataFrame, is_query: Column, k: int = 5, sample_rows: int = 8192, lists: int | None = None, recall: float = 0.975, seed: int = 0, id_col: str = "vec_id", vector_col: str = "embedding") -> float:
+    """Share of all candidates that lie in the lists which a query probes, on average."""
+    rows = usable(vectors, id_col, vector_col)
+    index, assigned = indexed(rows, k, sample_rows, lists, recall, seed)
+    if index is None:
+        return 0.0
+    shared = rows.sparkSession.sparkContext.broadcast(index)
+
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                _, names, _ = routes(shared.value, batch.column("vec_id").to_numpy(), unit(matrix(batch.column("v"))) @ shared.value.rotation)
+                list_, n = np.unique(names, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(list_.astype(np.int32)), pa.array(n)], ["list", "queries"])
+
+    sizes = assigned.groupBy("list").agg(F.count("*").alias("n"))
+    queries = rows.where(is_query)
+    met = mapped(queries, route, "list int, queries long").groupBy("list").agg(F.sum("queries").alias("queries")).join(sizes, "list")
+    pairs = met.agg(F.sum(F.col("queries") * F.col("n"))).first()[0] or 0
+    return pairs / max(1, queries.count() * assigned.count())
+
+
+def nearest(vectors: DataFrame, is_query: Column, k: int = 5, sample_rows: int = 8192, lists: int | None = None, recall: float = 0.975, seed: int = 0, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+    """query_id, rank, vec_id, score: the k nearest found of each row where is_query holds (a condition on vec_id)."""
+    spark = vectors.sparkSession
+    rows = usable(vectors, id_col, vector_col)
+    index, assigned = indexed(rows, k, sample_rows, lists, recall, seed)
+    if index is None:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    shared = spark.sparkContext.broadcast(index)
+
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """One row for each list and batch of queries, with the queries that probe it."""
         index = shared.value
@@ -250,9 +320,6 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, sample_rows: int =
         q, x, s = scan_block(shared.value, left.column("vec_id").to_numpy(), given, packed[0], packed[1].reshape(-1, given.shape[1]), packed[2])
         return pa.table({"query_id": q, "vec_id": x, "score": s})
 
-    first = Window.partitionBy("v").orderBy("vec_id")
-    candidates = rows.dropDuplicates(["vec_id", "v"]).withColumn("place", F.row_number().over(first)).where(F.col("place") <= k + 1).drop("place")
-    assigned = written(mapped(candidates, assign, "list int, vec_id long, v array<double>"))
     blocks = assigned.groupBy("list").agg(F.ceil(F.count("*") / index.block_rows).cast("int").alias("blocks"))
     cells = assigned.join(F.broadcast(blocks), "list").withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int"))
     routed = mapped(rows.where(is_query), route, "list int, query_ids binary, queries binary, bounds binary")

@@ -19,17 +19,18 @@ MIX_WEIGHTS, MIX_SHARE, MIX_EPOCHS, MIX_SEED = (3, 1, 2), 1.5, 2, 0
 
 
 def op1_extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, _ = sharding.extendible_shards(table(spark, sf_dir, "documents"), ["doc_id"], text_bytes(), SHARD_BYTES)
+    rows, _ = sharding.extendible_shards(table(spark, sf_dir, "documents"), ["doc_id"], text_bytes(), SHARD_BYTES, tie_cols=["text"])
     return rows
 
 
 OP1_SQL = f"""
-WITH d AS (SELECT doc_id, coalesce(strlen(text), 0)::BIGINT AS n_bytes, ('0x' || substr(md5(doc_id::VARCHAR), 1, 15))::BIGINT AS bits FROM documents),
-p AS (SELECT d.*, l.level::INTEGER AS level, bits >> (60 - l.level)::INTEGER AS prefix FROM d, generate_series(0, 40) AS l(level)),
+WITH d AS (SELECT doc_id, coalesce(strlen(text), 0)::BIGINT AS n_bytes, 
+  ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 8) || substr(md5(coalesce(doc_id::VARCHAR, '') || chr(31) || coalesce(text, '')), 9, 7))::BIGINT AS bits FROM documents),
+p AS (SELECT d.*, l.level::INTEGER AS level, bits >> (60 - l.level)::INTEGER AS prefix FROM d, generate_series(0, 60) AS l(level)),
 s AS (SELECT level, prefix, sum(n_bytes)::BIGINT AS shard_bytes, count(*)::BIGINT AS shard_rows FROM p GROUP BY ALL),
 f AS (SELECT p.doc_id, p.n_bytes, p.level, p.prefix, s.shard_bytes, s.shard_rows FROM p JOIN s USING (level, prefix) WHERE s.shard_bytes <= {SHARD_BYTES} OR s.shard_rows = 1
       QUALIFY row_number() OVER (PARTITION BY p.doc_id ORDER BY level) = 1)
-SELECT doc_id, n_bytes, CASE WHEN level = 0 THEN '' ELSE lpad(bin(prefix), level, '0') END AS shard, level AS depth, shard_bytes, shard_rows FROM f
+SELECT doc_id, n_bytes, CASE WHEN level = 0 THEN '' ELSE lpad(bin(prefix), level, '0') END AS shard, level AS depth, shard_bytes, shard_rows, shard_bytes > {SHARD_BYTES} AS oversized FROM f
 """
 
 

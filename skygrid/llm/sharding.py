@@ -12,7 +12,7 @@ Native: DataFrame functions only.
 
 Defined cases
 - key null: hashed as the empty text; text null: 0 bytes
-- a key that repeats: its rows part by the hash of ``tie_cols``, whose bits
+- a key that repeats: its rows part by the hash of ``tie_cols`` (unless told otherwise all other columns), whose bits
   follow the key's bits; so one key with a third of all rows splits as well
 - one row above the limit, or rows alike in key and ties that are above it
   together: a shard of their own, ``oversized``
@@ -27,7 +27,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, written
+from .common import discard, free_name, written
 
 #: Bits of the key's hash and of the tie's hash; hex digits times 4.
 KEY_BITS, TIE_BITS = 32, 28
@@ -49,13 +49,17 @@ def prefix(bits: Column, depth: Column | int) -> Column:
     return F.call_function("shiftright", bits, F.lit(ALL_BITS).cast("int") - (F.lit(depth) if isinstance(depth, int) else depth))
 
 
-def extendible_shards(df: DataFrame, key: Sequence[str], size: Column, limit: int, tie_cols: Sequence[str] = (), step_bits: int = 4) -> tuple[DataFrame, DataFrame]:
+def extendible_shards(df: DataFrame, key: Sequence[str], size: Column, limit: int, tie_cols: Sequence[str] | None = None, step_bits: int = 4) -> tuple[DataFrame, DataFrame]:
     """(rows, directory).
 
-    rows: the key columns, n_bytes, shard (its bits as text, "" if all fits in one), depth, shard_bytes, shard_rows.
+    rows: the key columns, n_bytes, shard (its bits as text, "" if all fits in one), depth, shard_bytes, shard_rows, oversized.
     directory: shard, depth, shard_bytes, shard_rows, oversized.
     """
     # The one pass over the input; from here on a row is its key, its size and 60 bits.
+    if tie_cols is None:  # all else that a row has; maps have no hash
+        others = [f.name for f in df.schema if f.name not in key and "map<" not in f.dataType.simpleString()]
+        tie = free_name(df, "_tie")
+        df, tie_cols = (df.withColumn(tie, F.xxhash64(*[F.col(f"`{c}`") for c in others])), [tie]) if others else (df, ())
     rows = written(df.select(*key, size.cast("long").alias("n_bytes"), hash_bits(key, tie_cols).alias("_bits")))
     weighed = rows.select("_bits", "n_bytes")
     total = weighed.agg(F.sum("n_bytes")).first()[0] or 0
@@ -98,4 +102,4 @@ def extendible_shards(df: DataFrame, key: Sequence[str], size: Column, limit: in
         at = at.withColumn("_at", F.element_at("_at", 1)) if depths else at.where("false").withColumn("_at", F.lit(None).cast("struct<_depth:int,_cell:bigint>"))
     at = at.select(*key, "n_bytes", "_at._depth", "_at._cell")
     assigned = at.join(cells, ["_depth", "_cell"])
-    return assigned.select(*key, "n_bytes", name.alias("shard"), F.col("level").alias("depth"), F.col("b").alias("shard_bytes"), F.col("n").alias("shard_rows")), directory
+    return assigned.select(*key, "n_bytes", name.alias("shard"), F.col("level").alias("depth"), F.col("b").alias("shard_bytes"), F.col("n").alias("shard_rows"), (F.col("b") > limit).alias("oversized")), directory

@@ -34,7 +34,9 @@ def test_hot_key_splits_on_ties(spark):
     docs = spark.createDataFrame([("hot", i, "x" * 100) for i in range(200)] + [("cold", i, "x" * 100) for i in range(20)], "k string, i int, text string")
     out, directory = sharding.extendible_shards(docs, ["k"], text_bytes(), 1000, tie_cols=["i"])
     assert out.count() == 220 and directory.where("oversized").count() == 0
-    same, whole = sharding.extendible_shards(docs, ["k"], text_bytes(), 1000)
+    out, directory = sharding.extendible_shards(docs, ["k"], text_bytes(), 1000)
+    assert out.count() == 220 and directory.where("oversized").count() == out.where("oversized").count() == 0
+    same, whole = sharding.extendible_shards(docs, ["k"], text_bytes(), 1000, tie_cols=())
     assert {(r.shard_rows, r.oversized) for r in whole.collect()} == {(200, True), (20, True)}
     assert same.count() == 220
 
@@ -49,7 +51,9 @@ def test_all_in_one_and_none(spark):
 
 def test_null_keys(spark):
     out, _ = run(spark, [(None, "a" * 60), (None, "b" * 60), (1, "c" * 60)], 100)
-    assert len(out) == 3 and len({r.shard for r in out if r.doc_id is None}) == 1
+    assert len(out) == 3 and max(r.shard_bytes for r in out) == 60
+    out, _ = run(spark, [(None, "a" * 60), (None, "a" * 60), (1, "c" * 60)], 100)
+    assert len(out) == 3 and {(r.shard_bytes, r.oversized) for r in out} == {(120, True), (60, False)}
 
 
 def test_native(spark):

@@ -8,6 +8,7 @@ Times come and go without zone; rounding is to six places on both sides.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 
@@ -15,9 +16,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skygrid.functions import projections, text, times, values
-from skygrid.operators import hourly, preprocess, regions, series, stations, validity
+from skygrid.operators import hourly, ingest, preprocess, regions, series, stations, validity
 from skygrid.plans.products import MESONET, METAR
 from skygrid.plans.regions import classify, kind_of, shape_filter
+from skygrid.session import shared_dir
 from skygrid.sources import archive, tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -234,6 +236,21 @@ def region_code_filters(spark, sf_dir):
     return hourly.merged(*parts)
 
 
+@query("""WITH e AS (SELECT strftime(ts, '%Y%m%d') AS source_file, event_id, CASE WHEN event_id % 10 = 3 THEN ts - INTERVAL 1 DAY ELSE ts END AS time, value, CAST(strftime(ts, '%d') AS INTEGER) % 3 = 0 AS again FROM events),
+c AS (SELECT source_file, time, value FROM e WHERE NOT again UNION ALL SELECT source_file, time, value + 1000 FROM e WHERE again AND event_id % 2 = 0)
+SELECT strftime(time, '%Y-%m-%d') AS date, source_file, count(*) AS n, round(min(value), 6) AS low, round(max(value), 6) AS high FROM c GROUP BY ALL""")
+def ingest_by_file(spark, sf_dir):
+    """A day's events as a file, a tenth of them late by a day; every third file comes again, with other values and half its records."""
+    rows = observed(spark, sf_dir).withColumn("source_file", F.date_format("time", "yyyyMMdd"))
+    rows = rows.withColumn("time", F.when(F.col("seq") % 10 == 3, F.col("time") - F.expr("INTERVAL 1 DAY")).otherwise(F.col("time"))).drop("flag")
+    again = rows.where((F.substring("source_file", 7, 2).cast("int") % 3 == 0) & (F.col("seq") % 2 == 0)).withColumn("temperature", F.col("temperature") + 1000)
+    path = f"{shared_dir(spark)}/obs-{uuid.uuid4().hex}"
+    for part in (rows, again):
+        ingest.append(part, part.groupBy(F.col("source_file").alias("file")).agg(F.count("*").alias("bytes"), F.lit(None).cast("timestamp").alias("changed")), path, MESONET.name)
+    found = ingest.current(spark, path, MESONET.name)
+    return found.groupBy(F.col("date").cast("string").alias("date"), "source_file").agg(F.count("*").alias("n"), r6(F.min("temperature")).alias("low"), r6(F.max("temperature")).alias("high"))
+
+
 # --- joins ---------------------------------------------------------------------------------------------------------
 
 

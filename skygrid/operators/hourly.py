@@ -102,9 +102,12 @@ def dense(hourly: DataFrame, grid: DataFrame) -> DataFrame:
 
 
 def merged(*parts: DataFrame) -> DataFrame:
-    """Hourly rows of several station sets; their columns must be the same."""
+    """Hourly rows of several station sets; ValueError if their columns or types aren't the same."""
     out = parts[0]
-    for part in parts[1:]:
+    for k, part in enumerate(parts[1:], start=1):
+        odd = set(out.dtypes) ^ set(part.dtypes)
+        if odd:
+            raise ValueError(f"part {k} differs in {', '.join(sorted(f'{c} ({kind})' for c, kind in odd))}")
         out = out.unionByName(part)
     return out
 

@@ -16,15 +16,20 @@ def first_named(rows: DataFrame) -> DataFrame:
     return rows.groupBy("station_id").agg(F.min_by("name", "line").alias("name"))
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """rows of files with line, which sorts as the lines of each file do, however the files are split and read."""
+    return rows.withColumn("line", F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("nth")))
+
+
 def csv_names(spark: SparkSession, path: str) -> DataFrame:
     """station_id, name of a CSV without a header: column 0 is the id, column 7 the place."""
-    rows = spark.read.option("header", False).csv(path).withColumn("line", F.monotonically_increasing_id())
+    rows = _numbered(spark.read.option("header", False).csv(path))
     return first_named(rows.select("line", text.stripped(F.coalesce("_c0", F.lit(""))).alias("station_id"), text.clean_place_name(F.coalesce("_c7", F.lit(""))).alias("name")))
 
 
 def wide_names(spark: SparkSession, path: str) -> DataFrame:
     """station_id, name of fixed-width lines: name in columns 3 to 18, id in 20 to 23, counted from 0."""
-    rows = spark.read.text(path).withColumn("line", F.monotonically_increasing_id())
+    rows = _numbered(spark.read.text(path))
     rows = rows.select("line", text.stripped(F.substring("value", 21, 4)).alias("station_id"), text.clean_wide_name(F.substring("value", 4, 16)).alias("name"))
     return first_named(rows.where(F.col("station_id").rlike(text.FOUR_SIGNS)))
 

@@ -103,3 +103,10 @@ def test_neighbours_across_chunks(spark, monkeypatch, chunk):
         assert (r.next_time, r.next_value) == min([x for x in own if x[0] > r.time], default=(None, None))
     times = {s: sorted(t for x, t, _, _ in rows if x == s) for s in ("a", "b")}
     assert sorted(map(tuple, hourly.consecutive(obs).collect()), key=str) == sorted([(s, t, n) for s, x in times.items() for t, n in zip(x, [*x[1:], None], strict=True)], key=str)
+
+
+def test_parts_of_other_columns_are_named(spark):
+    one, other = spark.createDataFrame([("a", 1.0)], "station_id string, temperature double"), spark.createDataFrame([("b", 1.0)], "station_id string, temperature float")
+    assert hourly.merged(one, one.select("temperature", "station_id")).count() == 2
+    with pytest.raises(ValueError, match="part 1 .*temperature .double.*temperature .float"):
+        hourly.merged(one, other)

@@ -165,6 +165,17 @@ def test_name_tables(spark, tmp_path):
     assert [tuple(r) for r in tables.wide_names(spark, str(tmp_path / "names.txt")).collect()] == [("KDEN", "DENVER INTL")]
 
 
+def test_first_names_of_split_files(spark, tmp_path):
+    """The first line of a station counts, though the file is read in many tasks."""
+    (tmp_path / "names.csv").write_text("".join(f"S{k % 300:03},,,,,,,PLACE{k:06}\n" for k in range(30_000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 20_000)
+    try:
+        rows = tables.csv_names(spark, str(tmp_path / "names.csv"))
+        assert {r.station_id: r.name for r in rows.collect()} == {f"S{k:03}": f"PLACE{k:06}" for k in range(300)}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_geojson(spark, tmp_path):
     square = [[0, 0], [2, 0], [2, 2], [0, 2], [0, 0]]
     features = [

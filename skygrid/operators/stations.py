@@ -46,10 +46,12 @@ def station_locations(obs: DataFrame, tolerance: Tolerance = Tolerance(), seq: s
     """station_id, base_lat, base_lon, base_elev, changed.
 
     The base is the first record's place; if that lacks an elevation, the first one reported at
-    that place. A station has changed if any record is off its base. Aggregates to one row
-    a station and joins them with the records, so a station of any size is combined before a shuffle.
+    that place. A station has changed if any record is off its base. Records are reduced to distinct points
+    in one pass, combined before the shuffle; all else works on these.
     """
-    rows, base = located(obs), first_records(obs, seq)
+    # Distinct points, with the first record at each, say all there is to know; their exchange is reused below.
+    rows = located(obs).groupBy("station_id", "latitude", "longitude", "elevation").agg(F.min(seq).alias(seq))
+    base = first_records(rows, seq)
     joined = rows.join(base, "station_id")
     level = _level(F.col("latitude"), F.col("base_lat"), tolerance.latitude) & _level(F.col("longitude"), F.col("base_lon"), tolerance.longitude)
     filled = joined.groupBy("station_id").agg(F.min_by("elevation", F.when(level & F.col("elevation").isNotNull(), F.col(seq))).alias("fill"))

@@ -64,3 +64,12 @@ def test_edges(spark):
     assert run(spark, [], rows) == {-1: "extra", -5: "extra", 0: "extra"}
     assert run(spark, [], []) == {}
     assert run(spark, [(1, "ab", "c")], [(1, "a", "bc")]) == {1: "changed"}
+
+
+def test_columns_of_clashing_names(spark):
+    """Columns named as the trees' own are content or left out as any other."""
+    rows = [(k, f"u{k}", f"h{k}", k, "x", 3, 1, "s") for k in range(300)]
+    schema = "at long, hash string, node string, up long, level string, offset int, digest int, status string"
+    left = spark.createDataFrame(rows, schema)
+    right = spark.createDataFrame([(*r[:2], r[2] + "!" * (r[0] == 7), *r[3:]) for r in rows if r[0] != 9] + [(400, "a", "b", 1, "c", 0, 0, "d")], schema)
+    assert sorted((r["offset"], r["status"]) for r in fixity.fixity_audit(left, right, "at", ["hash", "node"], 4).collect()) == [(7, "changed"), (9, "missing"), (400, "extra")]

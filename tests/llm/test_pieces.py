@@ -118,3 +118,12 @@ def test_windows_that_share_no_piece(monkeypatch):
     codec, plain = pieces.Codec(pieces.load(PATH)), sentencepiece.SentencePieceProcessor(model_file=PATH)
     for text in [t for t in long_words() if len(t) < 31_000]:
         assert codec.encode(*joined_bytes(pa.array([text])))[0].tolist() == plain.encode(text)
+
+
+def test_repeated_rows_and_clashing_names(spark):
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    rows = [(1, "some words, again", 5, "x")] * 3 + [(1, "other words", 5, "x"), (None, "some words, again", 5, "y")]
+    got = pieces.encode_pieces(spark.createDataFrame(rows, "doc_id long, text string, n_tokens int, ids string").repartition(3), path)
+    plain = sentencepiece.SentencePieceProcessor(model_file=path)
+    assert got.columns == ["doc_id", "n_tokens", "ids", "exact"]
+    assert sorted((r.doc_id or 0, r.ids, r.exact) for r in got.collect()) == sorted((i or 0, plain.encode(t), True) for i, t, *_ in rows)

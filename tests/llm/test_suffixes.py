@@ -132,3 +132,13 @@ def test_ids_that_repeat_or_are_missing_part(spark, monkeypatch):
     assert n > 2 and parts.where("doc_id = 7").select("dp").distinct().count() > 2
     got = sorted((r.doc_id or 0, r.n_bytes, r.n_removed) for r in suffixes.repeats_cut(frame).collect())
     assert got == sorted((i or 0, len(t.encode()), 70 if i else 0) for i, t in rows)
+
+
+def test_columns_of_clashing_names(spark):
+    text = "".join(random.Random(9).choices("abcdefgh ", k=400))
+    rows = [(k, text[10 * k :], k, "b", 1, 2.0, "c") for k in range(4)] + [(9, None, 0, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, part int, begin string, rest int, c0 double, n_bytes string")
+    got = {r.doc_id: r.n_removed for r in suffixes.repeats_cut(docs).collect()}
+    assert got == {0: 0, 1: 390, 2: 380, 3: 370, 9: 0}
+    left = suffixes.without_repeats(docs)
+    assert left.columns == docs.columns and sorted((r.doc_id, len(r.text or ""), r.part, r.begin) for r in left.collect()) == [(0, 400, 0, "b"), (1, 0, 1, "b"), (2, 0, 2, "b"), (3, 0, 3, "b"), (9, 0, 0, None)]

@@ -55,3 +55,12 @@ def test_file_format_and_digest(spark, tmp_path, encoding):
 def test_no_rows(spark, tmp_path):
     tokens.write_tokens(spark.createDataFrame([], "doc_id long, text string"), f"file://{tmp_path}/t", PATH)
     assert tokens.token_digest(tokens.read_tokens(spark, f"file://{tmp_path}/t")).count() == 0
+
+
+def test_very_long_texts(spark):
+    """Two million characters with and without blanks, next to short rows, in one partition."""
+    texts = ["word " * 400_000, "abcdefghij" * 20_000, "x", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    plain = Tokenizer.from_file(PATH)
+    got = {r.doc_id: r.ids for r in tokens.encoded(docs, PATH).collect()}
+    assert got == {k: [*plain.encode(t or "", add_special_tokens=False).ids, 0] for k, t in enumerate(texts)}

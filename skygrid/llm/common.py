@@ -181,26 +181,32 @@ _PRIME_POWERS: dict[tuple[int, int], np.ndarray] = {}
 
 def _prime_powers(base: int, prime: int, n: int) -> np.ndarray:
     """base**0 .. base**(n - 1) modulo prime, to read only; kept for the next call."""
-    out = _PRIME_POWERS.get((base, prime), np.ones(1, np.uint64))
+    out = _PRIME_POWERS.get((base, prime), np.ones(1, np.uint32))
     while len(out) < n:
-        out = np.concatenate([out, out * np.uint64(pow(base, len(out), prime)) % np.uint64(prime)])
-    if len(out) <= 1 << 24:
+        more = out[: max(1, -(-n // 65536) * 65536 - len(out))]
+        out = np.concatenate([out, (more * np.uint64(pow(base, len(out), prime)) % np.uint64(prime)).astype(np.uint32)])
+    if len(out) <= 1 << 23:
         _PRIME_POWERS[base, prime] = out
     return out[:n]
 
 
+def _power_at(base: int, prime: int, exponents: np.ndarray) -> np.ndarray:
+    """base**exponents modulo prime, from two short tables."""
+    high = _prime_powers(pow(base, 4096, prime), prime, int(exponents.max(initial=0) >> 12) + 1)
+    return _prime_powers(base, prime, 4096)[exponents & 4095] * high[exponents >> 12].astype(np.uint64) % np.uint64(prime)
+
+
 def span_hashes(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
     """A hash of each span of the bytes, from prefix sums modulo two primes; equal for equal bytes wherever they lie."""
     out = np.zeros(len(start), np.uint64)
     for prime, base in zip(PRIMES, BASES, strict=True):
         p = np.uint64(prime)
         sums = np.zeros(len(data) + 1, np.uint64)
-        terms = (data + np.uint64(1)) * _prime_powers(base, prime, len(data))
+        np.multiply(data + np.uint16(1), _prime_powers(base, prime, len(data)), out=sums[1:], dtype=np.uint64)
         if len(data) > 1 << 23:
-            terms %= p  # so that sums of up to 2**32 terms fit
-        np.cumsum(terms, out=sums[1:])
-        back = _prime_powers(pow(base, -1, prime), prime, len(data) + 1)
-        out = (out << np.uint64(31)) + (sums[stop] - sums[start]) % p * back[start] % p
+            sums %= p  # so that sums of up to 2**32 terms fit
+        np.cumsum(sums, out=sums)
+        out = (out << np.uint64(31)) + (sums[stop] - sums[start]) % p * _power_at(pow(base, -1, prime), prime, start) % p
     return mix64(out + mix64((stop - start).astype(np.uint64)))
 
 

@@ -50,6 +50,8 @@ SLICE_BYTES = 1 << 22
 LONG, STEP, OVERLAP = 2048, 720, 160
 #: Distinct words that a worker remembers, and their bytes; beyond, it starts afresh.
 MEMORY, MEMORY_BYTES = 1_500_000, 1 << 26
+#: Bytes that are compared with what is held at a time.
+COMPARED = 1 << 18
 BLANK = "▁"
 FAR = np.int64(1 << 40)
 
@@ -121,11 +123,15 @@ class Memory:
         n = stop - start
         out = self.size[which] == n
         some = np.flatnonzero(out & (n > 0))
-        if len(some):
-            n = n[some]
-            first = np.cumsum(n) - n
-            place = np.arange(n.sum()) - np.repeat(first, n)
-            out[some] = ~np.logical_or.reduceat(data[place + np.repeat(start[some], n)] != self.bytes[place + np.repeat(self.at[which[some]], n)], first)
+        ends = np.cumsum(n[some])
+        a = 0
+        while a < len(some):  # some bytes at a time
+            b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + COMPARED, side="right")))
+            mine = some[a:b]
+            first = np.cumsum(n[mine]) - n[mine]
+            place = np.arange(n[mine].sum()) - np.repeat(first, n[mine])
+            out[mine] = ~np.logical_or.reduceat(data[place + np.repeat(start[mine], n[mine])] != self.bytes[place + np.repeat(self.at[which[mine]], n[mine])], first)
+            a = b
         return out
 
     def _add(self, hashes: np.ndarray, words: list[bytes], found: list) -> None:

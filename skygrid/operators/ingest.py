@@ -54,7 +54,7 @@ def append(obs: DataFrame, files: DataFrame, table: str, product: str) -> DataFr
     rows.repartition("date", spread).write.mode("append").partitionBy("product", "date", "run").parquet(table)
     done = None
     if exists(spark, f"{table}/product={product}"):
-        read = spark.read.parquet(table).where((F.col("product") == product) & (F.col("run") == run))
+        read = _rows(spark, table, product).where(F.col("run") == run)
         done = read.groupBy(F.col("source_file").alias("file")).agg(F.count("*").alias("rows"), F.min("time").alias("first"), F.max("time").alias("last"))
     given = files if "error" in files.columns else files.withColumn("error", F.lit(None).cast("string"))
     given = given.join(done, "file", "left") if done is not None else given.withColumns({"rows": F.lit(0), "first": F.lit(None), "last": F.lit(None)})
@@ -63,13 +63,20 @@ def append(obs: DataFrame, files: DataFrame, table: str, product: str) -> DataFr
     return manifest(spark, table).where(F.col("run") == run)
 
 
+def _rows(spark: SparkSession, table: str, product: str) -> DataFrame:
+    """All rows of a product, of whatever run; products differ in their columns, so only its own files say which there are."""
+    return spark.read.option("basePath", table).parquet(f"{table}/product={product}").drop("product")
+
+
 def current(spark: SparkSession, table: str, product: str) -> DataFrame:
     """The observations of a product, with date: each file's rows of its last run."""
     told = manifest(spark, table).where(F.col("product") == product)
-    rows = spark.read.parquet(table).where(F.col("product") == product)
+    if not exists(spark, f"{table}/product={product}"):
+        raise ValueError(f"{table} has no observations of {product}")
+    rows = _rows(spark, table, product)
     replaced = told.select("file", "run").join(last_runs(told).select("file", "run"), ["file", "run"], "left_anti")
     rows = rows.join(told.select("run").distinct(), "run", "left_semi")
-    return rows.join(replaced, (rows["source_file"] == replaced["file"]) & (rows["run"] == replaced["run"]), "left_anti").drop("product", "run")
+    return rows.join(replaced, (rows["source_file"] == replaced["file"]) & (rows["run"] == replaced["run"]), "left_anti").drop("run")
 
 
 def _of_product(file: Column, product: Product) -> Column:

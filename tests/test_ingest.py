@@ -129,6 +129,16 @@ def test_half_written_ingest_changes_nothing(spark, tmp_path):
     assert spark.read.parquet(table).count() == 48 and ingest.current(spark, table, "mesonet").count() == 24
 
 
+def test_products_keep_their_columns(spark, tmp_path):
+    table = str(tmp_path / "obs")
+    for product, column in (("metar", "dewpoint"), ("mesonet", "solarRadiation")):
+        obs = spark.createDataFrame([(datetime(2024, 1, 1), "a", 1.0, "f", 0)], f"time timestamp_ntz, station_id string, {column} double, source_file string, record_pos long")
+        ingest.append(obs, spark.createDataFrame([("f", 1, datetime(2024, 2, 1))], "file string, bytes long, changed timestamp"), table, product)
+    assert [set(ingest.current(spark, table, p).columns) & {"dewpoint", "solarRadiation"} for p in ("metar", "mesonet")] == [{"dewpoint"}, {"solarRadiation"}]
+    with pytest.raises(ValueError, match="no observations of other"):
+        ingest.current(spark, table, "other")
+
+
 def test_files_that_are_left_out_are_named(spark, tmp_path):
     raw, table = tmp_path / "raw", str(tmp_path / "obs")
     raw.mkdir()

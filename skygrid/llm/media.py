@@ -8,7 +8,7 @@ of each make a 32-bit integer per frame.
 
 Recordings with equal integers throughout are one class. Keys are the meeting points of classes, thinned (the least hash of
 every window, and of a run of equal ones the ends): of three successive whole integers, which short
-recordings have as well, and of the signs of eight sturdy filters at four places of 13, which mostly stay when there is noise or
+recordings have as well, and of the signs of eight sturdy filters at five places of 17, which mostly stay when there is noise or
 the frames are cut elsewhere. Whether two classes that share a key belong together is found by ``agree``: how often any of
 their keys meet at each offset is a histogram; at its peaks the integers are laid side by side, and the pair
 is linked if enough of them overlap and few of their bits differ.
@@ -51,7 +51,7 @@ KEY, WINDOW = 3, 8
 STURDY_FILTERS = (3, 7, 9, 10, 11, 12, 14, 15)
 STURDY = np.uint32(sum(1 << (31 - 2 * k) for k in STURDY_FILTERS))
 #: Integers of which a sturdy key has these bits, how far apart they are, and keys in a window of which one is taken.
-FRAMES, STRIDE, STURDY_WINDOW = 4, 4, 6
+FRAMES, STRIDE, STURDY_WINDOW = 5, 4, 4
 #: Links of one class that meet in one task.
 LEADER_LINKS = 64
 #: Members of a key that meet in one task are two blocks at most.

@@ -16,11 +16,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skygrid.functions import projections, text, times, values
-from skygrid.operators import hourly, ingest, preprocess, regions, series, stations, validity
+from skygrid.operators import hourly, ingest, preprocess, regions, series, sinks, stations, validity
 from skygrid.plans.products import MESONET, METAR
 from skygrid.plans.regions import classify, kind_of, shape_filter
 from skygrid.session import shared_dir
-from skygrid.sources import archive, tables
+from skygrid.sources import archive, netcdf, tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -487,6 +487,20 @@ def hourly_interpolation_dates(spark, sf_dir):
     return found.select("station_id", "time", r6(F.col("temperature")).alias("temperature"))
 
 
+@query(f"WITH {OBS_SQL}, {GRID_SQL}, {_at_hours('t', 'temperature')} SELECT station_id, count(v) AS n, round(min(v)::FLOAT::DOUBLE, 2) AS low, round(max(v)::FLOAT::DOUBLE, 2) AS high, strftime(min(time), '%Y-%m-%d %H:%M:%S') AS first FROM t_h WHERE v IS NOT NULL GROUP BY station_id")
+def hourly_cube(spark, sf_dir):
+    """The hourly series written as NetCDF files of 64 stations each and read back."""
+    whole = interpolated(spark, sf_dir)
+    ends = observed(spark, sf_dir).agg(*[F.date_trunc("hour", f("time")).cast("timestamp_ntz") for f in (F.min, F.max)]).first()
+    path = f"{shared_dir(spark)}/cube-{uuid.uuid4().hex}"
+    sinks.write_cube(whole.select("station_id", "time", "temperature"), whole.select("station_id").distinct(), path, *ends, block=64)
+    cells = netcdf.read(spark, path, "time double, temperature array<float>").select("source_file", "time", F.posexplode("temperature").alias("record_pos", "v")).where("v IS NOT NULL")
+    names = netcdf.read(spark, path, "station_id string").withColumn("record_pos", F.col("record_pos").cast("int"))
+    found = cells.join(names, ["source_file", "record_pos"]).groupBy("station_id")
+    first = F.date_format(times.from_epoch(F.min("time")), "yyyy-MM-dd HH:mm:ss").alias("first")
+    return found.agg(F.count("*").alias("n"), *[F.round(f("v").cast("double"), 2).alias(c) for f, c in ((F.min, "low"), (F.max, "high"))], first)
+
+
 BOUNDS_SQL = "SELECT CASE WHEN min(ts) = date_trunc('hour', min(ts)) THEN min(ts) ELSE date_trunc('hour', min(ts)) + INTERVAL 1 HOUR END AS first_hour, date_trunc('hour', max(ts)) AS last_hour FROM events"
 
 

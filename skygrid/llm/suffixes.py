@@ -37,7 +37,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import joined_bytes, mix64, powers, releasing, span_hashes
@@ -200,6 +200,7 @@ def part_stretches(part: Part, rows: list[bytes], width: int, parts: int, every:
     at = np.minimum(np.searchsorted(shared, part.hashes), max(len(shared) - 1, 0))
     mine = np.flatnonzero(shared[at] == part.hashes) if len(shared) else np.zeros(0, np.int64)
     begin, count, hashes, often = part.first[mine], part.count[mine], part.hashes[mine], many[at[mine]] if len(shared) else np.zeros(0, bool)
+    often = often & (not every)  # groups are of whole stretches, however often they occur
     # Windows of leaders that occur very often, one by one.
     single = ranges(begin[often], count[often])
     begin, size = np.concatenate([begin[~often], single]), np.concatenate([count[~often] + width - 1, np.full(len(single), width)])
@@ -487,7 +488,7 @@ def meetings(texts: DataFrame, parts: int, width: int, gram: int, work: Callable
 def repeat_groups(docs: DataFrame, width: int = 50, gram: int = 24, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """length, occurrences (array of doc_id, begin): maximal repeats of at least width bytes.
 
-    A repeat that is longer than a stretch shows as the chain of its parts.
+    A repeat that is longer than a stretch is joined from its parts, unless some of these occur elsewhere besides: then each shows by itself.
     """
     texts, parts = parted(docs, id_col, text_col)
     pair = pa.struct([("doc_id", pa.int64()), ("begin", pa.int64())])
@@ -496,7 +497,24 @@ def repeat_groups(docs: DataFrame, width: int = 50, gram: int = 24, id_col: str
     def work(found: Iterator[Meeting]) -> list[tuple]:
         return [(n, [{"doc_id": d, "begin": b} for d, b in places]) for meeting in found for n, places in meeting.groups()]
 
-    return meetings(texts, parts, width, gram, work, schema, "length long, occurrences array<struct<doc_id: long, begin: long>>")
+    return chained(meetings(texts, parts, width, gram, work, schema, "length long, occurrences array<struct<doc_id: long, begin: long>>"))
+
+
+def chained(groups: DataFrame) -> DataFrame:
+    """groups with those joined whose occurrences are the same but for one common shift, and which overlap or touch.
+
+    As a group has all occurrences of its string, what is joined is a repeat with all its occurrences as well.
+    """
+    places = F.array_sort("occurrences")
+    first = places[0]["begin"]
+    shape = F.transform(places, lambda o: F.struct(o["doc_id"].alias("doc_id"), (o["begin"] - first).alias("shift")))
+    rows = groups.where(F.size("occurrences") > 0).select(shape.alias("shape"), first.alias("a"), (first + F.col("length")).alias("b"))
+    along = Window.partitionBy("shape").orderBy("a", "b")
+    rows = rows.withColumn("reach", F.max("b").over(along.rowsBetween(Window.unboundedPreceding, -1)))
+    rows = rows.withColumn("chain", F.count(F.when(F.coalesce(F.col("a") > F.col("reach"), F.lit(True)), 1)).over(along.rowsBetween(Window.unboundedPreceding, 0)))
+    whole = rows.groupBy("shape", "chain").agg(F.min("a").alias("a"), F.max("b").alias("b"))
+    back = F.transform("shape", lambda o: F.struct(o["doc_id"].alias("doc_id"), (o["shift"] + F.col("a")).alias("begin")))
+    return whole.select((F.col("b") - F.col("a")).alias("length"), back.alias("occurrences"))
 
 
 def _cut(docs: DataFrame, width: int, gram: int, id_col: str, text_col: str, schema: pa.Schema, sql: str, rows: Callable[[pa.Table, list[tuple]], pa.Table], rest: bool = False) -> DataFrame:

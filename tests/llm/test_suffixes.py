@@ -121,6 +121,21 @@ def test_groups_have_the_copies_of_one_part(spark):
     assert got == want
 
 
+@pytest.mark.parametrize("many", [2000, 3])
+def test_long_repeats_are_joined(spark, monkeypatch, many):
+    """Passages of many stretches, at several places and within one document, are one group each with all occurrences, however often they occur."""
+    monkeypatch.setattr(suffixes, "MANY", many)
+    rng = random.Random(12)
+    noise = lambda n: "".join(rng.choices("abcdefghij", k=n))
+    one, two = noise(700), noise(333)
+    fill = lambda k, n: chr(65 + k) * n
+    docs = {k: fill(k, 40 + k) + one + fill(k, 30) for k in range(6)} | {10: two + fill(10, 45) + two, 11: fill(11, 20) + two}
+    got = {(r.length, tuple(sorted((o.doc_id, o.begin) for o in r.occurrences))) for r in suffixes.repeat_groups(spark.createDataFrame(list(docs.items()), "doc_id long, text string")).collect()}
+    assert (700, tuple((k, 40 + k) for k in range(6))) in got and (333, ((10, 0), (10, 378), (11, 20))) in got
+    assert all(len({docs[d][b : b + n] for d, b in places}) == 1 for n, places in got)
+    assert len(got) == 2
+
+
 def test_ids_that_repeat_or_are_missing_part(spark, monkeypatch):
     """Texts under one id, or none, are dealt to many parts, and the result stays."""
     monkeypatch.setattr(suffixes, "PART_BYTES", 2000)

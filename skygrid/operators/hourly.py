@@ -5,8 +5,10 @@ if p is at h; else the line from p to n if they are at most the limit apart; els
 nothing. Nothing is extrapolated. Not for accumulated quantities.
 
 The plan: series are cut into chunks of time, each with the observations up to the
-limit before and after it; within a chunk every observation finds the next valid one of each
-variable (lead, ignoring nulls), and the hours between the two come from a sequence. That is
+limit before and after it; within a chunk every observation finds the last valid one of each
+variable up to itself and the first one after (last and lead, ignoring nulls), and gives the hours
+until the observation that follows. So an hour comes from one row, with all variables, and nothing is
+gathered by hour: a task holds what it sorts, and hours pass through. That is
 one shuffle by (station, chunk); a station with very many observations is many
 tasks, and work is in proportion to observations and output, not to hours times observations.
 """
@@ -54,33 +56,33 @@ def at_full_hours(series: DataFrame, columns: Sequence[str] | None = None, max_h
         rows = series.where(F.col("time").between(*[times.from_micros(F.lit(x)) for x in (lo - limit, hi + limit)])).select("station_id", times.micros(F.col("time")).alias("t"), *columns)
     length = max(CHUNK_HOURS * times.HOUR, -(-4 * limit // times.HOUR) * times.HOUR)
     chunk = F.explode(F.sequence(F.floor((F.col("t") - limit) / length), F.floor((F.col("t") + limit) / length)))
-    rows = rows.withColumn("chunk", chunk)
-    for i, c in enumerate(columns):
-        own = F.when(F.col(c).isNotNull(), F.struct(F.col("t"), F.col(c).cast("double").alias("v")))
-        rows = rows.withColumn(f"_p{i}", own).withColumn(f"_n{i}", F.expr(f"lead(_p{i}) IGNORE NULLS OVER (PARTITION BY station_id, chunk ORDER BY t)"))
+    own = [F.when(F.col(c).isNotNull(), F.struct(F.col("t"), F.col(c).cast("double").alias("v"))).alias(f"_o{i}") for i, c in enumerate(columns)]
+    rows = rows.select("station_id", "t", chunk.alias("chunk"), *own)
+    order = "PARTITION BY station_id, chunk ORDER BY t"
+    before = [F.expr(f"last(_o{i}) IGNORE NULLS OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)").alias(f"_p{i}") for i in range(len(columns))]
+    after = [F.expr(f"lead(_o{i}) IGNORE NULLS OVER ({order})").alias(f"_n{i}") for i in range(len(columns))]
+    rows = rows.select("station_id", "chunk", "t", F.expr(f"lead(t) OVER ({order})").alias("next"), *before, *after)
     first, last = F.col("chunk") * length, (F.col("chunk") + 1) * length - times.HOUR
     if lo is not None:
         first, last = F.greatest(first, F.lit(lo)), F.least(last, F.lit(hi))
-    parts = [_segment(columns, i, limit, first, last) for i in range(len(columns))]
-    hours = rows.select("station_id", "chunk", F.explode(F.flatten(F.array(*parts))).alias("h"))
-    out = hours.groupBy("station_id", "chunk", "h.t").agg(*[F.max(f"h.{c}").alias(c) for c in columns])
+    rows = rows.withColumn("h", F.explode(_hours(limit, first, last)))
     kinds = dict(series.dtypes)
-    return out.select("station_id", times.from_micros(F.col("t")).alias("time"), *[F.col(c).cast("double" if kinds[c] == "double" else "float").alias(c) for c in columns])
+    out = rows.select("station_id", times.from_micros(F.col("h")).alias("time"), *[_value(i, limit).cast("double" if kinds[c] == "double" else "float").alias(c) for i, c in enumerate(columns)])
+    return out.where(F.coalesce(*[F.col(c).cast("double") for c in columns]).isNotNull())
 
 
-def _segment(columns: list[str], i: int, limit: int, first: Column, last: Column) -> Column:
-    """Array of (hour, values) that column i has from its observation to its next."""
-    p, n = F.col(f"_p{i}"), F.col(f"_n{i}")
-    joined = n.isNotNull() & (n["t"] - p["t"] <= limit)
-    begin = F.greatest(times.hour_ceil(p["t"]), first)
-    stop = F.least(F.when(joined, times.hour_floor(n["t"] - 1)).otherwise(p["t"]), last)
+def _hours(limit: int, first: Column, last: Column) -> Column:
+    """Array of the hours from an observation to before the one that follows; its own alone, if that is too far away."""
+    begin = F.greatest(times.hour_ceil(F.col("t")), first)
+    stop = F.least(F.when(F.col("next") - F.col("t") <= limit, times.hour_floor(F.col("next") - 1)).otherwise(F.col("t")), last)
+    return F.when(begin <= stop, F.sequence(begin, stop, F.lit(times.HOUR)))
 
-    def at(h: Column) -> Column:
-        v = F.when(h == p["t"], p["v"]).otherwise(p["v"] + (h - p["t"]) * (n["v"] - p["v"]) / (n["t"] - p["t"]))
-        return F.struct(h.alias("t"), *[(v if k == i else F.lit(None).cast("double")).alias(c) for k, c in enumerate(columns)])
 
-    hours = F.when(p.isNotNull() & (begin <= stop), F.sequence(begin, stop, F.lit(times.HOUR)))
-    return F.coalesce(F.transform(hours, at), F.array().cast("array<struct<t:bigint," + ",".join(f"`{c}`:double" for c in columns) + ">>"))
+def _value(i: int, limit: int) -> Column:
+    """Value of column i at hour h, between its observations before and after."""
+    h, p, n = F.col("h"), F.col(f"_p{i}"), F.col(f"_n{i}")
+    line = p["v"] + (h - p["t"]) * (n["v"] - p["v"]) / (n["t"] - p["t"])
+    return F.when(h == p["t"], p["v"]).when(n["t"] - p["t"] <= limit, line)
 
 
 def grid_bounds(series: DataFrame) -> DataFrame:

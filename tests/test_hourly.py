@@ -79,6 +79,31 @@ def test_one_shuffle(spark):
     assert plan.split("== Initial")[0].count("Exchange hashpartitioning") == 1
 
 
+def test_hours_are_not_gathered(spark):
+    """An hour comes from one row with all variables: no task keeps hours in a hash table."""
+    rows = spark.createDataFrame([("s", DAY, 1.0, 2.0)], "station_id string, time timestamp_ntz, x double, y double")
+    plan = hourly.at_full_hours(rows, ["x", "y"])._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and plan.count("Window [") == plan.count("Sort [") == 1
+
+
+@pytest.mark.parametrize("chunk", [1, 50, 768])
+def test_variables_meet_in_one_row(spark, monkeypatch, chunk):
+    """Two variables with gaps of their own give what each gives alone, and an hour once."""
+    monkeypatch.setattr(hourly, "CHUNK_HOURS", chunk)
+    rng = random.Random(chunk)
+    rows = []
+    for s in ("a", "b", "c"):
+        for m in sorted(rng.sample(range(0, 12000, 15), 150)):
+            rows.append((s, DAY + timedelta(minutes=m), rng.choice([None, rng.uniform(-5, 5)]), rng.choice([None, None, float("nan"), rng.uniform(-5, 5)])))
+    df = spark.createDataFrame(rows, "station_id string, time timestamp_ntz, x double, y float")
+    want = {}
+    for k, c in enumerate("xy"):
+        for r in hourly.at_full_hours(df.select("station_id", "time", c), [c], 5).collect():
+            want.setdefault((r.station_id, r.time), [None, None])[k] = r[c]
+    got = hourly.at_full_hours(df, ["x", "y"], 5).collect()
+    assert sorted((r.station_id, r.time, str([r.x, r.y])) for r in got) == sorted((*key, str(v)) for key, v in want.items())
+
+
 def test_valid_fraction(spark):
     rows = [("a", DAY + timedelta(hours=k), 1.0, 1.0 if k < 2 else None) for k in range(4)]
     df = spark.createDataFrame(rows, "station_id string, time timestamp_ntz, x double, y double")

@@ -25,3 +25,10 @@ def test_selected_stations_reach_the_scan(spark, sf_dir):
     found = catalogue.hourly_interpolation(spark, sf_dir)
     plan = found.where("station_id = '3'")._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,value:double>" in plan
+
+
+@pytest.mark.parametrize("threshold", [500, 666, 750, 800, 900])
+def test_validity_filters_gather_no_hours(spark, sf_dir, threshold):
+    """Records are aggregated by station and time (partial and final), hours are not."""
+    found = catalogue.QUERIES[f"valid_fraction_filter_{threshold}"](spark, sf_dir)
+    assert found._jdf.queryExecution().executedPlan().toString().count("Aggregate(") == 2

@@ -3,6 +3,7 @@
 The corpus is no single string that a task could sort, so its suffixes are dealt
 out such that all that share their first ``width`` bytes meet:
 
+0. Equal texts are dealt to one part, which goes on with the one of least id; the others are covered whole.
 1. Every window of ``width`` bytes is led by one of its k-grams, the one with the least hash.
    Equal windows have equal leaders at equal places. Leaders that only one document
    has are left out: parts of the corpus send the distinct leaders they hold, and are told
@@ -33,10 +34,12 @@ Defined cases
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,12 +50,18 @@ INVERSE = pow(BASE, -1, 1 << 64)
 HASH_BITS = 48
 #: Text of a part, and parts of the hashes for each part of the texts.
 PART_BYTES, SPREAD = 4 << 20, 2
-#: Sections of a part of the hashes, worked on one after the other: sorting takes about a hundred bytes for each of a section's.
+#: Parts from which on they grow, and how many times at most. They grow with the root of the corpus, so that the rows between parts grow with the corpus and not with its square.
+FEW_PARTS, MOST_GROWTH = 128, 16
+#: Sections of a part of the hashes (more, as parts grow), worked on one after the other: sorting takes about a hundred bytes for each of a section's.
 SECTIONS = 8
+#: Bytes of text that are hashed at a time.
+STEP = 1 << 18
 #: Occurrences of groups that are worked on at a time.
 GROUP_PLACES = 1 << 19
 #: Occurrences of a leader from which its windows go separately.
 MANY = 2000
+#: Bytes that a row counts for, whatever its text.
+ROW_WEIGHT = 64
 #: Stands for an id that is null.
 FIRST = -(1 << 63)
 
@@ -141,16 +150,30 @@ def ordered(table: pa.Table) -> pa.Table:
     return table.take(pa.array(order))
 
 
+def later_copies(ids: np.ndarray, texts: pa.ChunkedArray) -> np.ndarray:
+    """Whether a text, of rows that are ordered by id, is also that of a smaller id."""
+    codes = pc.fill_null(pc.dictionary_encode(texts.combine_chunks()).indices, -1).to_numpy(zero_copy_only=False)
+    _, first, which = np.unique(codes, return_index=True, return_inverse=True)
+    return (ids > ids[first][which]) & (codes >= 0) if len(ids) else np.zeros(0, bool)
+
+
 class Part:
-    """The texts of one part in their order, end to end."""
+    """The texts of one part in their order, end to end; with every, also those that are later copies."""
 
-    def __init__(self, table: pa.Table, width: int, gram: int) -> None:
+    def __init__(self, table: pa.Table, width: int, gram: int, every: bool = False) -> None:
         table = ordered(table)
-        self.ids = table.column("doc_id").to_numpy()
-        self.data, self.offsets = joined_bytes(table.column("text"))
+        self.ids, texts = table.column("doc_id").to_numpy(), table.column("text")
+        copies = np.zeros(len(self.ids), bool) if every else later_copies(self.ids, texts)
+        size = pc.fill_null(pc.binary_length(texts), 0).to_numpy()
+        #: Rows that are covered whole, and their bytes.
+        self.copies = np.flatnonzero(copies & (size >= width))
+        self.copy_size = size[self.copies].astype(np.int64)
+        if len(self.copies):
+            texts = pc.if_else(pa.array(copies), pa.scalar(None, texts.type), texts)
+        self.data, self.offsets = joined_bytes(texts)
         found = []
-        # Some texts at a time: arrays of eight bytes a byte stay small.
-        step = np.unique(np.searchsorted(self.offsets, np.arange(0, len(self.data) + (1 << 21), 1 << 21)).clip(0, len(self.ids)))
+        # Some texts at a time: arrays of eight bytes a byte stay in the cache.
+        step = np.unique(np.searchsorted(self.offsets, np.arange(0, len(self.data) + STEP, STEP)).clip(0, len(self.ids)))
         for a, b in zip(step[:-1], step[1:], strict=True):
             begin = self.offsets[a]
             first, count, hashes = led_windows(self.data[begin : self.offsets[b]], self.offsets[a : b + 1] - begin, width, gram)
@@ -161,9 +184,10 @@ class Part:
 
 def part_leaders(part: Part, parts: int) -> Iterator[tuple[int, bytes]]:
     """For each part of the hashes: the distinct leaders and how often each occurs (as 0: in one document only)."""
-    hashes, first, times = np.unique(part.hashes, return_index=True, return_counts=True)
-    order = np.argsort(part.hashes, kind="stable")
-    doc, cuts = part.doc[order], np.cumsum(times) - times
+    order = np.argsort(part.hashes)
+    doc, hashes = part.doc[order], part.hashes[order]
+    cuts = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]])) if len(hashes) else np.zeros(0, np.int64)
+    times, hashes = np.diff(np.append(cuts, len(hashes))), hashes[cuts]
     alone = np.minimum.reduceat(doc, cuts) == np.maximum.reduceat(doc, cuts) if len(cuts) else np.zeros(0, bool)
     times = np.where(alone, 0, np.minimum(times, MANY)).astype(np.uint16)
     for at, s in by_part(part_of(hashes, parts)):
@@ -190,7 +214,20 @@ def shared_leaders(rows: list[tuple[int, bytes]]) -> Iterator[tuple[int, bytes]]
         yield part, packed(np.diff(h[s], prepend=np.uint64(0)), many[s])
 
 
-def part_stretches(part: Part, rows: list[bytes], width: int, parts: int, every: bool = False) -> tuple[list[tuple[int, bytes]], tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def hashes_at(data: np.ndarray, begin: np.ndarray, size: np.ndarray, step: int = STEP) -> np.ndarray:
+    """span_hashes of stretches, some of the data at a time."""
+    out, order = np.empty(len(begin), np.uint64), np.argsort(begin, kind="stable")
+    cuts = np.searchsorted(begin[order], np.arange(0, len(data) + step, step))
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        if b > a:
+            k = order[a:b]
+            low = begin[k[0]]
+            start = begin[k] - low
+            out[k] = span_hashes(data[low : low + (start + size[k]).max()], start, start + size[k])
+    return out
+
+
+def part_stretches(part: Part, rows: list[bytes], width: int, parts: int, sections: int = SECTIONS, every: bool = False) -> tuple[list[tuple[int, bytes]], tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Stretches to send, by part of the hashes, and ranges (row, begin, end) that this part covers by itself."""
     found = [unpacked(raw) for raw in rows]
     shared = np.concatenate([np.cumsum(h, dtype=np.uint64) for h, _ in found]) if found else np.zeros(0, np.uint64)
@@ -203,48 +240,50 @@ def part_stretches(part: Part, rows: list[bytes], width: int, parts: int, every:
     often = often & (not every)  # groups are of whole stretches, however often they occur
     # Windows of leaders that occur very often, one by one.
     single = ranges(begin[often], count[often])
+    doc = np.concatenate([part.doc[mine][~often], np.repeat(part.doc[mine][often], count[often])])
     begin, size = np.concatenate([begin[~often], single]), np.concatenate([count[~often] + width - 1, np.full(len(single), width)])
-    whole = span_hashes(part.data, begin, begin + size)
+    whole = hashes_at(part.data, begin, size)
     key = np.concatenate([hashes[~often], whole[int((~often).sum()) :] >> np.uint64(64 - HASH_BITS)])
     # Equal stretches: the first document's goes on, and covers those of later documents.
     order = np.lexsort((begin, whole))
-    begin, size, whole, key = begin[order], size[order], whole[order], key[order]
+    begin, size, whole, key, doc = begin[order], size[order], whole[order], key[order], doc[order]
     new = np.concatenate([[True], whole[1:] != whole[:-1]]) if len(whole) else np.zeros(0, bool)
-    doc = np.searchsorted(part.offsets, begin, side="right") - 1
     lead = np.flatnonzero(new)[np.cumsum(new) - 1] if len(new) else np.zeros(0, np.int64)
     later = part.ids[doc] > part.ids[doc[lead]]
-    covered = doc[later], begin[later] - part.offsets[doc[later]], begin[later] - part.offsets[doc[later]] + size[later]
+    at = begin[later] - part.offsets[doc[later]]
+    covered = tuple(np.concatenate(x) for x in ((doc[later], part.copies), (at, np.zeros(len(part.copies), np.int64)), (at + size[later], part.copy_size)))
     # Of the first document all equal stretches go on, as another part may cover them; for groups, those of every document.
     go = ~later | every
     begin, size, key, doc = begin[go], size[go], key[go], doc[go]
-    section = part_of(key, parts * SECTIONS)
-    order = np.argsort(section, kind="stable")
+    section = part_of(key, parts * sections)
+    order = np.lexsort((begin, section))  # within a section rows and ids ascend, and their differences are small
     begin, size, doc, section = begin[order], size[order], doc[order], section[order]
+    ids, places, kind = part.ids[doc], (begin - part.offsets[doc]).astype(np.int32), np.uint8 if width < 100 else np.int64
     out = []
-    for to, s in by_part(section // SECTIONS):
-        counts = np.bincount(section[s] % SECTIONS, minlength=SECTIONS).astype(np.int32)
-        out.append((to, packed(counts, part.ids[doc[s]], doc[s].astype(np.int32), begin[s] - part.offsets[doc[s]], size[s].astype(np.uint8 if width < 100 else np.int64), part.data[ranges(begin[s], size[s])])))
+    for to, s in by_part(section // sections):
+        counts = np.bincount(section[s] % sections, minlength=sections).astype(np.int32)
+        out.append((to, packed(counts, np.diff(ids[s], prepend=0), np.diff(doc[s], prepend=0).astype(np.int32), places[s], size[s].astype(kind), part.data[ranges(begin[s], size[s])])))
     return out, covered
 
 
 # --- the enhanced suffix array ---------------------------------------------------------------------------------------
 
 
-def ranked(keys: np.ndarray) -> np.ndarray:
-    """Dense ranks."""
-    order = np.argsort(keys)
-    sorted_ = keys[order]
-    rank = np.empty(len(keys), np.uint64)
-    rank[order] = np.cumsum(np.concatenate([[False], sorted_[1:] != sorted_[:-1]]))
-    return rank
+#: Masks that keep the first 0 to 8 bytes of a big-endian number.
+_FIRST_BYTES = np.array([(1 << 64) - (1 << 8 * (8 - n)) for n in range(9)], np.uint64)
+
 
+def words(padded: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Eight bytes from each place as a big-endian number; bytes past size (0 to 8) are 0. padded ends with eight bytes more."""
+    views = np.ndarray(len(padded) - 7, ">u8", np.ascontiguousarray(padded), strides=(1,))
+    return views[np.minimum(at, len(views) - 1)].astype(np.uint64) & _FIRST_BYTES[size]
 
-def words(data: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Eight bytes from each place as a big-endian number; bytes past size (0 to 8) are 0."""
-    out = np.zeros(len(at), np.uint64)
-    for k in range(8):
-        byte = np.where(k < size, data[np.minimum(at + k, len(data) - 1)], 0).astype(np.uint64)
-        out = (out << np.uint64(8)) | byte
+
+def common_bytes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many of their eight bytes two numbers have in common from the first on."""
+    differ, out = a ^ b, np.zeros(len(a), np.int64)
+    for k in range(1, 9):
+        out += differ < np.uint64(1 << 8 * (8 - k)) if k < 8 else differ == 0
     return out
 
 
@@ -254,46 +293,39 @@ def repeated_suffixes(data: np.ndarray, size: np.ndarray, width: int) -> tuple[n
     Suffixes that share their first width bytes with no other are left out; prefix[i]
     is the length common to suffix i and i - 1, 0 at the start of each group.
     """
-    stop = np.repeat(np.cumsum(size), size)  # end of the stretch that a byte is in
-    left = stop - np.arange(len(data))
-    # Ranks by the first 8, 16, 32 ... bytes for all places with so many left; then two that overlap make up width.
+    counts = np.maximum(size - width + 1, 0)
+    order = ranges(np.cumsum(size) - size, counts)
+    left = ranges(size - counts + 1, counts)
+    left = np.repeat(size + width, counts) - left if len(order) else order
+    # Only suffixes whose first width bytes occur again are sorted; a hash tells which these may be, and the bytes decide.
+    _, one, which, times = np.unique(span_hashes(data, order, order + width), return_index=True, return_inverse=True, return_counts=True)
+    names = np.flatnonzero(times > 1)
+    if not len(names):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     padded = np.concatenate([data, np.zeros(8, np.uint8)])
-    head = np.zeros(len(data), np.uint64)
-    for k in range(8):
-        head = (head << np.uint64(8)) | padded[k : k + len(data)]
-    rank, reach = np.zeros(len(data), np.uint64), 8
-    where = np.flatnonzero(left >= min(8, width))
-    if width < 8:
-        head >>= np.uint64(8 * (8 - width))
-        reach = width
-    rank[where] = ranked(head[where])
-    while reach < width:
-        step = min(reach, width - reach)
-        where = np.flatnonzero(left >= reach + step)
-        rank[where] = ranked((rank[where] << np.uint64(32)) | rank[where + step])
-        reach += step
-    order = where[np.argsort(rank[where], kind="stable")]
-    same = rank[order[1:]] == rank[order[:-1]] if len(order) else np.zeros(0, bool)
-    inside = np.concatenate([[False], same]) | np.concatenate([same, [False]])
-    order = order[inside[: len(order)]]
-    if not len(order):
-        return order, order
-    # Beyond width, by words to the end of the stretch.
-    deep = max(0, int(left[order].max()) - width)
-    keys = [words(data, order + width + 8 * k, np.clip(left[order] - width - 8 * k, 0, 8)) for k in range(-(-deep // 8))]
-    again = np.lexsort((left[order], *keys[::-1], rank[order]))
-    order, keys = order[again], [k[again] for k in keys]
-    prefix = np.where(rank[order[1:]] == rank[order[:-1]], width, 0)
-    live = prefix >= width
-    for k in keys:
-        differ = k[1:] ^ k[:-1]
-        equal = np.full(len(differ), 8)
-        for b in range(8):
-            equal[(differ >> np.uint64(8 * (7 - b)) & np.uint64(0xFF) != 0) & (equal == 8)] = b
-        prefix = np.where(live, prefix + equal, prefix)
+    # The order of the different beginnings of width bytes, by words of eight.
+    heads = order[one[names]]
+    keys = [words(padded, heads + k, np.full(len(heads), min(8, width - k))) for k in range(0, width, 8)]
+    rank = np.full(len(times), -1)
+    rank[names[np.lexsort(keys[::-1])]] = np.arange(len(names))
+    keep = times[which] > 1
+    order, left, rank = order[keep], left[keep], rank[which[keep]]
+    # And within one beginning, by words to the end of the stretch.
+    deep = max(0, int(left.max()) - width)
+    keys = [words(padded, order + width + k, np.clip(left - width - k, 0, 8)) for k in range(0, deep, 8)]
+    again = np.lexsort((left, *keys[::-1], rank))
+    order, left = order[again], left[again]
+    # Common prefixes of neighbours, from their bytes.
+    prefix, live = np.zeros(len(order) - 1, np.int64), np.ones(len(order) - 1, bool)
+    for k in range(0, width + deep, 8):
+        word = words(padded, order + k, np.clip(left - k, 0, 8))
+        equal = common_bytes(word[1:], word[:-1])
+        prefix += np.where(live, equal, 0)
         live &= equal == 8
-    prefix = np.minimum(prefix, np.minimum(left[order[1:]], left[order[:-1]]))
-    return order, np.concatenate([[0], prefix])
+    prefix = np.minimum(prefix, np.minimum(left[1:], left[:-1]))
+    prefix = np.concatenate([[0], np.where(prefix >= width, prefix, 0)])
+    alone = (prefix == 0) & np.concatenate([prefix[1:] == 0, [True]])  # hashes that agreed by chance
+    return order[~alone], prefix[~alone]
 
 
 def prefix_intervals(prefix: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -338,7 +370,7 @@ class Meeting:
     """
 
     def __init__(self, found: list[tuple], width: int) -> None:
-        self.part = np.concatenate([np.full(len(x[1]), x[0]) for x in found])
+        self.part = np.repeat([x[0] for x in found], [len(x[1]) for x in found])
         self.doc, self.row, self.begin = (np.concatenate([x[k] for x in found]).astype(np.int64) for k in (1, 2, 3))
         size = np.concatenate([x[4] for x in found]).astype(np.int64)
         data = np.concatenate([x[5] for x in found])
@@ -405,18 +437,20 @@ class Meeting:
                 yield int(self.size[s]), sorted((int(self.doc[r]), int(self.begin[r])) for r in rows[first[s] : first[s + 1]])
 
 
-def met(rows: list[tuple[int, bytes]], width: int) -> Iterator[Meeting]:
+def met(rows: list[tuple[int, bytes]], width: int, sections: int = SECTIONS) -> Iterator[Meeting]:
     """The meetings of a part of the hashes, one at a time."""
     found = []
     for part, raw in rows:
-        counts, *columns = unpacked(raw)
-        found.append((part, np.concatenate([[0], np.cumsum(counts)]), np.concatenate([[0], np.cumsum(columns[3], dtype=np.int64)]), *columns))
-    for k in range(SECTIONS):
+        counts, ids, docs, *columns = unpacked(raw)
+        cuts = np.concatenate([[0], np.cumsum(counts)])
+        at = np.concatenate([[0], np.cumsum(columns[1], dtype=np.int64)])[cuts]
+        found.append((part, cuts.tolist(), at.tolist(), np.cumsum(ids), np.cumsum(docs, dtype=np.int32), *columns))
+    for k in range(sections):
         here = []
         for part, cuts, at, *columns, data in found:
             a, b = cuts[k], cuts[k + 1]
             if b > a:
-                here.append((part, *(c[a:b] for c in columns), data[at[a] : at[b]]))
+                here.append((part, *(c[a:b] for c in columns), data[at[k] : at[k + 1]]))
         if here:
             yield Meeting(here, width)
 
@@ -445,19 +479,36 @@ def _all_marks(found: Iterator[Meeting]) -> list[tuple]:
 def parted(docs: DataFrame, id_col: str, text_col: str, rest: bool = False) -> tuple[DataFrame, int]:
     """dp, doc_id, text (and rest: all columns but the text, in a struct), dealt by part; and the number of parts."""
     total = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    parts = max(2, -(-total // PART_BYTES))
-    # By id and text, so that texts under one id, or under none, part.
-    dp = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(parts)).cast("int").alias("dp")
+    size = part_bytes(total)
+    parts = max(2, -(-total // size))
     others = [F.struct(*[docs[c].alias(f"c{i}") for i, c in enumerate(docs.columns) if c != text_col]).alias("rest")] if rest else []
-    return docs.select(dp, F.coalesce(F.col(id_col).cast("long"), F.lit(FIRST)).alias("doc_id"), F.col(text_col).alias("text"), *others).repartition(parts, "dp"), parts
+    texts = docs.select(F.xxhash64(F.col(text_col)).alias("name"), F.coalesce(F.col(id_col).cast("long"), F.lit(FIRST)).alias("doc_id"), F.col(text_col).alias("text"), *others)
+    # By text, so that copies meet; those of a text that fills a good part of a part are dealt out by id besides. A row counts as some bytes, so that empty texts part too.
+    weight = F.sum(F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + ROW_WEIGHT)
+    often = texts.groupBy("name").agg(weight.alias("weight")).where(F.col("weight") > size // 4).select("name", F.ceil(F.col("weight") / (size // 4)).alias("pieces"))
+    dp = F.pmod(F.xxhash64("name", F.when(F.col("pieces").isNotNull(), F.pmod(F.xxhash64("doc_id"), "pieces"))), F.lit(parts)).cast("int").alias("dp")
+    return texts.join(F.broadcast(often), "name", "left").select(dp, "doc_id", "text", *["rest"] * rest).repartition(parts, "dp"), parts
+
+
+def part_bytes(total: int) -> int:
+    """Text of a part of a corpus of so many bytes."""
+    return max(PART_BYTES, min(PART_BYTES * MOST_GROWTH, math.isqrt(total * PART_BYTES // FEW_PARTS)))
+
+
+def section_count(parts: int) -> int:
+    """Sections of a part of the hashes, where the texts have so many parts."""
+    return SECTIONS * min(MOST_GROWTH, -(-parts // FEW_PARTS))
 
 
 def meetings(texts: DataFrame, parts: int, width: int, gram: int, work: Callable[[Iterator[Meeting]], list[tuple]], schema: pa.Schema, sql: str, own: Callable[[int, tuple], list[tuple]] | None = None) -> DataFrame:
     """Rows of work for the meetings of each part of the hashes, and of own for the ranges that a part covers by itself."""
 
+    every = own is None  # of groups all occurrences are asked for
+    sections = section_count(parts)
+
     def lead(table: pa.Table) -> pa.Table:
         dp = table.column("dp")[0].as_py() if table.num_rows else 0
-        return _arrow([(hp, dp, raw) for hp, raw in part_leaders(Part(table, width, gram), parts * SPREAD)], _TO)
+        return _arrow([(hp, dp, raw) for hp, raw in part_leaders(Part(table, width, gram, every), parts * SPREAD)], _TO)
 
     def share(table: pa.Table) -> pa.Table:
         return _arrow(list(shared_leaders(list(zip(table.column("dp").to_pylist(), table.column("blob").to_pylist(), strict=True)))), _BACK)
@@ -466,10 +517,10 @@ def meetings(texts: DataFrame, parts: int, width: int, gram: int, work: Callable
         if not left.num_rows or not right.num_rows:
             return _TO.empty_table()
         dp = key[0].as_py()
-        out, (docs, begin, end) = part_stretches(Part(left, width, gram), right.column("blob").to_pylist(), width, parts * SPREAD, every=own is None)
+        out, (docs, begin, end) = part_stretches(Part(left, width, gram, every), right.column("blob").to_pylist(), width, parts * SPREAD, sections, every)
         rows = [(hp, dp, raw) for hp, raw in out]
         # Own ranges travel with the stretches, as rows of no meeting.
-        if own is not None and len(docs):
+        if not every and len(docs):
             rows.append((-1 - dp, dp, packed(docs, begin, end)))
         return _arrow(rows, _TO)
 
@@ -477,7 +528,7 @@ def meetings(texts: DataFrame, parts: int, width: int, gram: int, work: Callable
         rows = list(zip(table.column("dp").to_pylist(), table.column("blob").to_pylist(), strict=True))
         if table.column("hp")[0].as_py() < 0:
             return _arrow([r for dp, raw in rows for r in own(dp, tuple(unpacked(raw)))], schema)
-        return _arrow(work(met(rows, width)), schema)
+        return _arrow(work(met(rows, width, sections)), schema)
 
     to, back = "hp int, dp int, blob binary", "dp int, blob binary"
     shared = texts.groupBy("dp").applyInArrow(releasing(lead), to).groupBy("hp").applyInArrow(releasing(share), back)

@@ -157,3 +157,45 @@ def test_columns_of_clashing_names(spark):
     assert got == {0: 0, 1: 390, 2: 380, 3: 370, 9: 0}
     left = suffixes.without_repeats(docs)
     assert left.columns == docs.columns and sorted((r.doc_id, len(r.text or ""), r.part, r.begin) for r in left.collect()) == [(0, 400, 0, "b"), (1, 0, 1, "b"), (2, 0, 2, "b"), (3, 0, 3, "b"), (9, 0, 0, None)]
+
+
+def test_rows_between_parts_grow_with_the_input(spark, monkeypatch):
+    """Each part sends a row to each part of the hashes: sixteen times the text may give some sixteen times these rows, not 256."""
+    monkeypatch.setattr(suffixes, "PART_BYTES", 500)
+    monkeypatch.setattr(suffixes, "FEW_PARTS", 4, raising=False)
+    rng = random.Random(5)
+    docs = [(k, "".join(rng.choices("abcdefgh", k=200))) for k in range(1600)]
+    few, many = (suffixes.parted(spark.createDataFrame(docs[:n], "doc_id long, text string"), "doc_id", "text")[1] for n in (100, 1600))
+    assert few > 4 and many**2 <= 1.2 * 16 * few**2
+
+
+def test_parts_that_grow(spark, monkeypatch):
+    """More sections and larger parts give the same bytes."""
+    monkeypatch.setattr(suffixes, "PART_BYTES", 1500)
+    monkeypatch.setattr(suffixes, "FEW_PARTS", 2, raising=False)
+    monkeypatch.setattr(suffixes, "MANY", 5)
+    check(spark, corpus(17))
+
+
+def test_copies_meet_and_go_on_once(spark):
+    """A table that is repeated with shifted ids: of each text one copy has leaders, all others are covered whole."""
+    docs = corpus(6)[:30]
+    docs += [(i + 1000 * k, t) for k in (1, 2) for i, t in docs]
+    check(spark, docs)
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    parts, _ = suffixes.parted(frame, "doc_id", "text")
+    tables = [parts.where(parts.dp == r.dp).toArrow() for r in parts.select("dp").distinct().collect()]
+    led = sum(len(suffixes.Part(t, 50, 24).doc) for t in tables)
+    assert led == len(suffixes.Part(parts.where("doc_id < 1000").toArrow(), 50, 24).doc)
+
+
+def test_a_text_of_very_many_copies_parts(spark, monkeypatch):
+    """Copies of one text, and empty texts, are dealt out to several parts; equal ids don't cover each other."""
+    monkeypatch.setattr(suffixes, "PART_BYTES", 2000)
+    text = "".join(random.Random(6).choices("abcdefgh", k=300))
+    rows = [(max(k, 2), text) for k in range(90)] + [(k, None) for k in range(90)] + [(None, text[:49]), (200, "z" + text[:60])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    parts, n = suffixes.parted(frame, "doc_id", "text")
+    assert n > 2 and all(parts.where(which).select("dp").distinct().count() > 2 for which in ("length(text) = 300", "text IS NULL"))
+    got = sorted((r.doc_id or 0, r.n_bytes, r.n_removed) for r in suffixes.repeats_cut(frame).collect())
+    assert got == sorted([(max(k, 2), 300, 300 * (k > 2)) for k in range(90)] + [(k, 0, 0) for k in range(90)] + [(0, 49, 0), (200, 61, 60)])

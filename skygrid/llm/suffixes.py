@@ -468,7 +468,8 @@ _BACK = pa.schema([("dp", pa.int32()), ("blob", pa.binary())])
 
 def _marks(parts: np.ndarray, rows: np.ndarray, begin: np.ndarray, end: np.ndarray) -> list[tuple[int, bytes]]:
     order = np.lexsort((begin, rows, parts))
-    return [(p, packed(rows[order][s], begin[order][s], end[order][s])) for p, s in by_part(parts[order])]
+    parts, rows, begin, end = parts[order], rows[order], begin[order], end[order]
+    return [(p, packed(rows[s], begin[s], end[s])) for p, s in by_part(parts)]
 
 
 def _all_marks(found: Iterator[Meeting]) -> list[tuple]:
